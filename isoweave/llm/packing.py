@@ -48,7 +48,7 @@ class Words:
         known = self.known
         new = set().union(*cut) - known.keys()
         # a word with stops after it has the ids of the word, then those of the stops: letters and other signs are apart in any case
-        ends = {w: (b, w[len(b) :]) for w in new if (b := w.rstrip(".,!|")) and b != w and b.isalpha()}
+        ends = {w: (b, w[len(b) :]) for w in new if (b := w.rstrip(".,!|")) and b != w and b.isalpha() and max(b) < "\u0250"}
         plain = list((new - ends.keys()).union(*ends.values()) - known.keys())
         for k in range(0, len(plain), 20_000):
             part = plain[k : k + 20_000]
