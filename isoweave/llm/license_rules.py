@@ -112,12 +112,12 @@ LOOSE = (
     ("cc-by-nc-nd", 34, 0.7, r"cc by nc nd"),
     ("public-domain", 25, 0.5, r"(in|into|to|under) the public domain|public domain (work|dedication|mark)"),
     ("reserved", 40, 0.9, r"all rights reserved"),
-    ("reserved", 35, 0.8, r"(tous droits réservés|alle rechte vorbehalten|todos los derechos reservados)"),
+    ("reserved", 35, 0.8, r"tous droits réservés|alle rechte vorbehalten|todos los derechos reservados"),
     ("copyright", 15, 0.4, r"copyright (c )?(19|20)[0-9][0-9]"),
     ("no-warranty", 15, 0.4, r"without (any )?warrant(y|ies)( of any kind)?|as is without warranty"),
-    ("proprietary", 30, 0.8, r"(proprietary and confidential|unauthori[sz]ed (copying|reproduction|distribution))"),
+    ("proprietary", 30, 0.8, r"proprietary and confidential|unauthorised (copying|reproduction|distribution)|unauthorized (copying|reproduction|distribution)"),
     ("licensed", 5, 0.2, r"(dual )?licensed under"),
-    ("licensed", 5, 0.2, r"(unter|sous|bajo) (der |la |licence )?(lizenz|licence|licencia)"),
+    ("licensed", 5, 0.2, r"unter (der )?lizenz|sous (la )?licence|bajo (la )?licencia"),
 )
 
 class Rule(NamedTuple):
