@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import doc_batches, partitions, written
 
 SIZE, END, GROUP = 4096, 2, 4096
+#: Signs that the tokenizer parts from letters before them, singly or in a row.
+SIGNS = ".,!|?%$#&*:;"
 #: Entries of the cache of encoded words.
 CACHE = 600_000
 
@@ -40,23 +42,49 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.split(" ") if "\n" not in t and "\t" not in t and "\r" not in t else t.translate({9: " ", 10: " ", 13: " "}).split(" ") for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
+    def learn(self, new: set[str]) -> None:
         known = self.known
-        new = set().union(*cut) - known.keys()
-        # a word with stops after it has the ids of the word, then those of the stops: letters and other signs are apart in any case
-        ends = {w: (b, w[len(b) :]) for w in new if (b := w.rstrip(".,!|")) and b != w and b.isalpha() and max(b) < "\u0250"}
-        plain = list((new - ends.keys()).union(*ends.values()) - known.keys())
-        for k in range(0, len(plain), 20_000):
-            part = plain[k : k + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        # a word of letters with signs after it has the ids of the word in small letters, then those of the signs
+        ends = {w: (b.lower(), w[len(b) :]) for w in new if (b := w.rstrip(SIGNS)) and max(b) < "\u0100" and b.isalpha()}
+        todo = (new - ends.keys()).union(*ends.values()) - known.keys()
+        letters = [w for w in todo if w.isalpha() and max(w) < "\u0100"]
+        rest = list(todo.difference(letters))
+        # words of letters go side by side in one text, and come apart where a token ends a word
+        lines = [letters[k : k + 256] for k in range(0, len(letters), 256)]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(line):
+                rest += line
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, cut in zip(line, cuts, strict=True):
+                known[w] = raw[at:cut]
+                at = cut
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[w] = np.array(e.ids, "<u4").tobytes()
         for w, (a, b) in ends.items():
             known[w] = known[a] + known[b]
-        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in cut]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text, as little-endian unsigned 32-bit numbers."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+        get, out = self.known.__getitem__, []
+        for t in texts:
+            words = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            try:
+                out.append(b"".join(map(get, words)))
+            except KeyError:
+                out.append(words)
+        new = set().union(*(x for x in out if type(x) is list)) - self.known.keys()
+        if new:
+            self.learn(new)
+        return [b"".join(map(get, x)) if type(x) is list else x for x in out]
 
 
 def first_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,13 +118,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int =
     """Pieces of every document: (row, doc_id, start, length, ids_crc32, doc_tokens); row tells repeated documents apart."""
 
     def run(batches):
-        words = encoder(tokenizer_path)
+        words, end = encoder(tokenizer_path), end_id.to_bytes(4, "little")
         for b in doc_batches(batches):
             rows, ids = b.column("row").to_pylist(), b.column("doc_id").cast(pa.int64()).to_pylist()
             out = []
             for row, doc, x in zip(rows, ids, words.ids([t or "" for t in b.column("text").to_pylist()]), strict=True):
-                x = np.append(x, np.uint32(end_id))
-                out += [(row, doc, k, min(size, len(x) - k), zlib.crc32(x[k : k + size]), len(x)) for k in range(0, len(x), size)]
+                x += end
+                n = len(x) // 4
+                out += [(row, doc, k, min(size, n - k), zlib.crc32(x[4 * k : 4 * (k + size)]), n) for k in range(0, n, size)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
 
     names = ["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens"]
