@@ -12,6 +12,7 @@ packed like any other; repeated rows are packed as often as they stand.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ SIZE, END, GROUP = 4096, 2, 4096
 #: Signs that the tokenizer parts from letters before them, singly or in a row.
 SIGNS = ".,!|?%$#&*:;"
 #: Entries of the cache of encoded words.
-CACHE = 600_000
+CACHE = 500_000
 
 
 @lru_cache(maxsize=2)
@@ -47,14 +48,23 @@ class Words:
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
     def learn(self, new: set[str]) -> None:
-        known = self.known
-        # a word of letters with signs after it has the ids of the word in small letters, then those of the signs
-        ends = {w: (b.lower(), w[len(b) :]) for w in new if (b := w.rstrip(SIGNS)) and max(b) < "\u0100" and b.isalpha()}
-        todo = (new - ends.keys()).union(*ends.values()) - known.keys()
-        letters = [w for w in todo if w.isalpha() and max(w) < "\u0100"]
-        rest = list(todo.difference(letters))
+        """Puts the ids of words into the cache."""
+        known, parted, letters, rest = self.known, [], set(), []
+        for w in new:
+            b = w.rstrip(SIGNS)
+            if b.isalpha() and (b.isascii() or max(b) < "\u0100"):
+                # a word of letters with signs after it has the ids of the word in small letters, then those of the signs
+                low = b.lower()
+                if low not in known:
+                    letters.add(low)
+                if low != w:
+                    parted.append((w, low, w[len(b) :]))
+            else:
+                rest.append(w)
+        rest += {x for _, _, x in parted} - known.keys()
         # words of letters go side by side in one text, and come apart where a token ends a word
-        lines = [letters[k : k + 256] for k in range(0, len(letters), 256)]
+        words = list(letters)
+        lines = [words[k : k + 256] for k in range(0, len(words), 256)]
         for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4")
             cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
@@ -67,24 +77,28 @@ class Words:
                 at = cut
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, "<u4").tobytes()
-        for w, (a, b) in ends.items():
-            known[w] = known[a] + known[b]
+        for w, low, signs in parted:
+            known[w] = known[low] + known[signs] if signs else known[low]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        get, out = self.known.__getitem__, []
+        known, get, out = self.known, self.known.__getitem__, []
         for t in texts:
             words = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             try:
                 out.append(b"".join(map(get, words)))
             except KeyError:
                 out.append(words)
-        new = set().union(*(x for x in out if type(x) is list)) - self.known.keys()
-        if new:
-            self.learn(new)
-        return [b"".join(map(get, x)) if type(x) is list else x for x in out]
+        new = set().union(*(x for x in out if type(x) is list)) - known.keys()
+        if not new:
+            return out
+        size = len(known)
+        self.learn(new)
+        out = [b"".join(map(get, x)) if type(x) is list else x for x in out]
+        if len(known) > CACHE:  # frequent words came early and stay
+            for _ in range(len(known) - size):
+                known.popitem()
+        return out
 
 
 def first_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +133,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int =
 
     def run(batches):
         words, end = encoder(tokenizer_path), end_id.to_bytes(4, "little")
-        for b in doc_batches(batches):
+        gc.disable()  # millions of short-lived words, no cycles
+        for b in doc_batches(batches, 8 << 20):
             rows, ids = b.column("row").to_pylist(), b.column("doc_id").cast(pa.int64()).to_pylist()
             out = []
             for row, doc, x in zip(rows, ids, words.ids([t or "" for t in b.column("text").to_pylist()]), strict=True):
