@@ -1,11 +1,15 @@
 """The subpackage's registered queries, and their SQL where SQL can express them."""
 
-from . import licenses, packing, secrets, simhash
+from . import additive, html_text, licenses, packing, pieces, quality, secrets, simhash
 
 QUERIES = {
+    "op1_sentencepiece": pieces.query,
     "op2_simhash": simhash.query,
+    "op5_html": html_text.query,
     "op6_secrets": secrets.query,
     "op7_packing": packing.query,
+    "op8_quality": quality.query,
+    "op9_additive": additive.query,
     "op10_licenses": licenses.query,
 }
 
