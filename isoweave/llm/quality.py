@@ -95,13 +95,13 @@ def weak_labels(docs: DataFrame) -> DataFrame:
 
 
 def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tol: float = 1e-9) -> dict:
-    """EM over vote patterns: P(vote | class) of every labeller, P(good), and P(good | pattern)."""
+    """EM over vote patterns: P(bad or good vote | class, no abstention) of every labeller, P(good), and P(good | pattern)."""
     m = len(LABELLERS)
     digit = patterns[:, None] // 3 ** np.arange(m) % 3
     net = (digit - 1).sum(1)
     bad_votes = (digit == 0).sum(1)
     good = np.where(bad_votes >= 2, 0.1, np.where(net > 0, 0.95, 0.5))
-    hot = (digit[:, :, None] == np.arange(3)).astype(float)
+    hot = (digit[:, :, None] == np.array([0, 2])).astype(float)  # an abstention says nothing: short texts leave many
     total = counts.sum()
     for _ in range(rounds):
         weight = np.stack([(1 - good) * counts, good * counts])
@@ -178,7 +178,7 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, di
 def score_texts(texts: list[bytes], w: np.ndarray, known: dict) -> np.ndarray:
     """P(good); `known` keeps the weight of every word met."""
     dims = len(w) - 2
-    z = np.full(len(texts), w[-1])
+    z = np.full(len(texts), float(w[-1]))
     if len(known) > CACHE:
         known.clear()
     for i, t in enumerate(texts):
@@ -252,8 +252,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, f"{kinds}, quality_score double")
 
 
-def classify(spark: SparkSession, docs: DataFrame, threshold: float = 0.5, **fitting) -> DataFrame:
-    """Every document with quality_score and keep (score at or above the threshold)."""
+def classify(spark: SparkSession, docs: DataFrame, threshold: float = 0.2, **fitting) -> DataFrame:
+    """Every document with quality_score and keep (score at or above the threshold: a document goes only on clear evidence)."""
     return score(docs, fit(spark, docs, **fitting)).withColumn("keep", F.col("quality_score") >= threshold)
 
 
