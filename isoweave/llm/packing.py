@@ -28,7 +28,7 @@ SIZE, END, GROUP = 4096, 2, 4096
 #: Signs that the tokenizer parts from letters before them, singly or in a row.
 SIGNS = ".,!|?%$#&*:;"
 #: Entries of the cache of encoded words.
-CACHE = 500_000
+CACHE = 900_000
 
 
 @lru_cache(maxsize=2)
