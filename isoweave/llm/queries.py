@@ -1,11 +1,12 @@
 """The subpackage's registered queries, and their SQL where SQL can express them."""
 
-from . import additive, html_text, licenses, packing, pieces, quality, secrets, simhash, suffixes
+from . import additive, graph, html_text, licenses, packing, pieces, quality, secrets, simhash, suffixes
 
 QUERIES = {
     "op1_sentencepiece": pieces.query,
     "op2_simhash": simhash.query,
     "op3_suffixes": suffixes.query,
+    "op4_graph": graph.query,
     "op5_html": html_text.query,
     "op6_secrets": secrets.query,
     "op7_packing": packing.query,
