@@ -153,6 +153,129 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 3, seed:
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def _words(text: bytes) -> list[bytes]:
+    """Lower-cased words without the stops around them."""
+    return [w for w in (x.strip(b".,;:!?*&%$#|()\"'") for x in text.lower().split()) if w]
+
+
+#: Fingerprints of a document in the search for similar texts, and the farthest that two of a bucket may lie apart to be compared.
+PRINTS, NEAR = 3, 14
+
+
+def word_prints(docs: DataFrame, prints: int = PRINTS) -> DataFrame:
+    """(doc_id, sha, fps): several SimHashes of a text's words, a word weighing the root of its count; sha names the text."""
+
+    def run(batches):
+        for b in doc_batches(batches):
+            out = []
+            for t in b.column("text").to_pylist():
+                words = _words((t or "").encode())
+                if not words:
+                    out.append([0] * prints)
+                    continue
+                count: dict[bytes, int] = {}
+                for w in words:
+                    count[w] = count.get(w, 0) + 1
+                h = np.fromiter(map(xxhash.xxh64_intdigest, count), "<u8", len(count))
+                weight = np.sqrt(np.fromiter(count.values(), np.float32, len(count)))
+                one = []
+                for k in range(prints):
+                    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                    one.append(int(np.packbits(weight @ bits * 2 > weight.sum(), bitorder="little").view("<i8")[0]))
+                    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * k)
+                    h ^= h >> np.uint64(32)
+                out.append(one)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("sha"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "sha", "fps"])
+
+    return docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")).mapInArrow(run, "doc_id long, sha string, fps array<long>")
+
+
+def _forest(fp: np.ndarray, near: int) -> tuple[list[int], list[int]]:
+    """Edges of a minimum spanning forest by Hamming distance, none longer than `near` (Prim; memory grows with the bucket, not its square)."""
+    n = len(fp)
+    inside, dist, parent = np.zeros(n, bool), np.full(n, 255, np.uint8), np.full(n, -1)
+    a, b, at = [], [], 0
+    for _ in range(n - 1):
+        inside[at] = True
+        d = np.bitwise_count(fp ^ fp[at])
+        closer = (d < dist) & ~inside
+        dist[closer] = d[closer]
+        parent[closer] = at
+        at = int(np.where(inside, 255, dist).argmin())
+        if dist[at] <= near:
+            a.append(int(parent[at]))
+            b.append(at)
+        else:
+            dist[~inside] = 255  # a new tree
+    return a, b
+
+
+def candidates(spark: SparkSession, prints: DataFrame, radius: int = 3, near: int = NEAR) -> DataFrame:
+    """Pairs (a, b) of doc_ids, a > b, that share a covering bucket: of each bucket a minimum spanning forest, so that no group gives all its pairs."""
+    masks = covering_masks(list(range(64)), radius)
+    one = prints.select("doc_id", F.posexplode("fps").alias("k", "fp"))
+    rows = one.select(
+        "doc_id", "fp", F.explode(F.array(*[F.struct((F.col("k") * len(masks) + i).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)])).alias("m")
+    ).select("m.mask", "m.key", "fp", "doc_id")
+
+    def run(frames):
+        for pdf in carried(frames, ["mask", "key"]):
+            pdf = pdf.sort_values(["mask", "key", "fp", "doc_id"], ignore_index=True)
+            mask, key, fp, doc = (pdf[c].to_numpy() for c in ("mask", "key", "fp", "doc_id"))
+            new = np.r_[True, (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])]
+            first = new | np.r_[True, fp[1:] != fp[:-1]]
+            lead = doc[np.flatnonzero(first)[np.cumsum(first) - 1]]
+            out = [(doc[~first], lead[~first])]  # equal fingerprints: to the smallest id
+            fp, doc, new = fp[first].view(np.uint64), doc[first], new[first]
+            starts = np.flatnonzero(new)
+            sizes = np.diff(np.r_[starts, len(fp)])
+            two = starts[sizes == 2]
+            two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= near]
+            out.append((doc[two], doc[two + 1]))
+            for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+                a, b = _forest(fp[s : s + n], near)
+                out.append((doc[s : s + n][a], doc[s : s + n][b]))
+            a, b = (np.concatenate([x[i] for x in out]) for i in (0, 1))
+            keep = a != b
+            yield pd.DataFrame({"a": np.maximum(a, b)[keep], "b": np.minimum(a, b)[keep]})
+
+    parts = partitions(spark, prints.count() * PRINTS * len(masks), 2_000_000)
+    return rows.repartition(parts, "mask", "key").sortWithinPartitions("mask", "key").mapInPandas(run, "a long, b long").distinct()
+
+
+def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) of the documents that are in a group: equal texts, or a Jaccard similarity of at least `least` on word shingles.
+
+    SimHash buckets propose pairs, exact similarity decides.  Rows that share a doc_id are one document.  Null doc_ids are in no group.
+    """
+    prints = written(spark, word_prints(docs.where("doc_id IS NOT NULL")), "similar-prints")
+    firsts = prints.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("fps").alias("fps"))
+    firsts = written(spark, firsts, "similar-firsts")
+    copies = prints.join(firsts.select("sha", F.col("doc_id").alias("b")), "sha").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
+    pairs = written(spark, candidates(spark, firsts.groupBy("doc_id").agg(F.first("fps").alias("fps"))), "similar-pairs")
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
+    def shingled(batches):
+        for b in doc_batches(batches):
+            sets = [np.unique(np.fromiter((xxhash.xxh32_intdigest(s) for s in word_shingles((t or "").encode(), width, _words)), np.uint32)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+
+    sets = written(spark, docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(shingled, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "similar-sets")
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+
+    def verify(batches):
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column("x"), b.column("y"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                keep.append(shared > 0 and shared >= least * (len(x) + len(y) - shared))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    links = both.mapInArrow(verify, "a long, b long").unionByName(copies)
+    return min_label_components(spark, links, "similar-cc").select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = near_duplicates(spark, docs)

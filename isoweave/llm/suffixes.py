@@ -277,12 +277,14 @@ def _marked(text: bytes, runs: list[tuple[int, int]], length: int) -> tuple[byte
 def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """(firsts, copies): the first document of every text with its removed runs, array<struct<first, last>> of starts, and the other rows.
 
-    firsts: doc_id, sha, text, runs; copies: doc_id, sha, n_bytes.
+    firsts: doc_id, sha, text, rest, runs; copies: doc_id, sha, n_bytes, rest; rest holds the other columns.
     """
     text = F.coalesce("text", F.lit(""))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.lit(None).cast("string")
     lowest = F.lit(-(1 << 63))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), lowest).alias("doc_id"), F.sha2(text, 256).alias("sha"), text.alias("text"))
-    marks = written(spark, rows.select("doc_id", "sha", F.octet_length("text").alias("n_bytes")), "suffixes-marks")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), lowest).alias("doc_id"), F.sha2(text, 256).alias("sha"), text.alias("text"), rest.alias("rest"))
+    marks = written(spark, rows.select("doc_id", "sha", F.octet_length("text").alias("n_bytes"), "rest"), "suffixes-marks")
     first = marks.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"))
     total = first.agg(F.sum("n_bytes")).first()[0] or 0
     copies = marks.join(first.select("sha", F.col("doc_id").alias("first_id")), "sha").where("doc_id <> first_id").drop("first_id")
@@ -365,5 +367,32 @@ def digest(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     return written(spark, done.drop("sha").unionByName(rest), "suffixes-digest").withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
 
 
+def without_repeats(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """`docs` with the repeated strings cut out of their texts; a character that is cut in part goes whole.
+
+    A document that is a copy of an earlier one keeps its row with what is left of its text.  Null texts become empty.
+    """
+    length = how.get("length", LENGTH)
+    firsts, copies = repeats(spark, docs, **how)
+    columns, schema = docs.columns, docs.schema
+
+    def run(batches):
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            for i, runs in enumerate(b.column("runs").to_pylist()):
+                if runs:
+                    texts[i] = _marked(texts[i].encode(), [(r["first"], r["last"]) for r in runs], length)[0].decode("utf-8", "ignore")
+            yield _rows([b.column("doc_id"), pa.array(texts, pa.string()), b.column("rest")], ["doc_id", "text", "rest"])
+
+    done = firsts.select("doc_id", "text", "rest", "runs").mapInArrow(run, f"doc_id long, text string, rest {firsts.schema['rest'].dataType.simpleString()}")
+    short = copies.where(F.col("n_bytes") < length).join(firsts.select("sha", "text"), "sha").select("doc_id", "text", "rest")
+    gone = copies.where(F.col("n_bytes") >= length).select("doc_id", F.lit("").alias("text"), "rest")
+    out = done.unionByName(short).unionByName(gone).withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    kept = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in columns:
+        kept["n_chars"] = F.length("text")
+    return out.select(*[kept.get(c, F.col(f"rest.`{c}`")).cast(schema[c].dataType).alias(c) for c in columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return digest(spark, spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
