@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import doc_batches
 
 #: Segmentations per text; entries of a worker's cache of runs; what a character without a piece costs beyond the worst piece.
-NBEST, CACHE, PENALTY = 4, 400_000, 10.0
+NBEST, CACHE, PENALTY = 4, 500_000, 10.0
 BLANK = "▁"
 
 
@@ -81,9 +81,45 @@ class Lattice:
     def reset(self) -> None:
         self.known: dict[str, int] = {}
         self.best: list[bytes] = []
-        self.others: list[list] = []
         self.scores, self.gaps, self.sizes = [], [], []
-        self.runs.clear()
+        self.runs: dict[str, tuple[float, float, bytes]] = {}
+
+    def forward(self, run: str) -> tuple[float, float, bytes]:
+        """Forward Viterbi with the two best scores of every prefix: the best path's score, its lead over the second, its ids."""
+        n, trie = len(run), self.trie
+        first, second = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1)
+        back: list = [None] * (n + 1)
+        for i in range(n):
+            b, c, j = first[i], second[i], i
+            while j < n:
+                j += 1
+                p = trie.get(run[i:j])
+                if p:
+                    s, ids = p
+                elif j == i + 1:  # a character that is no piece by itself: its bytes
+                    s, ids = self.unknown, self._bytes(run[i])
+                elif p is None:
+                    break
+                else:
+                    continue
+                t, u = b + s, c + s
+                if t > first[j]:
+                    second[j] = first[j] if first[j] > u else u
+                    first[j] = t
+                    back[j] = (i, ids)
+                elif t > second[j]:
+                    second[j] = t
+                if p is None:
+                    break
+        ids, at = [], n
+        while at:
+            at, one = back[at]
+            ids.append(one)
+        ids.reverse()
+        return first[n], first[n] - second[n], b"".join(ids)
+
+    def _bytes(self, character: str) -> bytes:
+        return b"".join(self.byte_id[x].to_bytes(4, "little") for x in character.encode("utf-8", "surrogatepass"))
 
     def arcs(self, run: str) -> tuple[list[float], list[list[tuple[int, float, bytes]]]]:
         """Forward Viterbi: the best score of every prefix, and for every end the pieces that end there as (start, score, ids)."""
@@ -103,8 +139,7 @@ class Lattice:
                     if j == i + 1:
                         single = True
             if not single:
-                raw = run[i].encode("utf-8", "surrogatepass")
-                ending[i + 1].append((i, self.unknown, b"".join(self.byte_id[b].to_bytes(4, "little") for b in raw)))
+                ending[i + 1].append((i, self.unknown, self._bytes(run[i])))
                 best[i + 1] = max(best[i + 1], b + self.unknown)
         return best, ending
 
@@ -152,35 +187,50 @@ class Lattice:
             done = [(-s, done[i][1] + part[j][1]) for s, i, j in sums]
         return done
 
+    def parts(self, segment: str) -> list[str]:
+        """A segment cut wherever no piece spans two neighbouring characters."""
+        joined, out, start = self.joined, [], 0
+        for k in range(1, len(segment)):
+            if segment[k - 1 : k + 1] not in joined:
+                out.append(segment[start:k])
+                start = k
+        out.append(segment[start:])
+        return out
+
     def segment(self, segment: str) -> list[tuple[float, bytes]]:
         """The N best of a run of blanks with the signs after it."""
-        parts, start = [], 0
-        for k in range(1, len(segment) + 1):
-            if k == len(segment) or segment[k - 1 : k + 1] not in self.joined:
-                run = segment[start:k]
-                got = self.runs.get(run)
-                if got is None:
-                    got = self.runs[run] = self.search(run)
-                parts.append(got)
-                start = k
-        return self.combined(parts)
+        return self.combined([self.search(run) for run in self.parts(segment)])
 
     def learn(self, segments: set[str]) -> None:
-        """Puts the segments' N best into the cache."""
-        if len(self.known) > CACHE or len(self.runs) > CACHE:
-            self.reset()
+        """Puts the segments' best into the cache, with its lead over the second."""
+        runs = self.runs
         for s in segments - self.known.keys():
-            got = self.segment(s)
+            got = []
+            for run in self.parts(s):
+                one = runs.get(run)
+                if one is None:
+                    one = runs[run] = self.forward(run)
+                got.append(one)
+            score, gap, ids = got[0] if len(got) == 1 else (sum(g[0] for g in got), min(g[1] for g in got), b"".join(g[2] for g in got))
             self.known[s] = len(self.best)
-            self.best.append(got[0][1])
-            self.others.append(got)
-            self.scores.append(got[0][0])
-            self.gaps.append(got[0][0] - got[1][0] if len(got) > 1 else np.inf)
-            self.sizes.append(len(got[0][1]) // 4)
+            self.best.append(ids)
+            self.scores.append(score)
+            self.gaps.append(gap)
+            self.sizes.append(len(ids) // 4)
+
+    def forget(self, segments: int, runs: int) -> None:
+        """Cuts full caches back to so many entries: what is frequent came early and stays."""
+        while len(self.known) > CACHE and len(self.known) > segments:
+            self.known.popitem()
+            for x in (self.best, self.scores, self.gaps, self.sizes):
+                x.pop()
+        while len(self.runs) > CACHE and len(self.runs) > runs:
+            self.runs.popitem()
 
     def encode_all(self, texts: list[str]):
         """For every text its N best segmentations, best first: (score, ids)."""
         cut = [segments(t) for t in texts]
+        held = len(self.known), len(self.runs)
         self.learn(set().union(*cut))
         scores, gaps, sizes = np.array(self.scores), np.array(self.gaps), np.array(self.sizes, np.int64)
         known, best = self.known.__getitem__, self.best.__getitem__
@@ -199,21 +249,23 @@ class Lattice:
                 near = np.sort(np.argpartition(own, few - 1)[:few]) if few < len(own) else np.arange(few)
                 # all but the segments of smallest gaps keep their best: changing another costs at least as much as each of those
                 ways: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+                others = {}
                 for k in near.tolist():
-                    other = self.others[places[k]]
+                    other = others[k] = self.segment(words[k])
                     ways = sorted((cost + other[0][0] - other[j][0], (*picks, j)) for cost, picks in ways for j in range(len(other)))[: self.nbest]
                 ends = np.cumsum(sizes[at])
                 for cost, picks in ways[1:]:
                     parts, done = [], 0
                     for k, j in zip(near.tolist(), picks, strict=True):
                         if j:
-                            parts += [ids[done : ends[k] - sizes[at[k]]], np.frombuffer(self.others[places[k]][j][1], "<u4")]
+                            parts += [ids[done : ends[k] - sizes[at[k]]], np.frombuffer(others[k][j][1], "<u4")]
                             done = ends[k]
                     out.append((base - cost, np.concatenate([*parts, ids[done:]])))
             yield out
+        self.forget(*held)
 
     def encode(self, text: str) -> list[tuple[float, np.ndarray]]:
-        return next(self.encode_all([text]))
+        return list(self.encode_all([text]))[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces and bytes side by side, without the blank put before the text."""
@@ -242,7 +294,7 @@ def encoded(docs: DataFrame, model_path: str | None = None, nbest: int = NBEST,
     def run(batches):
         gc.disable()  # the cache holds many tuples and no cycles
         model = lattice(model_path, nbest)
-        for b in doc_batches(batches):
+        for b in doc_batches(batches, 8 << 20):
             rows, texts = [], [t or "" for t in b.column("text").to_pylist()]
             for doc, text, ways in zip(b.column("doc_id").cast(pa.int64()).to_pylist(), texts, model.encode_all(texts), strict=True):
                 for rank, (score, ids) in enumerate(ways, 1):
