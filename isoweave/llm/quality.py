@@ -179,18 +179,19 @@ def score_texts(texts: list[bytes], w: np.ndarray, known: dict) -> np.ndarray:
     """P(good); `known` keeps the weight of every word met."""
     dims = len(w) - 2
     z = np.full(len(texts), float(w[-1]))
-    if len(known) > CACHE:
-        known.clear()
+    held = len(known)
     for i, t in enumerate(texts):
         words = t.split()
         if words:
             try:
                 total = sum(map(known.__getitem__, words))
             except KeyError:
-                for x in set(words) - known.keys():
+                for x in {x for x in words if x not in known}:
                     known[x] = float(sum(w[k] for k in _features(x, dims)))
                 total = sum(map(known.__getitem__, words))
             z[i] += (total + w[dims] * sum(map(eq, words, words[1:]))) / len(words)
+    for _ in range(len(known) - max(held, CACHE)):  # what is frequent came early and stays
+        known.popitem()
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
