@@ -89,7 +89,7 @@ class Words:
                 out.append(b"".join(map(get, words)))
             except KeyError:
                 out.append(words)
-        new = set().union(*(x for x in out if type(x) is list)) - known.keys()
+        new = {w for w in set().union(*(x for x in out if type(x) is list)) if w not in known}
         if not new:
             return out
         size = len(known)

@@ -204,7 +204,9 @@ class Lattice:
     def learn(self, segments: set[str]) -> None:
         """Puts the segments' best into the cache, with its lead over the second."""
         runs = self.runs
-        for s in segments - self.known.keys():
+        for s in segments:
+            if s in self.known:
+                continue
             got = []
             for run in self.parts(s):
                 one = runs.get(run)
