@@ -40,6 +40,8 @@ from pyspark.sql import functions as F
 from .common import doc_batches, partitions, utf8, written
 
 LENGTH, GRAM, BUCKET = 100, 32, 20_000
+#: Bytes of text that a task hashes at a time, and stretches that it sorts at a time (a bucket apart).
+STEP, SORTED = 1 << 20, 2000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -49,7 +51,7 @@ def _tables(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(seed)
     if have is None or len(have[0]) < n:
         base = (0x9E3779B97F4A7C15 * (2 * seed + 1)) % 2**64 | 1
-        size = max(n, 5 << 20)
+        size = max(n, 5 << 18)
         up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 2**64), np.uint64)
         up[0] = down[0] = 1
         have = _powers[seed] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
@@ -111,7 +113,7 @@ def _samples(length: int, gram: int):
     """Maps texts to rows of samples: one per distinct hash of a batch with its place; a hash met twice also gives all its places."""
 
     def run(batches):
-        for b in doc_batches(batches):
+        for b in doc_batches(batches, STEP):
             raw, off = utf8(b.column("text"))
             place, _, _, h, text = sampled(raw, off, length, gram)
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -139,7 +141,7 @@ def _stretches(length: int, gram: int):
     """Maps texts with the places of their repeated samples to stretches (one for each) or, for all but the first of equal stretches, to runs."""
 
     def run(batches):
-        for b in doc_batches(batches):
+        for b in doc_batches(batches, STEP):
             raw, off = utf8(b.column("text"))
             place, lo, hi, h, text = sampled(raw, off, length, gram)
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -210,7 +212,7 @@ def _buckets(length: int, bucket: int):
         return _rows([pa.array(zero if h is None else h), pa.array(d), pa.array(first), pa.array(last), pa.array(zero if h2 is None else h2)], names)
 
     def hashed(t: pa.Table):
-        for b in t.combine_chunks().to_batches(max_chunksize=5000):
+        for b in t.combine_chunks().to_batches(max_chunksize=SORTED):
             raw, off = utf8(b.column("stretch").cast(pa.large_binary()).view(pa.large_string()))
             n, doc, start = (b.column(c).to_numpy() for c in ("n", "doc_id", "start"))
             which = np.repeat(np.arange(len(n)), n)
@@ -220,7 +222,7 @@ def _buckets(length: int, bucket: int):
 
     def run(batches):
         held, size, large = [], 0, None
-        for b in batches:
+        for b in (x.slice(k, SORTED) for x in batches for k in range(0, x.num_rows, SORTED)):
             plain = b.column("stretch")
             empty = pa.compute.equal(pa.compute.binary_length(plain), 0)
             done = b.filter(empty)
