@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
@@ -48,8 +49,20 @@ def partitions(spark: SparkSession, n_items: float, each: float) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), math.ceil(n_items / each))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+_caches: dict[str, dict] = {}
+
+
+def own_cache(name: str) -> dict:
+    """What a Python worker keeps for one operator between tasks; the caches of other operators go, so that they never add up."""
+    for k in [k for k in _caches if k != name]:
+        del _caches[k]
+    return _caches.setdefault(name, {})
+
+
+def freed(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def doc_batches(batches, budget: int = 4 << 20):

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import gc
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,18 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches, partitions, written
+from .common import doc_batches, own_cache, partitions, written
 
 SIZE, END, GROUP = 4096, 2, 4096
 #: Signs that the tokenizer parts from letters before them, singly or in a row.
 SIGNS = ".,!|?%$#&*:;"
 #: Entries of the cache of encoded words.
-CACHE = 900_000
+CACHE = 700_000
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> "Words":
-    return Words(path)
+    """A worker's encoder, kept between its tasks."""
+    kept = own_cache("packing")
+    if path not in kept:
+        kept[path] = Words(path)
+    return kept[path]
 
 
 class Words:

@@ -19,14 +19,13 @@ from __future__ import annotations
 
 import gc
 import zlib
-from functools import lru_cache
 from heapq import heappop, heappush, heapreplace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import doc_batches
+from .common import doc_batches, own_cache
 
 #: Segmentations per text; entries of a worker's cache of runs; what a character without a piece costs beyond the worst piece.
 NBEST, CACHE, PENALTY = 4, 500_000, 10.0
@@ -275,9 +274,12 @@ class Lattice:
         return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=1)
 def lattice(path: str, nbest: int) -> Lattice:
-    return Lattice(path, nbest)
+    """A worker's lattice, kept between its tasks."""
+    kept = own_cache("pieces")
+    if (path, nbest) not in kept:
+        kept[path, nbest] = Lattice(path, nbest)
+    return kept[path, nbest]
 
 
 def _path(path: str | None) -> str:

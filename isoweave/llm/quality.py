@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches, utf8, written
+from .common import doc_batches, own_cache, utf8, written
 
 #: Documents that the scorer is trained on, at most; hashed features; entries of a worker's word cache.
-TRAIN, DIMS, CACHE = 8000, 1 << 16, 400_000
+TRAIN, DIMS, CACHE = 8000, 1 << 16, 200_000
 LABELLERS = ("symbols", "capitals", "repeats", "variety", "exclaims", "pipes", "sentences", "function_words", "repeated_lines", "word_length")
 #: Frequent words of the four languages of the corpus.
 FUNCTION_WORDS = frozenset(
@@ -87,7 +87,7 @@ def weak_labels(docs: DataFrame) -> DataFrame:
     powers = 3 ** np.arange(len(LABELLERS))
 
     def run(batches):
-        for b in doc_batches(batches):
+        for b in doc_batches(batches, 1 << 20):
             pattern = (votes(b.column("text")) + 1) @ powers
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(pattern, pa.int64())], ["doc_id", "pattern"])
 
@@ -216,7 +216,7 @@ def fit(spark: SparkSession, docs: DataFrame, train: int = TRAIN, dims: int = DI
 
     def run(batches):
         known: dict = {}
-        for b in doc_batches(batches):
+        for b in doc_batches(batches, 1 << 20):
             patterns = (votes(b.column("text")) + 1) @ powers
             rows = [_doc_features((t or "").encode("utf-8", "surrogatepass"), dims, known) for t in b.column("text").to_pylist()]
             known.clear()
@@ -234,19 +234,14 @@ def fit(spark: SparkSession, docs: DataFrame, train: int = TRAIN, dims: int = DI
     return Model(fit_scorer(rows, got["good"].to_numpy(float), dims), labellers)
 
 
-_WORDS: dict = {}
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with a column quality_score, P(good) by the scorer."""
     weights, tag = model.weights.astype(np.float32), hash(model.weights.tobytes())
 
     def run(batches):
-        if _WORDS.get("tag") != tag:
-            _WORDS.clear()
-            _WORDS["tag"], _WORDS["known"] = tag, {}
-        for b in doc_batches(batches):
-            s = score_texts([(t or "").encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()], weights, _WORDS["known"])
+        known = own_cache("quality").setdefault(tag, {})
+        for b in doc_batches(batches, 1 << 20):
+            s = score_texts([(t or "").encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()], weights, known)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, "quality_score"])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)

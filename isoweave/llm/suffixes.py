@@ -22,7 +22,7 @@ whatever the text; the sample used here takes about 2 in 70 and serves the same
 end, since both strings of a match hold it at one offset.  See the README.
 
 Nulls: a null text counts as empty; a null doc_id is ordered before all others.
-Rows that repeat both id and text are one document and give equal rows.  Empty
+Rows that repeat both id and text are one document and give one row.  Empty
 tables give empty results.
 """
 
@@ -37,24 +37,24 @@ import pyarrow.compute  # noqa: F401  (as pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches, partitions, utf8, written
+from .common import doc_batches, freed, own_cache, partitions, utf8, written
 
 LENGTH, GRAM, BUCKET = 100, 32, 20_000
 #: Bytes of text that a task hashes at a time, and stretches that it sorts at a time (a bucket apart).
 STEP, SORTED = 1 << 20, 2000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _tables(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
-    have = _powers.get(seed)
+    powers = own_cache("suffixes")
+    have = powers.get(seed)
     if have is None or len(have[0]) < n:
         base = (0x9E3779B97F4A7C15 * (2 * seed + 1)) % 2**64 | 1
         size = max(n, 5 << 18)
         up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 2**64), np.uint64)
         up[0] = down[0] = 1
-        have = _powers[seed] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+        have = powers[seed] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
     return have
 
 
@@ -294,8 +294,14 @@ def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: in
     # the texts are dealt out by document once; all later joins find them in place
     n = partitions(spark, total, 32 << 20)
     name = f"isoweave_suffixes_{uuid.uuid4().hex}"
-    rows.join(first.select("doc_id", "sha").hint("shuffle_hash"), ["doc_id", "sha"]).dropDuplicates(["doc_id", "sha"]).repartition(n, "doc_id").write.bucketBy(n, "doc_id").saveAsTable(name)
+    chosen = first.select("doc_id", F.col("sha").alias("own")).hint("shuffle_hash")
+    dealt = rows.repartition(n, "doc_id").join(chosen, "doc_id").where("sha = own").drop("own")
+    if not marks.groupBy("doc_id", "sha").count().where("count > 1").isEmpty():
+        dealt = dealt.dropDuplicates(["doc_id", "sha"])
+    dealt.write.bucketBy(n, "doc_id").saveAsTable(name)
     texts = spark.table(name)
+    del dealt
+    freed(spark)
 
     samples = texts.mapInArrow(_samples(length, gram), "h long, doc_id long, at int, known boolean")
     places = _repeated(spark, samples, total)
