@@ -1,5 +1,7 @@
 """Registered queries of the quantification engine and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
-FLAGSHIP = None
+from . import flagship
+
+FLAGSHIP = flagship.counts
+QUERIES: dict = {**flagship.QUERIES}
+ORACLE_SQL: dict = {**flagship.ORACLE_SQL}
