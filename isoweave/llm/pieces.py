@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import doc_batches, own_cache
 
 #: Segmentations per text; entries of a worker's cache of runs; what a character without a piece costs beyond the worst piece.
-NBEST, CACHE, PENALTY = 4, 500_000, 10.0
+NBEST, CACHE, PENALTY = 4, 800_000, 10.0
 BLANK = "▁"
 
 
