@@ -49,8 +49,8 @@ class Words:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
-    def learn(self, new: set[str]) -> None:
-        """Puts the ids of words into the cache."""
+    def learn(self, new: set[str]) -> list:
+        """Puts the ids of words into the cache; returns those made of others."""
         known, parted, letters, rest = self.known, [], set(), []
         for w in new:
             b = w.rstrip(SIGNS)
@@ -81,6 +81,7 @@ class Words:
             known[w] = np.array(e.ids, "<u4").tobytes()
         for w, low, signs in parted:
             known[w] = known[low] + known[signs] if signs else known[low]
+        return parted
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, as little-endian unsigned 32-bit numbers."""
@@ -95,10 +96,14 @@ class Words:
         if not new:
             return out
         size = len(known)
-        self.learn(new)
+        parted = self.learn(new)
         out = [b"".join(map(get, x)) if type(x) is list else x for x in out]
-        if len(known) > CACHE:  # frequent words came early and stay
-            for _ in range(len(known) - size):
+        # frequent words came early and stay; words made of others get half of the room at most
+        if len(known) > CACHE // 2:
+            for w, _, _ in parted:
+                del known[w]
+        if len(known) > CACHE:
+            for _ in range(max(0, len(known) - size)):
                 known.popitem()
         return out
 
