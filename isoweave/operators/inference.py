@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import genomics as g
+from ..storage import staged
 
 
 def gene_matches(transcripts: DataFrame) -> DataFrame:
@@ -225,8 +226,8 @@ def isoform_counts(fits: DataFrame, groups: DataFrame) -> DataFrame:
 def quantify(mols: DataFrame, transcripts: DataFrame, sr: DataFrame, samples: DataFrame, tes: DataFrame | None = None, tau: float = 10.0, window: int = 600, **controls) -> dict[str, DataFrame]:
     """All tables of a run: prior, like, groups, group_rows, fits, counts."""
     prior = hybrid_prior(transcripts, sr, tau)
-    like = likelihoods(shapes(mols), transcripts, samples, tes)
-    groups = refined_groups(prior, like, window)
+    like = staged(likelihoods(shapes(mols), transcripts, samples, tes), "likelihoods")
+    groups = staged(refined_groups(prior, like, window), "groups")
     rows = group_likelihoods(like, groups)
     fits = fit_cells(mols, rows, groups, **controls)
     return {"prior": prior, "lik": like, "groups": groups, "group_rows": rows, "fits": fits, "counts": isoform_counts(fits, groups)}

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import genomics as g
 from ..operators import inference as inf
+from ..storage import staged
 from . import fixtures as fx
 from .oracles import sql
 
@@ -19,13 +22,19 @@ class Run:
     """The steps of one run, each made once per query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.tx = fx.transcripts(spark, sf_dir)
+        self.tx = staged(fx.transcripts(spark, sf_dir), "catalog")
         self.reads = fx.view(spark, sf_dir, "v_reads")
         self.cells = fx.view(spark, sf_dir, "v_cells")
         self.sr = fx.abundance(spark, sf_dir)
         self.reasons = inf.read_reasons(self.reads, self.tx, self.cells)
-        self.mols = inf.molecules(self.reasons)
-        self.samples = inf.capture_samples(inf.training_distances(self.mols, self.tx))
+
+    @cached_property
+    def mols(self) -> DataFrame:
+        return staged(inf.molecules(self.reasons), "molecules")
+
+    @cached_property
+    def samples(self) -> DataFrame:
+        return staged(inf.capture_samples(inf.training_distances(self.mols, self.tx)), "samples")
 
     def all(self) -> dict[str, DataFrame]:
         return inf.quantify(self.mols, self.tx, self.sr, self.samples)

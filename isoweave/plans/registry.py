@@ -1,7 +1,7 @@
 """Registered queries of the quantification engine and their SQL."""
 
-from . import flagship
+from . import flagship, wide
 
 FLAGSHIP = flagship.counts
-QUERIES: dict = {**flagship.QUERIES}
-ORACLE_SQL: dict = {**flagship.ORACLE_SQL}
+QUERIES: dict = {**flagship.QUERIES, **wide.Q}
+ORACLE_SQL: dict = {**flagship.ORACLE_SQL, **wide.O}
