@@ -176,7 +176,7 @@ def gtf_attributes(text) -> Column:
     t = col(text)
     pair = r'([^\s;=]+)\s+"([^"]*)"'
     keys, values = F.regexp_extract_all(t, F.lit(pair), 1), F.regexp_extract_all(t, F.lit(pair), 2)
-    items = F.filter(F.transform(F.split(F.regexp_replace(F.trim(t), ";+$", ""), ";"), F.trim), lambda x: F.contains(x, F.lit("=")))
+    items = F.filter(F.transform(F.split(F.regexp_replace(F.trim(t), ";+$", ""), ";"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit("=")))
     plain = F.transform(items, lambda x: F.struct(F.substring_index(x, "=", 1).alias("key"), F.regexp_replace(x, "^[^=]*=", "").alias("value")))
     both = F.concat(F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), v.alias("value"))), plain)
     first = F.filter(both, lambda x, i: F.array_position(F.transform(both, lambda y: y.key), x.key) == i + 1)

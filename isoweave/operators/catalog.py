@@ -130,7 +130,7 @@ def gtf_lines(tx: DataFrame) -> DataFrame:
 
 def spliced(tx: DataFrame, contigs: DataFrame) -> DataFrame:
     """(id, seq): exon bases of (chrom, seq) contigs in transcript orientation; an exon beyond its contig raises."""
-    t = tx.join(contigs, "chrom")
+    t = tx.select("id", "chrom", "strand", "exons").join(contigs.select("chrom", "seq"), "chrom")
     inside = F.element_at("exons", -1).b <= F.length("seq")
     joined = F.array_join(F.transform("exons", lambda e: F.substring(F.col("seq"), (e.a + 1).cast("int"), (e.b - e.a).cast("int"))), "")
     joined = F.when(inside, joined).otherwise(F.raise_error(F.concat_ws(" ", "id", F.lit("leaves its contig"))).cast("string"))

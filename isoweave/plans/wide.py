@@ -9,7 +9,9 @@ from ..functions import genomics as g
 from ..operators import catalog as cat
 from ..operators import evaluate as ev
 from ..operators import inference as inf
+from ..operators import prepare as pre
 from ..operators import tes as te
+from ..sources import sinks
 from . import fixtures as fx
 from .flagship import Run, _line
 from .oracles import sql
@@ -171,3 +173,33 @@ _add("molecule_support", lambda s, d: _reads(s, d).groupBy("cell", "g").agg(F.co
 _add("resource_rollup", lambda s, d: s.read.parquet(f"{d}/events.parquet").groupBy("event_type").agg(F.round(F.sum("value"), 4).alias("seconds"), F.max("value").alias("peak")), "SELECT event_type, round(SUM(value), 4) AS seconds, MAX(value) AS peak FROM events GROUP BY event_type")
 _add("external_scale", lambda s, d: fx.view(s, d, "v_meta").select("id", (F.round(F.col("tpm") / 97, 3) * F.col("lr_count")).alias("x")).select("id", F.round("x", 6).alias("scaled")), "SELECT id, round(round(tpm / 97, 3) * lr_count, 6) AS scaled FROM v_meta", "v_meta")
 _add("lineage_chain", lambda s, d: s.sql("WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM {p} UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM c GROUP BY root", p=_part(s, d).where("p_partkey < 200")), "WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM part WHERE p_partkey < 200 UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM c GROUP BY root")
+
+
+# preparation, samples, sinks
+def _panel_sql(order):
+    return "SELECT {}, COUNT(*) AS n FROM {{}} GROUP BY 1".format(order)
+
+
+_calls = "LEFT JOIN (SELECT DISTINCT cell AS called FROM v_cells) c ON c.called = r.cell"
+_add("panel_filter_cascade", lambda s, d: pre.panel_reasons(_reads(s, d), fx.transcripts(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
+     f"""SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_qcfail' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' WHEN gx IS NULL OR contains(gx, ';') OR regexp_replace(gx, '\\.[0-9]+$', '') <> gene_id THEN 'gene_assignment_excluded'
+     WHEN (flag & 16 <> 0) <> (strand = '-') THEN 'antisense' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM v_reads r JOIN x_bounds w ON r.chrom = w.chrom AND r.pos < w.hi AND r.pos + CASE WHEN n <= 4 THEN 40 WHEN n = 5 THEN 1740 ELSE 3740 END > w.lo {_calls} GROUP BY 1""", "v_reads", "x_bounds", "v_cells")
+_add("contig_filter_cascade", lambda s, d: pre.contig_reasons(_reads(s, d), fx.transcripts(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
+     f"""SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_qcfail' WHEN contains(gx, ';') THEN 'multi_gene_assignment' WHEN gx IS NULL THEN 'missing_gene_assignment' WHEN gene_id IS NULL THEN 'unselected_gene'
+     WHEN r.chrom <> w.chrom OR r.pos >= w.hi OR r.pos + CASE WHEN n <= 4 THEN 40 WHEN n = 5 THEN 1740 ELSE 3740 END <= w.lo THEN 'outside_gene_locus' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi'
+     WHEN (flag & 16 <> 0) <> (strand = '-') THEN 'antisense' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM v_reads r LEFT JOIN x_bounds w ON regexp_replace(gx, '\\.[0-9]+$', '') = w.gene_id {_calls} GROUP BY 1""", "v_reads", "x_bounds", "v_cells")
+_add("pseudobulk_filter", lambda s, d: pre.pseudobulk_reasons(_reads(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
+     f"SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_unmapped' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM v_reads r {_calls} GROUP BY 1", "v_reads", "v_cells")
+_add("write_pseudobulk_fastq", lambda s, d: pre.fastq(_part(s, d).select(F.concat(F.lit("r"), "p_partkey").alias("name"), _seq("p_partkey").alias("seq"), F.lit(None).cast("string").alias("qual"), F.when(F.col("p_size") % 2 == 0, 16).otherwise(0).alias("flag"))),
+     f"SELECT concat('@r', p_partkey, chr(10), CASE WHEN p_size % 2 = 0 THEN {_rev.format(_dseq)} ELSE {_dseq} END, chr(10), '+', chr(10), repeat('I', length({_dseq}))) AS value FROM part")
+_contigs = lambda s: s.range(5).select(F.concat(F.lit("chr"), "id").alias("chrom"), F.repeat(F.lit("ACGGT"), 200000).alias("seq"))
+_add("export_transcriptome", lambda s, d: cat.spliced(fx.transcripts(s, d).where("seq < 5000"), _contigs(s)).select("id", F.length("seq").alias("n"), F.substring("seq", 1, 7).alias("head")),
+     """SELECT id, CAST(SUM(b - a) AS INT) AS n, CASE WHEN ANY_VALUE(strand) = '+' THEN substr(repeat('ACGGT', 200000), MIN(a) + 1, 7) ELSE reverse(translate(substr(repeat('ACGGT', 200000), MAX(b) - 6, 7), 'ACGT', 'TGCA')) END AS head FROM v_exon WHERE CAST(substr(id, 2) AS INT) < 5000 GROUP BY id""", "v_exon")
+_add("write_matrix_market", lambda s, d: sinks.matrix_lines(Run(s, d).mols.groupBy("cell", F.col("gene_id").alias("id")).agg(F.count("*").cast("double").alias("count")), fx.view(s, d, "v_cells"), fx.transcripts(s, d).select(F.col("gene_id").alias("id"))),
+     """SELECT r, c, CAST(n AS DOUBLE) AS value FROM (SELECT cell, gene_id, COUNT(*) AS n FROM o_mol GROUP BY ALL) JOIN (SELECT cell, CAST(ROW_NUMBER() OVER (ORDER BY cell) AS INT) AS r FROM (SELECT DISTINCT cell FROM v_cells)) USING (cell)
+     JOIN (SELECT gene_id, CAST(ROW_NUMBER() OVER (ORDER BY gene_id) AS INT) AS c FROM (SELECT DISTINCT gene_id FROM v_meta)) USING (gene_id)""", "o_mol", "v_cells", "v_meta")
+_add("write_flnc_fasta", lambda s, d: pre.fasta(_part(s, d).select(F.concat(F.lit("r"), "p_partkey").alias("name"), _seq("p_partkey").alias("seq")), _part(s, d).where("p_size > 25").select(F.concat(F.lit("r"), "p_partkey").alias("name"))), f"SELECT concat('>r', p_partkey, chr(10), {_dseq}) AS value FROM part WHERE p_size > 25")
+_add("validate_samples", lambda s, d: pre.sheet_reasons(_part(s, d).select(F.concat(F.when(F.col("p_size") % 5 == 0, "_").otherwise("s"), F.col("p_partkey").cast("string")).alias("sample"), F.lit("x.bam;y.bam").alias("pacbio_bams"), F.when(F.col("p_size") % 3 == 0, "hifi").otherwise("flnc").alias("pacbio_stage"), F.lit("").alias("primers"), F.lit("f").alias("fastq_dir"), F.when(F.col("p_size") % 7 == 0, "a;a").otherwise("a;b").alias("fastq_sample"), F.lit("SC3Pv3").alias("chemistry"))).select("sample", F.coalesce("reason", F.lit("ok")).alias("reason")),
+     "SELECT concat(CASE WHEN p_size % 5 = 0 THEN '_' ELSE 's' END, p_partkey) AS sample, CASE WHEN p_size % 5 = 0 THEN 'invalid sample identifier' WHEN p_size % 7 = 0 THEN 'duplicate fastq_sample prefix' WHEN p_size % 3 = 0 THEN 'hifi requires primers' ELSE 'ok' END AS reason FROM part")
+_add("barcode_align", lambda s, d: (lambda a: a.join(a.withColumnRenamed("total", "other"), "cell"))(Run(s, d).mols.groupBy("cell").agg(F.count("*").alias("total"))), "SELECT cell, COUNT(*) AS total, COUNT(*) AS other FROM o_mol GROUP BY cell", "o_mol")
+_add("even_subsample", lambda s, d: inf.even_subsample(_part(s, d).select(F.col("p_partkey").alias("v")), 50).select("v"), "SELECT v FROM (SELECT p_partkey AS v, ROW_NUMBER() OVER (ORDER BY p_partkey) - 1 AS r, COUNT(*) OVER () AS n FROM part) WHERE r IN (SELECT CAST(FLOOR(i * (n - 1) / 49) AS BIGINT) FROM range(50) t(i))")
