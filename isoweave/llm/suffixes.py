@@ -295,7 +295,8 @@ def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: in
     n = partitions(spark, total, 32 << 20)
     name = f"isoweave_suffixes_{uuid.uuid4().hex}"
     chosen = first.select("doc_id", F.col("sha").alias("own")).hint("shuffle_hash")
-    dealt = rows.repartition(n, "doc_id").join(chosen, "doc_id").where("sha = own").drop("own")
+    # equality in a form that does not become a join key: the rows must stay dealt out by doc_id alone, as the buckets are
+    dealt = rows.repartition(n, "doc_id").join(chosen, "doc_id").where(F.array_contains(F.array("own"), F.col("sha"))).drop("own")
     if not marks.groupBy("doc_id", "sha").count().where("count > 1").isEmpty():
         dealt = dealt.dropDuplicates(["doc_id", "sha"])
     dealt.write.bucketBy(n, "doc_id").saveAsTable(name)
