@@ -19,12 +19,12 @@ def gtf_exons(lines: DataFrame, shift: int = 1) -> DataFrame:
     """
     f = F.split("value", "\t")
     rows = lines.where((F.trim("value") != "") & ~F.col("value").startswith("#")).select(f.alias("f"))
-    rows = rows.where(F.when(F.size("f") == 9, True).otherwise(F.raise_error(F.lit("expected nine columns")).cast("boolean"))).where(F.lower(F.col("f")[2]) == "exon")
-    attrs = g.gtf_attributes(F.col("f")[8])
+    rows = rows.where(F.when(F.size("f") == 9, True).otherwise(F.raise_error(F.lit("expected nine columns")).cast("boolean"))).where(F.lower(F.get("f", F.lit(2))) == "exon")
+    attrs = g.gtf_attributes(F.get("f", F.lit(8)))
     name = lambda k: F.try_element_at("attrs", F.lit(k))
     rows = rows.withColumn("attrs", attrs)
     tid = F.regexp_replace(F.coalesce(F.nullif(name("transcript_id"), F.lit("")), name("Parent")), "^transcript:", "")
-    out = rows.select(tid.alias("id"), name("gene_id").alias("gene_id"), name("gene_name").alias("gene_name"), F.col("f")[0].alias("chrom"), F.col("f")[6].alias("strand"), (F.col("f")[3].cast("bigint") - shift).alias("a"), F.col("f")[4].cast("bigint").alias("b"))
+    out = rows.select(tid.alias("id"), name("gene_id").alias("gene_id"), name("gene_name").alias("gene_name"), F.get("f", F.lit(0)).alias("chrom"), F.get("f", F.lit(6)).alias("strand"), (F.get("f", F.lit(3)).cast("bigint") - shift).alias("a"), F.get("f", F.lit(4)).cast("bigint").alias("b"))
     good = F.col("id").isNotNull() & (F.col("a") >= 0) & (F.col("b") > F.col("a") - (1 - shift)) & F.col("strand").isin("+", "-")
     return out.where(F.when(F.coalesce(good, F.lit(False)), True).otherwise(F.raise_error(F.concat_ws(" ", F.lit("invalid exon"), "id")).cast("boolean")))
 
