@@ -128,10 +128,20 @@ def gtf_lines(tx: DataFrame) -> DataFrame:
     return e.select("id", "n", F.concat_ws("\t", "chrom", "source", F.lit("exon"), (F.col("e.a") + 1).cast("string"), F.col("e.b").cast("string"), F.lit("."), "strand", F.lit("."), attrs).alias("value"))
 
 
-def spliced(tx: DataFrame, contigs: DataFrame) -> DataFrame:
-    """(id, seq): exon bases of (chrom, seq) contigs in transcript orientation; an exon beyond its contig raises."""
-    t = tx.select("id", "chrom", "strand", "exons").join(contigs.select("chrom", "seq"), "chrom")
-    inside = F.element_at("exons", -1).b <= F.length("seq")
-    joined = F.array_join(F.transform("exons", lambda e: F.substring(F.col("seq"), (e.a + 1).cast("int"), (e.b - e.a).cast("int"))), "")
-    joined = F.when(inside, joined).otherwise(F.raise_error(F.concat_ws(" ", "id", F.lit("leaves its contig"))).cast("string"))
-    return t.select("id", F.when(F.col("strand") == "+", joined).otherwise(g.reverse_complement(joined)).alias("seq"))
+def chunked(contigs: DataFrame, width: int = 20_000) -> DataFrame:
+    """(chrom, chunk, seq): contigs in pieces of `width` bases, so that exons fetch short strings, whatever the contig's length."""
+    n = F.ceil(F.length("seq") / width)
+    c = contigs.where(F.length("seq") > 0).select("chrom", "seq", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)).alias("chunk"))
+    return c.select("chrom", "chunk", F.substring(F.col("seq"), (F.col("chunk") * width + 1).cast("int"), F.lit(width)).alias("seq"))
+
+
+def spliced(tx: DataFrame, chunks: DataFrame, width: int = 20_000) -> DataFrame:
+    """(id, seq): exon bases in transcript orientation from chunked contigs; an exon beyond its contig raises."""
+    e = tx.select("id", "chrom", "strand", F.posexplode("exons").alias("n", "e"))
+    e = e.select("id", "chrom", "strand", "n", "e.a", "e.b", F.explode(F.sequence(F.floor(F.col("e.a") / width), F.floor((F.col("e.b") - 1) / width))).alias("chunk"))
+    first = F.greatest(F.col("a") - F.col("chunk") * width, F.lit(0))
+    last = F.least(F.col("b") - F.col("chunk") * width, F.lit(width))
+    p = e.join(chunks.select("chrom", "chunk", "seq"), ["chrom", "chunk"], "left").withColumn("part", F.coalesce(F.substring(F.col("seq"), (first + 1).cast("int"), (last - first).cast("int")), F.lit("")))
+    whole = p.groupBy("id", "strand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "chunk", "part"))), lambda x: x.part), "").alias("seq"), F.sum(last - first).alias("bases"))
+    good = F.when(F.length("seq") == F.col("bases"), F.col("seq")).otherwise(F.raise_error(F.concat_ws(" ", "id", F.lit("leaves its contig"))).cast("string"))
+    return whole.select("id", F.when(F.col("strand") == "+", good).otherwise(g.reverse_complement(good)).alias("seq"))

@@ -192,9 +192,18 @@ _add("pseudobulk_filter", lambda s, d: pre.pseudobulk_reasons(_reads(s, d), fx.v
      f"SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_unmapped' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM v_reads r {_calls} GROUP BY 1", "v_reads", "v_cells")
 _add("write_pseudobulk_fastq", lambda s, d: pre.fastq(_part(s, d).select(F.concat(F.lit("r"), "p_partkey").alias("name"), _seq("p_partkey").alias("seq"), F.lit(None).cast("string").alias("qual"), F.when(F.col("p_size") % 2 == 0, 16).otherwise(0).alias("flag"))),
      f"SELECT concat('@r', p_partkey, chr(10), CASE WHEN p_size % 2 = 0 THEN {_rev.format(_dseq)} ELSE {_dseq} END, chr(10), '+', chr(10), repeat('I', length({_dseq}))) AS value FROM part")
-_contigs = lambda s: s.range(5).select(F.concat(F.lit("chr"), "id").alias("chrom"), F.repeat(F.lit("ACGGT"), 200000).alias("seq"))
-_add("export_transcriptome", lambda s, d: cat.spliced(fx.transcripts(s, d).where("seq < 5000"), _contigs(s)).select("id", F.length("seq").alias("n"), F.substring("seq", 1, 7).alias("head")),
-     """SELECT id, CAST(SUM(b - a) AS INT) AS n, CASE WHEN ANY_VALUE(strand) = '+' THEN substr(repeat('ACGGT', 200000), MIN(a) + 1, 7) ELSE reverse(translate(substr(repeat('ACGGT', 200000), MAX(b) - 6, 7), 'ACGT', 'TGCA')) END AS head FROM v_exon WHERE CAST(substr(id, 2) AS INT) < 5000 GROUP BY id""", "v_exon")
+
+
+def _chunks(s, d):
+    """Five contigs of repeated ACGGT, as long as the catalog needs, in chunks."""
+    n = fx.view(s, d, "v_exon").agg((F.floor(F.max("b") / 20_000) + 1).alias("n"))
+    return s.range(5).crossJoin(n).select(F.concat(F.lit("chr"), "id").alias("chrom"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("chunk"), F.repeat(F.lit("ACGGT"), 4000).alias("seq"))
+
+
+_at = "translate(CAST({} % 5 AS VARCHAR), '01234', '{}')"
+_add("export_transcriptome", lambda s, d: cat.spliced(fx.transcripts(s, d), _chunks(s, d)).select("id", F.length("seq").alias("n"), F.substring("seq", 1, 1).alias("head"), F.substring("seq", -1, 1).alias("tail")),
+     f"""SELECT id, CAST(SUM(b - a) AS INT) AS n, CASE WHEN ANY_VALUE(strand) = '+' THEN {_at.format("MIN(a)", "ACGGT")} ELSE {_at.format("(MAX(b) - 1)", "TGCCA")} END AS head,
+     CASE WHEN ANY_VALUE(strand) = '+' THEN {_at.format("(MAX(b) - 1)", "ACGGT")} ELSE {_at.format("MIN(a)", "TGCCA")} END AS tail FROM v_exon GROUP BY id""", "v_exon")
 _add("write_matrix_market", lambda s, d: sinks.matrix_lines(Run(s, d).mols.groupBy("cell", F.col("gene_id").alias("id")).agg(F.count("*").cast("double").alias("count")), fx.view(s, d, "v_cells"), fx.transcripts(s, d).select(F.col("gene_id").alias("id"))),
      """SELECT r, c, CAST(n AS DOUBLE) AS value FROM (SELECT cell, gene_id, COUNT(*) AS n FROM o_mol GROUP BY ALL) JOIN (SELECT cell, CAST(ROW_NUMBER() OVER (ORDER BY cell) AS INT) AS r FROM (SELECT DISTINCT cell FROM v_cells)) USING (cell)
      JOIN (SELECT gene_id, CAST(ROW_NUMBER() OVER (ORDER BY gene_id) AS INT) AS c FROM (SELECT DISTINCT gene_id FROM v_meta)) USING (gene_id)""", "o_mol", "v_cells", "v_meta")

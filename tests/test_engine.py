@@ -131,7 +131,7 @@ def test_tes_conflict(spark):
 def test_spliced_sequence(spark):
     t = tx(spark, ("p", "g", "+", [(0, 4), (8, 12)], 0), ("m", "g", "-", [(0, 4), (8, 12)], 0))
     c = spark.createDataFrame([("chr1", "AAAACCCCGGGGTTTT")], "chrom string, seq string")
-    assert {r["id"]: r["seq"] for r in catalog.spliced(t, c).collect()} == {"p": "AAAAGGGG", "m": "CCCCTTTT"}
+    assert {r["id"]: r["seq"] for r in catalog.spliced(t, catalog.chunked(c, 5), 5).collect()} == {"p": "AAAAGGGG", "m": "CCCCTTTT"}
 
 
 def test_fastq_orientation(spark):
