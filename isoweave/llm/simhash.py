@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, doc_batches, min_label_components, partitions, spanning, written
+from .common import carried, doc_batches, dropped, min_label_components, partitions, spanning, written
 
 #: Members that one bucket compares in one task.
 BUCKET = 4096
@@ -159,7 +159,7 @@ def _words(text: bytes) -> list[bytes]:
 
 
 #: Fingerprints of a document in the search for similar texts, and the farthest that two of a bucket may lie apart to be compared.
-PRINTS, NEAR = 3, 14
+PRINTS, NEAR = 3, 10
 
 
 def word_prints(docs: DataFrame, prints: int = PRINTS) -> DataFrame:
@@ -273,7 +273,10 @@ def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float =
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     links = both.mapInArrow(verify, "a long, b long").unionByName(copies)
-    return min_label_components(spark, links, "similar-cc").select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
+    groups = min_label_components(spark, links, "similar-cc").select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
+    for table in (sets, pairs, firsts, prints):
+        dropped(spark, table)
+    return groups
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
