@@ -159,7 +159,7 @@ def _words(text: bytes) -> list[bytes]:
 
 
 #: Fingerprints of a document in the search for similar texts, and the farthest that two of a bucket may lie apart to be compared.
-PRINTS, NEAR = 3, 10
+PRINTS, NEAR = 6, 10
 
 
 def word_prints(docs: DataFrame, prints: int = PRINTS) -> DataFrame:
