@@ -127,7 +127,6 @@ QUERIES = {
     "three_variants": _variants,
 }
 
-_ROUND = "round({}, {})"
 ORACLE_SQL = {
     "hybrid_prior": sql("SELECT gene_id, id, round(prior, 9) AS prior FROM o_prior", "o_prior"),
     "read_filter_cascade": sql("SELECT name, gene_id, COALESCE(reason, 'eligible_reads') AS reason FROM o_events", "o_events"),
@@ -137,8 +136,8 @@ ORACLE_SQL = {
     "unique_hits": sql("SELECT gene_id, cell, umi, d FROM o_train", "o_train"),
     "reservoir_first2000": sql("SELECT d, COUNT(*) AS n FROM o_samples GROUP BY d", "o_samples"),
     "kde_logpdf": sql(
-        """SELECT d, round(f, 8) AS logpdf, round(exp(f), 8) AS pdf FROM (SELECT d, MAX(x) + ln(SUM(exp(x - top))) - ln(2.0 * COUNT(*) / 4 * 30.0 * sqrt(2 * pi())) AS f FROM (
-        SELECT *, MAX(x) OVER (PARTITION BY d) AS top FROM (SELECT q.d, -0.5 * pow((q.d + sgn.v * s.d) / 30.0, 2) AS x FROM (SELECT range AS d FROM range(0, 2000, 40)) q, o_samples s, (VALUES (1), (-1)) sgn(v))) GROUP BY d)""".replace("2.0 * COUNT(*) / 4", "COUNT(*) / 2.0"),
+        """SELECT d, round(f, 8) AS logpdf, round(exp(f), 8) AS pdf FROM (SELECT d, MAX(x) + ln(SUM(exp(x - top))) - ln(COUNT(*) / 2.0 * 30.0 * sqrt(2 * pi())) AS f FROM (
+        SELECT *, MAX(x) OVER (PARTITION BY d) AS top FROM (SELECT q.d, -0.5 * pow((q.d + sgn.v * s.d) / 30.0, 2) AS x FROM (SELECT range AS d FROM range(0, 2000, 40)) q, o_samples s, (VALUES (1), (-1)) sgn(v))) GROUP BY d)""",
         "o_samples",
     ),
     "likelihoods": sql('SELECT gene_id, blocks, junctions, id, round("like", 8) AS likelihood FROM o_like', "o_like"),

@@ -176,10 +176,6 @@ _add("lineage_chain", lambda s, d: s.sql("WITH RECURSIVE c(root, id, depth) AS (
 
 
 # preparation, samples, sinks
-def _panel_sql(order):
-    return "SELECT {}, COUNT(*) AS n FROM {{}} GROUP BY 1".format(order)
-
-
 _calls = "LEFT JOIN (SELECT DISTINCT cell AS called FROM v_cells) c ON c.called = r.cell"
 _add("panel_filter_cascade", lambda s, d: pre.panel_reasons(_reads(s, d), fx.transcripts(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
      f"""SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_qcfail' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' WHEN gx IS NULL OR contains(gx, ';') OR regexp_replace(gx, '\\.[0-9]+$', '') <> gene_id THEN 'gene_assignment_excluded'

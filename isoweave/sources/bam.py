@@ -136,7 +136,7 @@ class BamReader(DataSourceReader):
         self.path, self.size = options["path"].removeprefix("file://"), int(options.get("splitBytes", 64 << 20))
 
     def partitions(self):
-        out, last = [], 0
+        out = []
         with open(self.path, "rb") as f:
             s = _Stream(f, 0, 0)
             _header(s)
@@ -148,7 +148,6 @@ class BamReader(DataSourceReader):
                     starts.append(here)
             for k, (block, within) in enumerate(starts):
                 out.append(Split(block, within, starts[k + 1] if k + 1 < len(starts) else None))
-        del last
         return out
 
     def read(self, split):
