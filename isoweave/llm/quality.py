@@ -87,6 +87,7 @@ def weak_labels(docs: DataFrame) -> DataFrame:
     powers = 3 ** np.arange(len(LABELLERS))
 
     def run(batches):
+        own_cache("quality")  # lets go of what other operators kept
         for b in doc_batches(batches, 1 << 20):
             pattern = (votes(b.column("text")) + 1) @ powers
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(pattern, pa.int64())], ["doc_id", "pattern"])

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, doc_batches, dropped, min_label_components, partitions, spanning, written
+from .common import carried, doc_batches, dropped, min_label_components, own_cache, partitions, spanning, written
 
 #: Members that one bucket compares in one task.
 BUCKET = 4096
@@ -166,6 +166,7 @@ def word_prints(docs: DataFrame, prints: int = PRINTS) -> DataFrame:
     """(doc_id, sha, fps): several SimHashes of a text's words, a word weighing the root of its count; sha names the text."""
 
     def run(batches):
+        own_cache("simhash")  # lets go of what other operators kept
         for b in doc_batches(batches):
             out = []
             for t in b.column("text").to_pylist():
