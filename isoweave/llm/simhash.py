@@ -158,126 +158,239 @@ def _words(text: bytes) -> list[bytes]:
     return [w for w in (x.strip(b".,;:!?*&%$#|()\"'") for x in text.lower().split()) if w]
 
 
-#: Fingerprints of a document in the search for similar texts, and the farthest that two of a bucket may lie apart to be compared.
-PRINTS, NEAR = 6, 10
+#: Buckets up to this size propose all their pairs at once; sampled texts and most shingles for the order of shingles; pairs worked out at once.
+SMALL, ORDER_TEXTS, ORDER_MOST, BLOCK = 8, 4000, 100_000, 1 << 20
 
 
-def word_prints(docs: DataFrame, prints: int = PRINTS) -> DataFrame:
-    """(doc_id, sha, fps): several SimHashes of a text's words, a word weighing the root of its count; sha names the text."""
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the runs of `width` words; a shorter text's only run is all its words."""
+    words = _words(text)
+    if not words:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    width = min(width, len(h))
+    out = np.full(len(h) - width + 1, width, np.uint64)
+    for k in range(width):
+        out = (out ^ h[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def prefix(shingles: np.ndarray, order: np.ndarray, rank: np.ndarray, least: float) -> np.ndarray:
+    """The shingles of which two sets of Jaccard similarity >= `least` share at least one: all but the last ceil(least * n) - 1 in the common order.
+
+    That order is: shingles outside `order` (sorted) by value, then those in it by `rank`.
+    """
+    n = len(shingles)
+    take = n - int(np.ceil(least * n - 1e-6)) + 1
+    if not len(order):
+        return shingles[:take]
+    at = np.minimum(np.searchsorted(order, shingles), len(order) - 1)
+    common = order[at] == shingles
+    rare = shingles[~common][:take]
+    if len(rare) == take:
+        return rare
+    later = shingles[common][np.argsort(rank[at[common]], kind="stable")]
+    return np.concatenate([rare, later[: take - len(rare)]])
+
+
+def _may_reach(n_a, n_b, at_a, at_b, least: float):
+    """Whether sets of these sizes can be similar if the shingles at these places are the first that they share."""
+    most = 1 + np.minimum(n_a - at_a, n_b - at_b) - 1
+    return (np.minimum(n_a, n_b) >= least * np.maximum(n_a, n_b) - 1e-6) & (most * (1 + least) >= least * (n_a + n_b) - 1e-6)
+
+
+class _Pairs:
+    """Distinct pairs of keys, larger one first; pressed together whenever many have come."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+        self.n = self.least = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        if len(a):
+            pairs = np.empty(len(a), [("a", np.int64), ("b", np.int64)])
+            pairs["a"], pairs["b"] = np.maximum(a, b), np.minimum(a, b)
+            self.parts.append(np.unique(pairs))
+            self.n += len(self.parts[-1])
+
+    def full(self) -> bool:
+        """Whether so many distinct pairs have come that they should be handed on."""
+        if self.n < max(BLOCK, 2 * self.least):
+            return False
+        self.parts = [np.unique(np.concatenate(self.parts))]
+        self.n = self.least = len(self.parts[0])
+        return self.n >= BLOCK
+
+    def frame(self) -> pd.DataFrame:
+        pairs = np.unique(np.concatenate(self.parts)) if self.parts else np.empty(0, [("a", np.int64), ("b", np.int64)])
+        self.parts, self.n, self.least = [], 0, 0
+        return pd.DataFrame({"a": pairs["a"], "b": pairs["b"]})
+
+
+def _ordering(texts: DataFrame, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, ranks): the shingles that several sampled texts share, rarest first. Any order gives the same groups; this one keeps buckets small."""
+
+    def run(batches):
+        for b in doc_batches(batches):
+            sets = [shingle_set((t or "").encode(), width) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["token"])
+
+    some = texts.where(F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(1 << 30)) < int(min(1.0, ORDER_TEXTS / max(n, 1)) * (1 << 30))).select("text")
+    top = some.mapInArrow(run, "token long").groupBy("token").count().where("count > 2").orderBy(F.desc("count"), "token").limit(ORDER_MOST).toPandas()
+    top = top.sort_values(["count", "token"], ignore_index=True)
+    order = top["token"].to_numpy(np.int64).view(np.uint64)
+    rank = np.argsort(order, kind="stable")
+    return order[rank], rank
+
+
+def _buckets(texts: DataFrame, width: int, least: float, order: np.ndarray, rank: np.ndarray) -> DataFrame:
+    """(token, key, n, at): the prefix of every text's set of n shingles, and the place of each in it; a task gives equal texts once."""
 
     def run(batches):
         own_cache("simhash")  # lets go of what other operators kept
+        met: set[int] = set()
         for b in doc_batches(batches):
-            out = []
-            for t in b.column("text").to_pylist():
-                words = _words((t or "").encode())
-                if not words:
-                    out.append([0] * prints)
+            tokens, sizes, keys, ns = [], [], [], []
+            for key, t in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True):
+                if not t or key in met:
                     continue
-                count: dict[bytes, int] = {}
-                for w in words:
-                    count[w] = count.get(w, 0) + 1
-                h = np.fromiter(map(xxhash.xxh64_intdigest, count), "<u8", len(count))
-                weight = np.sqrt(np.fromiter(count.values(), np.float32, len(count)))
-                one = []
-                for k in range(prints):
-                    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                    one.append(int(np.packbits(weight @ bits * 2 > weight.sum(), bitorder="little").view("<i8")[0]))
-                    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * k)
-                    h ^= h >> np.uint64(32)
-                out.append(one)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("sha"), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "sha", "fps"])
-
-    return docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")).mapInArrow(run, "doc_id long, sha string, fps array<long>")
-
-
-def _forest(fp: np.ndarray, near: int) -> tuple[list[int], list[int]]:
-    """Edges of a minimum spanning forest by Hamming distance, none longer than `near` (Prim; memory grows with the bucket, not its square)."""
-    n = len(fp)
-    inside, dist, parent = np.zeros(n, bool), np.full(n, 255, np.uint8), np.full(n, -1)
-    a, b, at = [], [], 0
-    for _ in range(n - 1):
-        inside[at] = True
-        d = np.bitwise_count(fp ^ fp[at])
-        closer = (d < dist) & ~inside
-        dist[closer] = d[closer]
-        parent[closer] = at
-        at = int(np.where(inside, 255, dist).argmin())
-        if dist[at] <= near:
-            a.append(int(parent[at]))
-            b.append(at)
-        else:
-            dist[~inside] = 255  # a new tree
-    return a, b
-
-
-def candidates(spark: SparkSession, prints: DataFrame, radius: int = 3, near: int = NEAR) -> DataFrame:
-    """Pairs (a, b) of doc_ids, a > b, that share a covering bucket: of each bucket a minimum spanning forest, so that no group gives all its pairs."""
-    masks = covering_masks(list(range(64)), radius)
-    one = prints.select("doc_id", F.posexplode("fps").alias("k", "fp"))
-    rows = one.select(
-        "doc_id", "fp", F.explode(F.array(*[F.struct((F.col("k") * len(masks) + i).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)])).alias("m")
-    ).select("m.mask", "m.key", "fp", "doc_id")
+                met.add(key)
+                shingles = shingle_set(t.encode(), width)
+                if len(shingles):
+                    tokens.append(prefix(shingles, order, rank, least))
+                    sizes.append(len(tokens[-1]))
+                    keys.append(key)
+                    ns.append(len(shingles))
+            if tokens:
+                at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+                columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(keys, np.int64), sizes), np.repeat(np.array(ns, np.int32), sizes), at]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "key", "n", "at"])
 
-    def run(frames):
-        for pdf in carried(frames, ["mask", "key"]):
-            pdf = pdf.sort_values(["mask", "key", "fp", "doc_id"], ignore_index=True)
-            mask, key, fp, doc = (pdf[c].to_numpy() for c in ("mask", "key", "fp", "doc_id"))
-            new = np.r_[True, (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])]
-            first = new | np.r_[True, fp[1:] != fp[:-1]]
-            lead = doc[np.flatnonzero(first)[np.cumsum(first) - 1]]
-            out = [(doc[~first], lead[~first])]  # equal fingerprints: to the smallest id
-            fp, doc, new = fp[first].view(np.uint64), doc[first], new[first]
-            starts = np.flatnonzero(new)
-            sizes = np.diff(np.r_[starts, len(fp)])
-            two = starts[sizes == 2]
-            two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= near]
-            out.append((doc[two], doc[two + 1]))
-            for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                a, b = _forest(fp[s : s + n], near)
-                out.append((doc[s : s + n][a], doc[s : s + n][b]))
-            a, b = (np.concatenate([x[i] for x in out]) for i in (0, 1))
-            keep = a != b
-            yield pd.DataFrame({"a": np.maximum(a, b)[keep], "b": np.minimum(a, b)[keep]})
-
-    parts = partitions(spark, prints.count() * PRINTS * len(masks), 2_000_000)
-    return rows.repartition(parts, "mask", "key").sortWithinPartitions("mask", "key").mapInPandas(run, "a long, b long").distinct()
-
-
-def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) of the documents that are in a group: equal texts, or a Jaccard similarity of at least `least` on word shingles.
-
-    SimHash buckets propose pairs, exact similarity decides.  Rows that share a doc_id are one document.  Null doc_ids are in no group.
+    return texts.select("key", "text").mapInArrow(run, "token long, key long, n int, at int")
+
+
+def _first_pairs(buckets: DataFrame, least: float, small: int = SMALL) -> DataFrame:
+    """Rows (a, b) of the pairs of small buckets, and of large ones' pairs with their smallest key; the rows of large buckets come out too, with their token.
+
+    Pairs whose sizes or places rule the similarity out are left out: the bucket of the first shingle that two similar texts share never does.
     """
-    prints = written(spark, word_prints(docs.where("doc_id IS NOT NULL")), "similar-prints")
-    firsts = prints.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("fps").alias("fps"))
-    firsts = written(spark, firsts, "similar-firsts")
-    copies = prints.join(firsts.select("sha", F.col("doc_id").alias("b")), "sha").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
-    pairs = written(spark, candidates(spark, firsts.groupBy("doc_id").agg(F.first("fps").alias("fps"))), "similar-pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
-    def shingled(batches):
-        for b in doc_batches(batches):
-            sets = [np.unique(np.fromiter((xxhash.xxh32_intdigest(s) for s in word_shingles((t or "").encode(), width, _words)), np.uint32)).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+    def run(frames):
+        found = _Pairs()
+        for pdf in carried(frames, ["token"]):
+            token, key, n, at = (pdf[c].to_numpy() for c in ("token", "key", "n", "at"))
+            many = np.r_[False, token[1:] == token[:-1]] | np.r_[token[1:] == token[:-1], False]
+            token, key, n, at = token[many], key[many], n[many].astype(np.int64), at[many].astype(np.int64)
+            o = np.lexsort((key, token))
+            o = o[np.r_[True, (token[o][1:] != token[o][:-1]) | (key[o][1:] != key[o][:-1])]] if len(o) else o
+            token, key, n, at = token[o], key[o], n[o], at[o]
+            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
+            sizes = np.diff(np.r_[starts, len(token)])
+            size, lead = np.repeat(sizes, sizes), np.repeat(starts, sizes)
+            for lag in range(1, min(small, int(sizes.max(initial=1)))):
+                i = np.flatnonzero((token[lag:] == token[:-lag]) & (size[lag:] <= small))
+                j = i + lag
+                ok = _may_reach(n[i], n[j], at[i], at[j], least)
+                found.add(key[i[ok]], key[j[ok]])
+            i = np.flatnonzero((size > small) & (lead != np.arange(len(token))))
+            j = lead[i]
+            ok = _may_reach(n[i], n[j], at[i], at[j], least)
+            found.add(key[i[ok]], key[j[ok]])
+            large = size > small
+            if large.any():
+                yield pd.DataFrame({"a": key[large], "b": key[large], "token": token[large], "n": n[large], "at": at[large]})
+            if found.full():
+                yield found.frame().assign(token=np.int64(0), n=np.int32(-1), at=np.int32(0))
+        yield found.frame().assign(token=np.int64(0), n=np.int32(-1), at=np.int32(0))
+
+    return buckets.sortWithinPartitions("token").mapInPandas(run, "a long, b long, token long, n int, at int")
+
+
+def _rest_pairs(large: DataFrame, labels: DataFrame, parts: int, least: float) -> DataFrame:
+    """All pairs of large buckets whose texts the pairs so far have not joined (labels: id, component), so that every bucket is settled."""
+    rows = large.select("token", F.col("a").alias("key"), "n", "at").join(labels, F.col("key") == F.col("id"), "left").select("token", "key", "n", "at", F.coalesce("component", "key").alias("label"))
+    open_ = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
 
-    sets = written(spark, docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(shingled, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "similar-sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    def run(frames):
+        found = _Pairs()
+        for pdf in carried(frames, ["token"]):
+            token, key, n, at, label = (pdf[c].to_numpy(np.int64) for c in ("token", "key", "n", "at", "label"))
+            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(token)], strict=True):
+                k, m, p, c = key[s:e], n[s:e], at[s:e], label[s:e]
+                step = max(1, BLOCK // len(k))
+                for lo in range(0, len(k), step):
+                    i, j = np.nonzero(c[lo : lo + step, None] != c[None, :])
+                    i += lo
+                    ok = (i < j) & _may_reach(m[i], m[j], p[i], p[j], least)
+                    found.add(k[i[ok]], k[j[ok]])
+                    if found.full():
+                        yield found.frame()
+        yield found.frame()
+
+    dealt = rows.join(open_, "token", "left_semi").repartition(parts, "token").sortWithinPartitions("token")
+    return dealt.mapInPandas(run, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs of a Jaccard similarity of at least `least`."""
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
 
     def verify(batches):
         for b in batches:
             keep = []
             for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
                 keep.append(shared > 0 and shared >= least * (len(x) + len(y) - shared))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    links = both.mapInArrow(verify, "a long, b long").unionByName(copies)
-    groups = min_label_components(spark, links, "similar-cc").select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
-    for table in (sets, pairs, firsts, prints):
+    return both.mapInArrow(verify, "a long, b long")
+
+
+def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float = 0.8, small: int = SMALL) -> DataFrame:
+    """(doc_id, sha, component_id, first) of the documents that are in a group: equal texts, or a Jaccard similarity of at least `least` on word shingles.
+
+    A document is a doc_id with a text (sha names it); `first` tells the one of the
+    smallest doc_id and sha of its group.  Prefixes of the shingles in a common order
+    propose pairs: no two similar texts have prefixes without a common shingle, so
+    none is missed.  Exact similarity decides.  Null doc_ids are in no group.
+    """
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text", sha.alias("sha")).withColumn("key", F.xxhash64("sha"))
+    names = written(spark, texts.select("doc_id", "sha", "key", F.length("text").alias("chars")), "similar-names")
+    n, chars = names.agg(F.count("*"), F.sum("chars")).first()
+    firsts = written(spark, names.groupBy("key", "sha").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "similar-firsts")
+    parts = partitions(spark, (chars or 0) / 30, 2_000_000)
+    buckets = _buckets(texts, width, least, *_ordering(texts, n, width)).repartition(parts, "token")
+    got = written(spark, _first_pairs(buckets, least, small), "similar-buckets")
+    pairs = written(spark, got.where("n < 0").select("a", "b").distinct(), "similar-pairs")
+    large = got.where("n >= 0")
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("a")).distinct()
+
+    def shingled(batches):
+        for b in doc_batches(batches):
+            sets = [shingle_set((t or "").encode(), width).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sets, pa.binary())], ["key", "shingles"])
+
+    lead = firsts.join(wanted, "key", "left_semi").select("doc_id", "key")
+    sets = texts.join(lead, ["doc_id", "key"], "left_semi").select("key", "text").mapInArrow(shingled, "key long, shingles binary").dropDuplicates(["key"])
+    sets = written(spark, sets, "similar-sets")
+    links = written(spark, _verified(pairs, sets, least), "similar-links")
+    labels = written(spark, min_label_components(spark, links, "similar-cc"), "similar-labels")
+    rest = written(spark, _rest_pairs(large, labels, parts, least), "similar-rest")
+    more = written(spark, _verified(rest, sets, least), "similar-more")
+    if not more.isEmpty():
+        labels = min_label_components(spark, links.unionByName(more), "similar-cc")
+    roots = firsts.join(labels, F.col("key") == F.col("id"), "left").select("key", "doc_id", "sha", "n", F.coalesce("component", "key").alias("root"))
+    roots = written(spark, roots, "similar-roots")
+    groups = roots.groupBy("root").agg(F.min(F.struct("doc_id", "sha")).alias("low"), F.sum("n").alias("n")).where("n > 1").select("root", "low")
+    out = names.join(roots.select("key", "root"), "key").join(groups, "root")
+    out = written(spark, out.select("doc_id", "sha", F.col("low.doc_id").alias("component_id"), (F.struct("doc_id", "sha") == F.col("low")).alias("first")), "similar-out")
+    for table in (names, firsts, got, pairs, sets, links, rest, more, roots):
         dropped(spark, table)
-    return groups
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

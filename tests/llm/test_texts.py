@@ -300,3 +300,35 @@ def test_pipeline_stages(spark, tmp_path):
         cur.write.parquet(f"{tmp_path}/{name}")
         cur = spark.read.parquet(f"{tmp_path}/{name}")
     assert p.STAGES[-1][1](spark, cur, str(tmp_path)).select("doc_id").distinct().count() == cur.count()
+
+
+def edited(r, words, share):
+    """`words` with a passage of new ones appended that brings the similarity near 1 - share."""
+    return words + ["n" + "".join(r.choices("abcdefgh", k=8)) for _ in range(round(len(words) * share / (1 - share)))]
+
+
+def grouped(spark, docs, **options):
+    return {r["doc_id"]: r["component_id"] for r in simhash.similar(spark, frame(spark, docs), **options).collect()}
+
+
+def brute_groups(docs):
+    sets = {i: set(simhash.word_shingles((t or "").encode(), 5, simhash._words)) for i, t in docs}
+    comp = components(list(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * max(1, len(sets[a] | sets[b])))
+    return {i: c for i, c in comp.items() if list(comp.values()).count(c) > 1}
+
+
+@pytest.mark.parametrize("small", [8, 2])
+def test_similar_settles_large_buckets(spark, small):
+    """Texts of one word bag, each like one other only: equal prints, and all but the pairs differ."""
+    r = random.Random(11)
+    bag, docs = ["w" + "".join(r.choices("abcdefgh", k=8)) for _ in range(200)], []
+    for k in range(12):
+        a = r.sample(bag, len(bag)) if k else bag
+        b = a[:100] + [a[101], a[100]] + a[102:]
+        docs += [(100 + k, " ".join(a)), (k, " ".join(b))]
+    shared = ["s" + "".join(r.choices("abcdefgh", k=8)) for _ in range(150)]
+    for k in range(24):  # a template: alike in 0.6 to 0.7, and every second one like its neighbour
+        own = ["o" + "".join(r.choices("abcdefgh", k=8)) for _ in range(40)] if k % 2 == 0 else own[:-3] + ["x", "y", "z"]
+        docs.append((300 + k, " ".join(shared + own)))
+    want = brute_groups(docs)
+    assert len(set(want.values())) >= 20 and grouped(spark, docs, small=small) == want
