@@ -332,3 +332,20 @@ def test_similar_settles_large_buckets(spark, small):
         docs.append((300 + k, " ".join(shared + own)))
     want = brute_groups(docs)
     assert len(set(want.values())) >= 20 and grouped(spark, docs, small=small) == want
+
+
+def test_similar_recall_near_the_threshold(spark):
+    """Appended passages and scattered edits at similarities about 0.8 to 0.9: no pair is missed."""
+    r = random.Random(12)
+    docs = []
+    for k in range(240):
+        words = ["w" + "".join(r.choices("abcdefgh", k=8)) for _ in range(r.choice([30, 100, 400]))]
+        share = [0.1, 0.15, 0.19, 0.2, 0.21][k % 5]
+        other = edited(r, words, share)
+        if k % 3 == 0:
+            other = list(words)
+            for at in r.sample(range(len(words)), max(1, round(len(words) * share / 9))):
+                other[at] = "changed"
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    want = brute_groups(docs)
+    assert len(want) > 200 and grouped(spark, docs) == want
