@@ -349,3 +349,14 @@ def test_similar_recall_near_the_threshold(spark):
         docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
     want = brute_groups(docs)
     assert len(want) > 200 and grouped(spark, docs) == want
+
+
+def test_documents_that_share_an_id_stay(spark):
+    import corpus_pipeline as p
+
+    r = random.Random(13)
+    texts = [" ".join("w" + "".join(r.choices("abcdefgh", k=8)) for _ in range(40)) for _ in range(3)]
+    docs = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[1]), (2, texts[2]), (None, texts[0]), (None, texts[0])]
+    out = p.keep_distinct(spark, frame(spark, docs), "")
+    assert sorted((x["doc_id"] or 0, x["text"]) for x in out.collect()) == sorted([(0, texts[0]), (0, texts[0]), (1, texts[0]), (1, texts[1]), (2, texts[2])])
+    assert out.columns == ["doc_id", "text", "fp", "spans", "label"]
