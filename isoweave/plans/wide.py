@@ -172,7 +172,7 @@ _add("read_id_cell_uniqueness", lambda s, d: _reads(s, d).groupBy(g.upstream_rea
 _add("molecule_support", lambda s, d: _reads(s, d).groupBy("cell", "g").agg(F.countDistinct("umi").alias("candidates"), F.countDistinct(F.when(F.col("mapq") > 0, F.col("umi"))).alias("positive")), "SELECT cell, g, COUNT(DISTINCT umi) AS candidates, COUNT(DISTINCT CASE WHEN mapq > 0 THEN umi END) AS positive FROM v_reads GROUP BY cell, g", "v_reads")
 _add("resource_rollup", lambda s, d: s.read.parquet(f"{d}/events.parquet").groupBy("event_type").agg(F.round(F.sum("value"), 4).alias("seconds"), F.max("value").alias("peak")), "SELECT event_type, round(SUM(value), 4) AS seconds, MAX(value) AS peak FROM events GROUP BY event_type")
 _add("external_scale", lambda s, d: fx.view(s, d, "v_meta").select("id", (F.round(F.col("tpm") / 97, 3) * F.col("lr_count")).alias("x")).select("id", F.round("x", 6).alias("scaled")), "SELECT id, round(round(tpm / 97, 3) * lr_count, 6) AS scaled FROM v_meta", "v_meta")
-_add("lineage_chain", lambda s, d: s.sql("WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM {p} UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM c GROUP BY root", p=_part(s, d).where("p_partkey < 200")), "WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM part WHERE p_partkey < 200 UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM c GROUP BY root")
+_add("lineage_chain", lambda s, d: s.sql("WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM {p} UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM (SELECT * FROM c LIMIT ALL) GROUP BY root", p=_part(s, d)), "WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM part WHERE p_partkey < 200 UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM c GROUP BY root")
 
 
 # preparation, samples, sinks

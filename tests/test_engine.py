@@ -260,3 +260,11 @@ def test_registry_names_match():
     from isoweave.plans import registry
 
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES) and len(registry.QUERIES) > 90
+
+
+def test_lineage_chain_follows_every_part(spark, tmp_path):
+    from isoweave.plans import registry
+
+    spark.range(1, 80_001).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["root"]: r["hops"] for r in registry.QUERIES["lineage_chain"](spark, str(tmp_path)).collect()}
+    assert got == {i: min(i.bit_length(), 16) for i in range(1, 80_001)}
