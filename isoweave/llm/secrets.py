@@ -204,10 +204,17 @@ def _candidates(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     flag = np.zeros(256, bool)
     flag[list(b":=%\\")] = True
     at = np.flatnonzero(flag[raw])
-    inside = np.diff(_TABLE[raw], prepend=np.uint8(0), append=np.uint8(0))
-    edges = np.flatnonzero(inside)
-    starts, ends = edges[::2], edges[1::2]
-    at = np.concatenate([at, starts[ends - starts >= 16]])
+    inside = _TABLE[raw]
+    first = inside.copy()
+    first[1:] &= 1 - inside[:-1]
+    borders = off[:-1][off[:-1] < len(raw)]  # a run ends with its row
+    first[borders] = inside[borders]
+    starts = np.flatnonzero(first)
+    last = inside.copy()
+    last[:-1] &= 1 - inside[1:]
+    borders = off[1:][off[1:] > 0] - 1
+    last[borders] = inside[borders]
+    at = np.concatenate([at, starts[np.flatnonzero(last) + 1 - starts >= 16]])
     out = np.zeros(n, bool)
     out[np.searchsorted(off, at, "right") - 1] = True
     return out

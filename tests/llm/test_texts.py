@@ -360,3 +360,10 @@ def test_documents_that_share_an_id_stay(spark):
     out = p.keep_distinct(spark, frame(spark, docs), "")
     assert sorted((x["doc_id"] or 0, x["text"]) for x in out.collect()) == sorted([(0, texts[0]), (0, texts[0]), (1, texts[0]), (1, texts[1]), (2, texts[2])])
     assert out.columns == ["doc_id", "text", "fp", "spans", "label"]
+
+
+def test_secret_runs_end_with_their_row():
+    rows = ["", "words that end in a letter", "AKIA" + "A1" * 8, "", "0f" * 16, "x", base64.b64encode(b"password:hunter2hunter2").decode().rstrip("="), "short", "runs", ""]
+    maybe = secrets._candidates(*secrets.utf8(secrets.pa.array(rows)))
+    assert maybe.tolist() == [len(r) >= 16 and " " not in r for r in rows]
+    assert secrets._candidates(*secrets.utf8(secrets.pa.array([rows[1] + rows[2], None]))).tolist() == [True, False]
