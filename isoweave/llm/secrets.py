@@ -4,6 +4,9 @@ A text is layer 0.  Every layer is scanned for secrets, and every encoded run in
 it (percent escapes, Unicode and byte escapes, base64, compressed bytes inside
 base64) is unwrapped into a new layer, until nothing new comes.  A layer whose
 content was seen before at the same place is not unwrapped again, so cycles end.
+Bytes that are no UTF-8 become U+FFFD one by one.  A base64 run is read in every step
+that a sign among + / - _ in it may begin; what is compressed goes through in
+overlapping windows, however much it is.
 Each layer carries, for every character, the code points of the document it came
 from, so a finding in any depth has a span in the document.
 
@@ -16,13 +19,11 @@ Nulls: a null text counts as empty and gives a row without findings.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,12 @@ PERCENT = re.compile(r"""(?<![^\s%"'<>])[^\s%"'<>]*(?:%[0-9A-Fa-f]{2}[^\s%"'<>]*
 ESCAPES = re.compile(r"""(?<![^\s\\"'<>])[^\s\\"'<>]*(?:(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})[^\s\\"'<>]*)+""")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Shortest base64 run that is unwrapped, and most characters that one document's layers may unfold to.
-BASE64_LEAST, UNFOLD = 16, 64 << 20
+#: Shortest base64 run that is unwrapped; bytes of a window on decompressed bytes, and how far windows overlap.
+BASE64_LEAST, WINDOW, OVERLAP = 16, 8 << 20, 1 << 20
+BORDER = re.compile(r"[+/_-]+")
+LONE = re.compile("[\udc80-\udcff]")
+#: What every finding and every further layer needs.
+SIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)|%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|[A-Za-z0-9+/_-]{16}""")
 
 _TABLE = np.zeros(256, np.uint8)
 _TABLE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = 1
@@ -64,6 +69,11 @@ class Layer:
     def span(self, start: int, end: int) -> tuple[int, int]:
         return (start, end) if self.lo is None else (int(self.lo[start:end].min()), int(self.hi[start:end].max()))
 
+    def spread(self, text: str, start: int, end: int) -> "Layer":
+        """A text of which every character came from all of start to end."""
+        lo, hi = self.span(start, end)
+        return Layer(text, np.broadcast_to(np.int64(lo), len(text)), np.broadcast_to(np.int64(hi), len(text)))
+
     def derived(self, text: str, starts: np.ndarray, ends: np.ndarray) -> "Layer":
         if self.lo is None:
             return Layer(text, starts, ends)
@@ -71,14 +81,19 @@ class Layer:
 
 
 def _chars(raw: bytes, starts: np.ndarray, ends: np.ndarray):
-    """UTF-8 bytes with their places as characters with theirs; None if they are no text."""
+    """Bytes with their places as characters with theirs, a byte that is no UTF-8 as U+FFFD; None if they can hold nothing."""
+    if not SIGN.search(raw):
+        return None
     try:
         text = raw.decode()
+        first = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
     except UnicodeDecodeError:
-        return None
-    if not text or sum(c.isprintable() or c in "\n\r\t" for c in text) < 0.9 * len(text):
-        return None
-    first = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+        text = raw.decode("utf-8", "surrogateescape")
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        lone = (code >= 0xDC80) & (code <= 0xDCFF)
+        width = np.where(lone, 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
+        first = np.cumsum(width) - width
+        text = LONE.sub("\ufffd", text)
     return text, starts[first], ends[np.r_[first[1:], len(raw)] - 1]
 
 
@@ -123,76 +138,143 @@ def _escapes(layer: Layer):
             yield layer.derived(text, np.full(n, m.start()), np.full(n, m.end()))
 
 
-def _unpacked(raw: bytes, most: int) -> bytes | None:
-    """What compressed bytes hold; None if they are not compressed or unfold to more than `most`."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 6 and int.from_bytes(raw[:2], "big") % 31 == 0:
-            d = zlib.decompressobj(47)
-            got = d.decompress(raw, most)
-            return None if d.unconsumed_tail else got
-        if raw[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor()
-        elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
+def _packed(raw: bytes) -> bool:
+    """Whether bytes begin as compressed ones do."""
+    return raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 6 and int.from_bytes(raw[:2], "big") % 31 == 0 or raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00" or raw[:4] == b"\x28\xb5\x2f\xfd"
 
-            return zstandard.ZstdDecompressor(max_window_size=most).decompressobj().decompress(raw)[:most]
-        else:
-            return None
-        got = d.decompress(raw, most)
-        return got if d.eof else None
-    except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
-        return None
-    except Exception as e:  # zstandard's own error type
-        if type(e).__name__ == "ZstdError":
-            return None
-        raise
 
+class _Source:
+    """Bytes that come in pieces, to be read."""
 
-def _base64(layer: Layer, most: int):
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        try:
-            raw = base64.b64decode(run.translate({45: 43, 95: 47}) + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        k = np.arange(len(raw))
-        starts, ends = m.start() + 4 * (k // 3) + k % 3, m.start() + np.minimum(4 * (k // 3) + k % 3 + 2, len(run))
-        seen = 0
-        while (more := _unpacked(raw, most)) is not None and seen < 8:
-            raw, seen = more, seen + 1
-            starts, ends = np.full(len(raw), m.start()), np.full(len(raw), m.end())
-        if got := _chars(raw, starts, ends):
-            yield layer.derived(*got)
+    def __init__(self, pieces):
+        self.pieces, self.rest = iter(pieces), b""
+
+    def read(self, n: int = -1) -> bytes:
+        while (n < 0 or len(self.rest) < n) and (more := next(self.pieces, None)) is not None:
+            self.rest += more
+        n = len(self.rest) if n < 0 else n
+        out, self.rest = self.rest[:n], self.rest[n:]
+        return out
 
 
-def scan_text(text: str, unfold: int = UNFOLD) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def _inflated(source: _Source, piece: int = 1 << 20):
+    """Pieces of what compressed bytes hold, all their parts one after the other, as far as they can be read."""
+    data = source.read(8)
+    while _packed(data):
+        if data[:4] == b"\x28\xb5\x2f\xfd":
+            import zstandard
+
+            source.rest = data + source.rest
+            reader = zstandard.ZstdDecompressor(max_window_size=1 << 31).stream_reader(source, read_across_frames=True)
+            try:
+                while got := reader.read(piece):
+                    yield got
+            except zstandard.ZstdError:
+                pass
+            return
+        plain = data[:3] != b"BZh" and data[:1] != b"\xfd"
+        d = zlib.decompressobj(47) if plain else bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor()
+        try:
+            while not d.eof:
+                if got := d.decompress(data, piece):
+                    yield got
+                data = d.unconsumed_tail if plain else b""
+                if not d.eof and not data and (plain or d.needs_input):
+                    data = source.read(piece)
+                    if not data:
+                        break
+        except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
+            return
+        if not d.eof:
+            if plain and (got := d.flush()):
+                yield got
+            return
+        source.rest = d.unused_data + source.rest
+        data = source.read(8)
+
+
+def _windows(raw: bytes, window: int):
+    """Overlapping windows on what compressed bytes hold at last, however often they were compressed."""
+    met = {hashlib.blake2b(raw).digest()}
+    while True:  # what fits a window is opened as often as it goes
+        source = _Source(_inflated(_Source([raw])))
+        held = source.read(window)
+        whole = len(held) < window or not (more := source.read(1))
+        if not held:
+            yield raw
+            return
+        if not whole:
+            source.rest = held + more + source.rest
+            break
+        raw = held
+        if not _packed(raw) or (name := hashlib.blake2b(raw).digest()) in met:
+            yield raw
+            return
+        met.add(name)
+    while _packed(source.rest[:8]) and (name := hashlib.blake2b(source.rest[:window]).digest()) not in met and next(_inflated(_Source([source.rest])), b""):
+        met.add(name)
+        inner = _Source(_inflated(source))
+        inner.rest = inner.read(window)
+        source = inner
+    tail = b""
+    overlap = min(OVERLAP, window // 2)
+    while got := source.read(window):
+        yield tail + got
+        tail = (tail + got)[-overlap:]
+
+
+def _base64(layer: Layer, window: int):
+    for m in BASE64.finditer(layer.text):
+        run = m[0].rstrip("=").translate({45: 43, 95: 47})
+        begins: dict[int, list[int]] = {0: [0]}  # by their step
+        for b in BORDER.finditer(m[0]):
+            for at in range(b.start() + 1, b.end() + 1):
+                if len(run) - at >= BASE64_LEAST:
+                    begins.setdefault(at % 4, []).append(at)
+        for step, ats in begins.items():
+            part = run[step:]
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            raw = base64.b64decode(part + "=" * (-len(part) % 4))
+            k = np.arange(len(raw))
+            starts = m.start() + step + 4 * (k // 3) + k % 3
+            ends = np.minimum(starts + 2, m.start() + len(run))
+            for at in ats:
+                if _packed(raw[(k0 := (at - step) // 4 * 3) : k0 + 8]):
+                    for part in _windows(raw[k0:], window):
+                        here = np.zeros(len(part), np.int8)
+                        if got := _chars(part, here, here):
+                            text = got[0]
+                            yield layer.spread(text, m.start() + at, m.end())
+            if got := _chars(raw, starts, ends):
+                yield layer.derived(*got)
+
+
+def scan_text(text: str, window: int = WINDOW) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, all spans) as sorted (start, kind number, end); the second holds the first."""
+
+    def unwrapped(layer: Layer):
+        if "%" in layer.text:
+            yield from _percent(layer)
+        if "\\" in layer.text:
+            yield from _escapes(layer)
+        yield from _base64(layer, window)
+
     base = base_spans(text)
-    found, seen, work, left = set(base), set(), deque([Layer(text)]), unfold
-    while work:
-        layer = work.popleft()
+    found, seen, work = set(base), set(), [unwrapped(Layer(text))]
+    while work:  # depth first: only the layers around the current one are held
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         t = layer.text
-        if layer.lo is not None:
-            key = (hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=16).digest(), layer.span(0, len(t)))
-            if key in seen:
-                continue
-            seen.add(key)
-            for s, k, e in base_spans(t):
-                a, b = layer.span(s, e)
-                found.add((a, k, b))
-        steps = []
-        if "%" in t:
-            steps.append(_percent(layer))
-        if "\\" in t:
-            steps.append(_escapes(layer))
-        steps.append(_base64(layer, max(left, 1)))
-        for step in steps:
-            for new in step:
-                left -= len(new.text)
-                if left >= 0 and new.text != t:
-                    work.append(new)
+        key = (hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=16).digest(), layer.span(0, len(t)))
+        if t == text or key in seen:
+            continue
+        seen.add(key)
+        for s, k, e in base_spans(t):
+            a, b = layer.span(s, e)
+            found.add((a, k, b))
+        work.append(unwrapped(layer))
     return base, sorted(found)
 
 

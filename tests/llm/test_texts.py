@@ -367,3 +367,21 @@ def test_secret_runs_end_with_their_row():
     maybe = secrets._candidates(*secrets.utf8(secrets.pa.array(rows)))
     assert maybe.tolist() == [len(r) >= 16 and " " not in r for r in rows]
     assert secrets._candidates(*secrets.utf8(secrets.pa.array([rows[1] + rows[2], None]))).tolist() == [True, False]
+
+
+def test_secret_layers_are_decoded_whole():
+    secret = "password=hunter2hunter2"
+    b64 = lambda s: base64.b64encode(s if isinstance(s, bytes) else s.encode()).decode()
+    kinds = lambda t, **w: {k for _, k, _ in secrets.scan_text(t, **w)[1]}
+    assert secrets.scan_text("q=%E9t%E9&token%3Dabcdefgh1234")[1] == [(10, 0, 30)]
+    for before in ("https://host.com/d/", "a-", "ab_", "abc+", "x/yy/"):
+        for payload in (secret.encode(), gzip.compress(secret.encode()), "naïve ".encode("latin-1") + secret.encode()):
+            for after in ("", "/more", "-a"):
+                assert kinds(before + b64(payload).rstrip("=") + after) == {0}, (before, payload, after)
+    raw = secret.encode()
+    for _ in range(12):
+        raw = zlib.compress(raw)
+    assert kinds(b64(raw)) == {0}
+    long = random.Random(1).randbytes(3000) * 30 + secret.encode() + b" " * 50_000
+    assert kinds(b64(gzip.compress(long)), window=4096) == {0} and kinds(b64(zlib.compress(gzip.compress(b"." * 9_000_000) + gzip.compress(long))), window=1 << 13) == {0}
+    assert kinds(b64(b"x" * 20 + b"\xff" * 40)) == set()
