@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, doc_batches, dropped, min_label_components, own_cache, partitions, spanning, written
+from .common import carried, doc_batches, dropped, freed, min_label_components, own_cache, partitions, spanning, written
 
 #: Members that one bucket compares in one task.
 BUCKET = 4096
@@ -333,6 +333,17 @@ def _rest_pairs(large: DataFrame, labels: DataFrame, parts: int, least: float) -
     return dealt.mapInPandas(run, "a long, b long").distinct()
 
 
+def _pressed(shingles: np.ndarray) -> bytes:
+    """The upper 40 bits of each hash: random bits are all that a set costs, and two of a pair's shingles fall together in fewer than one of a million usual pairs."""
+    return np.unique(shingles >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpressed(raw) -> np.ndarray:
+    whole = np.zeros((len(raw) // 5, 8), np.uint8)
+    whole[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return whole.view("<u8").ravel()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs of a Jaccard similarity of at least `least`."""
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
@@ -341,7 +352,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         for b in batches:
             keep = []
             for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = _unpressed(x.as_buffer()), _unpressed(y.as_buffer())
                 shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
                 keep.append(shared > 0 and shared >= least * (len(x) + len(y) - shared))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -360,35 +371,42 @@ def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float =
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text", sha.alias("sha")).withColumn("key", F.xxhash64("sha"))
     names = written(spark, texts.select("doc_id", "sha", "key", F.length("text").alias("chars")), "similar-names")
-    n, chars = names.agg(F.count("*"), F.sum("chars")).first()
+    n, chars, different = names.agg(F.count("*"), F.sum("chars"), F.countDistinct("doc_id", "key")).first()
     firsts = written(spark, names.groupBy("key", "sha").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "similar-firsts")
     parts = partitions(spark, (chars or 0) / 30, 2_000_000)
     buckets = _buckets(texts, width, least, *_ordering(texts, n, width)).repartition(parts, "token")
     got = written(spark, _first_pairs(buckets, least, small), "similar-buckets")
+    freed(spark)
     pairs = written(spark, got.where("n < 0").select("a", "b").distinct(), "similar-pairs")
     large = got.where("n >= 0")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("a")).distinct()
 
     def shingled(batches):
         for b in doc_batches(batches):
-            sets = [shingle_set((t or "").encode(), width).tobytes() for t in b.column("text").to_pylist()]
+            sets = [_pressed(shingle_set((t or "").encode(), width)) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sets, pa.binary())], ["key", "shingles"])
 
     lead = firsts.join(wanted, "key", "left_semi").select("doc_id", "key")
-    sets = texts.join(lead, ["doc_id", "key"], "left_semi").select("key", "text").mapInArrow(shingled, "key long, shingles binary").dropDuplicates(["key"])
+    sets = texts.join(lead, ["doc_id", "key"], "left_semi").select("key", "text").mapInArrow(shingled, "key long, shingles binary")
+    if n != different:  # rows that repeat both
+        sets = sets.dropDuplicates(["key"])
     sets = written(spark, sets, "similar-sets")
+    freed(spark)
     links = written(spark, _verified(pairs, sets, least), "similar-links")
+    freed(spark)
     labels = written(spark, min_label_components(spark, links, "similar-cc"), "similar-labels")
     rest = written(spark, _rest_pairs(large, labels, parts, least), "similar-rest")
-    more = written(spark, _verified(rest, sets, least), "similar-more")
-    if not more.isEmpty():
+    if not rest.isEmpty():
+        more = written(spark, _verified(rest, sets, least), "similar-more")
         labels = min_label_components(spark, links.unionByName(more), "similar-cc")
+    dropped(spark, sets)
+    freed(spark)
     roots = firsts.join(labels, F.col("key") == F.col("id"), "left").select("key", "doc_id", "sha", "n", F.coalesce("component", "key").alias("root"))
     roots = written(spark, roots, "similar-roots")
     groups = roots.groupBy("root").agg(F.min(F.struct("doc_id", "sha")).alias("low"), F.sum("n").alias("n")).where("n > 1").select("root", "low")
     out = names.join(roots.select("key", "root"), "key").join(groups, "root")
     out = written(spark, out.select("doc_id", "sha", F.col("low.doc_id").alias("component_id"), (F.struct("doc_id", "sha") == F.col("low")).alias("first")), "similar-out")
-    for table in (names, firsts, got, pairs, sets, links, rest, more, roots):
+    for table in (names, firsts, got, pairs, links, rest, roots):
         dropped(spark, table)
     return out
 
