@@ -24,7 +24,7 @@ from .common import doc_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-NEVER = frozenset("head script style template noscript iframe object audio video canvas svg math datalist noembed noframes title meta link base select textarea param source track rp map area".split())
+NEVER = frozenset("head script style template noscript iframe object audio video canvas datalist noembed noframes title meta link base param source track rp map area desc metadata defs symbol clippath marker pattern annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl pre blockquote table figure hr fieldset".split())
 #: An open element that a start tag ends, up to an element that bars the search.
@@ -45,8 +45,11 @@ ENDS_P = BLOCK - frozenset("body html td th tr tbody thead tfoot caption legend
 BARS = frozenset("table td th caption button object template html applet marquee".split())
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+#: Drawing elements whose own text is not shown (that of text elements inside them is).
+DRAWN = frozenset("svg g path rect circle ellipse line polygon polyline use image".split())
+COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+#: Media that a page on a screen of any width has.
+SCREEN = re.compile(r"\s*(?:only\s+)?(?:screen|all)?\s*", re.I)
 SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?(?:([.#])([\w-]+))?")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
@@ -113,7 +116,10 @@ def tree(page: str) -> tuple[Node, list[str]]:
             stack[-1].children.append(html.unescape(token[1]) if "&" in token[1] else token[1])
         elif kind == "raw":
             if stack[-1].tag == "style":
-                sheets.append(token[1])
+                if any(SCREEN.fullmatch(x) for x in stack[-1].attrs.get("media", "").split(",")):
+                    sheets.append(token[1])
+            elif stack[-1].tag == "textarea":
+                stack[-1].children.append(html.unescape(token[1]))
             else:
                 stack[-1].children.append(token[1])
         elif kind == "end":
@@ -147,42 +153,98 @@ def tree(page: str) -> tuple[Node, list[str]]:
                 stack.pop()
             node = Node(tag, attrs)
             stack[-1].children.append(node)
-            if tag not in VOID and not (written.endswith("/") and tag in ("svg", "path")):
+            if tag not in VOID and not (written.endswith("/") and any(x.tag in ("svg", "math", "path") for x in (*stack, node))):
                 stack.append(node)
     return root, sheets
 
 
-def hidden_by(sheets: list[str]) -> list[tuple[str, str, str]]:
-    """(tag, "." or "#" or "", name) of the simple selectors that hide."""
+def declared(style: str) -> dict[str, tuple[bool, bool]]:
+    """What declarations say of display and visibility: (important, whether it hides); the last one counts unless an earlier one is important."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for part in style.split(";"):
+        name, colon, value = part.partition(":")
+        name = name.strip().lower()
+        if colon and name in ("display", "visibility"):
+            value, bang, _ = value.lower().partition("!")
+            if bool(bang) >= out.get(name, (False,))[0]:
+                out[name] = (bool(bang), value.strip() in (("none",) if name == "display" else ("hidden", "collapse")))
+    return out
+
+
+def rules(sheet: str):
+    """(selectors, declarations) that hold on a screen; blocks for print, for widths and the like, and those that are no style rules, are passed over."""
+    sheet, at = COMMENT.sub(" ", sheet), 0
+    inside: list[bool] = []  # whether the rules of the blocks around hold
+    while at < len(sheet):
+        brace = min((k for k in (sheet.find("{", at), sheet.find("}", at)) if k >= 0), default=-1)
+        if brace < 0:
+            return
+        if sheet[brace] == "}":
+            if inside:
+                inside.pop()
+            at = brace + 1
+            continue
+        head = sheet[at:brace].rpartition(";")[2].strip()
+        if head.startswith("@"):
+            name, _, rest = head[1:].replace("(", " (", 1).partition(" ")
+            held = name.lower() == "media" and any(SCREEN.fullmatch(x) for x in rest.split(",")) or name.lower() == "layer"
+            inside.append(held and all(inside))
+            at = brace + 1
+            continue
+        end = sheet.find("}", brace)
+        end = len(sheet) if end < 0 else end
+        if all(inside):
+            yield head, sheet[brace + 1 : end]
+        at = end + 1
+
+
+def hidden_by(sheets: list[str]) -> list[tuple[str, str, str, dict]]:
+    """(tag, "." or "#" or "", name, declarations) of the simple selectors that say of display or visibility, weakest first; none if nothing hides."""
     out = []
     for sheet in sheets:
-        for m in RULE.finditer(sheet):
-            if HIDING.search(m[2]):
-                for selector in m[1].split(","):
+        for selectors, style in rules(sheet):
+            if said := declared(style):
+                for selector in selectors.split(","):
                     if (s := SIMPLE.fullmatch(selector.strip())) and selector.strip():
-                        out.append(((s[1] or "").lower(), s[2] or "", s[3] or ""))
-    return out
+                        out.append(((s[1] or "").lower(), s[2] or "", s[3] or "", said))
+    out.sort(key=lambda r: (r[1] == "#", r[1] == ".", r[0] != ""))
+    return out if any(hides for r in out for _, hides in r[3].values()) else []
 
 
-def visible(node: Node, hiding: list[tuple[str, str, str]], parent: Node | None) -> bool:
-    if node.tag in NEVER:
+def visible(node: Node, hiding: list[tuple[str, str, str, dict]], parent: Node | None) -> bool:
+    if node.tag in NEVER or node.tag == "input":
         return False
     a = node.attrs
-    if a:
-        if "hidden" in a or ("style" in a and HIDING.search(a["style"])):
-            return False
-        if node.tag == "input":
-            return False
-        if node.tag == "dialog" and "open" not in a:
-            return False
-    elif node.tag in ("dialog", "input"):
+    if node.tag == "dialog" and "open" not in a:
         return False
     if parent is not None and parent.tag == "details" and "open" not in parent.attrs and node.tag != "summary":
         return False
-    for tag, kind, name in hiding:
+    said: dict[str, tuple[bool, bool]] = {}
+    for tag, kind, name, style in hiding:
         if tag in ("", node.tag) and (not kind or kind == "." and name in a.get("class", "").split() or kind == "#" and name == a.get("id")):
-            return False
-    return True
+            for what, new in style.items():
+                if new[0] >= said.get(what, (False,))[0]:
+                    said[what] = new
+    if "style" in a:
+        for what, new in declared(a["style"]).items():
+            if new[0] >= said.get(what, (False,))[0]:
+                said[what] = new
+    if "hidden" in a and "display" not in said:
+        return False
+    return not any(hides for _, hides in said.values())
+
+
+def chosen(node: Node) -> list:
+    """What a select shows: all its options if it is a list, else the selected one or the first that can be."""
+    size = node.attrs.get("size", "")
+    if "multiple" in node.attrs or size.isdecimal() and int(size) > 1:
+        return node.children
+    options = []
+    for x in node.children:
+        if isinstance(x, Node):
+            options += [x] if x.tag == "option" else [y for y in x.children if isinstance(y, Node) and y.tag == "option"] if x.tag == "optgroup" else []
+    own = [x for x in options if "selected" in x.attrs][-1:] or [x for x in options if "disabled" not in x.attrs][:1]
+    return [" ", *([own[0].attrs["label"]] if own[0].attrs.get("label") else own[0].children), " "] if own else []
 
 
 class Lines:
@@ -284,6 +346,8 @@ def render(page: str | None) -> str:
     while todo:
         node, parent, opens = todo.pop()
         if isinstance(node, str):
+            if parent.tag in DRAWN:
+                continue
             if pre:
                 for k, part in enumerate(node.split("\n")):
                     if k:
@@ -320,6 +384,11 @@ def render(page: str | None) -> str:
                 outer[-1][1][-1].append(None)  # its place
                 outer.append((out, outer[-1][1], lists, pre))
                 out, lists, pre = Lines(), [], 0
+            elif tag == "textarea":
+                out.end()
+                pre += 1
+            elif tag == "text":
+                out.space = True
             elif tag in BLOCK:
                 out.end(1 if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists) else 0)
                 if tag in ("ul", "ol", "menu", "dir"):
@@ -344,7 +413,12 @@ def render(page: str | None) -> str:
             children = node.children
             if tag == "details" and "open" not in node.attrs:
                 children = [x for x in children if isinstance(x, Node)]
-            elif tag == "pre" and children and isinstance(children[0], str):
+            elif tag == "select":
+                children = chosen(node)
+            elif tag == "optgroup" and node.attrs.get("label"):
+                children = [Node("div", {}), *children]
+                children[0].children.append(node.attrs["label"])
+            elif tag in ("pre", "textarea") and children and isinstance(children[0], str):
                 children = [re.sub(r"^\r?\n", "", children[0]), *children[1:]]
             todo += [(x, node, True) for x in reversed(children)]
             continue
@@ -361,6 +435,11 @@ def render(page: str | None) -> str:
             out, rows, lists, pre = outer.pop()
             span = node.attrs.get("colspan", "1")
             rows[-1][-1] = (lines, min(int(span), 1000) if span.isdecimal() and int(span) else 1)
+        elif tag == "textarea":
+            pre = max(pre - 1, 0)
+            out.end()
+        elif tag == "text":
+            out.space = True
         elif tag in BLOCK:
             if tag == "pre":
                 pre = max(pre - 1, 0)

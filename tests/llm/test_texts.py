@@ -385,3 +385,17 @@ def test_secret_layers_are_decoded_whole():
     long = random.Random(1).randbytes(3000) * 30 + secret.encode() + b" " * 50_000
     assert kinds(b64(gzip.compress(long)), window=4096) == {0} and kinds(b64(zlib.compress(gzip.compress(b"." * 9_000_000) + gzip.compress(long))), window=1 << 13) == {0}
     assert kinds(b64(b"x" * 20 + b"\xff" * 40)) == set()
+
+
+def test_html_shows_what_a_screen_shows():
+    page = lambda css, body="<div class=nav>menu</div>": html_text.render(f"<style>{css}</style>{body}")
+    for css in ("@media print {.nav {display:none}}", "@media (max-width:600px) {.x{color:red} .nav {display:none} }", ".nav{display:none} .nav{display:block}", "/* .nav{display:none} */", "@media screen and (max-width:9em){@media all{.nav{display:none}}}", ".nav{display:none} div{display:block} .nav{display:flex}", "@import 'x';@font-face{display:none}"):
+        assert page(css) == "menu", css
+    for css in (".nav{display:none}", "@media screen{.nav{display:none}}", "@media print{p{x:y}} .nav{display:none}", ".nav{display:none!important} .nav{display:block}", ".nav{display:none} div{display:block}", "@import 'x'; @media print, all {.nav{visibility:hidden}}"):
+        assert page(css) == "", css
+    assert html_text.render("<style media=print>.nav{display:none}</style><p class=nav>menu") == "menu"
+    assert html_text.render("<p>x <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> y") == "x a=2 y"
+    assert html_text.render("<svg><title>no</title><defs/><rect width=3 />no<text>one</text><g><text>two</text></g></svg>z") == "one two z"
+    assert html_text.render("a<textarea>\nb &amp;  c\n d</textarea>e") == "a\nb &  c\n d\ne"
+    assert html_text.render("pick <select><option>one<option selected>two<option>three</select> now") == "pick two now"
+    assert html_text.render("<select multiple><option>one<option>two</select>") == "one\ntwo"
