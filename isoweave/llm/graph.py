@@ -10,7 +10,8 @@
     graph of its nodes from its medoid, greedily, and goes on through all nodes in
     range once it has come into range.
 4.  Recall is audited against brute force on a bounded sample of nodes; below
-    `recall` the overlap is doubled and steps 2 and 3 run again.
+    `recall` the overlap is doubled and steps 2 and 3 run again; after three rounds
+    below it, blocks of nodes are compared exactly.
 5.  Found pairs of balls are verified in double precision.  Radii tell whether all
     or no members are linked; else members are compared, in blocks, and only
     counts come out.
@@ -106,7 +107,7 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE, alpha: float = 1.2, pool:
     return out
 
 
-def range_search(x: np.ndarray, adjacency: list[np.ndarray], reach: np.ndarray, beam: int = 48, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def range_search(x: np.ndarray, adjacency: list[np.ndarray], reach: np.ndarray, beam: int = 48) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) with cosine >= reach[query], queries being the nodes: greedy from the medoid, then on through all nodes in range."""
     n = len(x)
     width = max((len(a) for a in adjacency), default=0)
@@ -122,7 +123,7 @@ def range_search(x: np.ndarray, adjacency: list[np.ndarray], reach: np.ndarray,
         opened = np.zeros((m, n), bool)
         score[:, medoid] = q @ x[medoid]
         live = np.arange(m)
-        for _ in range(steps):
+        while True:  # every step opens a node of each live query, so this ends
             waiting = np.where(opened[live], -9.0, score[live])
             best = waiting.argmax(1)
             value = waiting[np.arange(len(live)), best]
@@ -193,9 +194,34 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
         if found >= recall:
             break
         overlap *= 2
+    else:
+        pairs = _exact(spark, nodes, n, theta)
     return _linked(spark, others, members, nodes, pairs, theta)
 
 
+def _exact(spark, nodes, n, theta, block: int = 2048):
+    """(a, b, angle) as of _pairs, of all pairs of nodes: blocks meet blocks."""
+    k = max(1, -(-n // block))
+    packed = nodes.withColumn("part", F.pmod(F.xxhash64("ball"), F.lit(k))).groupBy("part").agg(F.collect_list(F.struct("ball", "radius", "centre")).alias("rows"))
+    packed = written(spark, packed, "graph-blocks")
+    left = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).where("part <= other").select("part", "other", F.col("rows").alias("rows_a"))
+    meet = left.join(packed.select(F.col("part").alias("other"), F.col("rows").alias("rows_b")), "other")
+    meet = meet.repartition(partitions(spark, k * (k + 1) / 2, 4), "part", "other")
+
+    def compare(frames):
+        for pdf in frames:
+            for r in pdf.itertuples():
+                (x, p, a), (y, q, b) = ((np.frombuffer(b"".join(m["centre"] for m in rows), np.float64).reshape(len(rows), -1), np.array([m["radius"] for m in rows]), np.array([m["ball"] for m in rows], np.int64)) for rows in (r.rows_a, r.rows_b))
+                for lo in range(0, len(a), 512):
+                    angle = np.arccos(np.clip(x[lo : lo + 512] @ y.T, -1, 1))
+                    i, j = np.nonzero(angle <= theta + p[lo : lo + 512, None] + q[None, :] + _SAFE)
+                    u, v, w = a[lo + i], b[j], angle[i, j]
+                    keep = u < v if r.part == r.other else u != v
+                    yield pd.DataFrame({"a": np.minimum(u, v)[keep], "b": np.maximum(u, v)[keep], "angle": w[keep]})
+
+    return written(spark, meet.mapInPandas(compare, "a long, b long, angle double"), "graph-pairs")
+
+
 def _pairs(spark, rows, nodes, n, dim, theta, widest, shard, overlap):
     """(a, b, angle) of the pairs of balls whose members may be linked, a < b, and the audited recall."""
     k = max(1, -(-n * overlap // shard)) if n > shard else 1

@@ -78,3 +78,24 @@ def test_beam_search_beats_greedy():
     books = additive.fit(x, 4, 16)
     miss = lambda beam: ((x - additive.decode(additive.beam_encode(x, books, beam), books)) ** 2).sum()
     assert miss(8) <= miss(1)
+
+
+def test_graph_recall_is_assured(spark, monkeypatch):
+    """A search that finds nothing: blocks are compared; and a range search goes on through more than 400 nodes in range."""
+    from isoweave.llm import graph
+
+    r = np.random.default_rng(3)
+    base = r.normal(size=(40, 16))
+    x = np.concatenate([base + 0.05 * r.normal(size=base.shape) for _ in range(5)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = {q["vec_id"]: (q["n_links"], q["component_id"]) for q in graph.near_duplicates(spark, df).collect()}
+    monkeypatch.setattr(graph, "_pairs", lambda spark, *a: (spark.createDataFrame([], "a long, b long, angle double"), 0.0))
+    got = {q["vec_id"]: (q["n_links"], q["component_id"]) for q in graph.near_duplicates(spark, df).collect()}
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    links = (u @ u.T >= 0.95).sum(1) - 1
+    assert got == want and [got[i][0] for i in range(len(x))] == links.tolist() and links.max() > 0
+
+    line = np.c_[np.cos(np.linspace(0, 0.1, 900)), np.sin(np.linspace(0, 0.1, 900))].astype(np.float32)
+    path = [np.array([k for k in (i - 1, i + 1) if 0 <= k < 900]) for i in range(900)]
+    a, _ = graph.range_search(line, path, np.full(900, 0.99, np.float32))
+    assert len(a) == 900 * 900
