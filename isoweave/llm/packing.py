@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import gc
 import zlib
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -21,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches, own_cache, partitions, written
+from .common import doc_batches, lean, own_cache, partitions, written
 
 SIZE, END, GROUP = 4096, 2, 4096
 #: Signs that the tokenizer parts from letters before them, singly or in a row.
 SIGNS = ".,!|?%$#&*:;"
-#: Entries of the cache of encoded words.
-CACHE = 700_000
+#: Bytes of the cache of encoded words, and what an entry takes besides its word and ids.
+CACHE, ENTRY = 64 << 20, 180
 
 
 def encoder(path: str) -> "Words":
@@ -38,13 +39,17 @@ def encoder(path: str) -> "Words":
     return kept[path]
 
 
+def _room(entries) -> int:
+    return sum(ENTRY + len(w) + len(ids) for w, ids in entries)
+
+
 class Words:
     """Ids of texts by a tokenizer whose tokens never span white space: every run between blanks is encoded once and kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.bytes = Tokenizer.from_file(path), {}, 0
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
@@ -99,12 +104,13 @@ class Words:
         parted = self.learn(new)
         out = [b"".join(map(get, x)) if type(x) is list else x for x in out]
         # frequent words came early and stay; words made of others get half of the room at most
-        if len(known) > CACHE // 2:
+        if self.bytes > CACHE // 2:
             for w, _, _ in parted:
                 del known[w]
-        if len(known) > CACHE:
-            for _ in range(max(0, len(known) - size)):
+        while len(known) > size and self.bytes + _room(islice(known.items(), size, None)) > CACHE:
+            for _ in range((len(known) - size + 1) // 2):
                 known.popitem()
+        self.bytes += _room(islice(known.items(), size, None))
         return out
 
 
@@ -141,7 +147,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int =
     def run(batches):
         words, end = encoder(tokenizer_path), end_id.to_bytes(4, "little")
         gc.disable()  # millions of short-lived words, no cycles
-        for b in doc_batches(batches, 8 << 20):
+        for b in doc_batches(batches, 2 << 20):
             rows, ids = b.column("row").to_pylist(), b.column("doc_id").cast(pa.int64()).to_pylist()
             out = []
             for row, doc, x in zip(rows, ids, words.ids([t or "" for t in b.column("text").to_pylist()]), strict=True):
@@ -152,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int =
 
     names = ["row", "doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     rows = docs.select(F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("row"), "doc_id", "text")
-    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return rows.mapInArrow(lean(run), ", ".join(f"{n} long" for n in names))
 
 
 def pack(spark: SparkSession, cut: DataFrame, size: int = SIZE, group: int = GROUP, seed: int = 7) -> DataFrame:

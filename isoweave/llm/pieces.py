@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import doc_batches, own_cache
+from .common import doc_batches, lean, own_cache
 
 #: Segmentations per text; entries of a worker's cache of runs; what a character without a piece costs beyond the worst piece.
 NBEST, CACHE, PENALTY = 4, 800_000, 10.0
@@ -310,7 +310,7 @@ def encoded(docs: DataFrame, model_path: str | None = None, nbest: int = NBEST,
 
     names = ["doc_id", "rank", "score"] + (["n_pieces", "ids_crc32", "round_trip"] if digest else ["ids"])
     kinds = [pa.int64(), pa.int32(), pa.float64()] + ([pa.int64(), pa.int64(), pa.bool_()] if digest else [pa.list_(pa.int32())])
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, rank int, score double, {last}")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id long, rank int, score double, {last}")
 
 
 def decoded(encodings: DataFrame, model_path: str | None = None) -> DataFrame:
@@ -326,7 +326,7 @@ def decoded(encodings: DataFrame, model_path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "text"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{fields}, text string")
+    return kept.mapInArrow(lean(run), f"{fields}, text string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

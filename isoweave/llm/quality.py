@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches, own_cache, utf8, written
+from .common import doc_batches, lean, own_cache, utf8, written
 
 #: Documents that the scorer is trained on, at most; hashed features; entries of a worker's word cache.
 TRAIN, DIMS, CACHE = 8000, 1 << 16, 200_000
@@ -92,7 +92,7 @@ def weak_labels(docs: DataFrame) -> DataFrame:
             pattern = (votes(b.column("text")) + 1) @ powers
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(pattern, pa.int64())], ["doc_id", "pattern"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, pattern long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, pattern long")
 
 
 def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tol: float = 1e-9) -> dict:
@@ -230,7 +230,7 @@ def fit(spark: SparkSession, docs: DataFrame, train: int = TRAIN, dims: int = DI
                 ["idx", "val", "good"],
             )
 
-    got = chosen.mapInArrow(run, "idx binary, val binary, good double").limit(train).toPandas()
+    got = chosen.mapInArrow(lean(run), "idx binary, val binary, good double").limit(train).toPandas()
     rows = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32)) for a, b in zip(got["idx"], got["val"], strict=True)]
     return Model(fit_scorer(rows, got["good"].to_numpy(float), dims), labellers)
 
@@ -246,7 +246,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, "quality_score"])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, quality_score double")
+    return docs.mapInArrow(lean(run), f"{kinds}, quality_score double")
 
 
 def classify(spark: SparkSession, docs: DataFrame, threshold: float = 0.2, **fitting) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches, utf8
+from .common import doc_batches, lean, own_cache, utf8
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -310,6 +310,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, base, spans): arrays of (kind, start, end), one row per document, unfindable documents included."""
 
     def run(batches):
+        own_cache("secrets")  # lets go of what other operators kept
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for b in doc_batches(batches):
             maybe = _candidates(*utf8(b.column("text")))
@@ -321,7 +322,7 @@ def scan(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(base, kind), pa.array(spans, kind)], ["doc_id", "base", "spans"])
 
     kind = "array<struct<kind string, start long, end long>>"
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, base {kind}, spans {kind}")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id long, base {kind}, spans {kind}")
 
 
 def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
@@ -329,6 +330,7 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     schema = docs.schema
 
     def run(batches):
+        own_cache("secrets")
         for b in doc_batches(batches):
             maybe = _candidates(*utf8(b.column("text")))
             texts = b.column("text").to_pylist()
@@ -345,7 +347,7 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
             k = b.schema.get_field_index("text")
             yield b.set_column(k, b.schema.field(k).name, pa.array(texts, b.schema.field(k).type))
 
-    out = docs.mapInArrow(run, schema)
+    out = docs.mapInArrow(lean(run), schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, doc_batches, dropped, freed, min_label_components, own_cache, partitions, spanning, written
+from .common import carried, doc_batches, dropped, freed, lean, min_label_components, own_cache, partitions, spanning, written
 
 #: Members that one bucket compares in one task.
 BUCKET = 4096
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
             fps = [simhash(word_shingles(t.encode().lower(), width), seed) if t else 0 for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def covering_masks(free: list[int], radius: int) -> list[int]:
@@ -121,7 +121,7 @@ def links(spark: SparkSession, fps: DataFrame, radius: int = 3, bucket: int = BU
                         out.append((u.view(np.int64), v.view(np.int64)))
                 yield pd.DataFrame({"a": np.concatenate([x for x, _ in out]), "b": np.concatenate([y for _, y in out]), "mask": np.int64(0)})
 
-        got = written(spark, rows.repartition(parts, "mask", "key").sortWithinPartitions("mask", "key").mapInPandas(run, "a long, b long, mask long"), f"simhash-links{level}")
+        got = written(spark, rows.repartition(parts, "mask", "key").sortWithinPartitions("mask", "key").mapInPandas(lean(run), "a long, b long, mask long"), f"simhash-links{level}")
         found.append(got.where("mask = 0").select("a", "b"))
         large = got.where("mask <> 0")
         n = large.count() * len(masks)
@@ -136,7 +136,7 @@ def links(spark: SparkSession, fps: DataFrame, radius: int = 3, bucket: int = BU
                         whole = np.int64(_signed((int(mask) & (2**64 - 1)) | m))
                         yield pd.DataFrame({"mask": whole, "key": part["a"].to_numpy() & whole, "fp": part["a"]})
 
-        rows = large.mapInPandas(split, "mask long, key long, fp long")
+        rows = large.mapInPandas(lean(split), "mask long, key long, fp long")
     return reduce(DataFrame.unionByName, found)
 
 
@@ -237,7 +237,7 @@ def _ordering(texts: DataFrame, n: int, width: int) -> tuple[np.ndarray, np.ndar
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["token"])
 
     some = texts.where(F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(1 << 30)) < int(min(1.0, ORDER_TEXTS / max(n, 1)) * (1 << 30))).select("text")
-    top = some.mapInArrow(run, "token long").groupBy("token").count().where("count > 2").orderBy(F.desc("count"), "token").limit(ORDER_MOST).toPandas()
+    top = some.mapInArrow(lean(run), "token long").groupBy("token").count().where("count > 2").orderBy(F.desc("count"), "token").limit(ORDER_MOST).toPandas()
     top = top.sort_values(["count", "token"], ignore_index=True)
     order = top["token"].to_numpy(np.int64).view(np.uint64)
     rank = np.argsort(order, kind="stable")
@@ -267,7 +267,7 @@ def _buckets(texts: DataFrame, width: int, least: float, order: np.ndarray, rank
                 columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(keys, np.int64), sizes), np.repeat(np.array(ns, np.int32), sizes), at]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "key", "n", "at"])
 
-    return texts.select("key", "text").mapInArrow(run, "token long, key long, n int, at int")
+    return texts.select("key", "text").mapInArrow(lean(run), "token long, key long, n int, at int")
 
 
 def _first_pairs(buckets: DataFrame, least: float, small: int = SMALL) -> DataFrame:
@@ -304,7 +304,7 @@ def _first_pairs(buckets: DataFrame, least: float, small: int = SMALL) -> DataFr
                 yield found.frame().assign(token=np.int64(0), n=np.int32(-1), at=np.int32(0))
         yield found.frame().assign(token=np.int64(0), n=np.int32(-1), at=np.int32(0))
 
-    return buckets.sortWithinPartitions("token").mapInPandas(run, "a long, b long, token long, n int, at int")
+    return buckets.sortWithinPartitions("token").mapInPandas(lean(run), "a long, b long, token long, n int, at int")
 
 
 def _rest_pairs(large: DataFrame, labels: DataFrame, parts: int, least: float) -> DataFrame:
@@ -330,7 +330,7 @@ def _rest_pairs(large: DataFrame, labels: DataFrame, parts: int, least: float) -
         yield found.frame()
 
     dealt = rows.join(open_, "token", "left_semi").repartition(parts, "token").sortWithinPartitions("token")
-    return dealt.mapInPandas(run, "a long, b long").distinct()
+    return dealt.mapInPandas(lean(run), "a long, b long").distinct()
 
 
 def _pressed(shingles: np.ndarray) -> bytes:
@@ -357,7 +357,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 keep.append(shared > 0 and shared >= least * (len(x) + len(y) - shared))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(verify, "a long, b long")
+    return both.mapInArrow(lean(verify), "a long, b long")
 
 
 def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float = 0.8, small: int = SMALL) -> DataFrame:
@@ -387,7 +387,7 @@ def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float =
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sets, pa.binary())], ["key", "shingles"])
 
     lead = firsts.join(wanted, "key", "left_semi").select("doc_id", "key")
-    sets = texts.join(lead, ["doc_id", "key"], "left_semi").select("key", "text").mapInArrow(shingled, "key long, shingles binary")
+    sets = texts.join(lead, ["doc_id", "key"], "left_semi").select("key", "text").mapInArrow(lean(shingled), "key long, shingles binary")
     if n != different:  # rows that repeat both
         sets = sets.dropDuplicates(["key"])
     sets = written(spark, sets, "similar-sets")

@@ -37,7 +37,7 @@ import pyarrow.compute  # noqa: F401  (as pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches, freed, own_cache, partitions, utf8, written
+from .common import doc_batches, freed, lean, own_cache, partitions, utf8, written
 
 LENGTH, GRAM, BUCKET = 100, 32, 20_000
 #: Bytes of text that a task hashes at a time, and stretches that it sorts at a time (a bucket apart).
@@ -304,14 +304,14 @@ def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: in
     del dealt
     freed(spark)
 
-    samples = texts.mapInArrow(_samples(length, gram), "h long, doc_id long, at int, known boolean")
+    samples = texts.mapInArrow(lean(_samples(length, gram)), "h long, doc_id long, at int, known boolean")
     places = _repeated(spark, samples, total)
     by_doc = places.groupBy("doc_id").agg(F.collect_set("at").alias("places"))
     stretched = texts.join(by_doc.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "places").mapInArrow(
-        _stretches(length, gram), "h long, doc_id long, start long, n long, stretch binary"
+        lean(_stretches(length, gram)), "h long, doc_id long, start long, n long, stretch binary"
     )
     parts = partitions(spark, total, 8 << 20)
-    found = stretched.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_buckets(length, bucket), "h long, doc_id long, first long, last long, h2 long")
+    found = stretched.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(lean(_buckets(length, bucket)), "h long, doc_id long, first long, last long, h2 long")
     found = written(spark, found, "suffixes-found")
     least = found.where("h <> 0").groupBy("h", "h2").agg(F.min(F.struct("doc_id", "first")).alias("least"))
     spread = found.where("h <> 0").join(least, ["h", "h2"]).where("doc_id <> least.doc_id OR first <> least.first").select("doc_id", "first", "last")
@@ -345,7 +345,7 @@ def _repeated(spark: SparkSession, samples: DataFrame, total: int) -> DataFrame:
             if keep[-1]:
                 held = [held[0].slice(0, 0)]
 
-    return samples.repartition(partitions(spark, total, 64 << 20), "h").sortWithinPartitions("h").mapInArrow(run, "doc_id long, at int")
+    return samples.repartition(partitions(spark, total, 64 << 20), "h").sortWithinPartitions("h").mapInArrow(lean(run), "doc_id long, at int")
 
 
 def digest(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
@@ -367,7 +367,7 @@ def digest(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
             if rows:
                 yield _rows([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "sha"])
 
-    done = firsts.select("doc_id", "sha", "text", "runs").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, sha string")
+    done = firsts.select("doc_id", "sha", "text", "runs").mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, sha string")
     gone = F.col("n_bytes") >= length
     rest = copies.select(
         "doc_id", F.col("n_bytes").cast("long"), F.when(gone, F.col("n_bytes")).otherwise(0).cast("long").alias("n_removed"), gone.cast("long").alias("n_spans"),
@@ -393,7 +393,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
                     texts[i] = _marked(texts[i].encode(), [(r["first"], r["last"]) for r in runs], length)[0].decode("utf-8", "ignore")
             yield _rows([b.column("doc_id"), pa.array(texts, pa.string()), b.column("rest")], ["doc_id", "text", "rest"])
 
-    done = firsts.select("doc_id", "text", "rest", "runs").mapInArrow(run, f"doc_id long, text string, rest {firsts.schema['rest'].dataType.simpleString()}")
+    done = firsts.select("doc_id", "text", "rest", "runs").mapInArrow(lean(run), f"doc_id long, text string, rest {firsts.schema['rest'].dataType.simpleString()}")
     short = copies.where(F.col("n_bytes") < length).join(firsts.select("sha", "text"), "sha").select("doc_id", "text", "rest")
     gone = copies.where(F.col("n_bytes") >= length).select("doc_id", F.lit("").alias("text"), "rest")
     out = done.unionByName(short).unionByName(gone).withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
