@@ -160,6 +160,8 @@ def _words(text: bytes) -> list[bytes]:
 
 #: Buckets up to this size propose all their pairs at once; sampled texts and most shingles for the order of shingles; pairs worked out at once.
 SMALL, ORDER_TEXTS, ORDER_MOST, BLOCK = 8, 4000, 100_000, 1 << 20
+#: Shingles that a sketch samples at most, or thereabouts; texts of no more have sketches of them all.
+SAMPLED = 256
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
@@ -271,7 +273,7 @@ def _buckets(texts: DataFrame, width: int, least: float, order: np.ndarray, rank
 
 
 def _first_pairs(buckets: DataFrame, least: float, small: int = SMALL) -> DataFrame:
-    """Rows (a, b) of the pairs of small buckets, and of large ones' pairs with their smallest key; the rows of large buckets come out too, with their token.
+    """Rows (a, b) of the pairs of small buckets, and the rows of large ones (a = b = key) with their token.
 
     Pairs whose sizes or places rule the similarity out are left out: the bucket of the first shingle that two similar texts share never does.
     """
@@ -287,16 +289,12 @@ def _first_pairs(buckets: DataFrame, least: float, small: int = SMALL) -> DataFr
             token, key, n, at = token[o], key[o], n[o], at[o]
             starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
             sizes = np.diff(np.r_[starts, len(token)])
-            size, lead = np.repeat(sizes, sizes), np.repeat(starts, sizes)
+            size = np.repeat(sizes, sizes)
             for lag in range(1, min(small, int(sizes.max(initial=1)))):
                 i = np.flatnonzero((token[lag:] == token[:-lag]) & (size[lag:] <= small))
                 j = i + lag
                 ok = _may_reach(n[i], n[j], at[i], at[j], least)
                 found.add(key[i[ok]], key[j[ok]])
-            i = np.flatnonzero((size > small) & (lead != np.arange(len(token))))
-            j = lead[i]
-            ok = _may_reach(n[i], n[j], at[i], at[j], least)
-            found.add(key[i[ok]], key[j[ok]])
             large = size > small
             if large.any():
                 yield pd.DataFrame({"a": key[large], "b": key[large], "token": token[large], "n": n[large], "at": at[large]})
@@ -307,30 +305,162 @@ def _first_pairs(buckets: DataFrame, least: float, small: int = SMALL) -> DataFr
     return buckets.sortWithinPartitions("token").mapInPandas(lean(run), "a long, b long, token long, n int, at int")
 
 
-def _rest_pairs(large: DataFrame, labels: DataFrame, parts: int, least: float) -> DataFrame:
-    """All pairs of large buckets whose texts the pairs so far have not joined (labels: id, component), so that every bucket is settled."""
-    rows = large.select("token", F.col("a").alias("key"), "n", "at").join(labels, F.col("key") == F.col("id"), "left").select("token", "key", "n", "at", F.coalesce("component", "key").alias("label"))
-    open_ = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+def sketch(shingles: np.ndarray) -> bytes:
+    """Two parity sketches of a set, of samples of about SAMPLED shingles and of half as many, with the samples' sizes.
+
+    A sample holds the shingles whose hash begins with `level` zero bits (level 0: all).  Each shingle flips one of
+    512 bits, so two sketches differ in at most as many bits as their samples differ in shingles.
+    """
+    level = max(0, int(np.ceil(np.log2(max(len(shingles), 1) / SAMPLED))))
+    out, sizes = [], []
+    for k in (level, level + 1):
+        part = shingles if not k else shingles[: np.searchsorted(shingles, np.uint64(1 << (64 - k)))]
+        out.append(np.packbits((np.bincount((part & np.uint64(511)).astype(np.int64), minlength=512) & 1).astype(bool)).tobytes())
+        sizes.append(len(part))
+    return b"".join(out) + np.array([level | sizes[0] << 8 | sizes[1] << 32], "<u8").tobytes()
+
+
+class Sketches:
+    """Sketches side by side: words (n, 2, 8), sizes (n, 2), level (n)."""
+
+    def __init__(self, cells):
+        raw = np.frombuffer(b"".join(cells), "<u8").reshape(-1, 17)
+        last = raw[:, 16].astype(np.int64)
+        self.words, self.level, self.sizes = raw[:, :16].reshape(-1, 2, 8), last & 255, np.stack([last >> 8 & 0xFFFFFF, last >> 32], 1)
+
+
+def _most_apart(total: np.ndarray, least: float, sampled: np.ndarray) -> np.ndarray:
+    """In how many shingles samples of `total` shingles together can differ if the sets' similarity is `least` or more.
+
+    Exact where all shingles are in the sample; else six standard deviations above the expected number.
+    """
+    f = 1 - least
+    c = 6 * np.sqrt(f * (1 - f))
+    union = ((c + np.sqrt(c * c + 4 * (2 - f) * total)) / (2 * (2 - f))) ** 2
+    return np.where(sampled, 2 * union - total, total * f / (2 - f) + 1e-6)
+
+
+def alike(x: Sketches, i: np.ndarray, y: Sketches, j: np.ndarray, least: float) -> np.ndarray:
+    """Whether the sets of x[i[k]] and y[j[k]] may have a similarity of `least`, by their sketches."""
+    level = np.maximum(x.level[i], y.level[j])
+    p, q = level - x.level[i], level - y.level[j]
+    ok = (p < 2) & (q < 2)
+    p, q = np.minimum(p, 1), np.minimum(q, 1)
+    apart = np.bitwise_count(x.words[i, p] ^ y.words[j, q]).sum(1, dtype=np.int64)
+    return ok & (apart <= _most_apart(x.sizes[i, p] + y.sizes[j, q], least, level > 0))
+
+
+def alike_matrix(x: Sketches, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+    """alike() of all of i against all of j."""
+    out = np.zeros((len(i), len(j)), bool)
+    for level in np.unique(np.r_[x.level[i], x.level[j]]).tolist():
+        r, c = (np.flatnonzero((x.level[k] == level) | (x.level[k] == level - 1)) for k in (i, j))
+        if not len(r) or not len(c):
+            continue
+        p, q = level - x.level[i[r]], level - x.level[j[c]]
+        a, b = x.words[i[r], p], x.words[j[c], q]
+        apart = np.zeros((len(r), len(c)), np.uint16)
+        for w in range(8):
+            apart += np.bitwise_count(a[:, None, w] ^ b[None, :, w])
+        total = x.sizes[i[r], p][:, None] + x.sizes[j[c], q][None, :]
+        hit = (apart <= _most_apart(total, least, np.bool_(level > 0))) & ((p == 0)[:, None] | (q == 0)[None, :])
+        out[np.ix_(r, c)] |= hit
+    return out
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Whole buckets in order.  `rows` must be a written table: above a join on the token Spark would leave this shuffle
+    out and, once the join is made by broadcast, read the rows in the parts that they had before.
+    """
+    return rows.repartition(parts, "token").sortWithinPartitions("token")
+
+
+def _each_bucket(frames, least: float):
+    """Buckets one after the other: (rows, keys, a function that tells which of some rows may be similar to which others)."""
+    for pdf in carried(frames, ["token"]):
+        token = pdf["token"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(token)], strict=True):
+            part = pdf.iloc[s:e]
+            n, at, marks = part["n"].to_numpy(np.int64), part["at"].to_numpy(np.int64), Sketches(part["sketch"])
+
+            def close(i, j, n=n, at=at, marks=marks):
+                return _may_reach(n[i][:, None], n[j][None, :], at[i][:, None], at[j][None, :], least) & alike_matrix(marks, i, j, least)
+
+            yield part, part["key"].to_numpy(np.int64), close
+
+
+def _leader_pairs(rows: DataFrame, parts: int, least: float) -> DataFrame:
+    """For every large bucket a pair for each text that looks like an earlier leader; one that looks like none leads.  At most one pair a row."""
 
     def run(frames):
         found = _Pairs()
-        for pdf in carried(frames, ["token"]):
-            token, key, n, at, label = (pdf[c].to_numpy(np.int64) for c in ("token", "key", "n", "at", "label"))
-            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(token)], strict=True):
-                k, m, p, c = key[s:e], n[s:e], at[s:e], label[s:e]
-                step = max(1, BLOCK // len(k))
-                for lo in range(0, len(k), step):
-                    i, j = np.nonzero(c[lo : lo + step, None] != c[None, :])
-                    i += lo
-                    ok = (i < j) & _may_reach(m[i], m[j], p[i], p[j], least)
-                    found.add(k[i[ok]], k[j[ok]])
-                    if found.full():
-                        yield found.frame()
+        for _, key, close in _each_bucket(frames, least):
+            leaders = np.zeros(0, np.int64)
+            lo = 0
+            while lo < len(key):
+                own = np.arange(lo, min(lo + max(1, min(256, BLOCK // max(1, len(leaders)))), len(key)))
+                lo += len(own)
+                if len(leaders):
+                    hit = close(own, leaders)
+                    some = hit.any(1)
+                    found.add(key[own[some]], key[leaders[hit[some].argmax(1)]])
+                    own = own[~some]
+                near, free, new = close(own, own), np.ones(len(own), bool), []
+                for r in range(len(own)):
+                    if free[r]:
+                        free[r] = False
+                        new.append(own[r])
+                        mine = near[r] & free
+                        found.add(key[own[mine]], np.full(int(mine.sum()), key[own[r]]))
+                        free &= ~mine
+                leaders = np.r_[leaders, np.array(new, np.int64)]
+                if found.full():
+                    yield found.frame()
+        yield found.frame()
+
+    return _dealt(rows, parts).mapInPandas(lean(run), "a long, b long").where("a <> b").distinct()
+
+
+def _rest_pairs(spark: SparkSession, rows: DataFrame, labels: DataFrame, parts: int, least: float, one: bool) -> DataFrame:
+    """All pairs of large buckets that may be similar and that the links so far have not joined (labels: id, component), so that every bucket is settled.
+
+    one: only one pair for each text outside the largest component, so that most components meet before all their pairs come up.
+    """
+    named = rows.join(labels, F.col("key") == F.col("id"), "left").select("token", "key", "n", "at", "sketch", F.coalesce("component", "key").alias("label"))
+    open_ = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+
+    def run(frames):
+        found = _Pairs()
+        for part, key, close in _each_bucket(frames, least):
+            label, every = part["label"].to_numpy(np.int64), np.arange(len(key))
+            of = np.unique(label, return_inverse=True)[1]
+            few = np.flatnonzero(of != np.bincount(of).argmax())  # any two of different labels hold one outside the largest label
+            step = max(1, BLOCK // len(key))
+            for lo in range(0, len(few), step):
+                own = few[lo : lo + step]
+                hit = close(own, every) & (label[own][:, None] != label[None, :])
+                i, j = (x := np.flatnonzero(hit.any(1)), hit[x].argmax(1)) if one else np.nonzero(hit)
+                found.add(key[own[i]], key[j])
+                if found.full():
+                    yield found.frame()
         yield found.frame()
 
-    dealt = rows.join(open_, "token", "left_semi").repartition(parts, "token").sortWithinPartitions("token")
-    return dealt.mapInPandas(lean(run), "a long, b long").distinct()
+    return _dealt(written(spark, named.join(open_, "token", "left_semi"), "similar-open"), parts).mapInPandas(lean(run), "a long, b long").distinct()
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs that their sketches do not rule out."""
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("sketch").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("sketch").alias("y")), "b")
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x, y = (Sketches(b.column(c).to_pylist()) for c in ("x", "y"))
+                at = np.arange(b.num_rows)
+                yield b.select(["a", "b"]).filter(pa.array(alike(x, at, y, at, least)))
+
+    return both.mapInArrow(lean(run), "a long, b long")
 
 
 def _pressed(shingles: np.ndarray) -> bytes:
@@ -378,27 +508,33 @@ def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float =
     got = written(spark, _first_pairs(buckets, least, small), "similar-buckets")
     freed(spark)
     pairs = written(spark, got.where("n < 0").select("a", "b").distinct(), "similar-pairs")
-    large = got.where("n >= 0")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("a")).distinct()
+    large = got.where("n >= 0").select("token", F.col("a").alias("key"), "n", "at")
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("key")).distinct()
 
     def shingled(batches):
         for b in doc_batches(batches):
-            sets = [_pressed(shingle_set((t or "").encode(), width)) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(sets, pa.binary())], ["key", "shingles"])
+            sets = [shingle_set((t or "").encode(), width) for t in b.column("text").to_pylist()]
+            columns = [b.column("key"), pa.array(map(_pressed, sets), pa.binary()), pa.array(map(sketch, sets), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles", "sketch"])
 
     lead = firsts.join(wanted, "key", "left_semi").select("doc_id", "key")
-    sets = texts.join(lead, ["doc_id", "key"], "left_semi").select("key", "text").mapInArrow(lean(shingled), "key long, shingles binary")
+    sets = texts.join(lead, ["doc_id", "key"], "left_semi").select("key", "text").mapInArrow(lean(shingled), "key long, shingles binary, sketch binary")
     if n != different:  # rows that repeat both
         sets = sets.dropDuplicates(["key"])
     sets = written(spark, sets, "similar-sets")
     freed(spark)
-    links = written(spark, _verified(pairs, sets, least), "similar-links")
+    rows = written(spark, large.join(sets.select("key", "sketch"), "key"), "similar-rows")
+    likely = written(spark, _likely(pairs, sets, least).unionByName(_leader_pairs(rows, parts, least)).distinct(), "similar-likely")
+    links = written(spark, _verified(likely, sets, least), "similar-links")
     freed(spark)
     labels = written(spark, min_label_components(spark, links, "similar-cc"), "similar-labels")
-    rest = written(spark, _rest_pairs(large, labels, parts, least), "similar-rest")
-    if not rest.isEmpty():
-        more = written(spark, _verified(rest, sets, least), "similar-more")
-        labels = min_label_components(spark, links.unionByName(more), "similar-cc")
+    tried = [likely]
+    for one in (True, False):
+        rest = _rest_pairs(spark, rows, labels, parts, least, one).join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
+        tried.append(rest := written(spark, rest, "similar-rest"))
+        if not rest.isEmpty():
+            links = links.unionByName(written(spark, _verified(rest, sets, least), "similar-more"))
+            labels = written(spark, min_label_components(spark, links, "similar-cc"), "similar-labels")
     dropped(spark, sets)
     freed(spark)
     roots = firsts.join(labels, F.col("key") == F.col("id"), "left").select("key", "doc_id", "sha", "n", F.coalesce("component", "key").alias("root"))
@@ -406,7 +542,7 @@ def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float =
     groups = roots.groupBy("root").agg(F.min(F.struct("doc_id", "sha")).alias("low"), F.sum("n").alias("n")).where("n > 1").select("root", "low")
     out = names.join(roots.select("key", "root"), "key").join(groups, "root")
     out = written(spark, out.select("doc_id", "sha", F.col("low.doc_id").alias("component_id"), (F.struct("doc_id", "sha") == F.col("low")).alias("first")), "similar-out")
-    for table in (names, firsts, got, pairs, links, rest, roots):
+    for table in (names, firsts, got, pairs, rows, *tried, roots):
         dropped(spark, table)
     return out
 
