@@ -7,14 +7,15 @@ A byte goes if a string of `length` bytes that covers it also starts earlier
 1.  Documents with equal texts are found by SHA-256; only the first of them goes on.
 2.  Cover sample: every string of `length` bytes holds a sampled position, the
     leftmost smallest hash of its GRAM-byte strings, at an offset that its content
-    decides.  Equal strings thus share a sample at the same offset.  A sample
+    alone decides.  Equal strings thus share a sample at the same offset.  A sample
     whose GRAM bytes stand nowhere else rules out all suffixes that it covers.
 3.  The suffixes of a repeated sample form a bucket.  A sampled place ships its
-    suffixes as one stretch of text; equal stretches of a batch ship once.
-    Buckets come sorted, one after another, and their suffixes are sorted by
+    suffixes as one stretch of text; equal stretches of a task ship once.
+    Buckets come sorted, one after another, and in them equal stretches side by
+    side, of which the first alone goes on.  The suffixes of a bucket are sorted by
     bytes; of equal ones all but the first are removed.  Memory holds one bucket,
-    in parts: a bucket of more than BUCKET stretches goes on by 128-bit hashes of
-    its single suffixes, which spread over all tasks.
+    in parts: a bucket of more than BUCKET distinct stretches goes on by 128-bit
+    BLAKE2 digests of its single suffixes, which spread over all tasks.
 4.  Removed suffixes come back to their documents as runs of starts.
 
 The positional difference cover of the named method samples 9 of 64 positions
@@ -22,8 +23,9 @@ whatever the text; the sample used here takes about 2 in 70 and serves the same
 end, since both strings of a match hold it at one offset.  See the README.
 
 Nulls: a null text counts as empty; a null doc_id is ordered before all others.
-Rows that repeat both id and text are one document and give one row.  Empty
-tables give empty results.
+Rows that repeat both id and text are one document and give one row; rows that
+share an id but not the text are documents of their own, ordered by the SHA-256 of
+their texts.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -34,15 +36,19 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (as pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import doc_batches, freed, lean, own_cache, partitions, utf8, written
+from .common import doc_batches, dropped, freed, lean, own_cache, partitions, utf8, written
 
 LENGTH, GRAM, BUCKET = 100, 32, 20_000
 #: Bytes of text that a task hashes at a time, and stretches that it sorts at a time (a bucket apart).
 STEP, SORTED = 1 << 20, 2000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a place beside its hash; the smallest hashes are sought in parts of so many places.
+PLACE = 20
+#: Places of a document's second, third... text begin at multiples of this.
+NEXT = 1 << 33
 
 
 def _tables(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,15 +86,19 @@ def sampled(raw: np.ndarray, off: np.ndarray, length: int, gram: int):
     if n < length:
         return none, none, none, np.zeros(0, np.uint64), none
     h = gram_hashes(raw, gram)
-    bits = np.uint64(max(1, int(n).bit_length()))
-    key = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)  # the leftmost of equal hashes is the smallest
-    size = 1
-    while size * 2 <= w:
-        key = np.minimum(key[:-size], key[size:])
-        size *= 2
-    if size < w:
-        key = np.minimum(key[: len(key) - (w - size)], key[w - size :])
-    place = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    bits, places = np.uint64(PLACE), []
+    for lo in range(0, len(h) - w + 1, (1 << PLACE) - w):
+        part = h[lo : lo + (1 << PLACE) - 1]
+        # of equal hashes the leftmost is the smallest; the bits that stand for it are as many whatever the batch
+        key = (part >> bits << bits) | np.arange(len(part), dtype=np.uint64)
+        size = 1
+        while size * 2 <= w:
+            key = np.minimum(key[:-size], key[size:])
+            size *= 2
+        if size < w:
+            key = np.minimum(key[: len(key) - (w - size)], key[w - size :])
+        places.append((key & np.uint64((1 << PLACE) - 1)).astype(np.int64) + lo)
+    place = np.concatenate(places)
     valid = np.zeros(n + 1, np.int8)
     long = np.diff(off) >= length
     np.add.at(valid, off[:-1][long], 1)
@@ -109,6 +119,11 @@ def _rows(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names)
 
 
+def _named(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch's texts, and where their places begin."""
+    return b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), b.column("tie").to_numpy(zero_copy_only=False).astype(np.int64) * NEXT
+
+
 def _samples(length: int, gram: int):
     """Maps texts to rows of samples: one per distinct hash of a batch with its place; a hash met twice also gives all its places."""
 
@@ -116,9 +131,9 @@ def _samples(length: int, gram: int):
         for b in doc_batches(batches, STEP):
             raw, off = utf8(b.column("text"))
             place, _, _, h, text = sampled(raw, off, length, gram)
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, base = _named(b)
             order = np.argsort(h, kind="stable")
-            h, doc, at = h[order], ids[text[order]], (place - off[text])[order]
+            h, doc, at = h[order], ids[text[order]], (place - off[text] + base[text])[order]
             first = np.ones(len(h), bool)
             first[1:] = h[1:] != h[:-1]
             several = ~first
@@ -128,7 +143,7 @@ def _samples(length: int, gram: int):
                 [
                     pa.array(np.concatenate([h[first].view(np.int64), doc[several] * 7919 + at[several]])),
                     pa.array(np.concatenate([doc[first], doc[several]])),
-                    pa.array(np.concatenate([at[first], at[several]]).astype(np.int32)),
+                    pa.array(np.concatenate([at[first], at[several]])),
                     pa.array(np.concatenate([np.zeros(int(first.sum()), bool), np.ones(int(several.sum()), bool)])),
                 ],
                 ["h", "doc_id", "at", "known"],
@@ -141,27 +156,29 @@ def _stretches(length: int, gram: int):
     """Maps texts with the places of their repeated samples to stretches (one for each) or, for all but the first of equal stretches, to runs."""
 
     def run(batches):
+        seen: set[bytes] = set()  # the texts come in the order of their ids
         for b in doc_batches(batches, STEP):
             raw, off = utf8(b.column("text"))
             place, lo, hi, h, text = sampled(raw, off, length, gram)
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, base = _named(b)
             places = b.column("places")
-            starts = np.repeat(off[:-1], np.diff(places.offsets.to_numpy()))
-            wanted = np.unique(places.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + starts)
+            which = np.repeat(np.arange(b.num_rows), np.diff(places.offsets.to_numpy()))
+            at = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64) - base[which]
+            own = (at >= 0) & (at < NEXT)  # the others are places of another text of the same id
+            wanted = np.unique(at[own] + off[:-1][which[own]])
             keep = np.isin(place, wanted)
             place, lo, hi, h, text = place[keep], lo[keep], hi[keep], h[keep], text[keep]
             if not len(lo):
                 continue
-            doc, start, n = ids[text], lo - off[text], hi - lo + length
+            doc, start, n = ids[text], lo - off[text] + base[text], hi - lo + length
             order = np.lexsort((start, doc))
-            place, lo, hi, h, doc, start, n = (x[order] for x in (place, lo, hi, h, doc, start, n))
+            lo, hi, h, doc, start, n = (x[order] for x in (lo, hi, h, doc, start, n))
             whole = raw.tobytes()
-            seen: set[bytes] = set()
             fresh = np.zeros(len(lo), bool)
             text_of = []
-            for i, (a, e, p) in enumerate(zip(lo.tolist(), (lo + n).tolist(), (place - lo).tolist(), strict=True)):
+            for i, (a, e, g) in enumerate(zip(lo.tolist(), (lo + n).tolist(), h.tolist(), strict=True)):
                 s = whole[a:e]
-                key = p.to_bytes(2, "little") + s
+                key = hashlib.blake2b(s, digest_size=16, salt=g.to_bytes(8, "little")).digest()
                 if key not in seen:
                     seen.add(key)
                     fresh[i] = True
@@ -213,16 +230,37 @@ def _buckets(length: int, bucket: int):
 
     def hashed(t: pa.Table):
         for b in t.combine_chunks().to_batches(max_chunksize=SORTED):
-            raw, off = utf8(b.column("stretch").cast(pa.large_binary()).view(pa.large_string()))
             n, doc, start = (b.column(c).to_numpy() for c in ("n", "doc_id", "start"))
             which = np.repeat(np.arange(len(n)), n)
             step = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-            a, c = (gram_hashes(raw, length, seed)[off[which] + step].view(np.int64) for seed in (1, 2))
+            names = b"".join(hashlib.blake2b(x[k : k + length], digest_size=16).digest() for x, m in zip(b.column("stretch").to_pylist(), n.tolist(), strict=True) for k in range(m))
+            a, c = np.frombuffer(names, np.int64).reshape(-1, 2).T
             yield out(doc[which], start[which] + step, start[which] + step, np.where(a == 0, 1, a), c)
 
+    def distinct(batches):
+        """The first of equal stretches, and the runs of all others; they come side by side, the first one first."""
+        last = None
+        for b in (x.slice(k, SORTED) for x in batches for k in range(0, x.num_rows, SORTED)):
+            h, stretch = b.column("h").to_pylist(), b.column("stretch").to_pylist()
+            again = np.zeros(len(h), bool)
+            for i, now in enumerate(zip(h, stretch, strict=True)):
+                again[i] = now == last and len(now[1]) > 0
+                last = now
+            if again.any():
+                gone = b.filter(pa.array(again))
+                d, s, n = (gone.column(c).to_numpy() for c in ("doc_id", "start", "n"))
+                yield out(d, s, s + n - 1), None
+                b = b.filter(pa.array(~again))
+            yield None, b
+
     def run(batches):
         held, size, large = [], 0, None
-        for b in (x.slice(k, SORTED) for x in batches for k in range(0, x.num_rows, SORTED)):
+        for done, b in distinct(batches):
+            if done is not None:
+                yield done
+                continue
+            if not b.num_rows:
+                continue
             plain = b.column("stretch")
             empty = pa.compute.equal(pa.compute.binary_length(plain), 0)
             done = b.filter(empty)
@@ -276,8 +314,8 @@ def _marked(text: bytes, runs: list[tuple[int, int]], length: int) -> tuple[byte
     return b"".join(kept), spans
 
 
-def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
-    """(firsts, copies): the first document of every text with its removed runs, array<struct<first, last>> of starts, and the other rows.
+def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET):
+    """(firsts, copies, done): the first document of every text with its removed runs, array<struct<first, last>> of starts; the other rows; and what writes a result and cleans up.
 
     firsts: doc_id, sha, text, rest, runs; copies: doc_id, sha, n_bytes, rest; rest holds the other columns.
     """
@@ -287,14 +325,15 @@ def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: in
     lowest = F.lit(-(1 << 63))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), lowest).alias("doc_id"), F.sha2(text, 256).alias("sha"), text.alias("text"), rest.alias("rest"))
     marks = written(spark, rows.select("doc_id", "sha", F.octet_length("text").alias("n_bytes"), "rest"), "suffixes-marks")
-    first = marks.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"))
+    first = written(spark, marks.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes")), "suffixes-first")
     total = first.agg(F.sum("n_bytes")).first()[0] or 0
     copies = marks.join(first.select("sha", F.col("doc_id").alias("first_id")), "sha").where("doc_id <> first_id").drop("first_id")
 
     # the texts are dealt out by document once; all later joins find them in place
     n = partitions(spark, total, 32 << 20)
     name = f"isoweave_suffixes_{uuid.uuid4().hex}"
-    chosen = first.select("doc_id", F.col("sha").alias("own")).hint("shuffle_hash")
+    several = Window.partitionBy("doc_id").orderBy("sha")
+    chosen = first.select("doc_id", F.col("sha").alias("own"), (F.row_number().over(several) - 1).alias("tie")).hint("shuffle_hash")
     # equality in a form that does not become a join key: the rows must stay dealt out by doc_id alone, as the buckets are
     dealt = rows.repartition(n, "doc_id").join(chosen, "doc_id").where(F.array_contains(F.array("own"), F.col("sha"))).drop("own")
     if not marks.groupBy("doc_id", "sha").count().where("count > 1").isEmpty():
@@ -304,20 +343,31 @@ def repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: in
     del dealt
     freed(spark)
 
-    samples = texts.mapInArrow(lean(_samples(length, gram)), "h long, doc_id long, at int, known boolean")
+    samples = texts.mapInArrow(lean(_samples(length, gram)), "h long, doc_id long, at long, known boolean")
     places = _repeated(spark, samples, total)
     by_doc = places.groupBy("doc_id").agg(F.collect_set("at").alias("places"))
-    stretched = texts.join(by_doc.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "places").mapInArrow(
-        lean(_stretches(length, gram)), "h long, doc_id long, start long, n long, stretch binary"
-    )
+    placed = texts.join(by_doc.hint("shuffle_hash"), "doc_id").select("doc_id", "tie", "text", "places").sortWithinPartitions("doc_id", "tie")
+    stretched = placed.mapInArrow(lean(_stretches(length, gram)), "h long, doc_id long, start long, n long, stretch binary")
     parts = partitions(spark, total, 8 << 20)
-    found = stretched.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(lean(_buckets(length, bucket)), "h long, doc_id long, first long, last long, h2 long")
-    found = written(spark, found, "suffixes-found")
+    ordered = stretched.repartition(parts, "h").sortWithinPartitions("h", "stretch", "doc_id", "start")
+    found = written(spark, ordered.mapInArrow(lean(_buckets(length, bucket)), "h long, doc_id long, first long, last long, h2 long"), "suffixes-found")
     least = found.where("h <> 0").groupBy("h", "h2").agg(F.min(F.struct("doc_id", "first")).alias("least"))
     spread = found.where("h <> 0").join(least, ["h", "h2"]).where("doc_id <> least.doc_id OR first <> least.first").select("doc_id", "first", "last")
     gone = found.where("h = 0").select("doc_id", "first", "last").unionByName(spread)
     by_doc = gone.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    return texts.join(by_doc.hint("shuffle_hash"), "doc_id", "left"), copies
+    begin = F.col("tie") * F.lit(NEXT)
+    own = F.transform(F.filter("runs", lambda r: (r["first"] >= begin) & (r["first"] < begin + NEXT)), lambda r: F.struct((r["first"] - begin).alias("first"), (r["last"] - begin).alias("last")))
+    firsts = texts.join(by_doc.hint("shuffle_hash"), "doc_id", "left").withColumn("runs", own)
+
+    def done(out: DataFrame) -> DataFrame:
+        """Writes what comes of the texts, and deletes the work tables."""
+        out = written(spark, out, "suffixes-out")
+        spark.sql(f"DROP TABLE {name}")
+        for table in (marks, first, found):
+            dropped(spark, table)
+        return out
+
+    return firsts, copies, done
 
 
 def _repeated(spark: SparkSession, samples: DataFrame, total: int) -> DataFrame:
@@ -345,13 +395,13 @@ def _repeated(spark: SparkSession, samples: DataFrame, total: int) -> DataFrame:
             if keep[-1]:
                 held = [held[0].slice(0, 0)]
 
-    return samples.repartition(partitions(spark, total, 64 << 20), "h").sortWithinPartitions("h").mapInArrow(lean(run), "doc_id long, at int")
+    return samples.repartition(partitions(spark, total, 64 << 20), "h").sortWithinPartitions("h").mapInArrow(lean(run), "doc_id long, at long")
 
 
 def digest(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per document."""
     length = how.get("length", LENGTH)
-    firsts, copies = repeats(spark, docs, **how)
+    firsts, copies, done = repeats(spark, docs, **how)
 
     def run(batches):
         for b in batches:
@@ -367,13 +417,13 @@ def digest(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
             if rows:
                 yield _rows([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "sha"])
 
-    done = firsts.select("doc_id", "sha", "text", "runs").mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, sha string")
+    cut = firsts.select("doc_id", "sha", "text", "runs").mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, sha string")
     gone = F.col("n_bytes") >= length
     rest = copies.select(
         "doc_id", F.col("n_bytes").cast("long"), F.when(gone, F.col("n_bytes")).otherwise(0).cast("long").alias("n_removed"), gone.cast("long").alias("n_spans"),
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
     )
-    return written(spark, done.drop("sha").unionByName(rest), "suffixes-digest").withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    return done(cut.drop("sha").unionByName(rest)).withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
@@ -382,7 +432,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     A document that is a copy of an earlier one keeps its row with what is left of its text.  Null texts become empty.
     """
     length = how.get("length", LENGTH)
-    firsts, copies = repeats(spark, docs, **how)
+    firsts, copies, done = repeats(spark, docs, **how)
     columns, schema = docs.columns, docs.schema
 
     def run(batches):
@@ -393,10 +443,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
                     texts[i] = _marked(texts[i].encode(), [(r["first"], r["last"]) for r in runs], length)[0].decode("utf-8", "ignore")
             yield _rows([b.column("doc_id"), pa.array(texts, pa.string()), b.column("rest")], ["doc_id", "text", "rest"])
 
-    done = firsts.select("doc_id", "text", "rest", "runs").mapInArrow(lean(run), f"doc_id long, text string, rest {firsts.schema['rest'].dataType.simpleString()}")
+    cut = firsts.select("doc_id", "text", "rest", "runs").mapInArrow(lean(run), f"doc_id long, text string, rest {firsts.schema['rest'].dataType.simpleString()}")
     short = copies.where(F.col("n_bytes") < length).join(firsts.select("sha", "text"), "sha").select("doc_id", "text", "rest")
     gone = copies.where(F.col("n_bytes") >= length).select("doc_id", F.lit("").alias("text"), "rest")
-    out = done.unionByName(short).unionByName(gone).withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    out = done(cut.unionByName(short).unionByName(gone)).withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
     kept = {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in columns:
         kept["n_chars"] = F.length("text")

@@ -399,3 +399,27 @@ def test_html_shows_what_a_screen_shows():
     assert html_text.render("a<textarea>\nb &amp;  c\n d</textarea>e") == "a\nb &  c\n d\ne"
     assert html_text.render("pick <select><option>one<option selected>two<option>three</select> now") == "pick two now"
     assert html_text.render("<select multiple><option>one<option>two</select>") == "one\ntwo"
+
+
+def test_suffixes_of_rows_that_share_an_id(spark):
+    """Two texts of one id are documents of their own: a unique text keeps all its bytes though its namesake repeats."""
+    r = random.Random(8)
+    line = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    shared, unique, late = line(150), line(237), line(40)
+    docs = [(1, shared), (2, unique), (2, late + shared), (2, unique), (3, shared + unique[:120])]
+    got = sorted((x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"]) for x in suffixes.digest(spark, frame(spark, docs)).collect())
+    assert got == [(1, 150, 0, 0), (2, 190, 150, 1), (2, 237, 0, 0), (3, 270, 270, 1)]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("isoweave_suffixes")] == []
+
+
+def test_samples_depend_on_content_alone():
+    """The sample of a string is the same in a short batch and inside a long one that spans several parts."""
+    r = np.random.default_rng(4)
+    line = r.integers(97, 105, 400).astype(np.uint8)
+    alone = suffixes.sampled(line, np.array([0, 400]), 100, 32)
+    for at in (0, 5000, (1 << 20) - 150, (1 << 20) + 90):
+        long = r.integers(97, 105, (1 << 20) + 4000).astype(np.uint8)
+        long[at : at + 400] = line
+        place, lo, hi, h, _ = suffixes.sampled(long, np.array([0, len(long)]), 100, 32)
+        of = lambda p, lo, hi, shift: {s - shift: x - shift for x, a, e in zip(p, lo, hi, strict=True) for s in range(a, e + 1) if shift <= s <= shift + 300}
+        assert of(place, lo, hi, at) == of(alone[0], alone[1], alone[2], 0)
