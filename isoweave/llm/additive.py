@@ -14,19 +14,22 @@ Rows are coded once and packed into blocks; query blocks meet every row block
 
 Vectors that are null, zero or hold null or non-finite components, and rows with
 a null id, take no part.  Copies of a vector are scored once and rank by id.
-All vectors are taken to have the dimension of the first sampled one; others take
-no part.
+Vectors of different dimensions are searched among themselves.  Rows that share an
+id are rows of their own: each of them is a candidate for the others, and each has
+its k nearest if it is a query.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, written
-from .vectors import kmeans, matrix, sample, unit, usable
+from .common import lean, partitions, written
+from .vectors import kmeans, matrix, precision, sample, tagged, unit
 
 #: Codebooks, entries in each, beam, sampled rows for fitting, rows of a block, queries of a block.
 BOOKS, ENTRIES, BEAM, TRAIN, BLOCK, QUERIES = 16, 256, 4, 8000, 8192, 1024
@@ -92,7 +95,7 @@ def fit(x: np.ndarray, m: int = BOOKS, k: int = ENTRIES, rounds: int = 2, seed:
 def _near(q: np.ndarray, row: dict, k: int, books: np.ndarray, probe: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, score) of the k nearest distinct vectors of a block; q: unit rows."""
     tables = np.einsum("qd,mkd->qmk", q.astype(np.float32), books)
-    codes, missed, x = row["codes"], row["missed"], row["x"]
+    codes, missed, norm, x = row["codes"], row["missed"], row["norm"], row["x"]
     n = len(codes)
     out = []
     for i in range(len(q)):
@@ -100,7 +103,7 @@ def _near(q: np.ndarray, row: dict, k: int, books: np.ndarray, probe: int = 64)
         for b in range(codes.shape[1]):
             score += tables[i, b][codes[:, b]]
         upper = score + missed  # no row's cosine is above: the query has length 1
-        first = np.argpartition(-score, min(probe, n) - 1)[: min(probe, n)]
+        first = np.argpartition(-score / norm, min(probe, n) - 1)[: min(probe, n)]  # by the cosine with the coded forms
         exact = (x[first] * q[i]).sum(1)
         least = np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else -2.0
         cand = np.flatnonzero(upper >= least - 1e-5)
@@ -113,65 +116,80 @@ def _near(q: np.ndarray, row: dict, k: int, books: np.ndarray, probe: int = 64)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 5, books: int = BOOKS, train: int = TRAIN, block: int = BLOCK, seed: int = 0) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows of `vectors` by cosine for each row of `queries`, its own id left out."""
-    rows = usable(vectors)
+def search(spark: SparkSession, vectors: DataFrame, queries: Column | DataFrame, k: int = 5, books: int = BOOKS, train: int = TRAIN, block: int = BLOCK, seed: int = 0) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest rows of `vectors` by cosine for each query.
+
+    queries: a condition on `vectors`, whose rows are then the queries and no candidates of their own; or a table of
+    other vectors, for which all of `vectors` are candidates.
+    """
+    if isinstance(queries, DataFrame):
+        rows, dims = tagged(spark, vectors, "additive-rows")
+        asked, _ = tagged(spark, queries, "additive-asked")
+        asked = asked.withColumn("uid", -1 - F.col("uid"))
+    else:
+        rows, dims = tagged(spark, vectors, "additive-rows", F.coalesce(queries, F.lit(False)).alias("asked"))
+        asked = rows.where("asked")
+    none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    of = lambda df, d: df.where(F.col("dim") == d).select("vec_id", "embedding", "uid")
+    kinds = (precision(vectors), precision(asked))
+    return reduce(DataFrame.unionByName, (_search(spark, of(rows, d), of(asked, d), d, kinds, k, books, train, block, seed) for d in dims), none)
+
+
+def _search(spark, rows, asked, dim, kinds, k, books, train, block, seed) -> DataFrame:
+    """search() of usable rows of one dimension."""
     n = rows.count()
-    schema = "query_id long, rank int, vec_id long, score double"
-    learnt = sample(rows, train, seed, n)
-    if not len(learnt):
-        return spark.createDataFrame([], schema)
-    dim = len(learnt["embedding"].iloc[0])
-    learnt = learnt[learnt["embedding"].map(len) == dim]
+    learnt = sample(rows.select("vec_id", "embedding"), train, seed, n)
     model = fit(unit(matrix(learnt["embedding"])).astype(np.float32), books, seed=seed)
     n_blocks = max(1, -(-n // block))
-    asked = usable(queries).where(F.size("embedding") == dim)
     n_query_blocks = max(1, -(-asked.count() // QUERIES))
+    kind, asked_kind = kinds
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        """A block of rows in one: distinct vectors, the smallest k + 1 ids of each, codes and norms."""
-        pdf = pdf.sort_values("vec_id", ignore_index=True)
-        raw = matrix(pdf["embedding"])
-        _, first, inverse = np.unique(np.ascontiguousarray(raw).view(f"V{raw.shape[1] * 4}").ravel(), return_index=True, return_inverse=True)
+        """A block of rows in one: distinct vectors, the k + 1 rows of smallest ids of each, codes and norms."""
+        pdf = pdf.sort_values(["vec_id", "uid"], ignore_index=True)
+        raw = matrix(pdf["embedding"], kind)
+        _, first, inverse = np.unique(np.ascontiguousarray(raw).view(f"V{raw.shape[1] * raw.itemsize}").ravel(), return_index=True, return_inverse=True)
         order = np.argsort(inverse, kind="stable")
         rank = np.arange(len(order)) - np.r_[0, np.cumsum(np.bincount(inverse))][inverse[order]]
         few = order[rank <= k]
         x = unit(raw[first])
         codes = beam_encode(x.astype(np.float32), model)
-        missed = np.sqrt(((x - decode(codes, model)) ** 2).sum(1)).astype(np.float32)
-        cells = [raw[first].tobytes(), codes.tobytes(), missed.tobytes(), pdf["vec_id"].to_numpy(np.int64)[few].tobytes(), inverse[few].astype(np.int64).tobytes()]
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], **{f"c{i}": [c] for i, c in enumerate(cells)}})
+        coded = decode(codes, model)
+        norms = np.stack([np.sqrt(((x - coded) ** 2).sum(1)), np.maximum(np.sqrt((coded * coded).sum(1)), 1e-6)]).astype(np.float32)
+        cells = [raw[first], codes, norms, pdf["vec_id"].to_numpy(np.int64)[few], inverse[few].astype(np.int64), pdf["uid"].to_numpy(np.int64)[few]]
+        return pd.DataFrame({"block": [pdf["block"].iloc[0]], **{f"c{i}": [c.tobytes()] for i, c in enumerate(cells)}})
 
-    base = rows.where(F.size("embedding") == dim).withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "vec_id"), F.lit(n_blocks)))
-    packed = written(spark, base.groupBy("block").applyInPandas(pack, "block long, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary"), "additive-blocks")
+    base = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "uid"), F.lit(n_blocks)))
+    packed = written(spark, base.groupBy("block").applyInPandas(pack, "block long, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary, c5 binary"), "additive-blocks")
 
     def pack_queries(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"qb": [pdf["qb"].iloc[0]], "q": [matrix(pdf["embedding"]).tobytes()], "qid": [pdf["vec_id"].to_numpy(np.int64).tobytes()]})
+        cells = [matrix(pdf["embedding"], asked_kind), pdf["vec_id"].to_numpy(np.int64), pdf["uid"].to_numpy(np.int64)]
+        return pd.DataFrame({"qb": [pdf["qb"].iloc[0]], **{c: [x.tobytes()] for c, x in zip(("q", "qid", "quid"), cells, strict=True)}})
 
-    query_blocks = asked.withColumn("qb", F.pmod(F.xxhash64(F.lit(seed + 2), "vec_id"), F.lit(n_query_blocks))).groupBy("qb").applyInPandas(pack_queries, "qb long, q binary, qid binary")
+    query_blocks = asked.withColumn("qb", F.pmod(F.xxhash64(F.lit(seed + 2), "uid"), F.lit(n_query_blocks))).groupBy("qb").applyInPandas(pack_queries, "qb long, q binary, qid binary, quid binary")
     meetings = packed.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1)).cast("array<long>"))).join(query_blocks, "qb")
 
     def meet(frames):
         for pdf in frames:
             for r in pdf.itertuples():
-                q, qid = unit(np.frombuffer(r.q, np.float32).reshape(-1, dim)), np.frombuffer(r.qid, np.int64)
-                x = unit(np.frombuffer(r.c0, np.float32).reshape(-1, dim))
-                ids, of = np.frombuffer(r.c3, np.int64), np.frombuffer(r.c4, np.int64)
+                q, qid, quid = unit(np.frombuffer(r.q, asked_kind).reshape(-1, dim)), np.frombuffer(r.qid, np.int64), np.frombuffer(r.quid, np.int64)
+                x = unit(np.frombuffer(r.c0, kind).reshape(-1, dim))
+                ids, of, uid = (np.frombuffer(c, np.int64) for c in (r.c3, r.c4, r.c5))
                 starts = np.searchsorted(of, np.arange(len(x) + 1))
-                row = {"x": x, "codes": np.frombuffer(r.c1, np.uint8).reshape(len(x), -1), "missed": np.frombuffer(r.c2, np.float32)}
+                missed, norm = np.frombuffer(r.c2, np.float32).reshape(2, -1)
+                row = {"x": x, "codes": np.frombuffer(r.c1, np.uint8).reshape(len(x), -1), "missed": missed, "norm": norm}
                 qi, at, score = _near(q, row, k + 1, model)
                 sizes = starts[at + 1] - starts[at]
                 pick = np.repeat(starts[at] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-                out = pd.DataFrame({"query_id": np.repeat(qid[qi], sizes), "vec_id": ids[pick], "score": np.repeat(score, sizes)})
-                out = out[out["query_id"] != out["vec_id"]].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-                yield out.groupby("query_id").head(k)
+                out = pd.DataFrame({"query": np.repeat(quid[qi], sizes), "query_id": np.repeat(qid[qi], sizes), "vec_id": ids[pick], "uid": uid[pick], "score": np.repeat(score, sizes)})
+                out = out[out["query"] != out["uid"]].sort_values(["query", "score", "vec_id", "uid"], ascending=[True, False, True, True])
+                yield out.groupby("query").head(k)
 
     parts = partitions(spark, n_blocks * n_query_blocks, 1)
-    found = meetings.repartition(parts, "qb", "block").mapInPandas(meet, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = meetings.repartition(parts, "qb", "block").mapInPandas(lean(meet), "query long, query_id long, vec_id long, uid long, score double")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "uid")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return search(spark, vectors, vectors.where("vec_id % 50 = 0"))
+    return search(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)

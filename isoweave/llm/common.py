@@ -50,6 +50,14 @@ def partitions(spark: SparkSession, n_items: float, each: float) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), math.ceil(n_items / each))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """`name`, with as many underscores before it as make it none of the columns, whose case does not count."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 _caches: dict[str, dict] = {}
 
 

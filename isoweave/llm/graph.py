@@ -16,22 +16,24 @@
     or no members are linked; else members are compared, in blocks, and only
     counts come out.
 
-Vectors that are null, zero or hold null or non-finite components, or whose
-dimension is not the first sampled one's, link with nothing.  Repeated vec_ids are
-separate vectors that share an id; a null vec_id is linked to nothing.
+Vectors that are null, zero or hold null or non-finite components link with
+nothing; vectors of different dimensions are compared among themselves.  Repeated
+vec_ids are separate vectors that share an id, each with a row of its own; a null
+vec_id is linked to nothing.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import min_label_components, partitions, written
-from .vectors import kmeans, matrix, sample, unit, usable
+from .common import lean, min_label_components, partitions, written
+from .vectors import kmeans, matrix, sample, tagged, unit
 
 #: Nodes of a shard, shards per node, neighbours per node, sampled rows for centroids, audited nodes.
 SHARD, OVERLAP, DEGREE, TRAIN, AUDIT = 2048, 3, 24, 20_000, 128
@@ -157,14 +159,15 @@ def _vectors(column: pd.Series) -> np.ndarray:
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95, recall: float = 0.95, shard: int = SHARD, overlap: int = OVERLAP) -> DataFrame:
     """(vec_id, n_links, component_id), one row per row of `vectors`."""
+    rows, dims = tagged(spark, vectors, "graph-rows")
+    none = rows.where("dim = 0").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return reduce(DataFrame.unionByName, (_linked_rows(spark, rows.where(F.col("dim") == d), cosine, recall, shard, overlap) for d in dims), none)
+
+
+def _linked_rows(spark: SparkSession, rows: DataFrame, cosine: float, recall: float, shard: int, overlap: int) -> DataFrame:
+    """near_duplicates() of usable rows of one dimension."""
     theta = math.acos(cosine)
     half = theta / 2 - _SAFE
-    rows = usable(vectors)
-    first = rows.select(F.size("embedding").alias("d")).groupBy("d").count().orderBy(F.desc("count"), "d").first()
-    others = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    if first is None:
-        return others.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    dim = first[0]
 
     def cut(frames):
         for k, pdf in enumerate(frames):
@@ -182,25 +185,25 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, cosine: float = 0.9
             size = np.bincount(of, minlength=len(centre))
             raw = _bytes(x)
             c = _bytes(centre)
-            yield pd.DataFrame({"ball": name[of], "vec_id": ids, "size": size[of], "radius": radius[of], "low": low[of], "centre": [c[b] if u == name[b] else None for b, u in zip(of, uid, strict=True)], "x": [r if size[b] > 1 else None for r, b in zip(raw, of, strict=True)]})
+            yield pd.DataFrame({"ball": name[of], "uid": uid, "vec_id": ids, "size": size[of], "radius": radius[of], "low": low[of], "centre": [c[b] if u == name[b] else None for b, u in zip(of, uid, strict=True)], "x": [r if size[b] > 1 else None for r, b in zip(raw, of, strict=True)]})
 
-    tagged = rows.where(F.size("embedding") == dim).select("vec_id", "embedding", F.monotonically_increasing_id().alias("uid"))
-    members = written(spark, tagged.mapInPandas(cut, "ball long, vec_id long, size long, radius double, low long, centre binary, x binary"), "graph-members")
+    members = rows.select("vec_id", "embedding", "uid").mapInPandas(lean(cut), "ball long, uid long, vec_id long, size long, radius double, low long, centre binary, x binary")
+    members = written(spark, members, "graph-members")
     nodes = members.where("centre IS NOT NULL").select("ball", "size", "radius", "low", "centre")
     n = nodes.count()
     widest = nodes.agg(F.max("radius")).first()[0] or 0.0
     for _ in range(3):
-        pairs, found = _pairs(spark, rows, nodes, n, dim, theta, widest, shard, overlap)
+        pairs, found = _pairs(spark, rows, nodes, n, theta, widest, shard, overlap)
         if found >= recall:
             break
         overlap *= 2
     else:
         pairs = _exact(spark, nodes, n, theta)
-    return _linked(spark, others, members, nodes, pairs, theta)
+    return _linked(spark, members, nodes, pairs, cosine)
 
 
 def _exact(spark, nodes, n, theta, block: int = 2048):
-    """(a, b, angle) as of _pairs, of all pairs of nodes: blocks meet blocks."""
+    """(a, b, dot, angle) as of _pairs, of all pairs of nodes: blocks meet blocks."""
     k = max(1, -(-n // block))
     packed = nodes.withColumn("part", F.pmod(F.xxhash64("ball"), F.lit(k))).groupBy("part").agg(F.collect_list(F.struct("ball", "radius", "centre")).alias("rows"))
     packed = written(spark, packed, "graph-blocks")
@@ -213,19 +216,20 @@ def _exact(spark, nodes, n, theta, block: int = 2048):
             for r in pdf.itertuples():
                 (x, p, a), (y, q, b) = ((np.frombuffer(b"".join(m["centre"] for m in rows), np.float64).reshape(len(rows), -1), np.array([m["radius"] for m in rows]), np.array([m["ball"] for m in rows], np.int64)) for rows in (r.rows_a, r.rows_b))
                 for lo in range(0, len(a), 512):
-                    angle = np.arccos(np.clip(x[lo : lo + 512] @ y.T, -1, 1))
+                    dot = x[lo : lo + 512] @ y.T
+                    angle = np.arccos(np.clip(dot, -1, 1))
                     i, j = np.nonzero(angle <= theta + p[lo : lo + 512, None] + q[None, :] + _SAFE)
-                    u, v, w = a[lo + i], b[j], angle[i, j]
+                    u, v = a[lo + i], b[j]
                     keep = u < v if r.part == r.other else u != v
-                    yield pd.DataFrame({"a": np.minimum(u, v)[keep], "b": np.maximum(u, v)[keep], "angle": w[keep]})
+                    yield pd.DataFrame({"a": np.minimum(u, v)[keep], "b": np.maximum(u, v)[keep], "dot": dot[i, j][keep], "angle": angle[i, j][keep]})
 
-    return written(spark, meet.mapInPandas(compare, "a long, b long, angle double"), "graph-pairs")
+    return written(spark, meet.mapInPandas(lean(compare), "a long, b long, dot double, angle double"), "graph-pairs")
 
 
-def _pairs(spark, rows, nodes, n, dim, theta, widest, shard, overlap):
-    """(a, b, angle) of the pairs of balls whose members may be linked, a < b, and the audited recall."""
+def _pairs(spark, rows, nodes, n, theta, widest, shard, overlap):
+    """(a, b, dot, angle) of the pairs of balls whose members may be linked, a < b, and the audited recall."""
     k = max(1, -(-n * overlap // shard)) if n > shard else 1
-    learnt = sample(rows.where(F.size("embedding") == dim), TRAIN, 3)
+    learnt = sample(rows.select("vec_id", "embedding"), TRAIN, 3)
     centroids = kmeans(unit(matrix(learnt["embedding"])).astype(np.float32), min(k, len(learnt)))
     take = min(overlap, len(centroids))
 
@@ -237,7 +241,7 @@ def _pairs(spark, rows, nodes, n, dim, theta, widest, shard, overlap):
             at = np.repeat(np.arange(len(pdf)), take)
             yield pd.DataFrame({"shard": near.ravel(), "ball": pdf["ball"].to_numpy()[at], "radius": pdf["radius"].to_numpy()[at], "centre": pdf["centre"].to_numpy()[at]})
 
-    dealt = nodes.select("ball", "radius", "centre").mapInPandas(deal, "shard long, ball long, radius double, centre binary")
+    dealt = nodes.select("ball", "radius", "centre").mapInPandas(lean(deal), "shard long, ball long, radius double, centre binary")
     dealt = written(spark, dealt.repartition(partitions(spark, len(centroids), 2), "shard"), "graph-shards")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -266,17 +270,23 @@ def _pairs(spark, rows, nodes, n, dim, theta, widest, shard, overlap):
         u, v = np.minimum(u, v), np.maximum(u, v)
         keep = u != v
         u, v = u[keep], v[keep]
-        angle = np.arccos(np.clip((x[u] * x[v]).sum(1), -1, 1))
+        dot = (x[u] * x[v]).sum(1)
+        angle = np.arccos(np.clip(dot, -1, 1))
         r = pdf["radius"].to_numpy()
         keep = angle <= theta + r[u] + r[v] + _SAFE
-        return pd.DataFrame({"a": names[u[keep]], "b": names[v[keep]], "angle": angle[keep]})
+        return pd.DataFrame({"a": names[u[keep]], "b": names[v[keep]], "dot": dot[keep], "angle": angle[keep]})
 
-    pairs = graph.groupBy("shard").applyInPandas(look, "a long, b long, angle double").dropDuplicates(["a", "b"])
+    pairs = graph.groupBy("shard").applyInPandas(look, "a long, b long, dot double, angle double").dropDuplicates(["a", "b"])
     pairs = written(spark, pairs, "graph-pairs")
 
-    # audit: sampled nodes against all nodes, in blocks
-    part = min(1.0, 0.9 * AUDIT / max(n, 1)) if n > AUDIT else 1.0
-    asked = nodes.where(F.pmod(F.xxhash64(F.lit(5), "ball"), F.lit(1 << 30)) < int(part * (1 << 30))).select("ball", "radius", "centre").limit(AUDIT).toPandas()
+    # audit: sampled nodes against all nodes, in blocks; half of them from all nodes, half from those with a pair
+    def some(among: DataFrame, of: int) -> DataFrame:
+        part = min(1.0, 0.45 * AUDIT / max(of, 1))
+        return among.where(F.pmod(F.xxhash64(F.lit(5), "ball"), F.lit(1 << 30)) < int(part * (1 << 30))).select("ball").limit(AUDIT // 2)
+
+    paired = pairs.select(F.col("a").alias("ball")).union(pairs.select("b")).distinct()
+    chosen = some(nodes, n).union(some(paired, paired.count())).distinct()
+    asked = nodes.join(chosen, "ball", "left_semi").select("ball", "radius", "centre").toPandas()
     if not len(asked):
         return pairs, 1.0
     q, names, radius = _vectors(asked["centre"]), asked["ball"].to_numpy(), asked["radius"].to_numpy()
@@ -289,50 +299,48 @@ def _pairs(spark, rows, nodes, n, dim, theta, widest, shard, overlap):
             keep = a != b
             yield pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
 
-    truth = nodes.select("ball", "radius", "centre").mapInPandas(brute, "a long, b long").distinct()
+    truth = nodes.select("ball", "radius", "centre").mapInPandas(lean(brute), "a long, b long").distinct()
     got = truth.join(pairs.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
     return pairs, got[1] / got[0] if got[0] else 1.0
 
 
-def _linked(spark, others, members, nodes, pairs, theta, block: int = 2048):
+def _linked(spark, members, nodes, pairs, cosine, block: int = 2048):
     """Counts and components from verified pairs."""
+    theta = math.acos(cosine)
     named = pairs.join(nodes.select(F.col("ball").alias("a"), F.col("size").alias("size_a"), F.col("radius").alias("ra")), "a")
     named = named.join(nodes.select(F.col("ball").alias("b"), F.col("size").alias("size_b"), F.col("radius").alias("rb")), "b")
     whole = F.col("angle") + F.col("ra") + F.col("rb") <= theta - _SAFE
     lone = (F.col("size_a") == 1) & (F.col("size_b") == 1)
-    named = named.withColumn("kind", F.when(whole, "all").when(lone & (F.cos("angle") >= math.cos(theta)), "all").when(lone, "none").otherwise("some"))
+    named = named.withColumn("kind", F.when(lone & (F.col("dot") >= cosine), "all").when(~lone & whole, "all").when(lone, "none").otherwise("some"))
     every = named.where("kind = 'all'")
     bulk = every.select(F.col("a").alias("ball"), F.col("size_b").alias("n")).unionByName(every.select(F.col("b").alias("ball"), F.col("size_a").alias("n"))).groupBy("ball").agg(F.sum("n").alias("bulk"))
 
     # some members of the pair may be linked: members meet in blocks, counts come out
     some = named.where("kind = 'some'").select("a", "b")
-    packed = members.withColumn("part", F.floor(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) * F.ceil(F.col("size") / block) / F.lit(1 << 20)))
+    packed = members.withColumn("part", F.floor(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)) * F.ceil(F.col("size") / block) / F.lit(1 << 20)))
     vector = F.coalesce("x", "centre")
-    packed = packed.groupBy("ball", "part").agg(F.collect_list(F.struct("vec_id", vector.alias("x"))).alias("rows"))
+    packed = packed.groupBy("ball", "part").agg(F.collect_list(F.struct("uid", vector.alias("x"))).alias("rows"))
     meet = some.join(packed.select(F.col("ball").alias("a"), F.col("rows").alias("rows_a")), "a").join(packed.select(F.col("ball").alias("b"), F.col("rows").alias("rows_b")), "b")
-    least = math.cos(theta)
 
     def count(frames):
         for pdf in frames:
             for r in pdf.itertuples():
                 x, y = (np.frombuffer(b"".join(m["x"] for m in rows), np.float64).reshape(len(rows), -1) for rows in (r.rows_a, r.rows_b))
-                hit = x @ y.T >= least
+                hit = x @ y.T >= cosine
                 if hit.any():
-                    ids_a, ids_b = ([m["vec_id"] for m in rows] for rows in (r.rows_a, r.rows_b))
+                    ids_a, ids_b = ([m["uid"] for m in rows] for rows in (r.rows_a, r.rows_b))
                     n_a, n_b = hit.sum(1), hit.sum(0)
-                    yield pd.DataFrame({"ball": [r.a] * len(ids_a) + [r.b] * len(ids_b), "vec_id": ids_a + ids_b, "n": np.r_[n_a, n_b], "a": r.a, "b": r.b})
+                    yield pd.DataFrame({"ball": [r.a] * len(ids_a) + [r.b] * len(ids_b), "uid": ids_a + ids_b, "n": np.r_[n_a, n_b], "a": r.a, "b": r.b})
 
-    counted = written(spark, meet.mapInPandas(count, "ball long, vec_id long, n long, a long, b long").where("n > 0"), "graph-counts")
+    counted = written(spark, meet.mapInPandas(lean(count), "ball long, uid long, n long, a long, b long").where("n > 0"), "graph-counts")
     edges = every.select("a", "b").unionByName(counted.select("a", "b").distinct())
     comp = min_label_components(spark, edges, "graph-cc")
     roots = nodes.select("ball", "low", "size").join(comp, nodes.ball == comp.id, "left").select("ball", "low", F.coalesce("component", "ball").alias("root"))
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     by_ball = roots.join(lowest, "root").join(bulk, "ball", "left").select("ball", "component_id", F.coalesce("bulk", F.lit(0)).alias("bulk"))
-    single = counted.groupBy("ball", "vec_id").agg(F.sum("n").alias("single"))
-    out = members.select("ball", "vec_id", "size").join(by_ball, "ball").join(single, ["ball", "vec_id"], "left")
-    out = written(spark, out.select("vec_id", (F.col("size") - 1 + F.col("bulk") + F.coalesce("single", F.lit(0))).cast("long").alias("n_links"), "component_id"), "graph-out")
-    left = others.join(out.select("vec_id").distinct(), "vec_id", "left_anti").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return out.unionByName(left)
+    single = counted.groupBy("uid").agg(F.sum("n").alias("single"))
+    out = members.select("ball", "uid", "vec_id", "size").join(by_ball, "ball").join(single, "uid", "left")
+    return written(spark, out.select("vec_id", (F.col("size") - 1 + F.col("bulk") + F.coalesce("single", F.lit(0))).cast("long").alias("n_links"), "component_id"), "graph-out")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 A tokenizer and a tree builder with implied end tags make a tree of each whole
 page; visibility rules (elements never shown, hidden and closed ones, inline
-styles, and simple selectors of the page's own style sheets) prune it; a renderer
-writes all that is left: blocks on lines of their own with blank lines between
-paragraphs, lists with markers and indents, preformatted text as it stands, and
-tables with their cells aligned in columns.  Everything is iterative, so depth is
-no limit.
-
-Nulls: null or empty HTML gives an empty text.
+styles, and the page's own style sheets: selectors of tags, classes and ids, one
+inside the other) prune it; a renderer writes all that is left: blocks on lines of
+their own with blank lines between paragraphs, lists with markers and indents,
+preformatted text as it stands, and tables with their cells aligned in columns,
+spans in both directions included.  Everything is iterative, so depth is no limit.
+
+Nulls: null or empty HTML gives an empty text.  A column `text` of the pages gives
+way to the rendered one; all other columns stay; repeated rows give repeated rows.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_batches
+from .common import doc_batches, lean
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -50,15 +51,18 @@ DRAWN = frozenset("svg g path rect circle ellipse line polygon polyline use imag
 COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 #: Media that a page on a screen of any width has.
 SCREEN = re.compile(r"\s*(?:only\s+)?(?:screen|all)?\s*", re.I)
-SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?(?:([.#])([\w-]+))?")
+COMPOUND = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)")
+#: Inline elements that stay open, for the text, across blocks that hold their end tag.
+PHRASES = frozenset("abbr bdi bdo cite data del dfn ins kbd label mark output q samp span sub sup time var".split())
+FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "parent")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str], parent: "Node | None" = None):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
 
 def tokens(page: str):
@@ -110,6 +114,18 @@ def tree(page: str) -> tuple[Node, list[str]]:
                 return False
         return False
 
+    def close_inline(tag):
+        """Ends an inline element; a block that began inside it stays open."""
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].tag == tag:
+                if not any(x.tag in BLOCK for x in stack[k + 1 :]):
+                    del stack[k:]
+                elif tag in FORMATTING:
+                    del stack[k]
+                return
+            if stack[k].tag in BARS or tag not in FORMATTING and stack[k].tag in BLOCK:
+                return
+
     for token in tokens(page):
         kind = token[0]
         if kind == "text":
@@ -128,6 +144,8 @@ def tree(page: str) -> tuple[Node, list[str]]:
                 stack[-1].children.append(Node("p", {}))
             elif tag == "br":
                 stack[-1].children.append(Node("br", {}))
+            elif tag in FORMATTING or tag in PHRASES:
+                close_inline(tag)
             else:
                 close((tag,), () if tag in ("table", "body", "html") else BARS - {tag})
         else:
@@ -151,7 +169,7 @@ def tree(page: str) -> tuple[Node, list[str]]:
                     pass
             if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
                 stack.pop()
-            node = Node(tag, attrs)
+            node = Node(tag, attrs, stack[-1])
             stack[-1].children.append(node)
             if tag not in VOID and not (written.endswith("/") and any(x.tag in ("svg", "math", "path") for x in (*stack, node))):
                 stack.append(node)
@@ -198,30 +216,67 @@ def rules(sheet: str):
         at = end + 1
 
 
-def hidden_by(sheets: list[str]) -> list[tuple[str, str, str, dict]]:
-    """(tag, "." or "#" or "", name, declarations) of the simple selectors that say of display or visibility, weakest first; none if nothing hides."""
+def parsed(selector: str) -> list[tuple[str, frozenset, frozenset, bool]] | None:
+    """(tag, classes, ids, whether the next one inwards must be its child) from the innermost outwards; None for what is beyond tags, classes and ids."""
+    out, direct = [], False
+    for part in reversed(re.sub(r"\s*>\s*", " > ", selector).split()):
+        if part == ">":
+            direct = True
+            continue
+        if not (m := COMPOUND.fullmatch(part)):
+            return None
+        names = re.findall(r"([.#])([\w-]+)", m[2])
+        out.append(((m[1] or "*").lower(), frozenset(n for k, n in names if k == "."), frozenset(n for k, n in names if k == "#"), direct))
+        direct = False
+    return None if direct or not out else out
+
+
+def hidden_by(sheets: list[str]) -> list[tuple[list, dict]]:
+    """(parsed selector, declarations) of the rules that say of display or visibility, weakest first; none if nothing hides."""
     out = []
     for sheet in sheets:
         for selectors, style in rules(sheet):
             if said := declared(style):
-                for selector in selectors.split(","):
-                    if (s := SIMPLE.fullmatch(selector.strip())) and selector.strip():
-                        out.append(((s[1] or "").lower(), s[2] or "", s[3] or "", said))
-    out.sort(key=lambda r: (r[1] == "#", r[1] == ".", r[0] != ""))
-    return out if any(hides for r in out for _, hides in r[3].values()) else []
+                out += [(s, said) for selector in selectors.split(",") if (s := parsed(selector))]
+    out.sort(key=lambda r: (sum(len(x[2]) for x in r[0]), sum(len(x[1]) for x in r[0]), sum(x[0] != "*" for x in r[0])))
+    return out if any(hides for _, said in out for _, hides in said.values()) else []
 
 
-def visible(node: Node, hiding: list[tuple[str, str, str, dict]], parent: Node | None) -> bool:
-    if node.tag in NEVER or node.tag == "input":
+def fits(node: Node, compound: tuple) -> bool:
+    tag, classes, ids, _ = compound
+    return tag in ("*", node.tag) and (not classes or classes <= set(node.attrs.get("class", "").split())) and (not ids or ids <= {node.attrs.get("id")})
+
+
+def selected(node: Node, selector: list) -> bool:
+    """Whether a selector means the node: its ancestors are tried nearest first, and again from further out where a child is asked for."""
+    if not fits(node, selector[0]):
         return False
+    tries = [(node.parent, 1)]
+    while tries:
+        at, k = tries.pop()
+        if k == len(selector):
+            return True
+        if at is None:
+            continue
+        if not selector[k][3]:
+            tries.append((at.parent, k))
+        if fits(at, selector[k]):
+            tries.append((at.parent, k + 1))
+    return False
+
+
+def visible(node: Node, hiding: list[tuple[list, dict]], parent: Node | None) -> tuple[bool, bool | None]:
+    """(whether the node has a box; whether its text is shown, None: as its parent's)."""
+    if node.tag in NEVER or node.tag == "input":
+        return False, None
     a = node.attrs
     if node.tag == "dialog" and "open" not in a:
-        return False
+        return False, None
     if parent is not None and parent.tag == "details" and "open" not in parent.attrs and node.tag != "summary":
-        return False
+        return False, None
     said: dict[str, tuple[bool, bool]] = {}
-    for tag, kind, name, style in hiding:
-        if tag in ("", node.tag) and (not kind or kind == "." and name in a.get("class", "").split() or kind == "#" and name == a.get("id")):
+    for selector, style in hiding:
+        if selected(node, selector):
             for what, new in style.items():
                 if new[0] >= said.get(what, (False,))[0]:
                     said[what] = new
@@ -230,8 +285,8 @@ def visible(node: Node, hiding: list[tuple[str, str, str, dict]], parent: Node |
             if new[0] >= said.get(what, (False,))[0]:
                 said[what] = new
     if "hidden" in a and "display" not in said:
-        return False
-    return not any(hides for _, hides in said.values())
+        return False, None
+    return not said.get("display", (False, False))[1], not said["visibility"][1] if "visibility" in said else None
 
 
 def chosen(node: Node) -> list:
@@ -311,25 +366,47 @@ class Lines:
         return self.lines
 
 
-def aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of (cell lines, columns spanned) with every column as wide as its widest cell; two blanks part columns."""
-    width: dict[int, int] = {}
+def placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int, list[str], int]]]:
+    """Rows of (first column, cell lines, columns spanned): cells move past the columns that cells of earlier rows still take."""
+    out, taken = [], {}  # column: rows that it is taken for yet
     for row in rows:
-        c = 0
-        for lines, span in row:
+        c, line, new = 0, [], {}
+        for lines, span, down in row:
+            while any(taken.get(x, 0) for x in range(c, c + span)):
+                c += 1
+            line.append((c, lines, span))
+            if down > 1:
+                new |= dict.fromkeys(range(c, c + span), down - 1)
+            c += span
+        taken = {x: n - 1 for x, n in taken.items() if n > 1} | new
+        out.append(line)
+    return out
+
+
+def aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Rows of (cell lines, columns spanned, rows spanned) with every column as wide as its widest cell; two blanks part columns."""
+    width: dict[int, int] = {}
+    placings = placed(rows)
+    for row in placings:
+        for c, lines, span in row:
             if span == 1:
                 width[c] = max(width.get(c, 0), max(map(len, lines), default=0))
-            c += span
+    left, at = [0], 0
+    for c in range(max((c + span for row in placings for c, _, span in row), default=0)):
+        at += width.get(c, 0) + 2
+        left.append(at)
     out = []
-    for row in rows:
-        height = max((len(lines) for lines, _ in row), default=0)
-        for k in range(height):
-            line, c = [], 0
-            for lines, span in row:
-                room = sum(width.get(x, 0) for x in range(c, c + span)) + 2 * (span - 1)
-                line.append((lines[k] if k < len(lines) else "").ljust(room))
-                c += span
-            out.append("  ".join(line).rstrip(" "))
+    for row in placings:
+        for k in range(max((len(lines) for _, lines, _ in row), default=0)):
+            line, shift = "", 0
+            for c, lines, span in row:
+                line = line.ljust(left[c] + shift)
+                cell = lines[k] if k < len(lines) else ""
+                line += cell
+                over = len(max(lines, key=len, default="")) - (left[c + span] - 2 - left[c])
+                shift += max(0, over)  # a cell wider than the columns that it spans pushes the rest of its row
+                line = line.ljust(left[c + span] - 2 + shift)
+            out.append(line.rstrip(" "))
     return [x for x in out if x]
 
 
@@ -342,11 +419,11 @@ def render(page: str | None) -> str:
     outer: list = []  # layouts and tables around the current one
     lists: list[list] = []
     pre = 0
-    todo: list = [(root, None, True)]
+    todo: list = [(root, None, True, True)]
     while todo:
-        node, parent, opens = todo.pop()
+        node, parent, opens, shown = todo.pop()
         if isinstance(node, str):
-            if parent.tag in DRAWN:
+            if parent.tag in DRAWN or not shown:
                 continue
             if pre:
                 for k, part in enumerate(node.split("\n")):
@@ -363,14 +440,16 @@ def render(page: str | None) -> str:
             continue
         tag = node.tag
         if opens:
-            if not visible(node, hiding, parent):
+            boxed, own = visible(node, hiding, parent)
+            if not boxed:
                 continue
+            shown = shown if own is None else own
             if tag == "br":
                 out.new_line()
                 continue
             if tag == "wbr":
                 continue
-            todo.append((node, parent, False))
+            todo.append((node, parent, False, shown))
             if tag == "table":
                 out.end(1)
                 outer.append((out, [], lists, pre))
@@ -400,10 +479,12 @@ def render(page: str | None) -> str:
                 elif tag == "li":
                     mark = "- "
                     if lists and lists[-1][0] == "ol":
+                        value = node.attrs.get("value", "").strip()
+                        lists[-1][1] = int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else lists[-1][1]
                         mark = f"{lists[-1][1]}. "
                         lists[-1][1] += 1
                     base = lists[-1][2] if lists else out.indent
-                    out.marker, out.indent = base + mark, base + " " * len(mark)
+                    out.marker, out.indent = base + mark if shown else "", base + " " * len(mark)
                 elif tag in ("blockquote", "dd"):
                     out.indent += "  "
                 elif tag == "pre":
@@ -420,7 +501,7 @@ def render(page: str | None) -> str:
                 children[0].children.append(node.attrs["label"])
             elif tag in ("pre", "textarea") and children and isinstance(children[0], str):
                 children = [re.sub(r"^\r?\n", "", children[0]), *children[1:]]
-            todo += [(x, node, True) for x in reversed(children)]
+            todo += [(x, node, True, shown) for x in reversed(children)]
             continue
         if tag == "table":
             caption = out.result()
@@ -433,8 +514,8 @@ def render(page: str | None) -> str:
         elif tag in ("td", "th") and outer and len(outer) > 1 and outer[-1][1] is outer[-2][1]:
             lines = out.result()
             out, rows, lists, pre = outer.pop()
-            span = node.attrs.get("colspan", "1")
-            rows[-1][-1] = (lines, min(int(span), 1000) if span.isdecimal() and int(span) else 1)
+            span, down = (min(int(x), 1000) if x.isdecimal() and int(x) else 1 for x in (node.attrs.get("colspan", "1"), node.attrs.get("rowspan", "1")))
+            rows[-1][-1] = (lines, span, down)
         elif tag == "textarea":
             pre = max(pre - 1, 0)
             out.end()
@@ -464,7 +545,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
             k = b.schema.get_field_index("text")
             yield b.set_column(k, "text", pa.array([render(x) for x in b.column(k).to_pylist()], pa.string()))
 
-    return kept.mapInArrow(run, kept.schema)
+    return kept.mapInArrow(lean(run), kept.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,23 +2,26 @@
 
 A text becomes lower-cased words.  A document is looked at only if a gate word of
 some rule is among its words (every match of a rule holds one of its gates), and
-then only by the rules whose gates it has.  Overlapping detections: the one of
-higher priority wins; a detection whose interval lies inside that of one with a
-higher priority, or with the same priority and more words, is suppressed.  The
-base phrases are counted at every place, whatever the rules say.
+then only by the rules whose gates it has.  Of overlapping detections, be one inside
+the other or only in part, the one of higher priority stays; of equal priority, the
+one of more words, then the earlier one.  The base phrases are counted at every
+place, whatever the rules say.
 
-Nulls: a null text counts as empty: no words, no labels, score 0.
+Nulls: a null text counts as empty: no words, no labels, score 0.  Repeated rows
+give repeated rows; an empty table gives none.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect
 from collections import defaultdict
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import doc_batches
+from .common import doc_batches, lean
 from .license_rules import Rule, rules
 
 #: Phrases whose every place counts, and their labels.
@@ -53,18 +56,20 @@ def phrase_places(joined: bytes) -> list[tuple[int, bytes]]:
 
 
 def suppressed(found: list[tuple[int, int, int, int, Rule]]) -> list[tuple[int, int, int, int, Rule]]:
-    """Detections (start, end, -priority, rule number, rule) without those inside a stronger one's interval, by place."""
-    kept: list = []
+    """Detections (start, end, -priority, rule number, rule) without those that a stronger one overlaps, by place; places count words."""
+    kept: list = []  # no two of them overlap, so they stand in one order by start and by end
     for d in sorted(found, key=lambda d: (d[2], d[0] - d[1], d[0], d[3])):
-        if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
-            kept.append(d)
-    return sorted(kept, key=lambda d: d[:4])
+        at = bisect(kept, d[0], key=lambda k: k[0])
+        if (at == 0 or kept[at - 1][1] <= d[0]) and (at == len(kept) or d[1] <= kept[at][0]) and not (at < len(kept) and kept[at][0] == d[0]):
+            kept.insert(at, d)
+    return kept
 
 
 def detect(words: list[bytes], gates: set[bytes]) -> list[tuple[int, int, int, int, Rule]]:
     text = b" ".join(words).decode("utf-8", "replace")
+    blanks = [m.start() for m in re.finditer(" ", text)]
     todo = {k: rule for g in gates for k, rule in by_gate()[g]}
-    found = [(m.start(), m.end(), -rule.priority, k, rule) for k, rule in sorted(todo.items()) for m in rule.pattern.finditer(text)]
+    found = [(bisect(blanks, m.start()), bisect(blanks, m.end() - 1) + 1, -rule.priority, k, rule) for k, rule in sorted(todo.items()) for m in rule.pattern.finditer(text)]
     return suppressed(found)
 
 
@@ -72,7 +77,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: counts and places of the base phrases, labels, a score and the detections kept.
 
     score: 1 minus the product of (1 - confidence) over the distinct labels found, a base phrase counting 0.9.
-    detections: rule, label, start and end in the normalised text (words joined by single blanks).
+    detections: rule, label, first word and the word behind the last one.
     """
 
     def run(batches):
@@ -104,7 +109,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"]
     return docs.select("doc_id", "text").mapInArrow(
-        run,
+        lean(run),
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
         "detections array<struct<rule string, label string, start long, end long>>",
     )

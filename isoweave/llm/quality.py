@@ -8,7 +8,8 @@ labels of a bounded sample of documents (TRAIN, chosen by a hash of the id)
 train a logistic scorer on hashed word features, which scores every document.
 
 Nulls: a null or empty text gets abstentions and the scorer's bias; it is kept.
-Repeated doc_ids are scored row by row.  An empty table gives no rows.
+Repeated and null doc_ids are scored row by row.  An empty table gives no rows.
+Columns of the documents that are named like those of the result give way to them.
 """
 
 from __future__ import annotations
@@ -235,23 +236,24 @@ def fit(spark: SparkSession, docs: DataFrame, train: int = TRAIN, dims: int = DI
     return Model(fit_scorer(rows, got["good"].to_numpy(float), dims), labellers)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with a column quality_score, P(good) by the scorer."""
+def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
+    """`docs` with a column `name`, P(good) by the scorer."""
+    docs = docs.drop(name)
     weights, tag = model.weights.astype(np.float32), hash(model.weights.tobytes())
 
     def run(batches):
         known = own_cache("quality").setdefault(tag, {})
         for b in doc_batches(batches, 1 << 20):
             s = score_texts([(t or "").encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()], weights, known)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, name])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(lean(run), f"{kinds}, quality_score double")
+    return docs.mapInArrow(lean(run), f"{kinds}, `{name}` double")
 
 
-def classify(spark: SparkSession, docs: DataFrame, threshold: float = 0.2, **fitting) -> DataFrame:
-    """Every document with quality_score and keep (score at or above the threshold: a document goes only on clear evidence)."""
-    return score(docs, fit(spark, docs, **fitting)).withColumn("keep", F.col("quality_score") >= threshold)
+def classify(spark: SparkSession, docs: DataFrame, threshold: float = 0.2, names: tuple[str, str] = ("quality_score", "keep"), **fitting) -> DataFrame:
+    """Every document with its score and whether to keep it (score at or above the threshold: a document goes only on clear evidence), in columns of these names."""
+    return score(docs, fit(spark, docs, **fitting), names[0]).withColumn(names[1], F.col(names[0]) >= threshold)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

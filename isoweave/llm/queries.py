@@ -1,6 +1,6 @@
 """The subpackage's registered queries, and their SQL where SQL can express them."""
 
-from . import additive, graph, html_text, licenses, packing, pieces, quality, secrets, simhash, suffixes
+from . import additive, graph, html_text, licenses, oracles, packing, pieces, quality, secrets, simhash, suffixes
 
 QUERIES = {
     "op1_sentencepiece": pieces.query,
@@ -15,4 +15,4 @@ QUERIES = {
     "op10_licenses": licenses.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_suffixes": oracles.SUFFIXES, "op4_graph": oracles.GRAPH, "op9_additive": oracles.ADDITIVE}
