@@ -19,10 +19,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     It is the one that the session names in spark.checkpoint.dir.  Only where that
-    is unset (tests on one machine) a temporary folder is made and set.
+    is unset on one machine (tests) a temporary folder is made and set.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="isoweave-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -125,7 +127,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def min_label_components(spark: SparkSession, edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
+def min_label_components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     """Connected components of `edges` (a, b long; a > b), as rows (id, component = smallest id reachable).
 
     Alternating large-star and small-star: every round rewrites the edges so that
@@ -137,7 +139,7 @@ def min_label_components(spark: SparkSession, edges: DataFrame, name: str, max_r
     """
     cur = written(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     stats = None
-    for _ in range(max_rounds):
+    while True:
         # large star: link every larger neighbour of a node to the smallest of the node's neighbours (itself included)
         both = cur.select("a", "b").unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

@@ -19,6 +19,7 @@ and links like any other.  Repeated doc_ids give repeated rows.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -99,7 +100,7 @@ def links(spark: SparkSession, fps: DataFrame, radius: int = 3, bucket: int = BU
     rows = fps.select(F.explode(F.array(*[F.struct(F.lit(_signed(m)).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for m in masks])).alias("k"), "fp").select("k.mask", "k.key", "fp")
     n = fps.count() * len(masks)
     found: list[DataFrame] = []
-    for level in range(16):
+    for level in count():  # a split leaves fewer bits that members do not share, so this ends
         parts = partitions(spark, n, 2_000_000)
 
         def run(frames, radius=radius, bucket=bucket):

@@ -423,3 +423,18 @@ def test_samples_depend_on_content_alone():
         place, lo, hi, h, _ = suffixes.sampled(long, np.array([0, len(long)]), 100, 32)
         of = lambda p, lo, hi, shift: {s - shift: x - shift for x, a, e in zip(p, lo, hi, strict=True) for s in range(a, e + 1) if shift <= s <= shift + 300}
         assert of(place, lo, hi, at) == of(alone[0], alone[1], alone[2], 0)
+
+
+def test_packing_by_any_tokenizer():
+    """A tokenizer without the properties of the usual one is used on whole texts."""
+    import glob
+
+    import public_tokenizers
+
+    usual = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    assert not usual.whole
+    others = [x for x in sorted(glob.glob(str(public_tokenizers.path("word_bpe_49k.json")).replace("word_bpe_49k", "*"))) if "word_bpe_49k" not in x]
+    for path in others:
+        words = packing.Words(path)
+        texts = ["Some Text, with  blanks\nand LINES.", "", "12 a.b"]
+        assert words.ids(texts) == words.encoded(texts)
