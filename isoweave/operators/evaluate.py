@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import staged
+
 
 def contingency(pairs: DataFrame) -> DataFrame:
     """(l, r, n) of rows (l, r)."""
@@ -66,33 +68,69 @@ def library_normalise(counts: DataFrame) -> DataFrame:
     return counts.withColumn("value", F.when(total > 0, F.log1p(F.col("count") * 1e4 / total)).otherwise(0.0))
 
 
-def silhouette(points: DataFrame) -> DataFrame:
-    """(id, label, s) by Euclidean distance of (id, x array<double>, label): exact, so all pairs are measured, and summed per label as they are made.
+def silhouette(points: DataFrame, block: int = 1024) -> DataFrame:
+    """(id, label, s) by Euclidean distance of (id, x array<double>, label): exact, so all pairs are measured, block against block, and summed per label as they are made.
 
     A label's only point has 0.
     """
-    a, b = points.select("id", "x", "label"), points.select(F.col("id").alias("id2"), F.col("x").alias("y"), F.col("label").alias("label2"))
-    gap = F.sqrt(F.aggregate(F.zip_with("x", "y", lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
-    sums = a.crossJoin(b).groupBy("id", "label", "label2").agg(F.sum(gap).alias("d"), F.count("*").alias("n"))
+    import numpy as np
+    import pandas as pd
+
+    n = max(1, -(-points.count() // block))
+    tagged = points.select("id", "x", F.col("label").cast("string").alias("label"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("part"))
+    packed = staged(tagged.groupBy("part").agg(F.collect_list(F.struct("id", "x", "label")).alias("rows")), "silhouette")
+    left = packed.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("other"), F.col("part").alias("mine"), F.col("rows").alias("rows_a"))
+    meet = left.join(packed.select(F.col("part").cast("int").alias("other"), F.col("rows").alias("rows_b")), "other").repartition(n * n, "mine", "other")
+
+    def measure(frames):
+        for pdf in frames:
+            for r in pdf.itertuples():
+                x, y = (np.array([m["x"] for m in rows], float) for rows in (r.rows_a, r.rows_b))
+                labels, of = np.unique([m["label"] for m in r.rows_b], return_inverse=True)
+                held = np.bincount(of)
+                for k in range(0, len(x), 64):
+                    gap = np.sqrt(((x[k : k + 64, None, :] - y[None, :, :]) ** 2).sum(2))
+                    sums = np.stack([gap[:, of == c].sum(1) for c in range(len(labels))], 1)
+                    some = r.rows_a[k : k + 64]
+                    each = len(labels)
+                    yield pd.DataFrame({
+                        "id": np.repeat([m["id"] for m in some], each), "label": np.repeat([m["label"] for m in some], each),
+                        "label2": np.tile(labels, len(some)), "d": sums.ravel(), "n": np.tile(held, len(some)),
+                    })
+
+    kind = points.schema["id"].dataType.simpleString()
+    parts = meet.mapInPandas(measure, f"id {kind}, label string, label2 string, d double, n long")
+    sums = parts.groupBy("id", "label", "label2").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
     own = F.max(F.when((F.col("label") == F.col("label2")) & (F.col("n") > 1), F.col("d") / (F.col("n") - 1)))
     rest = F.min(F.when(F.col("label") != F.col("label2"), F.col("d") / F.col("n")))
     s = sums.groupBy("id", "label").agg(own.alias("w"), rest.alias("o"))
     top = F.greatest("w", "o")
-    return s.select("id", "label", F.when(F.col("w").isNull() | (top == 0), 0.0).otherwise((F.col("o") - F.col("w")) / top).alias("s"))
+    label = F.col("label").cast(points.schema["label"].dataType).alias("label")
+    return s.select("id", label, F.when(F.col("w").isNull() | (top == 0), 0.0).otherwise((F.col("o") - F.col("w")) / top).alias("s"))
 
 
 def truncated_svd(rows: DataFrame, k: int = 20) -> DataFrame:
     """(component, value): singular values of the uncentred matrix of (id, x array<double>), by the Gram matrix of its columns.
 
-    The Gram matrix is summed per partition in the JVM; it is as large as the square of the number of columns.
+    Every task sums its own Gram matrix; what meets is as large as the square of the number of columns.
     """
     import numpy as np
-
-    d = rows.select(F.size("x")).first()[0]
-    cells = rows.select(F.posexplode("x").alias("i", "v"), "x").select("i", "v", F.posexplode("x").alias("j", "w")).groupBy("i", "j").agg(F.sum(F.col("v") * F.col("w")).alias("s")).toPandas()
-    gram = np.zeros((d, d))
-    gram[cells["i"], cells["j"]] = cells["s"]
-    values = np.sqrt(np.clip(np.linalg.eigvalsh(gram)[::-1][:k], 0, None))
+    import pandas as pd
+
+    def gram(frames):
+        total = None
+        for pdf in frames:
+            if len(pdf):
+                x = np.stack(pdf["x"].to_numpy()).astype(float)
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(len(total)), "row": list(total)})
+
+    cells = rows.select("x").mapInPandas(gram, "i int, row array<double>").select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("s")).toPandas()
+    d = int(cells["i"].max()) + 1 if len(cells) else 0
+    whole = np.zeros((d, d))
+    whole[cells["i"], cells["j"]] = cells["s"]
+    values = np.sqrt(np.clip(np.linalg.eigvalsh(whole)[::-1][:k], 0, None)) if d else []
     return rows.sparkSession.createDataFrame([(i + 1, float(v)) for i, v in enumerate(values)], "component int, value double")
 
 

@@ -14,6 +14,10 @@ from ..functions import genomics as g
 from ..storage import staged
 
 
+#: EM steps between two looks at whether all is settled.
+STRIDE = 16
+
+
 def gene_matches(transcripts: DataFrame) -> DataFrame:
     """(gx, gene_id): names by which a read may call a gene: the gene's id, or its normalised id where that is one gene's alone."""
     genes = transcripts.select("gene_id").distinct()
@@ -41,7 +45,8 @@ def overlap_join(left: DataFrame, right: DataFrame, width: int = 16384) -> DataF
 
 def read_reasons(reads: DataFrame, transcripts: DataFrame, cells: DataFrame) -> DataFrame:
     """Window events (read x gene window) with the first reason that bars them, null if eligible."""
-    shaped = reads.withColumn("shape", g.cigar_shape("pos", "cigar")).withColumn("start", F.col("pos")).withColumn("end", F.col("shape.pos"))
+    # a generator binds the shape: projections that use it would each walk the CIGAR again
+    shaped = reads.withColumn("shape", F.explode(F.array(g.cigar_shape("pos", "cigar")))).withColumn("start", F.col("pos")).withColumn("end", F.col("shape.pos"))
     events = overlap_join(shaped, gene_windows(transcripts))
     names = gene_matches(transcripts).withColumnRenamed("gene_id", "called")
     one = F.filter(F.split(F.coalesce("gx", F.lit("")), ";"), lambda x: x != "")
@@ -202,19 +207,25 @@ def em(rows: Column, prior: Column, strength: float = 1.0, tolerance: float = 1e
         # a fold over one element binds the new vector, so that it is worked out once
         return F.when(s.done, s).otherwise(F.aggregate(F.array(raw), F.struct(s.a.alias("a"), F.lit(False).alias("done"), F.lit(0).alias("it")), settle))
 
+    def steps(s, first):
+        """STRIDE steps, so that a mixture that has settled skips them at once."""
+        return F.when(s.done, s).otherwise(F.aggregate(F.sequence(first, F.least(first + STRIDE - 1, F.lit(max_iter))), s, step))
+
     start = F.struct(F.transform(prior, lambda _: 1.0 / k).alias("a"), F.lit(False).alias("done"), F.lit(0).alias("it"))
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(max_iter)), start, step)
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(max_iter), F.lit(STRIDE)), start, steps) if max_iter > 0 else start
     return F.aggregate(F.array(end), F.struct(zeros.alias("counts"), F.lit(False).alias("converged"), F.lit(0).alias("iterations")), lambda _, e: F.struct(expected(e.a).alias("counts"), e.done.alias("converged"), e.it.alias("iterations")))
 
 
 def fit_cells(mols: DataFrame, group_rows: DataFrame, groups: DataFrame, strength: float = 1.0, tolerance: float = 1e-7, max_iter: int = 500) -> DataFrame:
-    """(gene_id, cell, fit): one EM per gene and cell over its assigned molecules; equal rows are counted, not repeated."""
+    """(gene_id, cell, fit): one EM per gene and cell over its assigned molecules; equal rows are counted, not repeated, and cells with equal rows share a fit."""
     priors = groups.groupBy("gene_id", "grp").agg(F.sum("prior").alias("p")).groupBy("gene_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("grp", "p"))), lambda x: x.p).alias("group_prior"))
     rows = mols.join(group_rows.where("total > 0"), ["gene_id", "blocks", "junctions"])
     top = F.array_max("row")
     rows = rows.select("gene_id", "cell", F.transform("row", lambda x: x / top).alias("row")).groupBy("gene_id", "cell", "row").agg(F.count("*").cast("double").alias("n"))
     cells = rows.groupBy("gene_id", "cell").agg(F.array_sort(F.collect_list(F.struct("row", "n"))).alias("rows"))
-    return cells.join(priors, "gene_id").withColumn("fit", em(F.col("rows"), F.col("group_prior"), strength, tolerance, max_iter)).drop("rows", "group_prior")
+    cells = staged(cells, "cells")
+    fits = cells.select("gene_id", "rows").distinct().join(priors, "gene_id").withColumn("fit", em(F.col("rows"), F.col("group_prior"), strength, tolerance, max_iter))
+    return cells.join(fits.drop("group_prior"), ["gene_id", "rows"]).drop("rows")
 
 
 def isoform_counts(fits: DataFrame, groups: DataFrame) -> DataFrame:
@@ -223,11 +234,11 @@ def isoform_counts(fits: DataFrame, groups: DataFrame) -> DataFrame:
     return by_group.join(groups, ["gene_id", "grp"]).select("cell", "gene_id", "id", "grp", (F.col("group_count") * F.col("weight")).alias("count"))
 
 
-def quantify(mols: DataFrame, transcripts: DataFrame, sr: DataFrame, samples: DataFrame, tes: DataFrame | None = None, tau: float = 10.0, window: int = 600, **controls) -> dict[str, DataFrame]:
-    """All tables of a run: prior, like, groups, group_rows, fits, counts."""
+def quantify(mols: DataFrame, transcripts: DataFrame, sr: DataFrame, samples: DataFrame, tes: DataFrame | None = None, tau: float = 10.0, window: int = 600, bandwidth: float = 30.0, **controls) -> dict[str, DataFrame]:
+    """All tables of a run: prior, like, groups, group_rows, fits, counts; controls: strength, tolerance, max_iter of the EM."""
     prior = hybrid_prior(transcripts, sr, tau)
-    like = staged(likelihoods(shapes(mols), transcripts, samples, tes), "likelihoods")
+    like = staged(likelihoods(shapes(mols), transcripts, samples, tes, bandwidth), "likelihoods")
     groups = staged(refined_groups(prior, like, window), "groups")
     rows = group_likelihoods(like, groups)
-    fits = fit_cells(mols, rows, groups, **controls)
+    fits = staged(fit_cells(mols, rows, groups, **controls), "fits")
     return {"prior": prior, "lik": like, "groups": groups, "group_rows": rows, "fits": fits, "counts": isoform_counts(fits, groups)}
