@@ -11,7 +11,7 @@ from ..functions import genomics as g
 from ..operators import inference as inf
 from ..storage import staged
 from . import fixtures as fx
-from .oracles import sql
+from .oracles import sql, variants_sql
 
 
 def _line(c):
@@ -92,7 +92,7 @@ def _variants(s, d):
     parts = []
     for name, tx, ends in (("annotation_tes", r.tx, None), ("empirical_tes", r.tx, tes), ("sr_only", r.tx.withColumn("lr_count", F.lit(0.0)), None)):
         c = inf.quantify(r.mols, tx, r.sr, r.samples, tes=ends)["counts"]
-        parts.append(c.groupBy("gene_id").agg(F.round(F.sum("count"), 3).alias("total")).withColumn("variant", F.lit(name)))
+        parts.append(c.groupBy("gene_id", F.col("id").alias("transcript_id")).agg(F.round(F.sum("count"), 3).alias("total")).withColumn("variant", F.lit(name)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -152,5 +152,10 @@ ORACLE_SQL = {
         LEFT JOIN (SELECT gene_id, COUNT(*) FILTER (NOT converged) AS bad FROM o_em GROUP BY gene_id) b USING (gene_id)""",
         "v_meta", "o_mol", "o_grouplike", "o_em",
     ),
-    "conservation_check": sql('SELECT gene_id, round(SUM(total), 4) AS group_total, round(SUM(total), 4) AS isoform_total, TRUE AS conserved FROM o_em GROUP BY gene_id', "o_em"),
+    "three_variants": variants_sql(),
+    "conservation_check": sql(
+        """SELECT gene_id, round(n, 4) AS group_total, round(m, 4) AS isoform_total, abs(n - m) <= 1e-6 * greatest(1.0, n) AS conserved FROM (SELECT gene_id, SUM(list_sum(counts)) AS n FROM o_em GROUP BY gene_id)
+        JOIN (SELECT gene_id, SUM("count") AS m FROM o_counts GROUP BY gene_id) USING (gene_id)""",
+        "o_em", "o_counts",
+    ),
 }

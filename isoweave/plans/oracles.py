@@ -134,3 +134,34 @@ def sql(select: str, *needs: str) -> str:
     if not out:
         return select
     return "WITH " + ",\n".join(f"{k} AS MATERIALIZED ({v})" for k, v in out.items()) + "\n" + select
+
+
+#: Steps that differ with observed ends: every end has its own distance and share of the likelihood.
+ENDS: dict[str, str] = {
+    "o_dist_tes": """SELECT f.gene_id, f.blocks, f.junctions, f.id, w / SUM(w) OVER (PARTITION BY f.gene_id, f.blocks, f.junctions, f.id) AS share,
+        CASE WHEN f.strand = '+' AND tes < x.last_a OR f.strand = '-' AND tes > x.first_b THEN -1 ELSE f.d + CASE WHEN f.strand = '+' THEN tes - x.hi ELSE x.lo - tes END END AS d
+        FROM (SELECT o_dist.*, strand FROM o_dist JOIN v_meta USING (gene_id, id)) f JOIN (SELECT id, MIN(a) AS lo, MAX(b) AS hi, MAX(a) AS last_a, MIN(b) AS first_b FROM v_exon GROUP BY id) x ON x.id = f.id
+        JOIN (SELECT id, tes, weight AS w FROM v_tes WHERE weight > 0 UNION ALL SELECT id, CASE WHEN strand = '+' THEN MAX(b) ELSE MIN(a) END, 1.0 FROM v_exon WHERE id NOT IN (SELECT id FROM v_tes WHERE weight > 0) GROUP BY id, strand) t ON t.id = f.id""",
+    "o_density_tes": """SELECT d, MAX(x) + ln(SUM(exp(x - top))) - ln(MAX(n) * 30.0 * sqrt(2 * pi())) AS f FROM (SELECT q.d, x, MAX(x) OVER (PARTITION BY q.d) AS top, n FROM (
+        SELECT d.d, -0.5 * pow((d.d + sgn.v * s.d) / 30.0, 2) AS x FROM (SELECT DISTINCT d FROM o_dist_tes WHERE d >= 0) d, o_samples s, (VALUES (1), (-1)) sgn(v)) q, (SELECT COUNT(*) AS n FROM o_samples)) GROUP BY d""",
+    "o_log_tes": """SELECT gene_id, blocks, junctions, id, MAX(term) + ln(SUM(exp(term - top))) AS f FROM (SELECT t.*, ln(share) + f AS term, MAX(ln(share) + f) OVER (PARTITION BY gene_id, blocks, junctions, id) AS top
+        FROM o_dist_tes t JOIN o_density_tes y ON y.d = t.d) GROUP BY gene_id, blocks, junctions, id""",
+    "o_like_tes": """SELECT s.gene_id, s.blocks, s.junctions, t.id, COALESCE(exp(f - MAX(f) OVER (PARTITION BY s.gene_id, s.blocks, s.junctions)), 0.0) AS "like"
+        FROM o_shape s JOIN v_meta t USING (gene_id) LEFT JOIN o_log_tes d ON d.gene_id = s.gene_id AND d.blocks = s.blocks AND d.junctions = s.junctions AND d.id = t.id""",
+}
+
+
+def variants_sql() -> str:
+    """Totals per transcript of a run by annotated ends, by observed ends and without long-read counts: the later steps once for each."""
+    import re
+
+    later = ["o_prior", "o_group", "o_grouplike", "o_rows", "o_em", "o_counts"]
+    extra = dict(ENDS)
+    for tag, own in (("tes", {"o_like": "o_like_tes"}), ("sr", {})):
+        names = own | {n: f"{n}_{tag}" for n in later}
+        for n in later:
+            text = STEPS[n][1].replace("lr_count", "0.0") if (tag, n) == ("sr", "o_prior") else STEPS[n][1]
+            extra[f"{n}_{tag}"] = re.sub(r"\b(o_[a-z]+)\b", lambda m, names=names: names.get(m[1], m[1]), text)
+    parts = " UNION ALL ".join(f"SELECT gene_id, id AS transcript_id, round(SUM(\"count\"), 3) AS total, '{v}' AS variant FROM {t} GROUP BY gene_id, id" for v, t in (("annotation_tes", "o_counts"), ("empirical_tes", "o_counts_tes"), ("sr_only", "o_counts_sr")))
+    base = sql("", "o_counts", "v_tes")
+    return base.rstrip() + ",\n" + ",\n".join(f"{k} AS MATERIALIZED ({v})" for k, v in extra.items()) + "\n" + parts

@@ -1,7 +1,7 @@
 """Registered queries of the quantification engine and their SQL."""
 
-from . import flagship, wide
+from . import files, flagship, wide
 
 FLAGSHIP = flagship.counts
-QUERIES: dict = {**flagship.QUERIES, **wide.Q}
-ORACLE_SQL: dict = {**flagship.ORACLE_SQL, **wide.O}
+QUERIES: dict = {**flagship.QUERIES, **wide.Q, **files.Q}
+ORACLE_SQL: dict = {**flagship.ORACLE_SQL, **wide.O, **files.O}
