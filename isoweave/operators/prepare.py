@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import genomics as g
@@ -23,8 +23,13 @@ def _with_cells(reads: DataFrame, cells: DataFrame) -> DataFrame:
     return reads.join(known, "cell", "left")
 
 
+def _no_sequence(reads: DataFrame) -> Column:
+    """Whether a record has no bases; reads that come without the column count as having some."""
+    return F.coalesce(F.length("seq"), F.lit(0)) == 0 if "seq" in reads.columns else F.lit(False)
+
+
 def panel_reasons(reads: DataFrame, tx: DataFrame, cells: DataFrame) -> DataFrame:
-    """Window events of panel genes with the first reason against each; of a record met in several windows one is accepted."""
+    """Window events of panel genes with the first reason against each; of a record met in several windows the first by gene is looked at, the others are repeated_fetch."""
     r = reads.withColumn("start", F.col("pos")).withColumn("end", g.read_end("pos", "cigar"))
     e = _with_cells(overlap_join(r, gene_windows(tx)), cells)
     genes = _genes()
@@ -35,7 +40,10 @@ def panel_reasons(reads: DataFrame, tx: DataFrame, cells: DataFrame) -> DataFram
         .when((F.size(genes) != 1) | (F.try_element_at(genes, F.lit(1)) != g.normalize_gene_id("gene_id")), "gene_assignment_excluded")
         .when(g.read_strand("flag") != F.col("strand"), "antisense")
     )
-    return e.withColumn("reason", reason)
+    e = e.withColumn("reason", reason)
+    place = Window.partitionBy("name", "flag", "chrom", "pos", "cigar", F.col("reason").isNull()).orderBy("gene_id", "lo")
+    late = F.when(F.row_number().over(place) > 1, "repeated_fetch").when(_no_sequence(reads), "missing_sequence")
+    return e.withColumn("late", late).withColumn("reason", F.coalesce("reason", "late")).drop("late")
 
 
 def panel_reads(found: DataFrame) -> DataFrame:
@@ -56,6 +64,7 @@ def contig_reasons(reads: DataFrame, tx: DataFrame, cells: DataFrame) -> DataFra
         .when(F.col("called").isNull(), "barcode_excluded")
         .when(F.coalesce("umi", F.lit("")) == "", "missing_umi")
         .when(g.read_strand("flag") != F.col("strand"), "antisense")
+        .when(_no_sequence(reads), "missing_sequence")
     )
     return e.withColumn("reason", reason)
 
@@ -65,7 +74,8 @@ def pseudobulk_reasons(reads: DataFrame, cells: DataFrame) -> DataFrame:
     r = _with_cells(reads, cells)
     reason = F.when(g.nonprimary("flag"), "nonprimary_or_unmapped").when(F.col("called").isNull(), "barcode_excluded").when(F.coalesce("umi", F.lit("")) == "", "missing_umi")
     paired = F.raise_error(F.concat(F.lit("expected single RNA-mate records: "), "name")).cast("string")
-    return r.withColumn("reason", F.coalesce(reason, F.when(g.has_flag("flag", PAIRED), paired)))
+    bare = _no_sequence(reads) | (F.col("qual").isNull() if "qual" in reads.columns else F.lit(False))
+    return r.withColumn("reason", F.coalesce(reason, F.when(g.has_flag("flag", PAIRED), paired), F.when(bare, "missing_sequence_or_quality")))
 
 
 def fastq(reads: DataFrame) -> DataFrame:
@@ -91,8 +101,6 @@ COLUMNS = ("sample", "pacbio_bams", "pacbio_stage", "primers", "fastq_dir", "fas
 
 def sheet_reasons(rows: DataFrame) -> DataFrame:
     """Rows of a sample sheet with the first rule that each breaks, as far as the sheet alone tells."""
-    from pyspark.sql import Window
-
     c = {k: F.trim(F.coalesce(F.col(k), F.lit(""))) for k in COLUMNS}
     parts = lambda k: F.transform(F.split(c[k], ";"), lambda x: F.trim(x))
     again = F.count("*").over(Window.partitionBy("sample")) > 1

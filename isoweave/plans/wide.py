@@ -195,15 +195,23 @@ _add("lineage_chain", lambda s, d: s.sql("WITH RECURSIVE c(root, id, depth) AS (
 
 # preparation, samples, sinks
 _calls = "LEFT JOIN (SELECT DISTINCT cell AS called FROM v_cells) c ON c.called = r.cell"
-_add("panel_filter_cascade", lambda s, d: pre.panel_reasons(_reads(s, d), fx.transcripts(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
-     f"""SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_qcfail' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' WHEN gx IS NULL OR contains(gx, ';') OR regexp_replace(gx, '\\.[0-9]+$', '') <> gene_id THEN 'gene_assignment_excluded'
-     WHEN (flag & 16 <> 0) <> (strand = '-') THEN 'antisense' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM v_reads r JOIN x_bounds w ON r.chrom = w.chrom AND r.pos < w.hi AND r.pos + CASE WHEN n <= 4 THEN 40 WHEN n = 5 THEN 1740 ELSE 3740 END > w.lo {_calls} GROUP BY 1""", "v_reads", "x_bounds", "v_cells")
-_add("contig_filter_cascade", lambda s, d: pre.contig_reasons(_reads(s, d), fx.transcripts(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
+def _based(s, d):
+    """Reads with bases and qualities, some of them without, and every 40th record twice."""
+    r = _reads(s, d).withColumn("seq", F.when(F.col("l_orderkey") % 23 != 0, "ACGT")).withColumn("qual", F.when(F.col("l_orderkey") % 29 != 0, "IIII"))
+    return r.unionByName(r.where("l_orderkey % 40 = 0"))
+
+
+_twice = "(SELECT *, 1 AS copy FROM v_reads UNION ALL SELECT *, 2 FROM v_reads WHERE l_orderkey % 40 = 0)"
+_add("panel_filter_cascade", lambda s, d: pre.panel_reasons(_based(s, d), fx.transcripts(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
+     f"""SELECT reason, COUNT(*) AS n FROM (SELECT CASE WHEN early IS NOT NULL THEN early WHEN ROW_NUMBER() OVER (PARTITION BY name, flag, chrom, pos, cigar, early IS NULL) > 1 THEN 'repeated_fetch' WHEN l_orderkey % 23 = 0 THEN 'missing_sequence' ELSE 'accepted' END AS reason FROM (
+     SELECT r.*, CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_qcfail' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' WHEN gx IS NULL OR contains(gx, ';') OR regexp_replace(gx, '\\.[0-9]+$', '') <> gene_id THEN 'gene_assignment_excluded'
+     WHEN (flag & 16 <> 0) <> (strand = '-') THEN 'antisense' END AS early FROM {_twice} r JOIN x_bounds w ON r.chrom = w.chrom AND r.pos < w.hi AND r.pos + CASE WHEN n <= 4 THEN 40 WHEN n = 5 THEN 1740 ELSE 3740 END > w.lo {_calls})) GROUP BY reason""", "v_reads", "x_bounds", "v_cells")
+_add("contig_filter_cascade", lambda s, d: pre.contig_reasons(_based(s, d), fx.transcripts(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
      f"""SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_qcfail' WHEN contains(gx, ';') THEN 'multi_gene_assignment' WHEN gx IS NULL THEN 'missing_gene_assignment' WHEN gene_id IS NULL THEN 'unselected_gene'
      WHEN r.chrom <> w.chrom OR r.pos >= w.hi OR r.pos + CASE WHEN n <= 4 THEN 40 WHEN n = 5 THEN 1740 ELSE 3740 END <= w.lo THEN 'outside_gene_locus' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi'
-     WHEN (flag & 16 <> 0) <> (strand = '-') THEN 'antisense' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM v_reads r LEFT JOIN x_bounds w ON regexp_replace(gx, '\\.[0-9]+$', '') = w.gene_id {_calls} GROUP BY 1""", "v_reads", "x_bounds", "v_cells")
-_add("pseudobulk_filter", lambda s, d: pre.pseudobulk_reasons(_reads(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
-     f"SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_unmapped' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM v_reads r {_calls} GROUP BY 1", "v_reads", "v_cells")
+     WHEN (flag & 16 <> 0) <> (strand = '-') THEN 'antisense' WHEN l_orderkey % 23 = 0 THEN 'missing_sequence' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM {_twice} r LEFT JOIN x_bounds w ON regexp_replace(gx, '\\.[0-9]+$', '') = w.gene_id {_calls} GROUP BY 1""", "v_reads", "x_bounds", "v_cells")
+_add("pseudobulk_filter", lambda s, d: pre.pseudobulk_reasons(_based(s, d), fx.view(s, d, "v_cells")).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n")),
+     f"SELECT CASE WHEN flag & 2820 <> 0 THEN 'nonprimary_or_unmapped' WHEN called IS NULL THEN 'barcode_excluded' WHEN umi = '' THEN 'missing_umi' WHEN l_orderkey % 23 = 0 OR l_orderkey % 29 = 0 THEN 'missing_sequence_or_quality' ELSE 'accepted' END AS reason, COUNT(*) AS n FROM {_twice} r {_calls} GROUP BY 1", "v_reads", "v_cells")
 _add("write_pseudobulk_fastq", lambda s, d: pre.fastq(_part(s, d).select(F.concat(F.lit("r"), "p_partkey").alias("name"), _seq("p_partkey").alias("seq"), F.lit(None).cast("string").alias("qual"), F.when(F.col("p_size") % 2 == 0, 16).otherwise(0).alias("flag"))),
      f"SELECT concat('@r', p_partkey, chr(10), CASE WHEN p_size % 2 = 0 THEN {_rev.format(_dseq)} ELSE {_dseq} END, chr(10), '+', chr(10), repeat('I', length({_dseq}))) AS value FROM part")
 

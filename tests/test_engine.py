@@ -268,3 +268,101 @@ def test_lineage_chain_follows_every_part(spark, tmp_path):
     spark.range(1, 80_001).select(F.col("id").alias("p_partkey")).write.parquet(f"{tmp_path}/part.parquet")
     got = {r["root"]: r["hops"] for r in registry.QUERIES["lineage_chain"](spark, str(tmp_path)).collect()}
     assert got == {i: min(i.bit_length(), 16) for i in range(1, 80_001)}
+
+
+def small_run(spark):
+    """Two transcripts of one gene and molecules that tell them apart in part."""
+    tx = spark.createDataFrame([("a", "g", "chr1", "+", [(100, 400)], 6.0, "reference", 1), ("b", "g", "chr1", "+", [(200, 420)], 3.0, "reference", 2)], "id string, gene_id string, chrom string, strand string, exons array<struct<a:bigint,b:bigint>>, lr_count double, source string, seq int")
+    reads = spark.createDataFrame([(f"r{i}", f"c{i % 2}", f"u{i}", "chr1", 110 + 13 * i if i < 4 else 340 + i, "20M", 0, "g", 60) for i in range(12)], "name string, cell string, umi string, chrom string, pos bigint, cigar string, flag int, gx string, mapq int")
+    cells = spark.createDataFrame([("c0",), ("c1",)], "cell string")
+    sr = spark.createDataFrame([("a", 1.0), ("b", 5.0)], "id string, value double")
+    return tx, reads, cells, sr
+
+
+def test_controls_of_a_run_are_honoured(spark):
+    from isoweave import api
+
+    tx, reads, cells, sr = small_run(spark)
+    total = lambda **p: {(r["cell"], r["id"]): round(r["count"], 9) for r in api.quantify(tx, reads, cells, sr, p=api.Parameters(window=10, **p))["counts"].collect()}
+    usual = total()
+    assert abs(sum(usual.values()) - 12) < 1e-6 and len(usual) == 4
+    for change in ({"tau": 0.5}, {"bandwidth": 5.0}, {"em_strength": 9.0}, {"max_iter": 1}, {"tolerance": 0.5}):
+        assert total(**change) != usual, change
+    mols = api.quantify(tx, reads, cells, sr, p=api.Parameters(window=10))["molecules"]
+    samples = api.train_capture_model(mols, tx)
+    ends = spark.createDataFrame([("a", 398, 1.0), ("b", 420, 2.0)], "id string, tes long, weight double")
+    of = lambda p: {(r["variant"], r["cell"], r["id"]): round(r["count"], 9) for r in api.quantify_variants(tx, mols, sr, samples, ends, p).collect()}
+    assert of(api.Parameters(window=10)) != of(api.Parameters(window=10, em_strength=9.0))
+    with pytest.raises(ValueError, match="spans loci"):
+        api.quantify(tx.withColumn("chrom", F.when(F.col("id") == "a", "chr2").otherwise("chr1")), reads, cells, sr)
+
+
+def test_runs_and_certificates(spark, tmp_path):
+    import gzip
+    import hashlib
+    import json
+    import struct
+
+    from isoweave.operators import runs
+
+    run = tmp_path / "run"
+    run.mkdir()
+    (run / "barcodes.tsv").write_text("barcode\nc1\nc2\n")
+    (run / "isoforms.tsv").write_text("transcript_id\tgene_id\nt1\tg\nt2\tg\n")
+    with gzip.open(run / "isoform_counts.mtx.gz", "wt") as f:
+        f.write("%%MatrixMarket matrix coordinate real general\n%\n2 2 2\n1 2 3.5\n2 1 1\n")
+    with pytest.raises(ValueError, match="not a finished run"):
+        runs.load_run(spark, run)
+    (run / "run.json").write_text('{"status": "complete"}')
+    got = runs.load_run(spark, run)
+    assert sorted(tuple(r) for r in got["counts"].collect()) == [("c1", "t2", 3.5), ("c2", "t1", 1.0)]
+    with pytest.raises(ValueError, match="not a finished run"):
+        runs.load_run(spark, run, foreign=True)
+
+    (tmp_path / "bed").mkdir()
+    about = {}
+    for name, path in (("bam", "x.bam"), ("canonical_sorted_barcodes", "b.txt"), ("chr1.bed", "bed/chr1.bed")):
+        (tmp_path / path).write_bytes(name.encode())
+        about[name] = {"bytes": len(name), "sha256": hashlib.sha256(name.encode()).hexdigest()}
+    good = {"schema": "s.v1", "completed": True, "cross_cb_read_ids": 0, "selection_rules": [*runs.SELECTION, "CB listed"], "read_id_rule": runs.READ_ID, "projection_records": 3, "bed_files": {"chr1.bed": about.pop("chr1.bed")}, **about}
+    check = lambda **change: ((tmp_path / "certificate.json").write_text(json.dumps(good | change)), runs.shared_reads(tmp_path, tmp_path / "x.bam", tmp_path / "b.txt", ["chr1"], "s.v1", "CB listed"))[1]
+    assert check() == {"chr1": tmp_path / "bed" / "chr1.bed"}
+    for change in ({"completed": False}, {"schema": "s.v2"}, {"cross_cb_read_ids": 1}, {"selection_rules": []}, {"read_id_rule": ""}, {"projection_records": 0}, {"bam": {"bytes": 1}}, {"bed_files": {}}):
+        with pytest.raises(ValueError, match="certificate"):
+            check(**change)
+
+    mmi = tmp_path / "x.mmi"
+    for w, k, flags, ok in ((5, 15, 0, True), (10, 15, 0, False), (5, 15, 1, False), (5, 15, 2, False)):
+        mmi.write_bytes(b"MMI\x02" + struct.pack("<5i", w, k, 14, 3, flags)[: 12] + struct.pack("<2i", flags, 0))
+        if ok:
+            runs.check_index(mmi)
+        else:
+            with pytest.raises(ValueError, match="is needed"):
+                runs.check_index(mmi)
+    (tmp_path / "a" / "04_align").mkdir(parents=True)
+    (tmp_path / "a" / "04_align" / "s.mapped.bam").touch()
+    (tmp_path / "a" / "other.mapped.bam").touch()
+    (tmp_path / "a" / "s.collapsed.group.txt").touch()
+    assert runs.isoseq_files(tmp_path / "a") == {"group": tmp_path / "a" / "s.collapsed.group.txt", "mapped_bam": tmp_path / "a" / "04_align" / "s.mapped.bam"}
+    (tmp_path / "a" / "t.collapsed.group.txt").touch()
+    with pytest.raises(ValueError, match="several files"):
+        runs.isoseq_files(tmp_path / "a")
+
+
+def test_lookups_and_subsets_refuse_what_is_ambiguous(spark):
+    from isoweave.operators import runs
+
+    tx = spark.createDataFrame([("t1", "g1", "A"), ("t2", "g2", "B"), ("t3", "g3", "B")], "id string, gene_id string, gene_name string")
+    tokens = lambda *t: spark.createDataFrame(list(enumerate(t)), "ix int, token string")
+    assert sorted((r["id"], r["ix"]) for r in runs.subset_catalog(tx, tokens("g3", "A", "g1")).collect()) == [("t1", 1), ("t3", 0)]
+    for bad in ("B", "nope"):
+        with pytest.raises(Exception, match="missing or ambiguous"):
+            runs.subset_catalog(tx, tokens(bad)).collect()
+    reads = spark.createDataFrame([(0, "m1/10/ccs", "A"), (9, "m2/10/ccs", "C"), (20, "m1/11/ccs/0_4", "G")], "offset long, name string, seq string")
+    index = spark.createDataFrame([(10, 0), (10, 9), (11, 20)], "hole int, offset long")
+    wanted = spark.createDataFrame([("m1/10/ccs",), ("m1/11/ccs/0_4",)], "name string")
+    assert sorted(tuple(r) for r in runs.indexed_reads(index, reads, wanted).collect()) == [("m1/10/ccs", "A"), ("m1/11/ccs/0_4", "G")]
+    with pytest.raises(Exception, match="offset mismatch"):
+        runs.indexed_reads(spark.createDataFrame([(11, 0)], "hole int, offset long"), reads, wanted).collect()
+    with pytest.raises(Exception, match="sample repeats"):
+        runs.by_sample(spark.createDataFrame([("s", 1), ("s", 2)], "sample string, x int")).collect()
