@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import staged
+from ..storage import numbered, staged
 
 
 def contingency(pairs: DataFrame) -> DataFrame:
@@ -42,18 +42,20 @@ def normalized_mutual_info(pairs: DataFrame) -> DataFrame:
 
 
 def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Ranks from 1 with ties averaged."""
-    return df.withColumn(out, F.rank().over(Window.orderBy(value)) + (F.count("*").over(Window.partitionBy(value)) - 1) / 2)
+    """Ranks from 1 with ties averaged: places in the sorted order, averaged over equal values; nulls come first and are equal."""
+    placed = numbered(df.select(F.col(value).alias("_v")), "_place", "_v")
+    ties = placed.groupBy("_v").agg(((F.min("_place") + F.max("_place")) / 2).alias(out))
+    return df.join(ties, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def abundance_metrics(both: DataFrame) -> DataFrame:
     """One row of metrics of (id, truth, estimate): MAE, RMSE, Pearson, Spearman, Jensen-Shannon distance, total variation.
 
-    A few numbers per transcript: the ranks take one global sort.  A constant vector has no correlation (NaN).
+    A constant vector has no correlation (NaN).
     """
-    total = Window.partitionBy(F.lit(1))
-    p, q = F.col("truth") / F.sum("truth").over(total), F.col("estimate") / F.sum("estimate").over(total)
-    x = average_rank(average_rank(both.withColumn("p", p).withColumn("q", q), "truth", "rt"), "estimate", "re").withColumn("m", (F.col("p") + F.col("q")) / 2)
+    total = F.broadcast(both.agg(F.sum("truth").alias("t_all"), F.sum("estimate").alias("e_all")))  # one row
+    shares = both.crossJoin(total).withColumn("p", F.col("truth") / F.col("t_all")).withColumn("q", F.col("estimate") / F.col("e_all"))
+    x = average_rank(average_rank(shares, "truth", "rt"), "estimate", "re").withColumn("m", (F.col("p") + F.col("q")) / 2)
     kl = lambda c: F.sum(F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / F.col("m"))).otherwise(0.0))
     d = F.col("estimate") - F.col("truth")
     return x.agg(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import genomics as g
-from ..storage import staged
+from ..storage import numbered, staged
 
 
 #: EM steps between two looks at whether all is settled.
@@ -120,7 +120,7 @@ def even_subsample(values: DataFrame, k: int) -> DataFrame:
     n = values.count()
     if n <= k:
         return values
-    ranked = values.withColumn("r", F.row_number().over(Window.orderBy("v")) - 1)
+    ranked = numbered(values, "r", "v").withColumn("r", F.col("r") - 1)
     picks = values.sparkSession.range(k).select((F.floor(F.col("id") * (n - 1) / max(k - 1, 1))).alias("r")).distinct()
     return ranked.join(picks, "r").select("v")
 
@@ -161,8 +161,10 @@ def structural_groups(transcripts: DataFrame, window: int = 600) -> DataFrame:
 
 def refined_groups(transcripts: DataFrame, like: DataFrame, window: int = 600) -> DataFrame:
     """(gene_id, id, prior, grp, weight): groups of equal terminal structure and bit-identical likelihood columns, numbered by first members."""
-    column = like.groupBy("gene_id", "id").agg(F.transform(F.array_sort(F.collect_list(F.struct("blocks", "junctions", "lik"))), lambda x: x.lik).alias("column"))
-    t = structural_groups(transcripts, window).join(column, ["gene_id", "id"], "left").withColumn("column", F.coalesce("column", F.array().cast("array<double>")))
+    # all transcripts of a gene have the same shapes, so columns are told apart by the sums of two hashes of their (shape, value) pairs
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "blocks", "junctions", "lik").cast("decimal(38,0)"))
+    column = like.groupBy("gene_id", "id").agg(F.concat_ws(",", mark(1).cast("string"), mark(2).cast("string")).alias("column"))
+    t = structural_groups(transcripts, window).join(column, ["gene_id", "id"], "left").withColumn("column", F.coalesce("column", F.lit("")))
     by = ["gene_id", "chrom", "strand", "terminal"]
     t = t.withColumn("s_min", F.min("id").over(Window.partitionBy(*by))).withColumn("c_min", F.min("id").over(Window.partitionBy(*by, "column")))
     t = t.withColumn("grp", F.dense_rank().over(Window.partitionBy("gene_id").orderBy("s_min", "c_min")))

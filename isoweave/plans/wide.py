@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import genomics as g
@@ -12,6 +11,7 @@ from ..operators import inference as inf
 from ..operators import prepare as pre
 from ..operators import tes as te
 from ..sources import sinks
+from ..storage import numbered
 from . import fixtures as fx
 from .flagship import Run, _line
 from .oracles import sql
@@ -125,7 +125,7 @@ _add("gene_selection", lambda s, d: cat.selected_genes(fx.view(s, d, "v_meta").s
      JOIN (SELECT substr(gene_id, 5, 2) AS nn, COUNT(DISTINCT gene_id) AS alone FROM v_meta GROUP BY 1) USING (nn)""", "v_meta")
 _add("likelihood_budget_guard", lambda s, d: cat.over_budget(Run(s, d).mols, fx.transcripts(s, d), 300), "SELECT gene_id, m * t AS entries FROM (SELECT gene_id, COUNT(*) AS m FROM o_mol GROUP BY 1) JOIN (SELECT gene_id, COUNT(*) AS t FROM v_meta GROUP BY 1) USING (gene_id) WHERE m * t > 300", "o_mol", "v_meta")
 _add("tpm_fraction", lambda s, d: cat.tpm_fraction(fx.view(s, d, "v_meta")).select("id", F.round("fraction", 9).alias("fraction")), "SELECT id, round((tpm + 1) / SUM(tpm + 1) OVER (PARTITION BY gene_id), 9) AS fraction FROM v_meta", "v_meta")
-_add("feature_index", lambda s, d: fx.view(s, d, "v_meta").select("id", (F.row_number().over(Window.orderBy("gene_id", "id")) - 1).cast("bigint").alias("ix")), "SELECT id, ROW_NUMBER() OVER (ORDER BY gene_id, id) - 1 AS ix FROM v_meta", "v_meta")
+_add("feature_index", lambda s, d: numbered(fx.view(s, d, "v_meta").select("gene_id", "id"), "ix", "gene_id", "id").select("id", (F.col("ix") - 1).alias("ix")), "SELECT id, ROW_NUMBER() OVER (ORDER BY gene_id, id) - 1 AS ix FROM v_meta", "v_meta")
 # joins and sets
 _add("interval_overlap_join", lambda s, d: inf.overlap_join(_reads(s, d).withColumn("start", F.col("pos")).withColumn("end", g.read_end("pos", "cigar")), inf.gene_windows(fx.transcripts(s, d))).groupBy("gene_id").agg(F.count("*").alias("n")), "SELECT gene_id, COUNT(*) AS n FROM o_events GROUP BY gene_id", "o_events")
 _add("whitelist_semi_join", lambda s, d: _reads(s, d).join(fx.view(s, d, "v_cells"), "cell", "left_semi").groupBy("cell").agg(F.count("*").alias("n")), "SELECT cell, COUNT(*) AS n FROM v_reads SEMI JOIN v_cells USING (cell) GROUP BY cell", "v_reads", "v_cells")

@@ -8,9 +8,11 @@ import json
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import numbered
+
 
 def tsv(df: DataFrame, path: str, *order: str) -> None:
     """One header, LF line ends, rows in the given order; written in parallel as part files that sort by name."""
@@ -20,7 +22,7 @@ def tsv(df: DataFrame, path: str, *order: str) -> None:
 
 def matrix_lines(counts: DataFrame, cells: DataFrame, features: DataFrame) -> DataFrame:
     """(r, c, value) triples from 1, by the ranks of all cells and features, empty ones included."""
-    ranked = lambda df, k, out: df.select(k).distinct().withColumn(out, F.row_number().over(Window.orderBy(k)))
+    ranked = lambda df, k, out: numbered(df.select(k).distinct(), out, k).withColumn(out, F.col(out).cast("int"))
     return counts.where("count > 0").join(ranked(cells, "cell", "r"), "cell").join(ranked(features, "id", "c"), "id").select("r", "c", F.col("count").alias("value"))
 
 

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import numbered
+
+
+#: What orders lines of files that are read in several parts.
+_PLACE = ("_metadata.file_path AS file", "_metadata.file_block_start AS block", "monotonically_increasing_id() AS o")
+
 
 def require(df: DataFrame, good: Column, message: str, *about: str) -> DataFrame:
     """df, raising on the first row that is not `good`."""
@@ -82,15 +88,15 @@ def clusters(spark: SparkSession, path: str) -> DataFrame:
 
 def column(spark: SparkSession, path: str, name: str) -> DataFrame:
     """(ix, value): one named TSV column in file order."""
-    t = table(spark, path).select(F.col(name).alias("value"), F.monotonically_increasing_id().alias("o"))
-    return t.withColumn("ix", F.row_number().over(Window.orderBy("o")) - 1).drop("o")
+    t = table(spark, path).selectExpr(f"`{name}` AS value", *_PLACE)
+    return numbered(t, "ix", "file", "block", "o").select("value", (F.col("ix") - 1).cast("int").alias("ix"))
 
 
 def matrix_market(spark: SparkSession, path: str, cells: DataFrame, features: DataFrame) -> DataFrame:
     """(cell, feature, value) of a coordinate file with the ids of rows and columns, (ix, value) from 0; shape, repeats and bad values raise."""
-    body = lines(spark, path).where(~F.col("value").startswith("%") & (F.trim("value") != "")).withColumn("o", F.monotonically_increasing_id())
+    body = lines(spark, path).where(~F.col("value").startswith("%") & (F.trim("value") != "")).selectExpr("value", *_PLACE)
     f = F.split(F.trim("value"), r"\s+")
-    size = body.orderBy("o").limit(1).select(f[0].cast("int").alias("r"), f[1].cast("int").alias("c"), f[2].cast("long").alias("n"), "o").first()
+    size = body.orderBy("file", "block", "o").limit(1).select(f[0].cast("int").alias("r"), f[1].cast("int").alias("c"), f[2].cast("long").alias("n"), "o").first()
     if size is None or (size["r"], size["c"]) != (cells.count(), features.count()):
         raise ValueError("matrix shape does not match its ids")
     t = body.where(F.col("o") != size["o"]).select(f[0].try_cast("int").alias("r"), f[1].try_cast("int").alias("c"), f[2].try_cast("double").alias("value"))
