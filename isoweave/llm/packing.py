@@ -39,10 +39,6 @@ def encoder(path: str) -> "Words":
     return kept[path]
 
 
-def _room(entries) -> int:
-    return sum(ENTRY + len(w) + len(ids) for w, ids in entries)
-
-
 #: Texts by which it is seen whether a tokenizer has the properties that Words builds on.
 PROBES = ("Hello, World! It's 12 a.b?? c--d", "\u00c9COLE \u00dcber na\u00efve Stra\u00dfe \u0130x \u4e2d\u6587 \U0001f600", "x|y %%% $#&*:; A.B.C.", " two  blanks\tand\nlines\r\n ", "NLP nlp Nlp, nlp. I'll", "")
 
@@ -122,10 +118,10 @@ class Words:
         if self.bytes > CACHE // 2:
             for w, _, _ in parted:
                 del known[w]
-        while len(known) > size and self.bytes + _room(islice(known.items(), size, None)) > CACHE:
-            for _ in range((len(known) - size + 1) // 2):
-                known.popitem()
-        self.bytes += _room(islice(known.items(), size, None))
+        self.bytes += sum(ENTRY + len(w) + len(ids) for w, ids in islice(reversed(known.items()), len(known) - size))
+        while self.bytes > CACHE and len(known) > size:
+            w, ids = known.popitem()
+            self.bytes -= ENTRY + len(w) + len(ids)
         return out
 
 
