@@ -1,8 +1,11 @@
 """Signature rules of the license scan, over lower-cased words joined by single blanks.
 
 NAMES: label; SPDX words; the license's names as a pattern; its addresses; a
-sentence that its text or notice alone has.  Every license gives a rule for each
-of the forms it has, so the table below makes a few hundred rules.
+sentence that its text or notice alone has.  TEXTS: further sentences of license
+texts and notices.  LOOSE: rules without a license of their own.  Every filled field
+of NAMES and every line of the others is a signature of its own (written()); names
+also come after "licensed under", and alternatives are compiled one by one, each
+with its gate, which makes more compiled rules than signatures.
 """
 
 from __future__ import annotations
@@ -95,6 +98,99 @@ x11 | x11 | (the )?x11 licen[sc]e | opensource org licenses? x11 |
 lppl-1.3c | lppl 1 3c | latex project public licen[sc]e( version 1 3c?| 1 3c?)? | latex project org lppl |
 """
 
+#: label | sentence, as a pattern: what only this license's text or usual notice says.
+TEXTS = r"""
+apache-2.0 | unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
+apache-2.0 | licensed to the apache software foundation asf under one or more contributor license agreements
+apache-2.0 | grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works
+apache-1.1 | products derived from this software may not be called apache nor may apache appear in their name
+mit | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+mit | to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense
+mit | the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability
+bsd | redistribution and use in source and binary forms with or without modification are permitted provided that
+bsd | redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+bsd | redistributions in binary form must reproduce the above copyright notice this list of conditions
+bsd | in no event shall the (copyright holder|copyright owner|author|regents)s?( or contributors)? be liable for any direct indirect incidental special exemplary
+bsd-3-clause | neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+bsd-4-clause | this product includes software developed by the university of california berkeley and its contributors
+gpl | this program is free software you can redistribute it and or modify it under the terms of the gnu general public license
+gpl | this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty
+gpl | you should have received a copy of the gnu general public license along with this program
+gpl | everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed
+gpl-2.0 | the licenses for most software are designed to take away your freedom to share and change it
+gpl-2.0 | 51 franklin street fifth floor boston
+gpl-3.0 | the gnu general public license is a free copyleft license for software and other kinds of works
+lgpl | this library is free software you can redistribute it and or modify it under the terms of the gnu (lesser|library) general public license
+lgpl | you should have received a copy of the gnu lesser general public license along with this
+lgpl-3.0 | this version of the gnu lesser general public license incorporates the terms and conditions of version 3
+agpl-3.0 | the gnu affero general public license is a free copyleft license for software and other kinds of works specifically designed to ensure cooperation
+agpl | you should have received a copy of the gnu affero general public license along with this program
+gfdl-1.3 | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 3
+gfdl-1.2 | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 2
+gfdl-1.1 | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 1
+mpl-1.1 | the contents of this file are subject to the mozilla public license version 1 1
+mpl-2.0 | if a copy of the mpl was not distributed with this file you can obtain one at
+epl-1.0 | the accompanying program is provided under the terms of this eclipse public license agreement
+epl-2.0 | this program and the accompanying materials are made available under the terms of the eclipse public license 2 0
+epl-1.0 | this program and the accompanying materials are made available under the terms of the eclipse public license v1 0
+edl-1.0 | this program and the accompanying materials are made available under the terms of the eclipse distribution license v 1 0
+cddl-1.0 | the contents of this file are subject to the terms of the common development and distribution license
+cpl-1.0 | the accompanying program is provided under the terms of this common public license agreement
+eupl-1.2 | licensed under the eupl version 1 2 or as soon they will be approved by the european commission
+eupl-1.1 | licensed under the eupl version 1 1 or as soon they will be approved by the european commission
+cecill-2.1 | this software is governed by the cecill license under french law and abiding by the rules of distribution of free software
+artistic-1.0 | the intent of this document is to state the conditions under which a package may be copied such that the copyright holder maintains some semblance of artistic control
+artistic-2.0 | this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed
+bsl-1.0 | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
+busl-1.1 | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work
+isc | the software is provided as is and (the author|isc|internet systems consortium) disclaims all warranties with regard to this software
+zlib | this software is provided as is without any express or implied warranty in no event will the authors be held liable
+zlib | the origin of this software must not be misrepresented you must not claim that you wrote the original software
+unlicense | anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary
+unlicense | we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors
+wtfpl | everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed
+cc0-1.0 | to the extent possible under law ([^ ]+ ){1,8}has waived all copyright and related or neighboring rights
+cc-by-4.0 | this work is licensed under a creative commons attribution 4 0 international license
+cc-by-3.0 | this work is licensed under a creative commons attribution 3 0 (unported|[a-z]+) license
+cc-by-sa-4.0 | this work is licensed under a creative commons attribution sharealike 4 0 international license
+cc-by-sa-3.0 | text is available under the creative commons attribution share ?alike license
+cc-by-nc-4.0 | this work is licensed under a creative commons attribution non ?commercial 4 0 international license
+cc-by-nc-nd-4.0 | this is an open access article under the cc by nc nd license
+cc-by-4.0 | this is an open access article (under|distributed under) the (terms of the )?(cc by|creative commons attribution) license
+cc-by-nc-sa-4.0 | this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license
+odbl-1.0 | this database is made available under the open database license
+odbl-1.0 | any rights in individual contents of the database are licensed under the database contents license
+pddl-1.0 | this data is made available under the public domain dedication and license
+ogl-uk-3.0 | contains public sector information licensed under the open government licence v3 0
+python-2.0 | this license agreement is between the python software foundation psf and the individual or organization licensee
+postgresql | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted
+php-3.01 | this product includes php software freely available from
+ruby | you can redistribute it and or modify it under either the terms of the 2 clause bsdl
+ofl-1.1 | this font software is licensed under the sil open font license
+ofl-1.1 | the fonts and derivatives however cannot be released under any other type of license
+ms-pl | if you distribute any portion of the software in source code form you may do so only under this license by including a complete copy
+upl-1.0 | to any person obtaining a copy of this software associated documentation and or data collectively the software
+afl-3.0 | licensed under the academic free license version 3 0
+osl-3.0 | licensed under the open software license version 3 0
+ncsa | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal with the software without restriction
+sspl-1.0 | if you make the functionality of the program or a modified version available to third parties as a service
+elastic-2.0 | you may not provide the software to third parties as a hosted or managed service
+blueoak-1.0.0 | this license gives everyone as much permission to work with this software as possible
+openssl | this product includes software developed by the openssl project for use in the openssl toolkit
+openssl | this product includes cryptographic software written by eric young
+x11 | except as contained in this notice the name of the x consortium shall not be used in advertising
+curl | except as contained in this notice the name of a copyright holder shall not be used in advertising or otherwise to promote the sale
+vim | vim is charityware you can use and copy it as much as you like
+lppl-1.3c | this work may be distributed and or modified under the conditions of the latex project public license
+proprietary | (no part of this (publication|work|document|book)) may be reproduced (stored|distributed|or transmitted)
+proprietary | this software is the confidential and proprietary information of
+proprietary | for internal use only do not distribute
+proprietary | you may not copy modify distribute sell or lease any part of (our|the) (services|software)
+public-domain | (this|the) (work|file|software|text) (is|has been) (placed |released )?(in|into) the public domain
+public-domain | this work is in the public domain in the united states because
+no-warranty | use (it |this software )?at your own risk
+"""
+
 #: Rules without a license of their own: label, priority, confidence, pattern.
 LOOSE = (
     ("gpl", 30, 0.7, r"(gnu )?general public licen[sc]e|gnu gpl"),
@@ -171,6 +267,18 @@ def rules() -> tuple[Rule, ...]:
         add(f"{label}/address", label, 80, 0.9, address)
         if own:
             add(f"{label}/text", label, 85, 0.95, own)
+    for label, pattern in _texts():
+        add(f"{label}/text", label, 85, 0.95, pattern)
     for label, priority, confidence, pattern in LOOSE:
         add(f"{label}/loose", label, priority, confidence, pattern)
     return tuple(made)
+
+
+def _texts() -> list[tuple[str, str]]:
+    return [tuple(x.strip() for x in line.split(" | ")) for line in TEXTS.strip().splitlines()]
+
+
+def written() -> int:
+    """Signatures as they are written above: filled fields and lines, alternatives and templates not counted."""
+    fields = sum(bool(x.strip()) for line in NAMES.strip().splitlines() for x in re.split(r"\s\|(?:\s|$)", line)[1:])
+    return fields + len(_texts()) + len(LOOSE)
