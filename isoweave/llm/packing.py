@@ -28,7 +28,7 @@ SIZE, END, GROUP = 4096, 2, 4096
 #: Signs that the tokenizer parts from letters before them, singly or in a row.
 SIGNS = ".,!|?%$#&*:;"
 #: Bytes of the cache of encoded words, and what an entry takes besides its word and ids.
-CACHE, ENTRY = 144 << 20, 180
+CACHE, ENTRY = 32 << 20, 180
 
 
 def encoder(path: str) -> "Words":
@@ -158,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int =
     def run(batches):
         words, end = encoder(tokenizer_path), end_id.to_bytes(4, "little")
         gc.disable()  # millions of short-lived words, no cycles
-        for b in doc_batches(batches, 4 << 20):
+        for b in doc_batches(batches, 1 << 20):
             rows, ids = b.column("row").to_pylist(), b.column("doc_id").cast(pa.int64()).to_pylist()
             out = []
             for row, doc, x in zip(rows, ids, words.ids([t or "" for t in b.column("text").to_pylist()]), strict=True):
