@@ -60,6 +60,12 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+def picked(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of exactly these names; others may differ from them in case alone, or repeat."""
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    return plain.select(*[F.col(f"c{df.columns.index(n)}").alias(n) for n in names])
+
+
 _caches: dict[str, dict] = {}
 
 

@@ -58,3 +58,34 @@ WITH {_VECTORS}, scored AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+#: Every document's failures, every order's first failing step, counted by step; the Shapley column sums what a filter removes over all rows.
+AUDIT = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents
+), words AS (
+    SELECT *, list_filter(string_split_regex(t, '[ \t-\r]+'), lambda w: w <> '') AS w FROM docs
+), lowest AS (
+    SELECT t, min(doc_id) AS low FROM docs GROUP BY t
+), said AS (
+    SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), fails AS (
+    SELECT part, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > low, false)::INT AS mask, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM words JOIN lowest USING (t) LEFT JOIN said USING (doc_id)
+), masks AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM fails GROUP BY ALL
+), letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)), orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+    SELECT filter_order, s::INT AS step, f, bit, coalesce((SELECT sum(l2.bit) FROM letters l2 WHERE contains(substr(filter_order, 1, s - 1), l2.f)), 0)::INT AS earlier
+    FROM orders, range(1, 6) r(s), letters WHERE f = substr(filter_order, s, 1)
+), counted AS (
+    SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (mask & (earlier + bit) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (mask & earlier <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (mask & earlier = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+    FROM masks, steps GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM counted
+"""
