@@ -1,6 +1,6 @@
 """The subpackage's registered queries, and their SQL where SQL can express them."""
 
-from . import additive, audit, graph, html_text, licenses, oracles, packing, pieces, quality, secrets, simhash, suffixes
+from . import additive, audit, graph, html_text, licenses, oracles, packing, pieces, pii, quality, secrets, simhash, suffixes
 
 QUERIES = {
     "op1_sentencepiece": pieces.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_additive": additive.query,
     "op10_licenses": licenses.query,
+    "op11_pii": pii.query,
     "op12_audit": audit.query,
 }
 
