@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import picked
+from .common import picked, written
 
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
@@ -57,7 +57,8 @@ def mask_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(part, mask, n, good, toxic): documents by the filters that they fail, of 32 masks at most a part."""
     text = F.coalesce("text", F.lit(""))
     rows = picked(docs, "doc_id", "text", "source").select("doc_id", F.coalesce("source", F.lit("")).alias("part"), F.unhex(F.sha2(text, 256)).alias("sha"), failures(text).alias("mask"))
-    rows = rows.groupBy("doc_id", "sha", "part", "mask").agg(F.count("*").alias("n"))
+    # the texts are read once; what follows looks at these short rows several times
+    rows = written(docs.sparkSession, rows.groupBy("doc_id", "sha", "part", "mask").agg(F.count("*").alias("n")), "audit")
     said = picked(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
     told = rows.where("doc_id IS NOT NULL").join(said, "doc_id", "left")
     told = told.unionByName(rows.where("doc_id IS NULL"), allowMissingColumns=True)
