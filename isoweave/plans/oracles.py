@@ -151,8 +151,12 @@ ENDS: dict[str, str] = {
 }
 
 
-def variants_sql() -> str:
-    """Totals per transcript of a run by annotated ends, by observed ends and without long-read counts: the later steps once for each."""
+#: What is asked of each variant, whose name and table of counts stand for v and t.
+TOTALS = """SELECT gene_id, id AS transcript_id, round(SUM("count"), 3) AS total, '{v}' AS variant FROM {t} GROUP BY gene_id, id"""
+
+
+def variants_sql(select: str = TOTALS) -> str:
+    """Totals per transcript, or another select, of a run by annotated ends, by observed ends and without long-read counts: the later steps once for each."""
     import re
 
     later = ["o_prior", "o_group", "o_grouplike", "o_rows", "o_em", "o_counts"]
@@ -162,6 +166,6 @@ def variants_sql() -> str:
         for n in later:
             text = STEPS[n][1].replace("lr_count", "0.0") if (tag, n) == ("sr", "o_prior") else STEPS[n][1]
             extra[f"{n}_{tag}"] = re.sub(r"\b(o_[a-z]+)\b", lambda m, names=names: names.get(m[1], m[1]), text)
-    parts = " UNION ALL ".join(f"SELECT gene_id, id AS transcript_id, round(SUM(\"count\"), 3) AS total, '{v}' AS variant FROM {t} GROUP BY gene_id, id" for v, t in (("annotation_tes", "o_counts"), ("empirical_tes", "o_counts_tes"), ("sr_only", "o_counts_sr")))
+    parts = " UNION ALL ".join(select.format(v=v, t=t) for v, t in (("annotation_tes", "o_counts"), ("empirical_tes", "o_counts_tes"), ("sr_only", "o_counts_sr")))
     base = sql("", "o_counts", "v_tes")
     return base.rstrip() + ",\n" + ",\n".join(f"{k} AS MATERIALIZED ({v})" for k, v in extra.items()) + "\n" + parts

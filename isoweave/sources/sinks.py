@@ -6,8 +6,11 @@ import gzip
 import hashlib
 import json
 import os
+import time
+import uuid
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,16 +64,80 @@ def manifest(path: str | Path, record: dict) -> None:
     os.replace(temporary, path)
 
 
-def resumable(df: DataFrame, path: str, key: str, identity: str) -> DataFrame:
-    """Writes df in one folder per key under an identity, leaving out keys that an earlier run wrote; returns what is there."""
-    spark = df.sparkSession
-    place = f"{path}/identity={identity}"
+def _there(spark, path: str) -> DataFrame | None:
+    """What a folder holds, or None where there is none yet."""
     try:
-        done = spark.read.parquet(place)
-    except Exception as e:  # nothing there yet
-        if "PATH_NOT_FOUND" not in str(e):
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        done = None
-    todo = df if done is None else df.join(done.select(key).distinct(), key, "left_anti")
-    todo.write.mode("append").partitionBy(key).parquet(place)
-    return spark.read.parquet(place)
+        return None
+
+
+def identity(parameters: dict, inputs: DataFrame | None = None) -> str:
+    """A hash of parameters, and of names, sizes and times of input files (name, size, time), whatever their order."""
+    text = json.dumps(parameters, sort_keys=True, default=str)
+    if inputs is not None:
+        r = inputs.agg(F.count("*"), F.sum(F.xxhash64("name", "size", "time").cast("decimal(38,0)"))).first()
+        text += f"|{r[0]}|{r[1]}"
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def input_files(spark, *paths: str) -> DataFrame:
+    """(name, size, time) of the files below paths; their contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return found.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"), F.unix_micros("modificationTime").alias("time"))
+
+
+def committed(spark, path: str, key: str, identity: str) -> DataFrame | None:
+    """(key, attempt, rows) of every key that a write has committed under an identity: of several attempts the first by name."""
+    marks = _there(spark, f"{path}/identity={identity}/keys")
+    return None if marks is None else marks.groupBy(key).agg(F.min_by("rows", "attempt").alias("rows"), F.min("attempt").alias("attempt")).select(key, "attempt", "rows")
+
+
+def pending(keys: DataFrame, path: str, key: str, identity: str) -> DataFrame:
+    """keys (one column) that no write has committed yet."""
+    done = committed(keys.sparkSession, path, key, identity)
+    return keys.distinct() if done is None else keys.distinct().join(done.select(key), key, "left_anti")
+
+
+def read_committed(spark, path: str, key: str, identity: str, schema=None) -> DataFrame:
+    """Rows of committed keys; what an unfinished write has left, and a key's rows of later attempts, are passed over.
+
+    A key of which fewer or more rows are there than its write has counted raises.
+    """
+    done = committed(spark, path, key, identity)
+    rows = _there(spark, f"{path}/identity={identity}/data")
+    if done is None or rows is None:
+        if schema is None:
+            raise ValueError(f"nothing is committed under {path}/identity={identity}")
+        return spark.createDataFrame([], schema)
+    found = rows.groupBy(key, "attempt").agg(F.count("*").alias("n"))
+    wrong = done.join(found, [key, "attempt"], "left").where(F.coalesce("n", F.lit(0)) != F.col("rows")).first()
+    if wrong is not None:
+        raise ValueError(f"{wrong[key]}: {wrong['n'] or 0} of {wrong['rows']} committed rows are there")
+    return rows.join(done.select(key, "attempt"), [key, "attempt"]).drop("attempt")
+
+
+def commit(df: DataFrame, path: str, key: str, identity: str, keys: DataFrame | None = None) -> int:
+    """Writes df's rows, then marks its keys (and those of `keys` that have no rows) as committed; returns the rows written.
+
+    Rows go to a folder of their own attempt, marks come last, so a write that stops half-way commits nothing.
+    Two writers at a time do no harm: each key counts by one attempt.
+    """
+    spark, attempt = df.sparkSession, f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/identity={identity}/data/attempt={attempt}")
+    rows = spark.read.schema(df.schema).parquet(f"{path}/identity={identity}/data/attempt={attempt}")
+    marks = rows.groupBy(key).agg(F.count("*").alias("rows"))
+    if keys is not None:
+        marks = marks.unionByName(keys.select(key).distinct().join(marks, key, "left_anti").withColumn("rows", F.lit(0).cast("long")))
+    marks.write.parquet(f"{path}/identity={identity}/keys/attempt={attempt}")
+    return rows.count()
+
+
+def resumable(df: DataFrame, path: str, key: str, identity: str) -> DataFrame:
+    """Commits df's rows key by key under an identity, leaving out keys that an earlier run has committed; returns all committed rows."""
+    spark = df.sparkSession
+    todo = pending(df.select(key), path, key, identity)
+    commit(df.join(todo, key, "left_semi"), path, key, identity)
+    return read_committed(spark, path, key, identity, df.schema)
