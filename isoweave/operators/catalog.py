@@ -145,3 +145,12 @@ def spliced(tx: DataFrame, chunks: DataFrame, width: int = 20_000) -> DataFrame:
     whole = p.groupBy("id", "strand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "chunk", "part"))), lambda x: x.part), "").alias("seq"), F.sum(last - first).alias("bases"))
     good = F.when(F.length("seq") == F.col("bases"), F.col("seq")).otherwise(F.raise_error(F.concat_ws(" ", "id", F.lit("leaves its contig"))).cast("string"))
     return whole.select("id", F.when(F.col("strand") == "+", good).otherwise(g.reverse_complement(good)).alias("seq"))
+
+
+def spliced_from(tx: DataFrame, path: str) -> DataFrame:
+    """(id, seq): exon bases in transcript orientation, fetched from an indexed FASTA; an exon beyond its contig raises."""
+    from ..sources import fasta
+
+    e = tx.select("id", "chrom", "strand", F.posexplode("exons").alias("n", "e")).select("id", "chrom", "strand", "n", F.col("e.a").alias("start"), F.col("e.b").alias("end"))
+    whole = fasta.fetch(e, path).groupBy("id", "strand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "seq"))), lambda x: x.seq), "").alias("seq"))
+    return whole.select("id", F.when(F.col("strand") == "+", F.col("seq")).otherwise(g.reverse_complement("seq")).alias("seq"))

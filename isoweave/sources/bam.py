@@ -1,168 +1,568 @@
-"""Spark data sources for binary alignments (`bam`) and PacBio indexes (`pbi`), in pure Python.
+"""Spark data sources for binary alignments (`bam`, read and written) and PacBio indexes (`pbi`), in pure Python.
 
-A BAM is split at BGZF blocks: block sizes stand in the gzip extra field, so a
-split's first block is found by the chain of headers from the file's start on the
-driver.  Every partition scans whole blocks and goes on into the next split's
-first blocks to end its last record; where a record starts is found by the record
-chain, which the driver walks once, keeping only split points.
+Reading.  A file is cut into byte ranges; nobody walks it.  A range's task looks for the
+first BGZF block in it and, unless the file starts there, for the first place where a
+chain of records begins; the records that begin in its blocks are its own.  With loci and
+an index (`.bai`) only the chunks over the loci are read, cut where the index knows that
+records begin.  Rows come as Arrow batches, and only what the schema asks for is decoded.
+
+    spark.read.format("bam").option("loci", "chr1:1000-2000;chr2").load(path)
+
+Loci are zero-based and half-open; a record comes once if it overlaps any of them.
+Without an index all is read and filtered.  A path is a file, or a folder of .bam files.
+
+Writing.  Every task packs the rows of its partition into a file of its own with header,
+end block and index, so that rows that are range-partitioned in the header's order make a
+folder of sorted files.  `single` joins them on commit into one file and one index.
 """
 
 from __future__ import annotations
 
 import gzip
+import json
+import re
 import struct
-import zlib
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+
+from . import bai, bgzf, remote
 
 BAM_SCHEMA = "name string, flag int, chrom string, pos bigint, mapq int, cigar string, seq string, qual string, tags map<string,string>"
+#: All that a record holds besides, by name; a reader's schema may ask for any of these and leave out any.
+WHOLE_SCHEMA = BAM_SCHEMA + ", `end` bigint, mate_chrom string, mate_pos bigint, tlen int"
 _BASES, _OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 _SIZES = {"c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
 _CODES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-
-
-class Split(InputPartition):
-    def __init__(self, block: int, within: int, until: tuple[int, int] | None):
-        self.block, self.within, self.until = block, within, until
-
-
-def _block(f, at: int):
-    """(data, next block's place) of the BGZF block at a place; empty data at the end."""
-    f.seek(at)
-    head = f.read(18)
-    if len(head) < 18:
-        return b"", at
-    extra = struct.unpack_from("<H", head, 10)[0]
-    f.seek(at + 12)
-    fields, k, size = f.read(extra), 0, None
-    while k < extra:
-        n = struct.unpack_from("<H", fields, k + 2)[0]
-        if fields[k : k + 2] == b"BC":
-            size = struct.unpack_from("<H", fields, k + 4)[0] + 1
-        k += 4 + n
-    if size is None:
-        raise ValueError("not a BGZF block")
-    body = f.read(size - 12 - extra - 8)
-    return zlib.decompress(body, -15), at + size
+_PAIRS = [_BASES[b >> 4] + _BASES[b & 15] for b in range(256)]
+_TYPES = {
+    "name": pa.string(), "flag": pa.int32(), "chrom": pa.string(), "pos": pa.int64(), "mapq": pa.int32(), "cigar": pa.string(), "seq": pa.string(), "qual": pa.string(),
+    "tags": pa.map_(pa.string(), pa.string()), "end": pa.int64(), "mate_chrom": pa.string(), "mate_pos": pa.int64(), "tlen": pa.int32(),
+}
+#: Records in a batch; records that must follow each other before a place counts as the start of one.
+BATCH, CHAIN = 4096, 12
 
 
 class _Stream:
-    """Bytes from a place on, with the virtual place of what comes next."""
-
-    def __init__(self, f, block: int, within: int):
-        self.f, self.block = f, block
-        self.data, self.next = _block(f, block)
-        self.k = within
-
-    def place(self) -> tuple[int, int]:
-        while self.k >= len(self.data):
-            if self.next == self.block:
-                return self.block, self.k
-            self.k -= len(self.data)
-            self.block = self.next
-            self.data, self.next = _block(self.f, self.block)
-            if not self.data and self.next == self.block:
-                break
-        return self.block, self.k
+    """Unpacked bytes from a virtual place on."""
+
+    def __init__(self, f, place: int):
+        self.blocks, self.data, self.k, self.block = bgzf.Blocks(f, place >> 16), b"", 0, place >> 16
+        self._next()
+        self.k = place & 0xFFFF
+
+    def _next(self) -> bool:
+        while (got := self.blocks.next()) is not None:
+            self.block, self.data = got
+            self.k = 0
+            if self.data:
+                return True
+        self.block, self.data, self.k = self.blocks.at, b"", 0
+        return False
+
+    def place(self) -> int:
+        if self.k >= len(self.data):
+            self._next()
+        return self.block << 16 | self.k
 
     def read(self, n: int) -> bytes:
-        out = b""
-        while n:
-            part = self.data[self.k : self.k + n]
+        if self.k + n <= len(self.data):
+            self.k += n
+            return self.data[self.k - n : self.k]
+        out = bytearray()
+        while len(out) < n:
+            if self.k >= len(self.data) and not self._next():
+                break
+            part = self.data[self.k : self.k + n - len(out)]
             out += part
             self.k += len(part)
-            n -= len(part)
-            if n:
-                if self.next == self.block:
-                    return out
-                self.block, self.k = self.next, 0
-                self.data, self.next = _block(self.f, self.block)
-        return out
+        return bytes(out)
 
 
-def _header(s: _Stream) -> list[str]:
+@dataclass
+class Header:
+    text: str
+    contigs: list[tuple[str, int]]
+    place: int = 0  # virtual place of the first record
+
+    def packed(self) -> bytes:
+        text = self.text.encode()
+        names = b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in self.contigs)
+        return b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.contigs)) + names
+
+
+def header(f) -> Header:
+    s = _Stream(f, 0)
     if s.read(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    s.read(struct.unpack("<i", s.read(4))[0])
-    names = []
+    text = s.read(struct.unpack("<i", s.read(4))[0]).rstrip(b"\0").decode()
+    contigs = []
     for _ in range(struct.unpack("<i", s.read(4))[0]):
         n = struct.unpack("<i", s.read(4))[0]
-        names.append(s.read(n)[:-1].decode())
-        s.read(4)
-    return names
-
-
-def _tags(raw: bytes) -> dict[str, str]:
-    out, k = {}, 0
+        contigs.append((s.read(n)[:-1].decode(), struct.unpack("<i", s.read(4))[0]))
+    return Header(text, contigs, s.place())
+
+
+def _plausible(data: bytes, k: int, contigs: list[tuple[str, int]]) -> int | None:
+    """Where the next record begins if one may begin at k; None if not, or if the fixed part and the name are cut off."""
+    if len(data) - k < 36:
+        return None
+    size, ref, pos, n_name, _, _, n_cigar, _, n_seq, mate, mate_pos = struct.unpack_from("<iiiBBHHHiii", data, k)
+    if n_name < 1 or n_seq < 0 or size < 32 + n_name + 4 * n_cigar + (n_seq + 1) // 2 + n_seq:
+        return None
+    for r, p in ((ref, pos), (mate, mate_pos)):
+        if not (-1 <= r < len(contigs)) or p < -1 or r >= 0 and p >= contigs[r][1]:
+            return None
+    name = data[k + 36 : k + 36 + n_name]
+    if len(name) < n_name or name[-1] or any(c < 33 or c > 126 for c in name[:-1]):
+        return None
+    ops = data[k + 36 + n_name : k + 36 + n_name + 4 * n_cigar : 4]
+    return None if any(c & 15 > 8 for c in ops) else k + 4 + size
+
+
+def record_start(s: _Stream, contigs: list[tuple[str, int]], stop: int) -> int | None:
+    """Virtual place of the first record that begins in s's block or a later one before the file place `stop`.
+
+    A place counts if CHAIN records, or as many as there are before the file ends, follow each other from it on.
+    """
+    held, marks, done = b"", [], False  # blocks from s's on; (first byte in held, file place) of each
+
+    def more() -> bool:
+        nonlocal held, done
+        if s.data:
+            marks.append((len(held), s.block))
+            held += s.data
+        done = not s.data or not s._next()
+        return not done
+
+    def chained(k: int) -> bool:
+        for _ in range(CHAIN):
+            while len(held) - k < 36 + 256 and not done:
+                more()
+            if k == len(held) and done:
+                return True
+            after = _plausible(held, k, contigs)
+            if after is None:
+                return False
+            while len(held) < after and not done:
+                more()
+            if len(held) < after:
+                return False
+            k = after
+        return True
+
+    more()
+    k = 0
+    while True:
+        while k >= len(held):
+            if done or s.block >= stop:
+                return None
+            more()
+        at = next(m for m in reversed(marks) if m[0] <= k)
+        if at[1] >= stop:
+            return None
+        if _plausible(held, k, contigs) is not None or len(held) - k < 300 and not done:
+            if chained(k):
+                return at[1] << 16 | k - at[0]
+        k += 1
+
+
+def _tags(raw: bytes, typed: bool) -> list[tuple[str, str]]:
+    out, k = [], 0
     while k < len(raw):
         key, kind = raw[k : k + 2].decode(), chr(raw[k + 2])
         k += 3
         if kind == "A":
-            out[key] = chr(raw[k])
-            k += 1
+            value, k = chr(raw[k]), k + 1
         elif kind in _SIZES:
-            out[key] = str(struct.unpack_from("<" + _CODES[kind], raw, k)[0])
-            k += _SIZES[kind]
+            value, k = str(struct.unpack_from("<" + _CODES[kind], raw, k)[0]), k + _SIZES[kind]
+            kind = "f" if kind == "f" else "i"
         elif kind in "ZH":
             end = raw.index(0, k)
-            out[key] = raw[k:end].decode()
-            k = end + 1
+            value, k = raw[k:end].decode(), end + 1
         elif kind == "B":
             sub, n = chr(raw[k]), struct.unpack_from("<i", raw, k + 1)[0]
-            out[key] = ",".join(str(x) for x in struct.unpack_from(f"<{n}{_CODES[sub]}", raw, k + 5))
+            value = ",".join(str(x) for x in struct.unpack_from(f"<{n}{_CODES[sub]}", raw, k + 5))
             k += 5 + n * _SIZES[sub]
+            kind = f"B{sub}"
         else:
             raise ValueError(f"unknown tag type {kind}")
+        out.append((key, f"{kind}:{value}" if typed else value))
     return out
 
 
-def _record(raw: bytes, names: list[str]):
-    ref, pos, n_name, mapq, _, n_cigar, flag, n_seq = struct.unpack_from("<iiBBHHHi", raw)
-    k = 32
-    name = raw[k : k + n_name - 1].decode()
-    k += n_name
-    ops = struct.unpack_from(f"<{n_cigar}I", raw, k)
-    k += 4 * n_cigar
-    packed = raw[k : k + (n_seq + 1) // 2]
-    k += (n_seq + 1) // 2
-    seq = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:n_seq]
-    q = raw[k : k + n_seq]
-    qual = None if not n_seq or q[:1] == b"\xff" else bytes(x + 33 for x in q).decode()
-    return name, flag, names[ref] if ref >= 0 else None, pos, mapq, "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) or None, seq or None, qual, _tags(raw[k + n_seq :])
+def _span(ops) -> int:
+    return sum(x >> 4 for x in ops if x & 15 in (0, 2, 3, 7, 8))
+
+
+def _decoded(raw: bytes, contigs: list[tuple[str, int]], columns: list[str], typed: bool) -> list:
+    ref, pos, n_name, mapq, _, n_cigar, flag, n_seq, mate, mate_pos, tlen = struct.unpack_from("<iiBBHHHiiii", raw)
+    at = 32 + n_name
+    ops = struct.unpack_from(f"<{n_cigar}I", raw, at)
+    bases = at + 4 * n_cigar
+    quals = bases + (n_seq + 1) // 2
+    out = []
+    for c in columns:
+        match c:
+            case "name":
+                v = raw[32 : at - 1].decode()
+            case "flag":
+                v = flag
+            case "chrom":
+                v = contigs[ref][0] if ref >= 0 else None
+            case "pos":
+                v = pos
+            case "mapq":
+                v = mapq
+            case "cigar":
+                v = "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) or None
+            case "seq":
+                v = "".join(map(_PAIRS.__getitem__, raw[bases:quals]))[:n_seq] or None
+            case "qual":
+                q = raw[quals : quals + n_seq]
+                v = None if not n_seq or q[:1] == b"\xff" else bytes(x + 33 for x in q).decode("latin-1")
+            case "tags":
+                v = _tags(raw[quals + n_seq :], typed)
+            case "end":
+                v = pos + _span(ops)
+            case "mate_chrom":
+                v = contigs[mate][0] if mate >= 0 else None
+            case "mate_pos":
+                v = mate_pos
+            case "tlen":
+                v = tlen
+        out.append(v)
+    return out
+
+
+#: A stretch of a contig: name, first base, base behind the last one.
+Locus = tuple[str, int, int]
+_FAR = 1 << 29
+
+
+def parsed_loci(text: str) -> list[Locus]:
+    """`chrom` or `chrom:start-end`, by semicolons; zero-based, half-open."""
+    out = []
+    for part in filter(None, (p.strip() for p in text.split(";"))):
+        m = re.fullmatch(r"(.+):([0-9]+)-([0-9]+)", part)
+        chrom, a, b = (m[1], int(m[2]), int(m[3])) if m else (part, 0, _FAR)
+        if a >= b:
+            raise ValueError(f"empty locus {part}")
+        out.append((chrom, a, b))
+    return out
+
+
+@dataclass
+class Range(InputPartition):
+    """File places [start, stop): its records are those that begin in its blocks."""
+
+    path: str
+    start: int
+    stop: int
+
+
+@dataclass
+class Chunk(InputPartition):
+    """Virtual places [begin, stop), both where records begin."""
+
+    path: str
+    begin: int
+    stop: int
 
 
 class BamReader(DataSourceReader):
-    def __init__(self, options):
-        self.path, self.size = options["path"].removeprefix("file://"), int(options.get("splitBytes", 64 << 20))
+    def __init__(self, options, columns):
+        self.path, self.columns = options["path"], columns
+        self.size, self.typed = int(options.get("splitBytes", 64 << 20)), options.get("typedTags", "false").lower() == "true"
+        self.loci = parsed_loci(options["loci"]) if options.get("loci") else None
+        if unknown := set(columns) - _TYPES.keys():
+            raise ValueError(f"no such columns of a BAM: {', '.join(sorted(unknown))}")
+        if self.size < 1:
+            raise ValueError("splitBytes must be at least 1")
 
     def partitions(self):
         out = []
-        with open(self.path, "rb") as f:
-            s = _Stream(f, 0, 0)
-            _header(s)
-            starts = [s.place()]
-            while len(head := s.read(4)) == 4:
-                s.read(struct.unpack("<i", head)[0])
-                here = s.place()
-                if here[0] - starts[-1][0] >= self.size:
-                    starts.append(here)
-            for k, (block, within) in enumerate(starts):
-                out.append(Split(block, within, starts[k + 1] if k + 1 < len(starts) else None))
+        for path in remote.parts(self.path, ".bam"):
+            index = next((p for p in (f"{path}.bai", f"{path.removesuffix('.bam')}.bai") if remote.size(p)), None) if self.loci is not None else None
+            out += self._indexed(path, index) if index else self._ranges(path)
+        return out or [Range("", 0, 0)]
+
+    def _ranges(self, path):
+        end = remote.size(path)
+        return [Range(path, k, min(k + self.size, end)) for k in range(0, end, self.size)]
+
+    def _indexed(self, path, index):
+        with remote.opened(path) as f:
+            names = [n for n, _ in header(f).contigs]
+        spans: dict[int, list[tuple[int, int]]] = {}
+        for chrom, a, b in self.loci:
+            if chrom in names:
+                spans.setdefault(names.index(chrom), []).append((a, b))
+        with remote.opened(index) as f:
+            contigs = bai.unpacked(f.read(), set(spans))
+        out = []
+        for ref, wanted in sorted(spans.items()):
+            c, reach = contigs[ref], 0
+            for begin, stop in sorted(x for a, b in wanted for x in c.chunks(max(a, 0), b) if b > 0):
+                begin = max(begin, reach)  # loci may share chunks
+                if begin < stop:
+                    out += [Chunk(path, *x) for x in c.cuts(begin, stop, self.size)]
+                    reach = stop
         return out
 
-    def read(self, split):
-        with open(self.path, "rb") as f:
-            names = _header(_Stream(f, 0, 0))
-            s = _Stream(f, split.block, split.within)
-            while split.until is None or s.place() < split.until:
-                head = s.read(4)
-                if len(head) < 4:
+    def _raw(self, split):
+        """(record, header) of a split."""
+        with remote.opened(split.path) as f:
+            head = header(f)
+            if isinstance(split, Chunk):
+                s, stop = _Stream(f, split.begin), split.stop
+            else:
+                block = bgzf.first_block(f, split.start, split.stop, remote.size(split.path)) if split.start else 0
+                if block is None:
+                    return
+                first = head.place
+                if block > head.place >> 16:
+                    first = record_start(_Stream(f, block << 16), head.contigs, split.stop)
+                if first is None:
                     return
-                yield _record(s.read(struct.unpack("<i", head)[0]), names)
+                s, stop = _Stream(f, first), split.stop << 16
+            while s.place() < stop:
+                size = s.read(4)
+                if not size:
+                    break
+                n = struct.unpack("<i", size)[0]
+                raw = s.read(n)
+                if len(raw) < n:
+                    raise ValueError(f"{split.path} ends within a record")
+                yield raw, head
+            self.inflated = getattr(self, "inflated", 0) + s.blocks.count
+
+    def read(self, split):
+        if not split.path:
+            return
+        rows, spans = [], None
+        for raw, head in self._raw(split):
+            if self.loci is not None:
+                if spans is None:
+                    names, spans = [n for n, _ in head.contigs], {}
+                    for chrom, a, b in self.loci:
+                        if chrom in names:
+                            spans.setdefault(names.index(chrom), []).append((a, b))
+                ref, pos = struct.unpack_from("<ii", raw)
+                if ref not in spans:
+                    continue
+                if isinstance(split, Chunk) and pos >= max(b for _, b in spans[ref]):
+                    break  # an indexed file is in order
+                n_name, n_cigar = raw[8], struct.unpack_from("<H", raw, 12)[0]
+                end = max(pos + _span(struct.unpack_from(f"<{n_cigar}I", raw, 32 + n_name)), pos + 1)
+                if not any(pos < b and end > a for a, b in spans[ref]):
+                    continue
+            rows.append(_decoded(raw, head.contigs, self.columns, self.typed))
+            if len(rows) == BATCH:
+                yield self._batch(rows)
+                rows = []
+        if rows:
+            yield self._batch(rows)
+
+    def _batch(self, rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], _TYPES[c]) for k, c in enumerate(self.columns)], names=self.columns)
+
+
+class PushedBamReader(BamReader):
+    """Takes loci from filters on chrom and pos; Spark applies all filters once more."""
+
+    def pushFilters(self, filters):
+        chroms, low, high = None, -1, _FAR
+        for f in filters:
+            column = getattr(f, "attribute", None)
+            if column == ("chrom",) and isinstance(f, (EqualTo, EqualNullSafe, In)):
+                asked = set(f.value) if isinstance(f, In) else {f.value}
+                if isinstance(f, EqualNullSafe) and None in asked:
+                    continue
+                chroms = asked - {None} if chroms is None else chroms & asked
+            elif column == ("pos",) and getattr(f, "value", None) is not None:
+                if isinstance(f, (EqualTo, EqualNullSafe, GreaterThan, GreaterThanOrEqual)):
+                    low = max(low, f.value + isinstance(f, GreaterThan))
+                if isinstance(f, (EqualTo, EqualNullSafe, LessThan, LessThanOrEqual)):
+                    high = min(high, f.value + (not isinstance(f, LessThan)))
+        if chroms is not None and self.loci is None:
+            self.loci = [(c, low, high) for c in sorted(chroms)] if low < high else []
+        return filters
+
+
+_CIGAR = re.compile(rf"([0-9]+)([{_OPS}])")
+_TYPED = re.compile(r"([AifZH]|B[cCsSiIf]):(.*)", re.S)
+
+
+def _int_tag(value: int) -> bytes:
+    for kind, low, high in (("C", 0, 255), ("c", -128, -1), ("S", 0, 65535), ("s", -32768, -1), ("i", -(1 << 31), (1 << 31) - 1), ("I", 0, (1 << 32) - 1)):
+        if low <= value <= high:
+            return kind.encode() + struct.pack("<" + _CODES[kind], value)
+    raise ValueError(f"{value} is too large for a tag")
+
+
+def _packed_tag(key: str, value: str, typed: bool) -> bytes:
+    m = _TYPED.fullmatch(value) if typed else None
+    if typed and not m:
+        raise ValueError(f"tag {key} has no type: {value}")
+    kind, text = (m[1], m[2]) if m else ("Z", value)
+    if kind == "i":
+        body = _int_tag(int(text))
+    elif kind == "f":
+        body = b"f" + struct.pack("<f", float(text))
+    elif kind == "A":
+        body = b"A" + text.encode("ascii")
+    elif kind in "ZH":
+        body = kind.encode() + text.encode() + b"\0"
+    else:
+        sub, items = kind[1], [x for x in text.split(",") if x]
+        body = b"B" + sub.encode() + struct.pack(f"<i{len(items)}{_CODES[sub]}", len(items), *[float(x) if sub == "f" else int(x) for x in items])
+    return key.encode("ascii") + body
+
+
+def packed_record(row: dict, refs: dict[str, int], typed: bool) -> tuple[bytes, int, int, int]:
+    """A record's bytes with its contig's number (-1: none), first place and the place behind the last."""
+    ref = -1 if row.get("chrom") is None else refs.get(row["chrom"], -2)
+    mate = -1 if row.get("mate_chrom") is None else refs.get(row["mate_chrom"], -2)
+    if -2 in (ref, mate):
+        raise ValueError(f"{row['name']}: contig is not in the header")
+    cigar, pos = row.get("cigar") or "", -1 if row.get("pos") is None else row["pos"]
+    ops = [int(n) << 4 | _OPS.index(o) for n, o in _CIGAR.findall(cigar)]
+    if "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) != cigar:
+        raise ValueError(f"{row['name']}: no CIGAR: {cigar}")
+    seq, qual = row.get("seq") or "", row.get("qual")
+    if qual is not None and len(qual) != len(seq):
+        raise ValueError(f"{row['name']}: {len(seq)} bases, {len(qual)} qualities")
+    codes = [max(_BASES.find(c), -1) for c in seq.upper()]
+    codes = [15 if c < 0 else c for c in codes] + [0] * (len(seq) % 2)
+    name = row["name"].encode()
+    if not 0 < len(name) < 255:
+        raise ValueError(f"a name has 1 to 254 bytes: {row['name']}")
+    end = max(pos + _span(ops), pos + 1)
+    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, row.get("mapq") or 0, bai.bin_of(max(pos, 0), max(end, 1)), len(ops), row.get("flag") or 0, len(seq), mate, -1 if row.get("mate_pos") is None else row["mate_pos"], row.get("tlen") or 0)
+    body += name + b"\0" + struct.pack(f"<{len(ops)}I", *ops) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True))
+    body += bytes([255] * len(seq)) if qual is None else bytes(ord(q) - 33 for q in qual)
+    body += b"".join(_packed_tag(k, v, typed) for k, v in sorted((row.get("tags") or {}).items()))
+    return struct.pack("<i", len(body)) + body, ref, pos, end
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    name: str  # of the part below the attempt's folder
+    rows: int
+    first: tuple | None  # keys of the first and last record
+    last: tuple | None
+
+
+class BamWriter(DataSourceWriter):
+    """Files in an attempt's folder; on commit they move into place, joined or not."""
+
+    def __init__(self, options, columns, overwrite):
+        self.path, self.columns, self.overwrite = options["path"].rstrip("/"), columns, overwrite
+        self.contigs = [(str(n), int(size)) for n, size in json.loads(options["contigs"])]
+        self.single, self.typed = (options.get(k, "false").lower() == "true" for k in ("single", "typedTags"))
+        text = options.get("header") or "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in self.contigs)
+        self.head, self.attempt = Header(text, self.contigs), f"{self.path}.{uuid.uuid4().hex}"
+        if unknown := set(columns) - _TYPES.keys():
+            raise ValueError(f"no such columns of a BAM: {', '.join(sorted(unknown))}")
+        if not overwrite and remote.taken(self.path):
+            raise ValueError(f"{self.path} is there already")
+
+    def write(self, rows):
+        from pyspark import TaskContext
+
+        t = TaskContext.get()
+        name = f"part-{t.partitionId():05d}-{t.taskAttemptId()}.bam"
+        refs = {n: k for k, (n, _) in enumerate(self.contigs)}
+        index, unplaced, n, first, last = [bai.Contig() for _ in refs], 0, 0, None, None
+        with remote.created(f"{self.attempt}/{name}") as f:
+            w = bgzf.Writer(f)
+            w.write(self.head.packed())
+            w.flush()
+            for row in rows:
+                raw, ref, pos, end = packed_record(row.asDict(), refs, self.typed)
+                key = (ref if ref >= 0 else len(refs), pos)
+                if last is not None and key < last:
+                    raise ValueError(f"rows are not in the order of the header's contigs: {row['name']}")
+                first, last, n = first or key, key, n + 1
+                begin = w.place()
+                w.write(raw)
+                if ref < 0:
+                    unplaced += 1
+                else:
+                    index[ref].add(max(pos, 0), max(end, 1), begin, w.place())
+            w.flush()
+            f.write(bgzf.END)
+        with remote.created(f"{self.attempt}/{name}.bai") as f:
+            f.write(bai.packed(index, unplaced))
+        return Written(name, n, first, last)
+
+    def commit(self, messages):
+        parts = [m for m in messages if m is not None]
+        full = [m for m in parts if m.rows]
+        for a, b in zip(full, full[1:], strict=False):
+            if b.first < a.last:
+                self.abort(messages)
+                raise ValueError("partitions are not in the order of the header's contigs: sort by range first")
+        parts = full or parts[:1]
+        if self.overwrite:
+            for p in (self.path, f"{self.path}.bai"):
+                remote.removed(p)
+        if self.single:
+            self._join(parts)
+            remote.removed(self.attempt)
+            return
+        wanted = {m.name for m in parts}
+        for p in remote.parts(self.attempt, ""):
+            name = p.rsplit("/", 1)[-1]
+            if name.removesuffix(".bai") not in wanted:
+                remote.removed(p)  # of attempts that lost, and of empty partitions
+        if not parts:
+            remote.removed(self.attempt)
+        else:
+            remote.moved(self.attempt, self.path)
+
+    def _join(self, parts):
+        """One file: the first part's header, all parts' blocks, one end; copied as they are, some megabytes at a time."""
+        index, unplaced = [bai.Contig() for _ in self.contigs], 0
+        with remote.created(f"{self.attempt}/joined") as out:
+            at = 0
+            for k, m in enumerate(parts):
+                path = f"{self.attempt}/{m.name}"
+                with remote.opened(path) as f:
+                    skip = 0 if k == 0 else header(f).place >> 16
+                    f.seek(skip)
+                    left = remote.size(path) - skip - len(bgzf.END)
+                    by, at = at - skip, at + left
+                    while left:
+                        piece = f.read(min(left, 8 << 20))
+                        out.write(piece)
+                        left -= len(piece)
+                with remote.opened(f"{path}.bai") as f:
+                    raw = f.read()
+                index = [a.joined(b.moved(by)) for a, b in zip(index, bai.unpacked(raw), strict=True)]
+                unplaced += struct.unpack("<Q", raw[-8:])[0]
+            if not parts:
+                w = bgzf.Writer(out)
+                w.write(self.head.packed())
+                w.flush()
+            out.write(bgzf.END)
+        with remote.created(f"{self.attempt}/joined.bai") as out:
+            out.write(bai.packed(index, unplaced))
+        remote.moved(f"{self.attempt}/joined", self.path)
+        remote.moved(f"{self.attempt}/joined.bai", f"{self.path}.bai")
+
+    def abort(self, _):
+        remote.removed(self.attempt)
 
 
 class BamDataSource(DataSource):
-    """spark.read.format("bam").load(path): BAM_SCHEMA, one row per record in file order within a partition."""
+    """Options for reading: loci, splitBytes, typedTags, pushdown; for writing: contigs (JSON of [name, length]), header, single, typedTags.
+
+    pushdown needs spark.sql.python.filterPushdown.enabled.  typedTags keeps the types of tags ("i:7", "Bc:1,2"), so that they can be written again.
+    """
 
     @classmethod
     def name(cls):
@@ -172,26 +572,86 @@ class BamDataSource(DataSource):
         return BAM_SCHEMA
 
     def reader(self, schema):
-        return BamReader(self.options)
+        kind = PushedBamReader if self.options.get("pushdown", "false").lower() == "true" else BamReader
+        return kind(self.options, schema.names)
+
+    def writer(self, schema, overwrite):
+        return BamWriter(self.options, schema.names, overwrite)
+
+
+@dataclass
+class Records(InputPartition):
+    start: int
+    stop: int
 
 
 class PbiReader(DataSourceReader):
-    def __init__(self, options):
-        self.path = options["path"].removeprefix("file://")
+    """Hole and offset of every record; the sections before, between and after them are not unpacked."""
 
-    def read(self, _):
-        with gzip.open(self.path, "rb") as f:
-            magic, version, _, n, _ = struct.unpack("<4sIHI18s", f.read(32))
-            if magic != b"PBI\1" or version >> 16 not in (3, 4):
-                raise ValueError("not a PacBio index of version 3 or 4")
-            f.read(12 * n)  # read groups, query starts and ends
-            holes = struct.unpack(f"<{n}i", f.read(4 * n))
-            f.read(5 * n)  # qualities and context flags
-            yield from zip(holes, struct.unpack(f"<{n}q", f.read(8 * n)), strict=True)
+    def __init__(self, options, columns):
+        self.path, self.columns, self.per = options["path"], columns, int(options.get("splitRecords", 1 << 22))
+        self.holes = {int(h) for h in options["holes"].split(",")} if options.get("holes") else None
+        if set(columns) - {"hole", "offset"} or self.per < 1:
+            raise ValueError("a PacBio index has the columns hole and offset; splitRecords is at least 1")
+
+    def _blocks(self, f):
+        """The file's blocks; None if it is one gzip member, which can only be read from its start."""
+        f.seek(0)
+        return bgzf.directory(f, remote.size(self.path)) if bgzf.block_size(f.read(512)) else None
+
+    def _count(self, head: bytes) -> int:
+        magic, version, _, n, _ = struct.unpack("<4sIHI18s", head)
+        if magic != b"PBI\1" or version >> 16 not in (3, 4):
+            raise ValueError("not a PacBio index of version 3 or 4")
+        return n
+
+    def partitions(self):
+        with remote.opened(self.path) as f:
+            blocks = self._blocks(f)
+            n = self._count(_slice(f, blocks, 0, 32))
+        if blocks is None:
+            return [Records(0, n)]
+        return [Records(k, min(k + self.per, n)) for k in range(0, n, self.per)] or [Records(0, 0)]
+
+    def read(self, part):
+        with remote.opened(self.path) as f:
+            blocks = self._blocks(f)
+            n = self._count(_slice(f, blocks, 0, 32))
+            m = part.stop - part.start
+            # int32 read group, start, end; int32 hole; float32 quality, uint8 context; int64 offset
+            holes = pa.Array.from_buffers(pa.int32(), m, [None, pa.py_buffer(_slice(f, blocks, 32 + 12 * n + 4 * part.start, 4 * m))])
+            offsets = pa.Array.from_buffers(pa.int64(), m, [None, pa.py_buffer(_slice(f, blocks, 32 + 21 * n + 8 * part.start, 8 * m))])
+        batch = pa.RecordBatch.from_arrays([{"hole": holes, "offset": offsets}[c] for c in self.columns], names=self.columns)
+        if self.holes is not None:
+            import pyarrow.compute as pc
+
+            batch = batch.filter(pc.is_in(holes, pa.array(sorted(self.holes), pa.int32())))
+        yield batch
+
+
+def _slice(f, blocks, start: int, n: int) -> bytes:
+    """Bytes [start, start + n) of the unpacked data."""
+    if blocks is None:
+        f.seek(0)
+        with gzip.GzipFile(fileobj=f) as g:
+            g.seek(start)
+            out = g.read(n)
+    else:
+        from bisect import bisect_right
+
+        k = max(bisect_right(blocks, start, key=lambda b: b[1]) - 1, 0)
+        s = bgzf.Blocks(f, blocks[k][0])
+        out = bytearray()
+        while len(out) < start - blocks[k][1] + n and (got := s.next()) is not None:
+            out += got[1]
+        out = bytes(out[start - blocks[k][1] :][:n])
+    if len(out) < n:
+        raise ValueError("the PacBio index is cut off")
+    return out
 
 
 class PbiDataSource(DataSource):
-    """spark.read.format("pbi").load(path): (hole, offset); columns before them are skipped."""
+    """spark.read.format("pbi").load(path): (hole, offset).  Options: holes (by commas), splitRecords."""
 
     @classmethod
     def name(cls):
@@ -201,7 +661,7 @@ class PbiDataSource(DataSource):
         return "hole int, offset bigint"
 
     def reader(self, schema):
-        return PbiReader(self.options)
+        return PbiReader(self.options, schema.names)
 
 
 def register(spark) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import numbered
+from .text import require
 
 
 def tsv(df: DataFrame, path: str, *order: str) -> None:
@@ -42,6 +43,22 @@ def matrix_market(counts: DataFrame, cells: DataFrame, features: DataFrame, path
     return n
 
 
+def bam(reads: DataFrame, path: str, contigs: DataFrame, single: bool = False, mode: str = "error", **options: str) -> None:
+    """Reads as BAM in the order of the header's contigs (chrom, ix, length), each part with its index; reads without a contig come last.
+
+    A folder of parts, or one file if `single`; the latter copies the packed parts through the driver when they are committed.
+    A read on a contig that the header lacks raises.
+    """
+    from . import bam as source
+
+    source.register(reads.sparkSession)
+    names = contigs.select("chrom", "length").orderBy("ix").collect()  # a header's lines
+    placed = reads.join(contigs.select("chrom", F.col("ix").alias("_ix")), "chrom", "left")
+    placed = require(placed, F.col("chrom").isNull() | F.col("_ix").isNotNull(), "contig is not in the header:", "chrom")
+    ordered = placed.orderBy(F.asc_nulls_last("_ix"), "pos", "name", "flag").select(*reads.columns)
+    ordered.write.format("bam").mode("append" if mode == "error" else mode).options(contigs=json.dumps([[r["chrom"], r["length"]] for r in names]), single=str(single).lower(), **options).save(path)
+
+
 def text(lines: DataFrame, path: str) -> None:
     lines.select("value").write.text(path)
 
