@@ -112,40 +112,19 @@ def silhouette(points: DataFrame, block: int = 1024) -> DataFrame:
 
 
 def truncated_svd(rows: DataFrame, k: int = 20) -> DataFrame:
-    """(component, value): singular values of the uncentred matrix of (id, x array<double>), by the Gram matrix of its columns.
+    """(component, value): singular values of the uncentred matrix of (id, x array<double>)."""
+    from . import embed
 
-    Every task sums its own Gram matrix; what meets is as large as the square of the number of columns.
-    """
-    import numpy as np
-    import pandas as pd
-
-    def gram(frames):
-        total = None
-        for pdf in frames:
-            if len(pdf):
-                x = np.stack(pdf["x"].to_numpy()).astype(float)
-                total = x.T @ x if total is None else total + x.T @ x
-        if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total)), "row": list(total)})
-
-    cells = rows.select("x").mapInPandas(gram, "i int, row array<double>").select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("s")).toPandas()
-    d = int(cells["i"].max()) + 1 if len(cells) else 0
-    whole = np.zeros((d, d))
-    whole[cells["i"], cells["j"]] = cells["s"]
-    values = np.sqrt(np.clip(np.linalg.eigvalsh(whole)[::-1][:k], 0, None)) if d else []
+    packed, features = embed.dense_rows(rows)
+    values, _ = embed.right_vectors(packed, features, k)
     return rows.sparkSession.createDataFrame([(i + 1, float(v)) for i, v in enumerate(values)], "component int, value double")
 
 
 def kmeans(points: DataFrame, k: int = 10, seed: int = 0) -> DataFrame:
-    """(id, cluster) by k-means from a seeded k-means|| start; k is cut to the number of distinct points."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    rows = points.withColumn("features", array_to_vector("x"))
-    n = min(k, rows.select("x").distinct().limit(k).count())
-    if n < 2:
-        return points.select("id", F.lit(0).alias("cluster"))
-    return KMeans(k=n, seed=seed, featuresCol="features").fit(rows).transform(rows).select("id", F.col("prediction").alias("cluster"))
+    """(id, cluster) by embed.kmeans; k is cut to the number of distinct points."""
+    from . import embed
+
+    return embed.kmeans(points, min(k, points.select("x").distinct().limit(k).count()), seed)
 
 
 def lpt_batches(counts: list[tuple[str, int]], batches: int, most: int) -> list[list[str]]:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import genomics as g
+from ..sources.text import require
 from ..storage import numbered, staged
 
 
@@ -115,6 +116,43 @@ def capture_samples(training: DataFrame, most: int = 2000) -> DataFrame:
     return first.agg(F.array_sort(F.collect_list(F.col("d").cast("double"))).alias("samples"))
 
 
+def reservoir_places(n: int, most: int, seed: int) -> list[int]:
+    """Places (from 1) of n ordered rows that a seeded reservoir of `most` ends with, in the order of its slots.
+
+    Row t > most draws a slot below t and replaces what is in it if it is below `most`.  A draw depends on the generator
+    and t alone, not on any row, so all draws are made in bulk and only the last row of each slot is kept.
+    """
+    import numpy as np
+
+    last = np.arange(1, min(n, most) + 1)
+    draw = np.random.default_rng(seed)
+    for first in range(most + 1, n + 1, 1 << 22):
+        t = np.arange(first, min(first + (1 << 22), n + 1))
+        slot = draw.integers(t)
+        hit = slot < most
+        np.maximum.at(last, slot[hit], t[hit])  # a later row has a larger place
+    return [int(x) for x in last]
+
+
+def reservoir(values: DataFrame, order: list[str], most: int = 2000, seed: int = 0) -> DataFrame:
+    """values with `slot` (from 0): what one pass over the rows in the given order leaves in a seeded reservoir, without that pass.
+
+    Rows are placed by ranges; the at most `most` places that stay are joined to them.  With no more rows than that, all stay.
+    """
+    if most < 1:
+        raise ValueError("a reservoir holds at least one row")
+    placed = numbered(values, "_place", *order)
+    places = reservoir_places(placed.count(), most, seed)
+    chosen = values.sparkSession.createDataFrame([(k, p) for k, p in enumerate(places)], "slot int, _place long")
+    return placed.join(F.broadcast(chosen), "_place").drop("_place")  # `most` rows
+
+
+def reservoir_samples(training: DataFrame, most: int = 2000, seed: int = 0) -> DataFrame:
+    """One row: training distances of the seeded reservoir in catalog-then-molecule order, sorted; a distance that is negative or not finite raises."""
+    kept = require(reservoir(training, ["catalog", "cell", "umi"], most, seed), (F.col("d") >= 0) & (F.col("d") < float("inf")), "training distance is negative or not finite:", "gene_id", "d")
+    return kept.agg(F.array_sort(F.collect_list(F.col("d").cast("double"))).alias("samples"))
+
+
 def even_subsample(values: DataFrame, k: int) -> DataFrame:
     """Rows of (v) at the positions floor(i * (n - 1) / (k - 1)) of the sorted values; all of them if no more than k."""
     n = values.count()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 import struct
 from functools import reduce
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import genomics as g
 from ..sources import text
+from ..sources.sinks import digest
 from ..sources.text import require
 
 
@@ -119,8 +119,7 @@ def shared_reads(folder: str | Path, bam: str | Path, barcodes: str | Path, cont
     record = json.loads((folder / "certificate.json").read_text())
 
     def same(path, about) -> bool:
-        raw = Path(path).read_bytes()
-        return len(raw) == about.get("bytes") and hashlib.sha256(raw).hexdigest() == about.get("sha256")
+        return digest(path) == (about.get("bytes"), about.get("sha256"))
 
     checks = {
         "incomplete or of an unknown schema": record.get("schema") == schema and bool(record.get("completed")),

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import genomics as g
 from ..operators import catalog as cat
 from ..operators import runs
-from ..sources import text
-from ..storage import shared_dir
+from ..sources import sinks, text
+from ..storage import numbered, shared_dir
 from . import fixtures as fx
 from .flagship import Run, _line
 from .oracles import sql
@@ -70,24 +70,17 @@ _add("load_barcodes", lambda s, d: text.barcodes(s, _lines(fx.view(s, d, "v_read
 _add("read_clusters_csv", lambda s, d: text.clusters(s, _table(fx.view(s, d, "v_cells").select(F.col("cell").alias("Barcode"), F.concat(F.lit(" k"), "cluster").alias("Cluster")), "clusters", ",")), "SELECT cell, concat('k', cluster) AS cluster FROM v_cells", "v_cells")
 _add("load_raw_assignments", lambda s, d: text.raw_assignments(s, _table(_meta(s, d).select(F.concat(F.lit("q"), "id").alias("ID"), (F.col("seq") + 1).alias("Length"), F.col("gene_id").alias("PBid")), "stat")), "SELECT concat('q', id) AS source_id, CAST(seq + 1 AS INT) AS length, gene_id AS model FROM v_meta", "v_meta")
 _add("load_consensus_assignments", lambda s, d: text.consensus_assignments(s, _lines(_meta(s, d).groupBy("gene_id").agg(F.array_join(F.collect_list("id"), ", ").alias("ids")).select(F.concat_ws("\t", "gene_id", "ids").alias("value")).unionByName(s.createDataFrame([("# note",), ("pbid\tids",)], "value string")), "group")), "SELECT id AS source_id, gene_id AS model FROM v_meta", "v_meta")
-_add("read_column", lambda s, d: (lambda c: c.join(_meta(s, d).select(F.col("id").alias("value"), "seq"), "value").select("ix", "value"))(text.column(s, _table(_meta(s, d).orderBy("seq").coalesce(1).select("seq", "id"), "column"), "id")), "SELECT CAST(ROW_NUMBER() OVER (ORDER BY seq) - 1 AS INT) AS ix, id AS value FROM v_meta", "v_meta")
+_add("read_column", lambda s, d: (lambda c: c.join(_meta(s, d).select(F.col("id").alias("value"), "seq"), "value").select("ix", "value"))(text.column(s, _table(_meta(s, d).orderBy("seq").select("seq", "id"), "column"), "id")), "SELECT CAST(ROW_NUMBER() OVER (ORDER BY seq) - 1 AS INT) AS ix, id AS value FROM v_meta", "v_meta")
 
 
 def _matrix(s, d):
     """Molecule counts by cell and gene through a coordinate file."""
     n = Run(s, d).mols.groupBy("cell", "gene_id").agg(F.count("*").alias("n"))
-    ids = lambda df, c: df.select(F.col(c).alias("value")).distinct().withColumn("ix", F.row_number().over(_by("value")) - 1)
+    ids = lambda df, c: numbered(df.select(F.col(c).alias("value")).distinct(), "ix", "value").withColumn("ix", F.col("ix") - 1)
     cells, genes = ids(fx.view(s, d, "v_cells"), "cell"), ids(_meta(s, d), "gene_id")
-    body = n.join(cells.select(F.col("value").alias("cell"), (F.col("ix") + 1).alias("r")), "cell").join(genes.select(F.col("value").alias("gene_id"), (F.col("ix") + 1).alias("c")), "gene_id")
-    head = s.createDataFrame([(0, "%%MatrixMarket matrix coordinate real general"), (1, "%"), (2, f"{cells.count()} {genes.count()} {body.count()}")], "o long, value string")
-    rows = head.unionByName(body.select(F.lit(3).cast("long").alias("o"), F.concat_ws(" ", "r", "c", "n").alias("value"))).orderBy("o").coalesce(1)
-    return text.matrix_market(s, _lines(rows.select("value"), "matrix"), cells, genes).select("cell", F.col("feature").alias("gene_id"), "value")
-
-
-def _by(c):
-    from pyspark.sql import Window
-
-    return Window.orderBy(c)
+    path = _place(s, "matrix") + ".mtx.gz"
+    sinks.matrix_market(n.select("cell", F.col("gene_id").alias("id"), F.col("n").cast("double").alias("count")), cells.select(F.col("value").alias("cell")), genes.select(F.col("value").alias("id")), path)
+    return text.matrix_market(s, path, cells, genes).select("cell", F.col("feature").alias("gene_id"), "value")
 
 
 _add("load_matrix_market", _matrix, "SELECT cell, gene_id, CAST(COUNT(*) AS DOUBLE) AS value FROM o_mol GROUP BY ALL", "o_mol")
@@ -119,7 +112,8 @@ _contigs = lambda s: s.range(5).select(F.concat(F.lit("chr"), "id").alias("chrom
 
 
 def _placed(df):
-    return df.withColumn("place", F.monotonically_increasing_id()).select(*df.columns, F.rank().over(_by("place")).cast("long").alias("place"))
+    """Rows with their places in the order that they have, counted by ranges."""
+    return numbered(df.withColumn("_o", F.monotonically_increasing_id()), "place", "_o").drop("_o")
 
 
 _add("contig_order_concat", lambda s, d: _placed(runs.in_contig_order(fx.view(s, d, "v_cells").select(F.concat(F.lit("chr"), F.col("cluster").cast("string")).alias("chrom"), "cell"), _contigs(s), "cell")), "SELECT concat('chr', cluster) AS chrom, cell, ROW_NUMBER() OVER (ORDER BY cluster DESC, cell) AS place FROM v_cells", "v_cells")
@@ -137,7 +131,7 @@ def _pbi(s, d):
 
 _add("pbi_candidate_lookup", _pbi, f"SELECT concat('m', p_partkey % 3, '/', CAST(FLOOR(p_partkey / 3) AS BIGINT), '/ccs') AS name, {_seq} AS seq FROM part WHERE p_size > 30")
 _add("nextflow_sample_join", lambda s, d: runs.by_sample(_meta(s, d).select(F.col("id").alias("sample"), "tpm"), _meta(s, d).where("seq % 2 = 0").select(F.col("id").alias("sample"), "lr_count"), _meta(s, d).where("seq % 3 = 0").select(F.col("id").alias("sample"), "source")), "SELECT id AS sample, tpm, lr_count, source FROM v_meta WHERE seq % 6 = 0", "v_meta")
-_add("concordance_bug_plan", lambda s, d: runs.concordance_plan(fx.view(s, d, "v_reads").where("l_orderkey % 50 = 0").select(F.concat("gx", F.lit("/"), "umi").alias("batch"), F.when(F.col("mapq") > 20, F.col("name")).alias("id")).where("batch IS NOT NULL")), "SELECT batch, COUNT(id) AS local, COUNT(id) = 1 AND (SELECT COUNT(DISTINCT name) FROM v_reads WHERE l_orderkey % 50 = 0 AND gx IS NOT NULL AND mapq > 20) > 1 AS rerun FROM (SELECT concat(gx, '/', umi) AS batch, CASE WHEN mapq > 20 THEN name END AS id FROM v_reads WHERE l_orderkey % 50 = 0 AND gx IS NOT NULL) GROUP BY batch", "v_reads")
+_add("concordance_bug_plan", lambda s, d: runs.concordance_plan(fx.view(s, d, "v_reads").select(F.concat("gx", F.lit("/"), "umi").alias("batch"), F.when(F.col("mapq") > 20, F.col("name")).alias("id")).where("batch IS NOT NULL")), "SELECT batch, COUNT(id) AS local, COUNT(id) = 1 AND (SELECT COUNT(DISTINCT name) FROM v_reads WHERE gx IS NOT NULL AND mapq > 20) > 1 AS rerun FROM (SELECT concat(gx, '/', umi) AS batch, CASE WHEN mapq > 20 THEN name END AS id FROM v_reads WHERE gx IS NOT NULL) GROUP BY batch", "v_reads")
 
 
 def _export(s, d):

@@ -9,6 +9,7 @@ from ..operators import catalog as cat
 from ..operators import evaluate as ev
 from ..operators import inference as inf
 from ..operators import prepare as pre
+from ..operators import sets as st
 from ..operators import tes as te
 from ..sources import sinks
 from ..storage import numbered
@@ -128,17 +129,25 @@ _add("tpm_fraction", lambda s, d: cat.tpm_fraction(fx.view(s, d, "v_meta")).sele
 _add("feature_index", lambda s, d: numbered(fx.view(s, d, "v_meta").select("gene_id", "id"), "ix", "gene_id", "id").select("id", (F.col("ix") - 1).alias("ix")), "SELECT id, ROW_NUMBER() OVER (ORDER BY gene_id, id) - 1 AS ix FROM v_meta", "v_meta")
 # joins and sets
 _add("interval_overlap_join", lambda s, d: inf.overlap_join(_reads(s, d).withColumn("start", F.col("pos")).withColumn("end", g.read_end("pos", "cigar")), inf.gene_windows(fx.transcripts(s, d))).groupBy("gene_id").agg(F.count("*").alias("n")), "SELECT gene_id, COUNT(*) AS n FROM o_events GROUP BY gene_id", "o_events")
-_add("whitelist_semi_join", lambda s, d: _reads(s, d).join(fx.view(s, d, "v_cells"), "cell", "left_semi").groupBy("cell").agg(F.count("*").alias("n")), "SELECT cell, COUNT(*) AS n FROM v_reads SEMI JOIN v_cells USING (cell) GROUP BY cell", "v_reads", "v_cells")
-_add("missing_anti_join", lambda s, d: _reads(s, d).select("cell").distinct().join(fx.view(s, d, "v_cells"), "cell", "left_anti"), "SELECT DISTINCT cell FROM v_reads ANTI JOIN v_cells USING (cell)", "v_reads", "v_cells")
-_add("unexpected_full_outer", lambda s, d: (lambda a, b: a.join(b, a.cell == b.c, "full_outer").where("cell IS NULL OR c IS NULL").select(F.coalesce("cell", "c").alias("id"), F.when(F.col("c").isNull(), "missing").otherwise("unexpected").alias("side")))(fx.view(s, d, "v_cells").select("cell"), _reads(s, d).select(F.col("cell").alias("c")).distinct()), "SELECT COALESCE(cell, c) AS id, CASE WHEN c IS NULL THEN 'missing' ELSE 'unexpected' END AS side FROM v_cells FULL JOIN (SELECT DISTINCT cell AS c FROM v_reads) ON cell = c WHERE cell IS NULL OR c IS NULL", "v_cells", "v_reads")
+_add("whitelist_semi_join", lambda s, d: st.whitelisted(_reads(s, d), fx.view(s, d, "v_cells")).groupBy("cell").agg(F.count("*").alias("n")), "SELECT cell, COUNT(*) AS n FROM v_reads SEMI JOIN v_cells USING (cell) GROUP BY cell", "v_reads", "v_cells")
+_add("missing_anti_join", lambda s, d: st.missing(_reads(s, d), fx.view(s, d, "v_cells")), "SELECT DISTINCT cell FROM v_reads ANTI JOIN v_cells USING (cell)", "v_reads", "v_cells")
+_add("unexpected_full_outer", lambda s, d: st.unexpected(fx.view(s, d, "v_cells"), _reads(s, d)), "SELECT COALESCE(cell, c) AS id, CASE WHEN c IS NULL THEN 'missing' ELSE 'unexpected' END AS side FROM v_cells FULL JOIN (SELECT DISTINCT cell AS c FROM v_reads) ON cell = c WHERE cell IS NULL OR c IS NULL", "v_cells", "v_reads")
 _add("gx_gene_match", lambda s, d: _reads(s, d).select("gx").distinct().join(inf.gene_matches(fx.transcripts(s, d)).withColumnRenamed("gx", "k"), g.normalize_gene_id("gx") == F.col("k")).select("gx", "gene_id"), "SELECT DISTINCT gx, regexp_replace(gx, '\\.[0-9]+$', '') AS gene_id FROM v_reads SEMI JOIN v_meta ON regexp_replace(gx, '\\.[0-9]+$', '') = v_meta.gene_id WHERE NOT contains(gx, ';')", "v_reads", "v_meta")
-_add("active_intersection", lambda s, d: _reads(s, d).where("n <= 4").select("cell").intersect(_reads(s, d).where("n > 4").select("cell")), "SELECT cell FROM v_reads WHERE n <= 4 INTERSECT SELECT cell FROM v_reads WHERE n > 4", "v_reads")
-_add("id_difference", lambda s, d: fx.view(s, d, "v_cells").select("cell").exceptAll(_reads(s, d).where("n = 7 AND mapq = 0").select("cell").distinct()), "SELECT cell FROM v_cells EXCEPT SELECT cell FROM v_reads WHERE n = 7 AND mapq = 0", "v_cells", "v_reads")
-_add("gene_universe", lambda s, d: Run(s, d).mols.select("gene_id").union(fx.transcripts(s, d).select("gene_id")).distinct(), "SELECT gene_id FROM o_mol UNION SELECT gene_id FROM v_meta", "o_mol", "v_meta")
-_add("read_overlap_guard", lambda s, d: (lambda r: r.where("n = 1").select("name").intersect(r.where("n = 2").select("name")).agg(F.count("*").alias("shared")))(_reads(s, d)), "SELECT COUNT(*) AS shared FROM (SELECT name FROM v_reads WHERE n = 1 INTERSECT SELECT name FROM v_reads WHERE n = 2)", "v_reads")
+_add("active_intersection", lambda s, d: st.in_all("cell", _reads(s, d).where("n <= 4"), _reads(s, d).where("n > 4")), "SELECT cell FROM v_reads WHERE n <= 4 INTERSECT SELECT cell FROM v_reads WHERE n > 4", "v_reads")
+_add("id_difference", lambda s, d: st.missing(fx.view(s, d, "v_cells"), _reads(s, d).where("n = 7 AND mapq = 0")), "SELECT cell FROM v_cells EXCEPT SELECT cell FROM v_reads WHERE n = 7 AND mapq = 0", "v_cells", "v_reads")
+_add("gene_universe", lambda s, d: st.in_any("gene_id", Run(s, d).mols, fx.transcripts(s, d)), "SELECT gene_id FROM o_mol UNION SELECT gene_id FROM v_meta", "o_mol", "v_meta")
+_add("read_overlap_guard", lambda s, d: st.shared(_reads(s, d).where("n = 1"), _reads(s, d).where("n = 2")), "SELECT COUNT(*) AS shared FROM (SELECT name FROM v_reads WHERE n = 1 INTERSECT SELECT name FROM v_reads WHERE n = 2)", "v_reads")
 _add("distinct_union_sort", lambda s, d: _reads(s, d).select("cell", "umi").union(fx.view(s, d, "v_cells").select("cell", F.lit("U0"))).distinct().orderBy("cell", "umi"), "SELECT cell, umi FROM v_reads UNION SELECT cell, 'U0' FROM v_cells", "v_reads", "v_cells")
 
 
+_OPS = "concat(1 + p_size % 3, 'S', 10 + p_size, 'M', CASE p_partkey % 4 WHEN 0 THEN '3I' WHEN 1 THEN '4D' WHEN 2 THEN '50N' ELSE '2P' END, 7, '=', 1, 'X', 5, 'M2H')"
+_gap = "CASE p_partkey % 4 WHEN 1 THEN 4 WHEN 2 THEN 50 ELSE 0 END"
+_start, _mid = "p_partkey", "p_partkey + 10 + p_size"
+_cut = "p_partkey % 4 = 2"  # an intron; a deletion of 4 parts blocks as well, but is no junction
+_add("cigar_shape_ops", lambda s, d: _part(s, d).select("p_partkey", F.expr(_OPS).alias("c")).select("p_partkey", g.cigar_shape("p_partkey", "c").alias("x")).select("p_partkey", _line(F.col("x.junctions")).alias("junctions"), F.col("x.pos").alias("e"), F.aggregate("x.blocks", F.lit(0).cast("bigint"), lambda t, b: t + b.b - b.a).alias("bases")),
+     f"SELECT p_partkey, CASE WHEN {_cut} THEN concat({_mid}, '-', {_mid} + 50) ELSE '' END AS junctions, {_mid} + {_gap} + 13 AS e, 10 + p_size + 13 AS bases FROM part")
+
+
 # transcript ends
 def _long_reads(s, d):
     t = fx.transcripts(s, d)
@@ -154,6 +163,17 @@ _tes = lambda s, d: (lambda r, a, t: te.reasons(r.drop("id"), a, t))(*_long_read
 _add("tes_filter_cascade", lambda s, d: _tes(s, d).select("name", F.coalesce("reason", F.lit("accepted")).alias("reason")), f"SELECT name, COALESCE(reason, 'accepted') AS reason FROM ({_tes_reason})", "v_meta", "v_exon")
 _add("tes_weight_aggregation", lambda s, d: te.weighted(te.accepted(_tes(s, d))), f"SELECT id, tes, SUM(weight) AS \"count\" FROM ({_tes_reason}) WHERE reason IS NULL GROUP BY id, tes", "v_meta", "v_exon")
 _add("tes_read_dedup", lambda s, d: te.accepted(_tes(s, d)).select("name", "id", "tes", "endpoints", "duplicates"), f"SELECT name, id, tes, 1 AS endpoints, 0 AS duplicates FROM ({_tes_reason}) WHERE reason IS NULL", "v_meta", "v_exon")
+_more = "SELECT *, 1 AS copy FROM ({}) UNION ALL SELECT *, 2 FROM ({}) WHERE CAST(substr(name, 3) AS BIGINT) % 3 = 0".format(_tes_reason, _tes_reason)
+
+
+def _again(s, d):
+    """Every third read comes twice."""
+    r, a, t = _long_reads(s, d)
+    r = r.drop("id")
+    return te.reasons(r.unionByName(r.where("CAST(substr(name, 3) AS BIGINT) % 3 = 0")), a, t)
+
+
+_add("tes_read_dedup_repeats", lambda s, d: te.accepted(_again(s, d)).select("name", "id", "tes", "endpoints", "duplicates"), f"SELECT name, id, tes, CAST(COUNT(DISTINCT (id, tes, weight)) AS BIGINT) AS endpoints, COUNT(*) - 1 AS duplicates FROM ({_more}) WHERE reason IS NULL GROUP BY name, id, tes", "v_meta", "v_exon")
 _add("tes_summary", lambda s, d: te.summary(te.accepted(_tes(s, d))), f"SELECT id, COUNT(*) AS observations, SUM(weight) AS total_weight FROM ({_tes_reason}) WHERE reason IS NULL GROUP BY id", "v_meta", "v_exon")
 _add("assignment_conflicts", lambda s, d: te.conflicts(_reads(s, d).select(F.col("umi").alias("source_id"), F.col("cell").alias("model"))), "SELECT umi AS source_id, COUNT(DISTINCT cell) AS n FROM v_reads GROUP BY umi HAVING COUNT(DISTINCT cell) > 1", "v_reads")
 _add("tes_observation_join", lambda s, d: fx.transcripts(s, d).join(fx.view(s, d, "v_tes").groupBy("id").agg(F.count("*").alias("n")), "id", "left").select("id", F.coalesce("n", F.lit(1)).alias("ends")), "SELECT id, COALESCE(n, 1) AS ends FROM v_meta LEFT JOIN (SELECT id, COUNT(*) AS n FROM v_tes GROUP BY id) USING (id)", "v_meta", "v_tes")
@@ -174,10 +194,10 @@ _add("abundance_metrics", lambda s, d: (lambda m: m.select(*[F.round(c, 8).alias
      FROM (SELECT t, e, t / SUM(t) OVER () AS p, e / SUM(e) OVER () AS q, RANK() OVER (ORDER BY t) + (COUNT(*) OVER (PARTITION BY t) - 1) / 2 AS rt, RANK() OVER (ORDER BY e) + (COUNT(*) OVER (PARTITION BY e) - 1) / 2 AS re FROM (SELECT tpm AS t, lr_count + 1 AS e FROM v_meta))""", "v_meta")
 _add("average_rank", lambda s, d: ev.average_rank(fx.view(s, d, "v_meta"), "tpm", "r").select("id", "r"), "SELECT id, RANK() OVER (ORDER BY tpm) + (COUNT(*) OVER (PARTITION BY tpm) - 1) / 2 AS r FROM v_meta", "v_meta")
 _add("library_normalise_log1p", lambda s, d: ev.library_normalise(Run(s, d).mols.groupBy("cell", "gene_id").agg(F.count("*").alias("count"))).select("cell", "gene_id", F.round("value", 9).alias("value")), "SELECT cell, gene_id, round(ln(1 + c * 1e4 / SUM(c) OVER (PARTITION BY cell)), 9) AS value FROM (SELECT cell, gene_id, COUNT(*) AS c FROM o_mol GROUP BY ALL)", "o_mol")
-_add("cell_totals", lambda s, d: fx.view(s, d, "v_cells").join(Run(s, d).mols.groupBy("cell").agg(F.count("*").alias("n")), "cell", "left").select("cell", F.coalesce("n", F.lit(0)).alias("total")), "SELECT cell, COALESCE(n, 0) AS total FROM v_cells LEFT JOIN (SELECT cell, COUNT(*) AS n FROM o_mol GROUP BY cell) USING (cell)", "v_cells", "o_mol")
-_add("gene_totals", lambda s, d: Run(s, d).mols.groupBy("cell", "gene_id").agg(F.count("*").alias("total")), "SELECT cell, gene_id, COUNT(*) AS total FROM o_mol GROUP BY ALL", "o_mol")
-_add("exclude_zero_cells", lambda s, d: fx.view(s, d, "v_cells").join(Run(s, d).mols, "cell", "left_anti").agg(F.count("*").alias("zero_cells")), "SELECT COUNT(*) AS zero_cells FROM v_cells ANTI JOIN o_mol USING (cell)", "v_cells", "o_mol")
-_add("shared_active_cells", lambda s, d: Run(s, d).mols.groupBy("cell").agg(F.countDistinct("gene_id").alias("genes")).where("genes >= 2").select("cell"), "SELECT cell FROM o_mol GROUP BY cell HAVING COUNT(DISTINCT gene_id) >= 2", "o_mol")
+_add("cell_totals", lambda s, d: st.cell_totals(fx.view(s, d, "v_cells"), Run(s, d).mols), "SELECT cell, COALESCE(n, 0) AS total FROM v_cells LEFT JOIN (SELECT cell, COUNT(*) AS n FROM o_mol GROUP BY cell) USING (cell)", "v_cells", "o_mol")
+_add("gene_totals", lambda s, d: st.gene_totals(Run(s, d).mols), "SELECT cell, gene_id, COUNT(*) AS total FROM o_mol GROUP BY ALL", "o_mol")
+_add("exclude_zero_cells", lambda s, d: st.zero_cells(fx.view(s, d, "v_cells"), Run(s, d).mols).agg(F.count("*").alias("zero_cells")), "SELECT COUNT(*) AS zero_cells FROM v_cells ANTI JOIN o_mol USING (cell)", "v_cells", "o_mol")
+_add("shared_active_cells", lambda s, d: st.active_cells(Run(s, d).mols), "SELECT cell FROM o_mol GROUP BY cell HAVING COUNT(DISTINCT gene_id) >= 2", "o_mol")
 _points = lambda s, d: s.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("x"), "label")
 _add("silhouette", lambda s, d: ev.silhouette(_points(s, d)).select("id", F.round("s", 6).alias("s")), """WITH sums AS (SELECT a.vec_id AS id, a.label AS l, b.label AS r, SUM(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS d, COUNT(*) AS n FROM embeddings a, embeddings b GROUP BY ALL)
     SELECT id, round(CASE WHEN w IS NULL OR greatest(w, o) = 0 THEN 0 ELSE (o - w) / greatest(w, o) END, 6) AS s FROM (SELECT id, MAX(CASE WHEN l = r AND n > 1 THEN d / (n - 1) END) AS w, MIN(CASE WHEN l <> r THEN d / n END) AS o FROM sums GROUP BY id)""")
@@ -185,14 +205,28 @@ _add("truncated_svd", lambda s, d: ev.truncated_svd(_points(s, d)))
 _add("kmeans", lambda s, d: ev.kmeans(_points(s, d)))
 # comparator semantics
 _kept = "CAST(substr(id, 2) AS INT) % 5 < 1 + 3 * (CAST(substr(gene_id, 5) AS INT) % 2)"
-_add("single_model_genes", lambda s, d: (lambda r: inf.hits(inf.shapes(r.mols), r.tx.where(_kept)).where("fits").groupBy("gene_id").agg(F.countDistinct("id").alias("n")).where("n = 1").select("gene_id"))(Run(s, d)), f"SELECT gene_id FROM o_fit WHERE {_kept} GROUP BY gene_id HAVING COUNT(DISTINCT id) = 1", "o_fit")
-_add("read_id_cell_uniqueness", lambda s, d: _reads(s, d).groupBy(g.upstream_read_id(F.concat("umi", F.lit("/"), "n")).alias("up")).agg(F.countDistinct("cell").alias("cells")).where("cells > 1"), "SELECT umi AS up, COUNT(DISTINCT cell) AS cells FROM v_reads GROUP BY umi HAVING COUNT(DISTINCT cell) > 1", "v_reads")
-_add("molecule_support", lambda s, d: _reads(s, d).groupBy("cell", "g").agg(F.countDistinct("umi").alias("candidates"), F.countDistinct(F.when(F.col("mapq") > 0, F.col("umi"))).alias("positive")), "SELECT cell, g, COUNT(DISTINCT umi) AS candidates, COUNT(DISTINCT CASE WHEN mapq > 0 THEN umi END) AS positive FROM v_reads GROUP BY cell, g", "v_reads")
-_add("resource_rollup", lambda s, d: s.read.parquet(f"{d}/events.parquet").groupBy("event_type").agg(F.round(F.sum("value"), 4).alias("seconds"), F.max("value").alias("peak")), "SELECT event_type, round(SUM(value), 4) AS seconds, MAX(value) AS peak FROM events GROUP BY event_type")
-_add("external_scale", lambda s, d: fx.view(s, d, "v_meta").select("id", (F.round(F.col("tpm") / 97, 3) * F.col("lr_count")).alias("x")).select("id", F.round("x", 6).alias("scaled")), "SELECT id, round(round(tpm / 97, 3) * lr_count, 6) AS scaled FROM v_meta", "v_meta")
+_add("single_model_genes", lambda s, d: (lambda r: st.single_model_genes(inf.hits(inf.shapes(r.mols), r.tx.where(_kept)).where("fits")))(Run(s, d)), f"SELECT gene_id FROM o_fit WHERE {_kept} GROUP BY gene_id HAVING COUNT(DISTINCT id) = 1", "o_fit")
+_add("read_id_cell_uniqueness", lambda s, d: st.ids_under_several_cells(_reads(s, d).withColumn("name", F.concat("umi", F.lit("/"), "n"))), "SELECT umi AS up, COUNT(DISTINCT cell) AS cells FROM v_reads GROUP BY umi HAVING COUNT(DISTINCT cell) > 1", "v_reads")
+_add("molecule_support", lambda s, d: st.molecule_support(_reads(s, d).withColumnRenamed("g", "gene_id"), "mapq").withColumnRenamed("gene_id", "g"), "SELECT cell, g, COUNT(DISTINCT umi) AS candidates, COUNT(DISTINCT CASE WHEN mapq > 0 THEN umi END) AS positive FROM v_reads GROUP BY cell, g", "v_reads")
+_add("resource_rollup", lambda s, d: st.resources(s.read.parquet(f"{d}/events.parquet").select("event_type", F.col("value").alias("seconds"), F.col("value").alias("rss")), "event_type").withColumn("seconds", F.round("seconds", 4)), "SELECT event_type, round(SUM(value), 4) AS seconds, MAX(value) AS peak FROM events GROUP BY event_type")
+_add("external_scale", lambda s, d: st.external_scale(st.gene_totals(Run(s, d).mols).join(fx.view(s, d, "v_meta"), "gene_id").select("cell", "gene_id", "id", (F.col("tpm") / 97).alias("share")), st.gene_totals(Run(s, d).mols).withColumnRenamed("total", "positive")).withColumn("count", F.round("count", 6)),
+     "SELECT cell, gene_id, id, round(round(tpm / 97, 3) * n, 6) AS \"count\" FROM (SELECT cell, gene_id, COUNT(*) AS n FROM o_mol GROUP BY ALL) JOIN v_meta USING (gene_id)", "o_mol", "v_meta")
 _add("lineage_chain", lambda s, d: s.sql("WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM {p} UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM (SELECT * FROM c LIMIT ALL) GROUP BY root", p=_part(s, d)), "WITH RECURSIVE c(root, id, depth) AS (SELECT p_partkey, p_partkey, 0 FROM part UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), depth + 1 FROM c WHERE id > 0 AND depth < 16) SELECT root, MAX(depth) AS hops FROM c GROUP BY root")
 
 
+def _certificates(s, d):
+    """Every part is a certificate whose source is the part of half its number, as its hash and size were."""
+    c = _part(s, d).select(F.col("p_partkey").alias("id"), F.sha2("p_name", 256).alias("sha256"), F.col("p_size").alias("size"), F.when(F.col("p_partkey") > 0, F.floor(F.col("p_partkey") / 2)).alias("source"))
+    up = c.select(F.col("id").alias("source"), F.col("sha256").alias("source_sha256"), F.col("size").alias("source_size"))
+    return c.join(up, "source", "left").select("id", "sha256", "size", "source", "source_sha256", "source_size")
+
+
+_add("lineage_verified", lambda s, d: st.lineage(_certificates(s, d), _part(s, d).select(F.col("p_partkey").alias("id")), 64).groupBy("root").agg(F.max("hop").alias("hops"), F.sum("size").alias("sizes")),
+     "WITH RECURSIVE c(root, id, hop) AS (SELECT p_partkey, p_partkey, 0 FROM part UNION ALL SELECT root, CAST(FLOOR(id / 2) AS BIGINT), hop + 1 FROM c WHERE id > 0) SELECT root, MAX(hop) AS hops, CAST(SUM(p_size) AS BIGINT) AS sizes FROM c JOIN part ON p_partkey = id GROUP BY root")
+_add("lpt_cell_batches", lambda s, d: st.dealt(st.cell_totals(fx.view(s, d, "v_cells"), Run(s, d).mols), "total", 7).groupBy("batch").agg(F.count("*").alias("cells")),
+     "SELECT CAST(least((r - 1) % 14, 13 - (r - 1) % 14) AS INT) AS batch, COUNT(*) AS cells FROM (SELECT ROW_NUMBER() OVER () AS r FROM v_cells) GROUP BY 1", "v_cells")
+
+
 # preparation, samples, sinks
 _calls = "LEFT JOIN (SELECT DISTINCT cell AS called FROM v_cells) c ON c.called = r.cell"
 def _based(s, d):
@@ -231,5 +265,5 @@ _add("write_matrix_market", lambda s, d: sinks.matrix_lines(Run(s, d).mols.group
 _add("write_flnc_fasta", lambda s, d: pre.fasta(_part(s, d).select(F.concat(F.lit("r"), "p_partkey").alias("name"), _seq("p_partkey").alias("seq")), _part(s, d).where("p_size > 25").select(F.concat(F.lit("r"), "p_partkey").alias("name"))), f"SELECT concat('>r', p_partkey, chr(10), {_dseq}) AS value FROM part WHERE p_size > 25")
 _add("validate_samples", lambda s, d: pre.sheet_reasons(_part(s, d).select(F.concat(F.when(F.col("p_size") % 5 == 0, "_").otherwise("s"), F.col("p_partkey").cast("string")).alias("sample"), F.lit("x.bam;y.bam").alias("pacbio_bams"), F.when(F.col("p_size") % 3 == 0, "hifi").otherwise("flnc").alias("pacbio_stage"), F.lit("").alias("primers"), F.lit("f").alias("fastq_dir"), F.when(F.col("p_size") % 7 == 0, "a;a").otherwise("a;b").alias("fastq_sample"), F.lit("SC3Pv3").alias("chemistry"))).select("sample", F.coalesce("reason", F.lit("ok")).alias("reason")),
      "SELECT concat(CASE WHEN p_size % 5 = 0 THEN '_' ELSE 's' END, p_partkey) AS sample, CASE WHEN p_size % 5 = 0 THEN 'invalid sample identifier' WHEN p_size % 7 = 0 THEN 'duplicate fastq_sample prefix' WHEN p_size % 3 = 0 THEN 'hifi requires primers' ELSE 'ok' END AS reason FROM part")
-_add("barcode_align", lambda s, d: (lambda a, b: a.join(b, "cell"))(Run(s, d).mols.groupBy("cell").agg(F.count("*").alias("total")), _reads(s, d).groupBy("cell").agg(F.count_if(F.col("mapq") > 30).alias("other"))), "SELECT cell, total, other FROM (SELECT cell, COUNT(*) AS total FROM o_mol GROUP BY cell) JOIN (SELECT cell, COUNT(*) FILTER (mapq > 30) AS other FROM v_reads GROUP BY cell) USING (cell)", "o_mol", "v_reads")
+_add("barcode_align", lambda s, d: st.aligned(Run(s, d).mols.groupBy("cell").agg(F.count("*").alias("total")), st.whitelisted(_reads(s, d), Run(s, d).mols).groupBy("cell").agg(F.count_if(F.col("mapq") > 30).alias("other"))), "SELECT cell, total, other FROM (SELECT cell, COUNT(*) AS total FROM o_mol GROUP BY cell) JOIN (SELECT cell, COUNT(*) FILTER (mapq > 30) AS other FROM v_reads GROUP BY cell) USING (cell)", "o_mol", "v_reads")
 _add("even_subsample", lambda s, d: inf.even_subsample(_part(s, d).select(F.col("p_partkey").alias("v")), 50).select("v"), "SELECT v FROM (SELECT p_partkey AS v, ROW_NUMBER() OVER (ORDER BY p_partkey) - 1 AS r, COUNT(*) OVER () AS n FROM part) WHERE r IN (SELECT CAST(FLOOR(i * (n - 1) / 49) AS BIGINT) FROM range(50) t(i))")

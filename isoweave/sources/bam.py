@@ -33,6 +33,7 @@ from . import bai, bgzf, remote
 BAM_SCHEMA = "name string, flag int, chrom string, pos bigint, mapq int, cigar string, seq string, qual string, tags map<string,string>"
 #: All that a record holds besides, by name; a reader's schema may ask for any of these and leave out any.
 WHOLE_SCHEMA = BAM_SCHEMA + ", `end` bigint, mate_chrom string, mate_pos bigint, tlen int"
+WHOLE_COLUMNS = ("name", "flag", "chrom", "pos", "mapq", "cigar", "seq", "qual", "tags", "mate_chrom", "mate_pos", "tlen")
 _BASES, _OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 _SIZES = {"c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
 _CODES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import json
-import os
 import time
 import uuid
 from pathlib import Path
@@ -14,7 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import numbered
+from ..storage import numbered, staged
+from . import remote
 from .text import require
 
 
@@ -30,16 +29,34 @@ def matrix_lines(counts: DataFrame, cells: DataFrame, features: DataFrame) -> Da
     return counts.where("count > 0").join(ranked(cells, "cell", "r"), "cell").join(ranked(features, "id", "c"), "id").select("r", "c", F.col("count").alias("value"))
 
 
-def matrix_market(counts: DataFrame, cells: DataFrame, features: DataFrame, path: str) -> int:
-    """A gzipped coordinate file in row order; rows come to the driver one partition at a time."""
-    t = matrix_lines(counts, cells, features)
-    n = t.count()
-    temporary = f"{path}.tmp"
-    with gzip.open(temporary, "wt") as f:
-        f.write(f"%%MatrixMarket matrix coordinate real general\n%\n{cells.select('cell').distinct().count()} {features.select('id').distinct().count()} {n}\n")
-        for row in t.orderBy("r", "c").toLocalIterator():
-            f.write(f"{row['r']} {row['c']} {row['value']:.17g}\n")
-    os.replace(temporary, path)
+def matrix_market(counts: DataFrame, cells: DataFrame, features: DataFrame, path: str, single: bool = True) -> int:
+    """A gzipped coordinate file in row order, with the number of entries in its header; returns that number.
+
+    Entries are sorted by ranges and every range is packed by its own task; the header is a part of its own before them.
+    Members of a gzip file may follow each other, so `single` joins the packed parts as they are; without it, path is a
+    folder of parts that sort by name.  Neither brings a row to the driver.
+    """
+    t = staged(matrix_lines(counts, cells, features), "matrix")
+    n, spark = t.count(), counts.sparkSession
+    size = f"{cells.select('cell').distinct().count()} {features.select('id').distinct().count()} {n}"
+    # what %.17g gives is what a double reads back from; the shortest such text does too
+    number = F.when((F.col("value") == F.floor("value")) & (F.abs("value") < 1e15), F.col("value").cast("decimal(38,0)").cast("string")).otherwise(F.col("value").cast("string")) if t.schema["value"].dataType.typeName() == "double" else F.col("value").cast("string")
+    body = t.select(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), F.concat_ws(" ", "r", "c", number).alias("value"))
+    head = spark.createDataFrame([(k - 3, 0, x) for k, x in enumerate(("%%MatrixMarket matrix coordinate real general", "%", size))], "r long, c long, value string")
+    parts = f"{path}.{uuid.uuid4().hex}"
+    head.unionByName(body).orderBy("r", "c").select("value").write.option("compression", "gzip").text(parts)
+    if single:
+        with remote.created(f"{parts}/_joined") as out:
+            for p in remote.parts(parts, ".gz"):
+                with remote.opened(p) as f:
+                    while piece := f.read(8 << 20):
+                        out.write(piece)
+        remote.removed(path)
+        remote.moved(f"{parts}/_joined", path)
+        remote.removed(parts)
+    else:
+        remote.removed(path)
+        remote.moved(parts, path)
     return n
 
 
@@ -63,22 +80,33 @@ def text(lines: DataFrame, path: str) -> None:
     lines.select("value").write.text(path)
 
 
+def digest(path: str | Path) -> tuple[int, str]:
+    """Bytes and SHA-256 of a file, read some megabytes at a time."""
+    h, n = hashlib.sha256(), 0
+    with remote.opened(str(path)) as f:
+        while piece := f.read(8 << 20):
+            h.update(piece)
+            n += len(piece)
+    return n, h.hexdigest()
+
+
 def fingerprint(path: str | Path) -> dict:
     """Size and time of a file, and its SHA-256 up to 64 MiB."""
     p = Path(path)
     s = p.stat()
     out = {"path": str(p), "size": s.st_size, "mtime_ns": s.st_mtime_ns}
     if s.st_size <= 64 << 20:
-        out["sha256"] = hashlib.sha256(p.read_bytes()).hexdigest()
+        out["sha256"] = digest(p)[1]
     return out
 
 
 def manifest(path: str | Path, record: dict) -> None:
     """JSON that appears whole or not at all; NaN becomes null.  Written after every other output."""
     clean = json.loads(json.dumps(record), parse_constant=lambda _: None)
-    temporary = Path(f"{path}.tmp")
-    temporary.write_text(json.dumps(clean, indent=2, sort_keys=True) + "\n")
-    os.replace(temporary, path)
+    temporary = f"{path}.{uuid.uuid4().hex}"
+    with remote.created(temporary) as f:
+        f.write((json.dumps(clean, indent=2, sort_keys=True) + "\n").encode())
+    remote.moved(temporary, str(path))
 
 
 def _there(spark, path: str) -> DataFrame | None:

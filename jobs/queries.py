@@ -26,10 +26,10 @@ def job1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected counts of all variants; the second run finds every gene committed."""
+    """Expected counts of all variants; the second run finds every gene committed.  SQL has no seeded reservoir, so the capture model takes the first molecules."""
     at = _folder(spark, "job2")
     for _ in range(2):
-        got = quantify.run(spark, sf_dir, at)
+        got = quantify.run(spark, sf_dir, at, {"seed": None})
     return got.select("variant", "chrom", "cell", "gene_id", "transcript_id", F.round("expected", 4).alias("expected"))
 
 
