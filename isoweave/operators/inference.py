@@ -44,18 +44,25 @@ def overlap_join(left: DataFrame, right: DataFrame, width: int = 16384) -> DataF
     return x.join(y, on).drop(x.bin).drop(y.bin).drop("chrom_r")
 
 
+def called_genes(gx: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """(gx, names, by_id, by_plain) of every distinct gx: how many names it holds, and the genes that its first one calls, as it is and normalised.
+
+    Names are resolved once for each distinct text, not for each read.
+    """
+    known = gene_matches(transcripts)
+    names = F.filter(F.split(F.col("gx"), ";"), lambda x: x != "")
+    one = gx.where("gx IS NOT NULL").distinct().withColumn("genes", names).select("gx", F.size("genes").alias("names"), F.try_element_at("genes", F.lit(1)).alias("name"))
+    one = one.withColumn("plain", g.normalize_gene_id("name"))
+    one = one.join(known.select(F.col("gx").alias("name"), F.col("gene_id").alias("by_id")), "name", "left")
+    return one.join(known.select(F.col("gx").alias("plain"), F.col("gene_id").alias("by_plain")), "plain", "left").select("gx", "names", "by_id", "by_plain")
+
+
 def read_reasons(reads: DataFrame, transcripts: DataFrame, cells: DataFrame) -> DataFrame:
     """Window events (read x gene window) with the first reason that bars them, null if eligible."""
     # a generator binds the shape: projections that use it would each walk the CIGAR again
     shaped = reads.withColumn("shape", F.explode(F.array(g.cigar_shape("pos", "cigar")))).withColumn("start", F.col("pos")).withColumn("end", F.col("shape.pos"))
     events = overlap_join(shaped, gene_windows(transcripts))
-    names = gene_matches(transcripts).withColumnRenamed("gene_id", "called")
-    one = F.filter(F.split(F.coalesce("gx", F.lit("")), ";"), lambda x: x != "")
-    events = events.withColumn("genes", one).withColumn("gx_name", F.try_element_at("genes", F.lit(1)))
-    exact = names.select("gx", "called")
-    # exact id first, then the normalised one
-    events = events.join(exact.select(F.col("gx").alias("gx_name"), F.col("called").alias("by_id")), "gx_name", "left")
-    events = events.join(exact.select(F.col("gx").alias("plain"), F.col("called").alias("by_plain")), g.normalize_gene_id("gx_name") == F.col("plain"), "left")
+    events = events.join(called_genes(reads.select("gx"), transcripts), "gx", "left")
     cell_list = cells.select(F.col("cell").alias("known")).distinct()
     events = events.join(cell_list, events.cell == cell_list.known, "left")
     reason = (
@@ -63,7 +70,7 @@ def read_reasons(reads: DataFrame, transcripts: DataFrame, cells: DataFrame) ->
         .when(F.col("known").isNull(), "unfiltered_barcode")
         .when(F.coalesce("umi", F.lit("")) == "", "missing_ub")
         .when(F.trim(F.coalesce("gx", F.lit(""))) == "", "missing_gx")
-        .when(F.size("genes") != 1, "multigene_gx")
+        .when(F.col("names") != 1, "multigene_gx")
         .when(~F.coalesce((F.col("by_id") == F.col("gene_id")) | (F.col("by_plain") == F.col("gene_id")), F.lit(False)), "other_gene_gx")
         .when(g.read_strand("flag") != F.col("strand"), "wrong_strand")
         .when(F.size("shape.blocks") == 0, "no_aligned_bases")
@@ -163,33 +170,54 @@ def even_subsample(values: DataFrame, k: int) -> DataFrame:
     return ranked.join(picks, "r").select("v")
 
 
-def likelihoods(shape_rows: DataFrame, transcripts: DataFrame, samples: DataFrame, tes: DataFrame | None = None, bandwidth: float = 30.0) -> DataFrame:
-    """(gene_id, blocks, junctions, id, lik): likelihood of every shape under every transcript, 0 where they do not fit, highest 1 in a row.
+#: The key of a molecule shape: its gene and 128 bits of its arrays' hashes, so that arrays travel once.
+SHAPE = ["gene_id", "s1", "s2"]
+
+
+def marked(df: DataFrame) -> DataFrame:
+    """df (gene_id, blocks, junctions, ...) with the rest of SHAPE, where it has that not yet."""
+    if "s1" in df.columns:
+        return df
+    return df.withColumn("s1", F.xxhash64("blocks", "junctions")).withColumn("s2", F.xxhash64(F.lit("s2"), "junctions", "blocks"))
+
+
+def shape_likelihoods(shape_rows: DataFrame, transcripts: DataFrame, samples: DataFrame, tes: DataFrame | None = None, bandwidth: float = 30.0) -> DataFrame:
+    """(gene_id, s1, s2, id, lik): likelihood of every marked shape under every transcript of its gene, 0 where they do not fit, highest 1 in a row.
 
     tes: (id, tes, weight) observations; a transcript without any has its annotated end.
     """
     t = transcripts.select("gene_id", "id", "strand", "exons")
+    own = F.array(F.struct(g.tes_of("strand", "exons").alias("tes"), F.lit(1.0).alias("w")))
     if tes is None:
-        t = t.withColumn("ends", F.array(F.struct(g.tes_of("strand", "exons").alias("tes"), F.lit(1.0).alias("w"))))
+        t = t.withColumn("ends", own)
     else:
         seen = tes.where("weight > 0").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.col("tes").alias("tes"), F.col("weight").cast("double").alias("w")))).alias("seen"))
-        t = t.join(seen, "id", "left").withColumn("ends", F.coalesce("seen", F.array(F.struct(g.tes_of("strand", "exons").alias("tes"), F.lit(1.0).alias("w"))))).drop("seen")
+        t = t.join(seen, "id", "left").withColumn("ends", F.coalesce("seen", own)).drop("seen")
     t = t.withColumn("whole", F.aggregate("ends", F.lit(0.0), lambda s, x: s + x.w))
-    fits = shape_rows.join(t, "gene_id").where(g.compatible("blocks", "junctions", "exons"))
-    ends = fits.select("gene_id", "blocks", "junctions", "id", F.explode("ends").alias("e"), "whole", "strand", "exons")
-    ends = ends.select("gene_id", "blocks", "junctions", "id", (F.col("e.w") / F.col("whole")).alias("share"), g.spliced_distance("blocks", "strand", "exons", "e.tes").alias("d"))
+    pairs = shape_rows.join(t, "gene_id").withColumn("fits", g.compatible("blocks", "junctions", "exons"))
+    none = F.array(F.struct(F.lit(None).cast("long").alias("tes"), F.lit(None).cast("double").alias("w")))
+    ends = pairs.select(*SHAPE, "id", "blocks", "strand", "exons", "whole", F.explode(F.when(F.col("fits"), F.col("ends")).otherwise(none)).alias("e"))
+    ends = staged(ends.select(*SHAPE, "id", (F.col("e.w") / F.col("whole")).alias("share"), F.when(F.col("e.w").isNotNull(), g.spliced_distance("blocks", "strand", "exons", "e.tes")).alias("d")), "distances")
     # distances are few and small; the density is worked out once for each
-    density = ends.select("d").distinct().crossJoin(samples).select("d", g.kde_logpdf("d", "samples", bandwidth).alias("f"))
-    terms = ends.join(density, "d").withColumn("term", F.log("share") + F.col("f"))
-    key = ["gene_id", "blocks", "junctions", "id"]
-    tops = Window.partitionBy(*key)
-    terms = terms.withColumn("top", F.max("term").over(tops))
-    logs = terms.groupBy(*key).agg((F.max("top") + F.log(F.sum(F.when(F.col("top") == float("-inf"), 0.0).otherwise(F.exp(F.col("term") - F.col("top")))))).alias("log"))
-    every = shape_rows.join(transcripts.select("gene_id", "id"), "gene_id").join(logs, key, "left")
+    density = ends.where("d IS NOT NULL").select("d").distinct().crossJoin(samples).select("d", g.kde_logpdf("d", "samples", bandwidth).alias("f"))
+    terms = ends.join(density, "d", "left").select(*SHAPE, "id", (F.log("share") + F.col("f")).alias("log"))
+    if tes is not None:
+        terms = terms.withColumn("top", F.max("log").over(Window.partitionBy(*SHAPE, "id")))
+        terms = terms.groupBy(*SHAPE, "id").agg((F.max("top") + F.log(F.sum(F.when(F.col("top") == float("-inf"), 0.0).otherwise(F.exp(F.col("log") - F.col("top")))))).alias("log"))
     low = F.lit(float("-inf"))
-    every = every.withColumn("log", F.coalesce(F.when(F.isnan("log"), low).otherwise(F.col("log")), low))
-    peak = F.max("log").over(Window.partitionBy("gene_id", "blocks", "junctions"))
-    return every.withColumn("peak", peak).select(*key, F.when(F.col("log") == low, 0.0).otherwise(F.exp(F.col("log") - F.col("peak"))).alias("lik"))
+    every = terms.withColumn("log", F.coalesce(F.when(F.isnan("log"), low).otherwise(F.col("log")), low)).withColumn("peak", F.max("log").over(Window.partitionBy(*SHAPE)))
+    return every.select(*SHAPE, "id", F.when(F.col("log") == low, 0.0).otherwise(F.exp(F.col("log") - F.col("peak"))).alias("lik"))
+
+
+def likelihoods(shape_rows: DataFrame, transcripts: DataFrame, samples: DataFrame, tes: DataFrame | None = None, bandwidth: float = 30.0) -> DataFrame:
+    """(gene_id, blocks, junctions, id, lik): shape_likelihoods with the shapes' arrays in place of their marks."""
+    rows = staged(marked(shape_rows), "shapes")
+    return with_arrays(shape_likelihoods(rows, transcripts, samples, tes, bandwidth), rows).select("gene_id", "blocks", "junctions", "id", "lik")
+
+
+def with_arrays(df: DataFrame, marked_shapes: DataFrame) -> DataFrame:
+    """df (by SHAPE) with blocks and junctions."""
+    return df.join(marked_shapes.select(*SHAPE, "blocks", "junctions"), SHAPE)
 
 
 def structural_groups(transcripts: DataFrame, window: int = 600) -> DataFrame:
@@ -200,8 +228,8 @@ def structural_groups(transcripts: DataFrame, window: int = 600) -> DataFrame:
 def refined_groups(transcripts: DataFrame, like: DataFrame, window: int = 600) -> DataFrame:
     """(gene_id, id, prior, grp, weight): groups of equal terminal structure and bit-identical likelihood columns, numbered by first members."""
     # all transcripts of a gene have the same shapes, so columns are told apart by the sums of two hashes of their (shape, value) pairs
-    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "blocks", "junctions", "lik").cast("decimal(38,0)"))
-    column = like.groupBy("gene_id", "id").agg(F.concat_ws(",", mark(1).cast("string"), mark(2).cast("string")).alias("column"))
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "s1", "s2", "lik").cast("decimal(38,0)"))
+    column = marked(like).groupBy("gene_id", "id").agg(F.concat_ws(",", mark(1).cast("string"), mark(2).cast("string")).alias("column"))
     t = structural_groups(transcripts, window).join(column, ["gene_id", "id"], "left").withColumn("column", F.coalesce("column", F.lit("")))
     by = ["gene_id", "chrom", "strand", "terminal"]
     t = t.withColumn("s_min", F.min("id").over(Window.partitionBy(*by))).withColumn("c_min", F.min("id").over(Window.partitionBy(*by, "column")))
@@ -212,9 +240,11 @@ def refined_groups(transcripts: DataFrame, like: DataFrame, window: int = 600) -
 
 
 def group_likelihoods(like: DataFrame, groups: DataFrame) -> DataFrame:
-    """(gene_id, blocks, junctions, rows array of group likelihoods by group number, total)."""
-    one = like.join(groups, ["gene_id", "id"]).groupBy("gene_id", "blocks", "junctions", "grp").agg(F.sum(F.col("lik") * F.col("weight")).alias("gl"))
-    return one.groupBy("gene_id", "blocks", "junctions").agg(F.transform(F.array_sort(F.collect_list(F.struct("grp", "gl"))), lambda x: x.gl).alias("row"), F.sum("gl").alias("total"))
+    """(gene_id, s1, s2, row array of group likelihoods by group number, total), by shape: as many entries in a row as the gene has transcripts at most."""
+    one = marked(like).join(groups.select("gene_id", "id", "grp", "weight"), ["gene_id", "id"]).groupBy(*SHAPE).agg(F.array_sort(F.collect_list(F.struct("grp", "id", (F.col("lik") * F.col("weight")).alias("x")))).alias("all"))
+    whole = F.sequence(F.lit(1), F.element_at("all", -1).grp)
+    row = F.transform(whole, lambda k: F.aggregate(F.filter("all", lambda e: e.grp == k), F.lit(0.0), lambda t, e: t + e.x))
+    return one.select(*SHAPE, row.alias("row")).withColumn("total", F.aggregate("row", F.lit(0.0), lambda t, x: t + x))
 
 
 def em(rows: Column, prior: Column, strength: float = 1.0, tolerance: float = 1e-7, max_iter: int = 500) -> Column:
@@ -256,16 +286,100 @@ def em(rows: Column, prior: Column, strength: float = 1.0, tolerance: float = 1e
     return F.aggregate(F.array(end), F.struct(zeros.alias("counts"), F.lit(False).alias("converged"), F.lit(0).alias("iterations")), lambda _, e: F.struct(expected(e.a).alias("counts"), e.done.alias("converged"), e.it.alias("iterations")))
 
 
+FIT = "struct<counts array<double>, converged boolean, iterations int>"
+
+
+def _mixtures(like, n, prior, strength: float, tolerance: float, max_iter: int):
+    """The mixtures of em for many at once: like (m, rows, k), n (m, rows; 0 fills up), prior (m, k); (counts, converged, iterations).
+
+    Mixtures that have settled leave the arrays when half of them have.
+    """
+    import numpy as np
+
+    m, _, k = like.shape
+    total = n.sum(1)
+    a = np.full((m, k), 1.0 / k)
+    done, steps = np.zeros(m, bool), np.zeros(m, np.int32)
+
+    def expected(like, n, a):
+        joint = like * a[:, None, :]
+        return ((n / joint.sum(2))[:, :, None] * joint).sum(1)
+
+    live = np.arange(m)
+    now, lk, nn, pp, tt = a.copy(), like, n, prior, total
+    open_ = np.ones(m, bool)
+    for i in range(1, max_iter + 1):
+        raw = np.maximum((expected(lk, nn, now) + strength * pp) / (tt + strength)[:, None], 1e-300)
+        new = raw / raw.sum(1, keepdims=True)
+        settled = np.abs(new - now).max(1) < tolerance
+        now = np.where(open_[:, None], new, now)
+        steps[live[open_]] = i
+        done[live[open_ & settled]] = True
+        open_ &= ~settled
+        if not open_.any():
+            break
+        if open_.sum() * 2 <= len(live):
+            a[live] = now
+            live = live[open_]
+            now, lk, nn, pp, tt = a[live], like[live], n[live], prior[live], total[live]
+            open_ = np.ones(len(live), bool)
+    a[live] = now
+    return expected(like, n, a), done, steps
+
+
+def fitted(problems: DataFrame, strength: float = 1.0, tolerance: float = 1e-7, max_iter: int = 500) -> DataFrame:
+    """problems (rows array<struct<row, n>>, group_prior, ...) with `fit`, as em gives it: mixtures of a batch with as many groups are fitted together."""
+    import numpy as np
+    import pyarrow as pa
+
+    schema = problems.schema
+
+    def run(batches):
+        fields = pa.struct([("counts", pa.list_(pa.float64())), ("converged", pa.bool_()), ("iterations", pa.int32())])
+        for batch in batches:
+            out: list = [None] * batch.num_rows
+            rows, prior = batch.column(batch.schema.get_field_index("rows")), batch.column(batch.schema.get_field_index("group_prior"))
+            begin, each = np.asarray(rows.offsets), rows.values
+            values, at = each.field(0).values.to_numpy(zero_copy_only=False), np.asarray(each.field(0).offsets)
+            n_of = each.field(1).to_numpy(zero_copy_only=False)
+            p_at, p = np.asarray(prior.offsets), prior.values.to_numpy(zero_copy_only=False)
+            sizes, width = np.diff(begin), np.diff(p_at)
+            bucket = np.where(sizes > 0, 2 ** np.ceil(np.log2(np.maximum(sizes, 1))), 1).astype(int)
+            for k, r in sorted(set(zip(width.tolist(), bucket.tolist(), strict=True))):
+                mine = np.flatnonzero((width == k) & (bucket == r))
+                step = max(1, (1 << 21) // (k * r))
+                for first in range(0, len(mine), step):
+                    some = mine[first : first + step]
+                    like, n = np.ones((len(some), r, k)), np.zeros((len(some), r))
+                    size = sizes[some]
+                    which = np.repeat(np.arange(len(some)), size)
+                    inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                    source = np.repeat(begin[some], size) + inner
+                    like[which, inner] = values[at[source][:, None] + np.arange(k)]
+                    n[which, inner] = n_of[source]
+                    counts, done, steps = _mixtures(like, n, p[p_at[some][:, None] + np.arange(k)], strength, tolerance, max_iter)
+                    for j, q in enumerate(some.tolist()):
+                        out[q] = {"counts": counts[j], "converged": bool(done[j]), "iterations": int(steps[j])}
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, fields)], names=[*batch.schema.names, "fit"])
+
+    return problems.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, fit {FIT}")
+
+
 def fit_cells(mols: DataFrame, group_rows: DataFrame, groups: DataFrame, strength: float = 1.0, tolerance: float = 1e-7, max_iter: int = 500) -> DataFrame:
-    """(gene_id, cell, fit): one EM per gene and cell over its assigned molecules; equal rows are counted, not repeated, and cells with equal rows share a fit."""
+    """(gene_id, cell, fit): one EM per gene and cell over its assigned molecules; equal rows are counted, not repeated, and cells with equal rows share a fit.
+
+    mols carry SHAPE.  Rows, and sets of rows, are told apart by 128 bits of hashes.
+    """
     priors = groups.groupBy("gene_id", "grp").agg(F.sum("prior").alias("p")).groupBy("gene_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("grp", "p"))), lambda x: x.p).alias("group_prior"))
-    rows = mols.join(group_rows.where("total > 0"), ["gene_id", "blocks", "junctions"])
     top = F.array_max("row")
-    rows = rows.select("gene_id", "cell", F.transform("row", lambda x: x / top).alias("row")).groupBy("gene_id", "cell", "row").agg(F.count("*").cast("double").alias("n"))
-    cells = rows.groupBy("gene_id", "cell").agg(F.array_sort(F.collect_list(F.struct("row", "n"))).alias("rows"))
+    rows = group_rows.where("total > 0").withColumn("row", F.transform("row", lambda x: x / top)).withColumn("r1", F.xxhash64("row")).withColumn("r2", F.xxhash64(F.lit("r2"), "row"))
+    # molecules are counted by shape where they are; arrays come to the counts
+    counted = marked(mols).groupBy("cell", *SHAPE).agg(F.count("*").alias("n")).join(rows.drop("total"), SHAPE).groupBy("gene_id", "cell", "r1", "r2").agg(F.first("row").alias("row"), F.sum("n").cast("double").alias("n"))
+    cells = counted.groupBy("gene_id", "cell").agg(F.array_sort(F.collect_list(F.struct("row", "n"))).alias("rows")).withColumn("c1", F.xxhash64("rows")).withColumn("c2", F.xxhash64(F.lit("c2"), "rows"))
     cells = staged(cells, "cells")
-    fits = cells.select("gene_id", "rows").distinct().join(priors, "gene_id").withColumn("fit", em(F.col("rows"), F.col("group_prior"), strength, tolerance, max_iter))
-    return cells.join(fits.drop("group_prior"), ["gene_id", "rows"]).drop("rows")
+    problems = cells.groupBy("gene_id", "c1", "c2").agg(F.first("rows").alias("rows")).join(priors, "gene_id")
+    fits = fitted(problems, strength, tolerance, max_iter).select("gene_id", "c1", "c2", "fit")
+    return cells.drop("rows").join(fits, ["gene_id", "c1", "c2"]).select("gene_id", "cell", "fit")
 
 
 def isoform_counts(fits: DataFrame, groups: DataFrame) -> DataFrame:
@@ -277,8 +391,10 @@ def isoform_counts(fits: DataFrame, groups: DataFrame) -> DataFrame:
 def quantify(mols: DataFrame, transcripts: DataFrame, sr: DataFrame, samples: DataFrame, tes: DataFrame | None = None, tau: float = 10.0, window: int = 600, bandwidth: float = 30.0, **controls) -> dict[str, DataFrame]:
     """All tables of a run: prior, like, groups, group_rows, fits, counts; controls: strength, tolerance, max_iter of the EM."""
     prior = hybrid_prior(transcripts, sr, tau)
-    like = staged(likelihoods(shapes(mols), transcripts, samples, tes, bandwidth), "likelihoods")
+    mols = marked(mols)
+    shapes_of = staged(mols.groupBy(*SHAPE).agg(F.first("blocks").alias("blocks"), F.first("junctions").alias("junctions")), "shapes")
+    like = staged(shape_likelihoods(shapes_of, transcripts, samples, tes, bandwidth), "likelihoods")
     groups = staged(refined_groups(prior, like, window), "groups")
     rows = group_likelihoods(like, groups)
-    fits = staged(fit_cells(mols, rows, groups, **controls), "fits")
-    return {"prior": prior, "lik": like, "groups": groups, "group_rows": rows, "fits": fits, "counts": isoform_counts(fits, groups)}
+    fits = staged(fit_cells(mols.select("cell", *SHAPE), rows, groups, **controls), "fits")
+    return {"prior": prior, "lik": with_arrays(like, shapes_of), "groups": groups, "group_rows": with_arrays(rows, shapes_of), "fits": fits, "counts": isoform_counts(fits, groups)}

@@ -1,6 +1,7 @@
 """The quantification engine: expected values of small cases, files and oracles."""
 
 import math
+import random
 import struct
 import zlib
 from pathlib import Path
@@ -88,6 +89,29 @@ def test_em_recovers_from_a_zero_prior(spark):
     assert got["counts"][1] > 19.99 and got["converged"] and got["iterations"] > 1
 
 
+def test_mixtures_in_batches(spark):
+    """fitted against em, the same mixture as one expression."""
+    r = random.Random(8)
+    problems = []
+    for k in range(400):
+        width, most = r.choice((1, 2, 3, 5)), r.choice((1, 2, 3, 9))
+        rows = []
+        for _ in range(r.randint(1, most)):
+            row = [r.choice((0.0, 1.0, r.random())) for _ in range(width)]
+            row[r.randrange(width)] = 1.0
+            rows.append((row, float(r.randint(1, 9))))
+        prior = [r.random() for _ in range(width)]
+        problems.append((k, rows, prior))
+    df = spark.createDataFrame(problems, "k int, rows array<struct<row:array<double>,n:double>>, group_prior array<double>").repartition(3)
+    for strength, tolerance, steps in ((1.0, 1e-7, 500), (0.0, 1e-3, 40), (5.0, 1e-9, 7), (1.0, 1e-7, 0)):
+        both = inference.fitted(df, strength, tolerance, steps).withColumn("one", inference.em(F.col("rows"), F.col("group_prior"), strength, tolerance, steps)).collect()
+        assert len(both) == 400
+        for q in both:
+            assert q["fit"]["converged"] == q["one"]["converged"] and q["fit"]["iterations"] == q["one"]["iterations"]
+            assert all(abs(a - b) < 1e-9 for a, b in zip(q["fit"]["counts"], q["one"]["counts"], strict=True))
+    assert inference.fitted(df.limit(0)).count() == 0
+
+
 def test_em_conserves(spark):
     got = fit(spark, [((1, 0.5), 3), ((0, 1), 2), ((1, 0), 1)], (0.4, 0.6), 1.0)
     assert sum(got["counts"]) == pytest.approx(6)
