@@ -17,6 +17,7 @@ import re
 from bisect import bisect
 from collections import defaultdict
 from functools import lru_cache
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +47,16 @@ def words_of(text: str) -> list[bytes]:
 
 
 def phrase_places(joined: bytes) -> list[tuple[int, bytes]]:
-    """(first word's number, phrase) of every place; `joined` has a blank on either side of every word."""
+    """(first word's number, phrase) of every place; `joined` has a blank on either side of every word.
+
+    Blanks are counted from one place to the next, so a text full of phrases takes no longer than another.
+    """
     out = []
     for phrase in PHRASES:
-        p, at = b" %s " % phrase.encode(), -1
+        p, at, word, known = b" %s " % phrase.encode(), -1, 0, 0
         while (at := joined.find(p, at + 1)) >= 0:
-            out.append((joined.count(b" ", 0, at), phrase.encode()))
+            word, known = word + joined.count(b" ", known, at), at
+            out.append((word, phrase.encode()))
     return sorted(out)
 
 
@@ -59,7 +64,7 @@ def suppressed(found: list[tuple[int, int, int, int, Rule]]) -> list[tuple[int,
     """Detections (start, end, -priority, rule number, rule) without those that a stronger one overlaps, by place; places count words."""
     kept: list = []  # no two of them overlap, so they stand in one order by start and by end
     for d in sorted(found, key=lambda d: (d[2], d[0] - d[1], d[0], d[3])):
-        at = bisect(kept, d[0], key=lambda k: k[0])
+        at = bisect(kept, d[0], key=itemgetter(0))
         if (at == 0 or kept[at - 1][1] <= d[0]) and (at == len(kept) or d[1] <= kept[at][0]) and not (at < len(kept) and kept[at][0] == d[0]):
             kept.insert(at, d)
     return kept

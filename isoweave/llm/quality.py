@@ -4,7 +4,7 @@ Ten heuristic labellers vote good (1), bad (-1) or abstain (0) on every whole
 text.  Expectation-maximisation estimates each labeller's vote distribution under
 either hidden class from the counts of vote patterns over all documents (at most
 3**10 patterns, whatever the input), starting from the majority.  The posterior
-labels of a bounded sample of documents (TRAIN, chosen by a hash of the id)
+labels of a bounded sample of documents (TRAIN, chosen by a hash of id and text)
 train a logistic scorer on hashed word features, which scores every document.
 
 Nulls: a null or empty text gets abstentions and the scorer's bias; it is kept.
@@ -212,7 +212,8 @@ def fit(spark: SparkSession, docs: DataFrame, train: int = TRAIN, dims: int = DI
     n = int(table["count"].sum())
     # the expected sample is 0.9 * train, so that the limit hardly ever cuts; the hash orders documents at random
     cut = 1.0 if n <= train else 0.9 * train / n
-    chosen = docs.select("doc_id", "text").where(F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 30)) < int(cut * (1 << 30)))
+    mark = F.pmod(F.xxhash64(F.lit(8), "doc_id", "text"), F.lit(1 << 30))
+    chosen = docs.select("doc_id", "text").where(mark < int(cut * (1 << 30)))
     powers = 3 ** np.arange(len(LABELLERS))
     posterior = labellers["posterior"]
 
@@ -231,7 +232,10 @@ def fit(spark: SparkSession, docs: DataFrame, train: int = TRAIN, dims: int = DI
                 ["idx", "val", "good"],
             )
 
-    got = chosen.mapInArrow(lean(run), "idx binary, val binary, good double").limit(train).toPandas()
+    kinds = "idx binary, val binary, good double"
+    got = chosen.mapInArrow(lean(run), kinds).limit(train).toPandas()
+    if n and got.empty:  # a few rows over and over: their hashes may all lie beyond the cut
+        got = docs.select("doc_id", "text").orderBy(mark).limit(min(train, 100)).mapInArrow(lean(run), kinds).toPandas()
     rows = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32)) for a, b in zip(got["idx"], got["val"], strict=True)]
     return Model(fit_scorer(rows, got["good"].to_numpy(float), dims), labellers)
 

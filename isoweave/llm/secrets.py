@@ -4,7 +4,8 @@ A text is layer 0.  Every layer is scanned for secrets, and every encoded run in
 it (percent escapes, Unicode and byte escapes, base64, compressed bytes inside
 base64) is unwrapped into a new layer, until nothing new comes.  A layer whose
 content was seen before at the same place is not unwrapped again, so cycles end.
-Bytes that are no UTF-8 become U+FFFD one by one.  A base64 run is read in every step
+Bytes that are no UTF-8 become U+FFFD one by one.  Bytes of any layer may be compressed;
+base64 may be wrapped over lines and hold UTF-16; in forms a + may be a blank.  A base64 run is read in every step
 that a sign among + / - _ in it may begin; what is compressed goes through in
 overlapping windows, however much it is.
 Each layer carries, for every character, the code points of the document it came
@@ -37,15 +38,20 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 PERCENT = re.compile(r"""(?<![^\s%"'<>])[^\s%"'<>]*(?:%[0-9A-Fa-f]{2}[^\s%"'<>]*)+""")
-ESCAPES = re.compile(r"""(?<![^\s\\"'<>])[^\s\\"'<>]*(?:(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})[^\s\\"'<>]*)+""")
-ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+_ESCAPE = r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}"
+ESCAPES = re.compile(rf"""(?<![^\s\\"'<>])[^\s\\"'<>]*(?:(?:{_ESCAPE})[^\s\\"'<>]*)+""")
+ESCAPE = re.compile(_ESCAPE)
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 that is wrapped: lines of one run and what may stand before the next.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{40,128}\r?\n[ \t]*)+[A-Za-z0-9+/_-]+={0,2}")
+#: Where compressed bytes may begin.
+PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 #: Shortest base64 run that is unwrapped; bytes of a window on decompressed bytes, and how far windows overlap.
 BASE64_LEAST, WINDOW, OVERLAP = 16, 8 << 20, 1 << 20
 BORDER = re.compile(r"[+/_-]+")
 LONE = re.compile("[\udc80-\udcff]")
 #: What every finding and every further layer needs.
-SIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)|%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|[A-Za-z0-9+/_-]{16}""")
+SIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)|%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{|\\U[0-9A-Fa-f]{8}|[A-Za-z0-9+/_-]{16}""")
 
 _TABLE = np.zeros(256, np.uint8)
 _TABLE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = 1
@@ -97,7 +103,16 @@ def _chars(raw: bytes, starts: np.ndarray, ends: np.ndarray):
     return text, starts[first], ends[np.r_[first[1:], len(raw)] - 1]
 
 
-def _percent(layer: Layer):
+def _opened(layer: Layer, raw: bytes, starts: np.ndarray, ends: np.ndarray, at: int, window: int):
+    """Layers of what compressed bytes hold that begin at raw[at]; all of the rest stands for each character."""
+    if _begins(raw, at):
+        for part in _windows(raw[at:], window):
+            here = np.zeros(len(part), np.int8)
+            if got := _chars(part, here, here):
+                yield layer.spread(got[0], int(starts[at]), int(ends[-1]))
+
+
+def _percent(layer: Layer, window: int):
     for m in PERCENT.finditer(layer.text):
         raw, starts, ends = bytearray(), [], []
         k, run = 0, m[0]
@@ -113,11 +128,18 @@ def _percent(layer: Layer):
                 starts += [k] * len(b)
                 ends += [k + 1] * len(b)
                 k += 1
-        if got := _chars(bytes(raw), np.array(starts) + m.start(), np.array(ends) + m.start()):
+        raw, places = bytes(raw), (np.array(starts) + m.start(), np.array(ends) + m.start())
+        if got := _chars(raw, *places):
             yield layer.derived(*got)
+        if "+" in run:  # forms write blanks as +
+            signs = np.array([run[k] == "+" for k in starts])
+            if got := _chars(np.where(signs, 32, np.frombuffer(raw, np.uint8)).astype(np.uint8).tobytes(), *places):
+                yield layer.derived(*got)
+        for p in PACKED.finditer(raw):
+            yield from _opened(layer, raw, *places, p.start(), window)
 
 
-def _escapes(layer: Layer):
+def _escapes(layer: Layer, window: int):
     for m in ESCAPES.finditer(layer.text):
         out, starts, ends, at = [], [], [], 0
         for e in [*ESCAPE.finditer(m[0]), None]:
@@ -126,7 +148,8 @@ def _escapes(layer: Layer):
             starts += range(at, until)
             ends += range(at + 1, until + 1)
             if e:
-                out.append(chr(int(e[1] or e[2], 16)))
+                code = int(e[0][2:].strip("{}"), 16)
+                out.append(chr(code) if code < 0x110000 else "\ufffd")
                 starts.append(e.start())
                 ends.append(e.end())
                 at = e.end()
@@ -136,6 +159,10 @@ def _escapes(layer: Layer):
         elif text:  # surrogate pairs joined: the whole run stands for every character
             n = len(text)
             yield layer.derived(text, np.full(n, m.start()), np.full(n, m.end()))
+        raw = "".join(out).encode("latin-1", "replace")  # one byte a character
+        places = np.array(starts) + m.start(), np.array(ends) + m.start()
+        for p in PACKED.finditer(raw):
+            yield from _opened(layer, raw, *places, p.start(), window)
 
 
 def _packed(raw: bytes) -> bool:
@@ -143,6 +170,26 @@ def _packed(raw: bytes) -> bool:
     return raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 6 and int.from_bytes(raw[:2], "big") % 31 == 0 or raw[:3] == b"BZh" or raw[:6] == b"\xfd7zXZ\x00" or raw[:4] == b"\x28\xb5\x2f\xfd"
 
 
+def _begins(raw: bytes, at: int) -> bool:
+    """Whether a decoder makes anything of the bytes from `at` on; it looks no further than their first block."""
+    view = memoryview(raw)[at : at + (1 << 20)]
+    try:
+        if view[:3] == b"BZh":
+            return bool(PACKED.match(raw, at)) and bool(bz2.BZ2Decompressor().decompress(view, 64))
+        if view[:6] == b"\xfd7zXZ\x00":
+            return bool(lzma.LZMADecompressor().decompress(view[: 1 << 16], 64))
+        if view[:4] == b"\x28\xb5\x2f\xfd":
+            return bool(next(_inflated(_Source([bytes(view[: 1 << 18])])), b""))
+        for n in (1 << 10, 1 << 16):
+            if zlib.decompressobj(47).decompress(view[:n], 64):
+                return True
+            if len(view) <= n:
+                break
+    except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
+        pass
+    return False
+
+
 class _Source:
     """Bytes that come in pieces, to be read."""
 
@@ -223,30 +270,49 @@ def _windows(raw: bytes, window: int):
         tail = (tail + got)[-overlap:]
 
 
+def _runs(text: str):
+    """(characters, their places) of base64 runs, on one line and wrapped over several."""
+    for m in BASE64.finditer(text):
+        yield m[0].rstrip("="), np.arange(m.start(), m.start() + len(m[0].rstrip("=")))
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            places = np.array([k for k, c in enumerate(m[0], m.start()) if c not in " \t\r\n="])
+            yield "".join(m[0].split()).rstrip("="), places
+
+
+def _wide(raw: bytes):
+    """(text, first and last byte of each character) where bytes are UTF-16, which gives most plain characters a zero."""
+    for code, zeros in (("utf-16-le", raw[1::2]), ("utf-16-be", raw[::2])):
+        if len(raw) >= 16 and zeros.count(0) * 2 > len(zeros):
+            text = raw[: len(raw) // 2 * 2].decode(code, "replace")
+            if len(text) == len(raw) // 2:
+                k = np.arange(len(text)) * 2
+                yield text, k, k + 1
+
+
 def _base64(layer: Layer, window: int):
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").translate({45: 43, 95: 47})
+    for run, places in _runs(layer.text):
+        signs = run.translate({45: 43, 95: 47})
         begins: dict[int, list[int]] = {0: [0]}  # by their step
-        for b in BORDER.finditer(m[0]):
+        for b in BORDER.finditer(run):
             for at in range(b.start() + 1, b.end() + 1):
                 if len(run) - at >= BASE64_LEAST:
                     begins.setdefault(at % 4, []).append(at)
         for step, ats in begins.items():
-            part = run[step:]
+            part = signs[step:]
             part = part[: len(part) - (len(part) % 4 == 1)]
             raw = base64.b64decode(part + "=" * (-len(part) % 4))
             k = np.arange(len(raw))
-            starts = m.start() + step + 4 * (k // 3) + k % 3
-            ends = np.minimum(starts + 2, m.start() + len(run))
+            first = step + 4 * (k // 3) + k % 3
+            starts, ends = places[first], places[np.minimum(first + 1, len(run) - 1)] + 1
             for at in ats:
                 if _packed(raw[(k0 := (at - step) // 4 * 3) : k0 + 8]):
-                    for part in _windows(raw[k0:], window):
-                        here = np.zeros(len(part), np.int8)
-                        if got := _chars(part, here, here):
-                            text = got[0]
-                            yield layer.spread(text, m.start() + at, m.end())
+                    yield from _opened(layer, raw, starts, ends, k0, window)
             if got := _chars(raw, starts, ends):
                 yield layer.derived(*got)
+            for text, a, z in _wide(raw):
+                if SIGN.search(text.encode("utf-8", "replace")):
+                    yield layer.derived(text, starts[a], ends[z])
 
 
 def scan_text(text: str, window: int = WINDOW) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -254,9 +320,9 @@ def scan_text(text: str, window: int = WINDOW) -> tuple[list[tuple[int, int, int
 
     def unwrapped(layer: Layer):
         if "%" in layer.text:
-            yield from _percent(layer)
+            yield from _percent(layer, window)
         if "\\" in layer.text:
-            yield from _escapes(layer)
+            yield from _escapes(layer, window)
         yield from _base64(layer, window)
 
     base = base_spans(text)
