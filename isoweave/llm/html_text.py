@@ -58,11 +58,61 @@ FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
+#: Elements in which a slash ends a tag.
+DRAWN = ("svg", "math", "path")
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "met")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: "Node | None" = None):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.met: tuple[int, int] | None = None  # what Selectors has found of it
+
+
+class Open:
+    """The open elements, outermost first, with the places of each tag, so that none has to be looked for.
+
+    An element that ends before those inside it leaves a gap.
+    """
+
+    def __init__(self, root: Node):
+        self.held: list[Node | None] = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    @property
+    def top(self) -> Node:
+        return self.held[-1]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.held))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.held))
+        self.held.append(node)
+
+    def cut(self, k: int) -> None:
+        """Ends the element at k and all inside it."""
+        for node in reversed(self.held[k:]):
+            if node is not None:
+                self.places[node.tag].pop()
+        del self.held[k:]
+        while self.blocks and self.blocks[-1] >= k:
+            self.blocks.pop()
+        while self.held[-1] is None:
+            self.held.pop()
+
+    def drop(self, k: int) -> None:
+        """Ends the innermost element of its tag, at k, alone."""
+        node = self.held[k]
+        self.places[node.tag].pop()
+        if node.tag in BLOCK:
+            self.blocks.remove(k)
+        self.held[k] = None
+
+    def last(self, tags) -> int:
+        """The innermost place of any of the tags; -1 if none is open."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
 
 
 def tokens(page: str):
@@ -103,47 +153,44 @@ def tokens(page: str):
 def tree(page: str) -> tuple[Node, list[str]]:
     """The page's tree and its style sheets."""
     root, sheets = Node("html", {}), []
-    stack = [root]
+    stack = Open(root)
 
     def close(tags, bars):
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return True
-            if stack[k].tag in bars:
-                return False
-        return False
+        k = stack.last(tags)
+        if k < 0 or k < stack.last(bars):
+            return False
+        stack.cut(k)
+        return True
 
     def close_inline(tag):
         """Ends an inline element; a block that began inside it stays open."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag == tag:
-                if not any(x.tag in BLOCK for x in stack[k + 1 :]):
-                    del stack[k:]
-                elif tag in FORMATTING:
-                    del stack[k]
-                return
-            if stack[k].tag in BARS or tag not in FORMATTING and stack[k].tag in BLOCK:
-                return
+        k = stack.last((tag,))
+        block = stack.blocks[-1] if stack.blocks else -1
+        if k < 0 or k < stack.last(BARS) or tag not in FORMATTING and k < block:
+            return
+        if k >= block:
+            stack.cut(k)
+        elif tag in FORMATTING:
+            stack.drop(k)
 
     for token in tokens(page):
         kind = token[0]
         if kind == "text":
-            stack[-1].children.append(html.unescape(token[1]) if "&" in token[1] else token[1])
+            stack.top.children.append(html.unescape(token[1]) if "&" in token[1] else token[1])
         elif kind == "raw":
-            if stack[-1].tag == "style":
-                if any(SCREEN.fullmatch(x) for x in stack[-1].attrs.get("media", "").split(",")):
+            if stack.top.tag == "style":
+                if any(SCREEN.fullmatch(x) for x in stack.top.attrs.get("media", "").split(",")):
                     sheets.append(token[1])
-            elif stack[-1].tag == "textarea":
-                stack[-1].children.append(html.unescape(token[1]))
+            elif stack.top.tag == "textarea":
+                stack.top.children.append(html.unescape(token[1]))
             else:
-                stack[-1].children.append(token[1])
+                stack.top.children.append(token[1])
         elif kind == "end":
             tag = token[1]
-            if tag == "p" and not any(x.tag == "p" for x in stack):
-                stack[-1].children.append(Node("p", {}))
+            if tag == "p" and stack.last(("p",)) < 0:
+                stack.top.children.append(Node("p", {}))
             elif tag == "br":
-                stack[-1].children.append(Node("br", {}))
+                stack.top.children.append(Node("br", {}))
             elif tag in FORMATTING or tag in PHRASES:
                 close_inline(tag)
             else:
@@ -161,18 +208,18 @@ def tree(page: str) -> tuple[Node, list[str]]:
             if tag in ENDS_P:
                 close(("p",), BARS)
             if tag in BLOCK or tag in ("body",):
-                if stack[-1].tag == "head":
-                    stack.pop()
+                if stack.top.tag == "head":
+                    stack.cut(len(stack.held) - 1)
             if tag in CLOSES:
                 tags, bars = CLOSES[tag]
                 while close(tags, bars):
                     pass
-            if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                stack.pop()
-            node = Node(tag, attrs, stack[-1])
-            stack[-1].children.append(node)
-            if tag not in VOID and not (written.endswith("/") and any(x.tag in ("svg", "math", "path") for x in (*stack, node))):
-                stack.append(node)
+            if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and stack.top.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+                stack.cut(len(stack.held) - 1)
+            node = Node(tag, attrs, stack.top)
+            stack.top.children.append(node)
+            if tag not in VOID and not (written.endswith("/") and (tag in DRAWN or stack.last(DRAWN) >= 0)):
+                stack.push(node)
     return root, sheets
 
 
@@ -247,25 +294,59 @@ def fits(node: Node, compound: tuple) -> bool:
     return tag in ("*", node.tag) and (not classes or classes <= set(node.attrs.get("class", "").split())) and (not ids or ids <= {node.attrs.get("id")})
 
 
-def selected(node: Node, selector: list) -> bool:
-    """Whether a selector means the node: its ancestors are tried nearest first, and again from further out where a child is asked for."""
-    if not fits(node, selector[0]):
-        return False
-    tries = [(node.parent, 1)]
-    while tries:
-        at, k = tries.pop()
-        if k == len(selector):
-            return True
-        if at is None:
-            continue
-        if not selector[k][3]:
-            tries.append((at.parent, k))
-        if fits(at, selector[k]):
-            tries.append((at.parent, k + 1))
-    return False
-
-
-def visible(node: Node, hiding: list[tuple[list, dict]], parent: Node | None) -> tuple[bool, bool | None]:
+class Selectors:
+    """Which rules mean a node, whatever its depth: what a node and its ancestors have met is kept as bits.
+
+    Every compound of every selector has a bit, the outermost of a selector first.  A node meets a compound if it fits it and
+    its parent (a child is asked for) or any ancestor has met the one before.
+    """
+
+    def __init__(self, hiding: list[tuple[list, dict]]):
+        self.styles, self.parts, self.first, self.direct, self.last = [], [], 0, 0, []
+        self.known: dict[tuple, int] = {}
+        for selector, style in hiding:
+            for k in range(len(selector) - 1, -1, -1):
+                bit = 1 << len(self.parts)
+                self.parts.append(selector[k])
+                if k == len(selector) - 1:
+                    self.first |= bit
+                elif selector[k + 1][3]:  # says of the next one outwards that it must be the parent
+                    self.direct |= bit
+            self.last.append(bit)
+            self.styles.append(style)
+        self.ends = sum(self.last)
+
+    def _fit(self, node: Node) -> int:
+        key = node.tag, node.attrs.get("class"), node.attrs.get("id")
+        if key not in self.known:
+            if len(self.known) > 20_000:
+                self.known.clear()
+            self.known[key] = sum(1 << k for k, c in enumerate(self.parts) if fits(node, c))
+        return self.known[key]
+
+    def met(self, node: Node) -> int:
+        chain = []
+        at: Node | None = node
+        while at is not None and at.met is None:
+            chain.append(at)
+            at = at.parent
+        own, any_ = at.met if at is not None else (0, 0)
+        for n in reversed(chain):
+            own = self._fit(n) & (self.first | self.direct & own << 1 | ~(self.first | self.direct) & any_ << 1)
+            any_ |= own
+            n.met = own, any_
+        return own
+
+    def meaning(self, node: Node):
+        """Declarations of the rules that mean the node, weakest first."""
+        hit = self.met(node) & self.ends
+        if hit:
+            for bit, style in zip(self.last, self.styles, strict=True):
+                if hit & bit:
+                    yield style
+
+
+def visible(node: Node, hiding: Selectors | None, parent: Node | None) -> tuple[bool, bool | None]:
     """(whether the node has a box; whether its text is shown, None: as its parent's)."""
     if node.tag in NEVER or node.tag == "input":
         return False, None
@@ -275,11 +356,10 @@ def visible(node: Node, hiding: list[tuple[list, dict]], parent: Node | None) ->
     if parent is not None and parent.tag == "details" and "open" not in parent.attrs and node.tag != "summary":
         return False, None
     said: dict[str, tuple[bool, bool]] = {}
-    for selector, style in hiding:
-        if selected(node, selector):
-            for what, new in style.items():
-                if new[0] >= said.get(what, (False,))[0]:
-                    said[what] = new
+    for style in hiding.meaning(node) if hiding else ():
+        for what, new in style.items():
+            if new[0] >= said.get(what, (False,))[0]:
+                said[what] = new
     if "style" in a:
         for what, new in declared(a["style"]).items():
             if new[0] >= said.get(what, (False,))[0]:
@@ -414,7 +494,8 @@ def render(page: str | None) -> str:
     if not page:
         return ""
     root, sheets = tree(page)
-    hiding = hidden_by(sheets)
+    found = hidden_by(sheets)
+    hiding = Selectors(found) if found else None
     out = Lines()
     outer: list = []  # layouts and tables around the current one
     lists: list[list] = []
@@ -537,15 +618,17 @@ def render(page: str | None) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """`pages` with its HTML replaced by the rendered column text."""
-    rest = [c for c in pages.columns if c not in (html_col, "text")]
-    kept = pages.select(*[F.col(f"`{c}`") for c in rest], F.col(html_col).alias("text"))
+    place = pages.columns.index(html_col)
+    rest = [k for k, c in enumerate(pages.columns) if c not in (html_col, "text")]
+    plain = pages.toDF(*[f"c{k}" for k in range(len(pages.columns))])  # names may differ in case alone
+    kept = plain.select(*[F.col(f"c{k}") for k in rest], F.col(f"c{place}").alias("text"))
 
     def run(batches):
         for b in doc_batches(batches):
             k = b.schema.get_field_index("text")
             yield b.set_column(k, "text", pa.array([render(x) for x in b.column(k).to_pylist()], pa.string()))
 
-    return kept.mapInArrow(lean(run), kept.schema)
+    return kept.mapInArrow(lean(run), kept.schema).toDF(*[pages.columns[k] for k in rest], "text")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -169,7 +169,7 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, di
     for t in range(1, rounds + 1):
         z = np.bincount(row, val * w[idx], len(rows)) + w[-1]
         err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) / len(rows)
-        g = np.bincount(idx, val * err[row], dims + 2)
+        g = np.bincount(idx, val * err[row], dims + 2).astype(float)
         g[-1] = err.sum()
         g += decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g

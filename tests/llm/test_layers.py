@@ -11,7 +11,7 @@ import zlib
 
 import pytest
 
-from isoweave.llm import licenses, quality, secrets
+from isoweave.llm import html_text, licenses, quality, secrets
 
 SECRET = "password = hunter2hunter2"
 G = gzip.compress(SECRET.encode())
@@ -69,3 +69,28 @@ def test_documents_of_one_id_train_the_scorer(spark, doc):
     for text in ("one text", None, "buy now!!!", "an old mill by the river"):  # one row over and over
         same = spark.createDataFrame([(doc, text)] * 200, "doc_id long, text string")
         assert len({r["quality_score"] for r in quality.classify(spark, same, train=2).collect()}) == 1
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 20_000 + "x", "<p><button>" + "<div>" * 20_000 + "x", "<b><div>" * 10_000 + "</b>" * 10_000 + "x", "<table><tr><td>" * 5_000 + "x",
+        "<style>" + "".join(f".a .b .c{k}{{display:none}}" for k in range(50)) + "</style>" + '<div class="a b">' * 20_000 + "x", "<style>.a > .a > .c .d{display:none}</style>" + "<div class=a>" * 20_000 + "x",
+    ],
+)
+def test_deep_pages(page):
+    began = time.time()
+    assert html_text.render(page).strip().endswith("x")
+    assert time.time() - began < 5
+
+
+def test_selectors_of_nested_elements():
+    style = "<style>.a > .b .c{display:none} div.x#y{display:none} .c.d{display:inline}</style>"
+    assert html_text.render(style + "<div class=a><div class=b><p><i class=c>no</i></p></div></div><p class=a><i class=q><b class=b><i class=c>yes</i></b></i>").split() == ["yes"]
+    assert html_text.render(style + "<div class='x z' id=y>no</div><div class=x>one</div><div id=y>two</div>").split() == ["one", "two"]
+
+
+def test_pages_with_names_that_differ_in_case(spark):
+    pages = spark.createDataFrame([(1, "<p>a", "k", "old")], "page_id long, html string, Text string, HTML string")
+    got = html_text.extract(pages)
+    assert got.columns == ["page_id", "Text", "HTML", "text"] and tuple(got.collect()[0]) == (1, "k", "old", "a")
