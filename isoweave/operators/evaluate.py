@@ -82,7 +82,7 @@ def silhouette(points: DataFrame, block: int = 1024) -> DataFrame:
     tagged = points.select("id", "x", F.col("label").cast("string").alias("label"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("part"))
     packed = staged(tagged.groupBy("part").agg(F.collect_list(F.struct("id", "x", "label")).alias("rows")), "silhouette")
     left = packed.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("other"), F.col("part").alias("mine"), F.col("rows").alias("rows_a"))
-    meet = left.join(packed.select(F.col("part").cast("int").alias("other"), F.col("rows").alias("rows_b")), "other").repartition(n * n, "mine", "other")
+    meet = left.join(packed.select(F.col("part").cast("int").alias("other"), F.col("rows").alias("rows_b")), "other").repartition(min(n * n, 16 * n), "mine", "other")  # no more than 16 partitions a block
 
     def measure(frames):
         for pdf in frames:

@@ -154,3 +154,12 @@ def test_lost_mass_is_told(spark):
     for counts in ([("g", 2.9)], [], [("g", 3.0), ("h", 1.0)]):
         with pytest.raises(ValueError):
             quantify.check_conserved(fits, spark.createDataFrame(counts, "gene_id string, expected double"))
+
+
+def test_quantify_command(tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"variants": ["annotation_tes"], "max_iter": 5}))
+    command = [sys.executable, "-m", "jobs.quantify", "--tables", "/root/testdata/sf0.001", "--out", str(tmp_path / "o"), "--config", str(tmp_path / "c.json")]
+    for said in ("wrote to", "nothing to do"):
+        done = subprocess.run(command, cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=300, check=True)
+        assert said in done.stderr
+    assert len(list((tmp_path / "o" / "counts" / "variant=annotation_tes").glob("chrom=*"))) == 5
