@@ -13,6 +13,7 @@ packed like any other; repeated rows are packed as often as they stand.
 from __future__ import annotations
 
 import gc
+import os
 import zlib
 from itertools import islice
 
@@ -51,6 +52,8 @@ class Words:
     """
 
     def __init__(self, path: str):
+        # a task has one core; threads of its own would each keep memory
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.bytes = Tokenizer.from_file(path), {}, 0
