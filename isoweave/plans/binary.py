@@ -86,7 +86,7 @@ def _panel(s, d):
     kept = pre.panel_reads(pre.panel_reasons(reads, fx.transcripts(s, d), fx.view(s, d, "v_cells")))
     path = _place(s, "panel") + ".bam"
     sinks.bam(kept.select("name", "flag", "chrom", "pos", "mapq", "cigar", "seq", "qual", "tags"), path, _contigs(s), True)
-    return s.read.format("bam").load(path).select("name", "chrom", "pos", "flag", "cigar", F.col("tags")["GX"].alias("gx"))
+    return s.read.format("bam").option("splitBytes", 4 << 20).load(path).select("name", "chrom", "pos", "flag", "cigar", F.col("tags")["GX"].alias("gx"))
 
 
 _add("write_panel_bam", _panel, """SELECT DISTINCT name, r.chrom, pos, flag, cigar, gx FROM v_reads r JOIN x_bounds w ON r.chrom = w.chrom AND r.pos < w.hi AND r.pos + CASE WHEN n <= 4 THEN 40 WHEN n = 5 THEN 1740 ELSE 3740 END > w.lo

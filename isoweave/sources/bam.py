@@ -18,6 +18,7 @@ folder of sorted files.  `single` joins them on commit into one file and one ind
 
 from __future__ import annotations
 
+import functools
 import gzip
 import json
 import re
@@ -37,7 +38,10 @@ WHOLE_COLUMNS = ("name", "flag", "chrom", "pos", "mapq", "cigar", "seq", "qual",
 _BASES, _OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 _SIZES = {"c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
 _CODES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-_PAIRS = [_BASES[b >> 4] + _BASES[b & 15] for b in range(256)]
+#: Two bases are a byte, so a base is a hexadecimal digit; N stands for any other letter.
+_DIGITS = bytes(b"0123456789abcdef"[max(_BASES.find(chr(c).upper()), -1)] for c in range(256))
+_LETTERS = bytes(ord(_BASES[int(chr(c), 16)]) if chr(c) in "0123456789abcdef" else c for c in range(256))
+_QUAL_UP, _QUAL_DOWN = bytes((x + 33) % 256 for x in range(256)), bytes((x - 33) % 256 for x in range(256))
 _TYPES = {
     "name": pa.string(), "flag": pa.int32(), "chrom": pa.string(), "pos": pa.int64(), "mapq": pa.int32(), "cigar": pa.string(), "seq": pa.string(), "qual": pa.string(),
     "tags": pa.map_(pa.string(), pa.string()), "end": pa.int64(), "mate_chrom": pa.string(), "mate_pos": pa.int64(), "tlen": pa.int32(),
@@ -114,7 +118,7 @@ def _plausible(data: bytes, k: int, contigs: list[tuple[str, int]]) -> int | Non
     if n_name < 1 or n_seq < 0 or size < 32 + n_name + 4 * n_cigar + (n_seq + 1) // 2 + n_seq:
         return None
     for r, p in ((ref, pos), (mate, mate_pos)):
-        if not (-1 <= r < len(contigs)) or p < -1 or r >= 0 and p >= contigs[r][1]:
+        if not (-1 <= r < len(contigs)) or p < -1:  # a place beyond the header's length is read all the same
             return None
     name = data[k + 36 : k + 36 + n_name]
     if len(name) < n_name or name[-1] or any(c < 33 or c > 126 for c in name[:-1]):
@@ -220,10 +224,10 @@ def _decoded(raw: bytes, contigs: list[tuple[str, int]], columns: list[str], typ
             case "cigar":
                 v = "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) or None
             case "seq":
-                v = "".join(map(_PAIRS.__getitem__, raw[bases:quals]))[:n_seq] or None
+                v = raw[bases:quals].hex().encode().translate(_LETTERS)[:n_seq].decode() or None
             case "qual":
                 q = raw[quals : quals + n_seq]
-                v = None if not n_seq or q[:1] == b"\xff" else bytes(x + 33 for x in q).decode("latin-1")
+                v = None if not n_seq or q[:1] == b"\xff" else q.translate(_QUAL_UP).decode("latin-1")
             case "tags":
                 v = _tags(raw[quals + n_seq :], typed)
             case "end":
@@ -241,14 +245,16 @@ def _decoded(raw: bytes, contigs: list[tuple[str, int]], columns: list[str], typ
 #: A stretch of a contig: name, first base, base behind the last one.
 Locus = tuple[str, int, int]
 _FAR = 1 << 29
+#: Behind the last place that a record can have.
+_END = 1 << 31
 
 
-def parsed_loci(text: str) -> list[Locus]:
-    """`chrom` or `chrom:start-end`, by semicolons; zero-based, half-open."""
+def parsed_loci(text: str, far: int = _FAR) -> list[Locus]:
+    """`chrom` (up to `far`) or `chrom:start-end`, by semicolons; zero-based, half-open."""
     out = []
     for part in filter(None, (p.strip() for p in text.split(";"))):
         m = re.fullmatch(r"(.+):([0-9]+)-([0-9]+)", part)
-        chrom, a, b = (m[1], int(m[2]), int(m[3])) if m else (part, 0, _FAR)
+        chrom, a, b = (m[1], int(m[2]), int(m[3])) if m else (part, 0, far)
         if a >= b:
             raise ValueError(f"empty locus {part}")
         out.append((chrom, a, b))
@@ -277,7 +283,7 @@ class BamReader(DataSourceReader):
     def __init__(self, options, columns):
         self.path, self.columns = options["path"], columns
         self.size, self.typed = int(options.get("splitBytes", 64 << 20)), options.get("typedTags", "false").lower() == "true"
-        self.loci = parsed_loci(options["loci"]) if options.get("loci") else None
+        self.loci = parsed_loci(options["loci"], _END) if options.get("loci") else None
         if unknown := set(columns) - _TYPES.keys():
             raise ValueError(f"no such columns of a BAM: {', '.join(sorted(unknown))}")
         if self.size < 1:
@@ -375,7 +381,7 @@ class PushedBamReader(BamReader):
     """Takes loci from filters on chrom and pos; Spark applies all filters once more."""
 
     def pushFilters(self, filters):
-        chroms, low, high = None, -1, _FAR
+        chroms, low, high = None, -1, _END
         for f in filters:
             column = getattr(f, "attribute", None)
             if column == ("chrom",) and isinstance(f, (EqualTo, EqualNullSafe, In)):
@@ -423,6 +429,20 @@ def _packed_tag(key: str, value: str, typed: bool) -> bytes:
     return key.encode("ascii") + body
 
 
+@functools.lru_cache(1 << 14)
+def _operations(cigar: str) -> tuple[int, ...] | None:
+    """A CIGAR's packed operations; None if it is none."""
+    ops = tuple(int(n) << 4 | _OPS.index(o) for n, o in _CIGAR.findall(cigar))
+    return ops if "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) == cigar else None
+
+
+def _phred(name: str, qual: str) -> bytes:
+    raw = qual.encode("latin-1")
+    if raw and min(raw) < 33:
+        raise ValueError(f"{name}: no qualities: {qual!r}")
+    return raw.translate(_QUAL_DOWN)
+
+
 def packed_record(row: dict, refs: dict[str, int], typed: bool) -> tuple[bytes, int, int, int]:
     """A record's bytes with its contig's number (-1: none), first place and the place behind the last."""
     ref = -1 if row.get("chrom") is None else refs.get(row["chrom"], -2)
@@ -430,21 +450,20 @@ def packed_record(row: dict, refs: dict[str, int], typed: bool) -> tuple[bytes,
     if -2 in (ref, mate):
         raise ValueError(f"{row['name']}: contig is not in the header")
     cigar, pos = row.get("cigar") or "", -1 if row.get("pos") is None else row["pos"]
-    ops = [int(n) << 4 | _OPS.index(o) for n, o in _CIGAR.findall(cigar)]
-    if "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) != cigar:
+    ops = _operations(cigar)
+    if ops is None:
         raise ValueError(f"{row['name']}: no CIGAR: {cigar}")
     seq, qual = row.get("seq") or "", row.get("qual")
     if qual is not None and len(qual) != len(seq):
         raise ValueError(f"{row['name']}: {len(seq)} bases, {len(qual)} qualities")
-    codes = [max(_BASES.find(c), -1) for c in seq.upper()]
-    codes = [15 if c < 0 else c for c in codes] + [0] * (len(seq) % 2)
+    codes = seq.encode("ascii", "replace").translate(_DIGITS) + b"0" * (len(seq) % 2)
     name = row["name"].encode()
     if not 0 < len(name) < 255:
         raise ValueError(f"a name has 1 to 254 bytes: {row['name']}")
     end = max(pos + _span(ops), pos + 1)
     body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, row.get("mapq") or 0, bai.bin_of(max(pos, 0), max(end, 1)), len(ops), row.get("flag") or 0, len(seq), mate, -1 if row.get("mate_pos") is None else row["mate_pos"], row.get("tlen") or 0)
-    body += name + b"\0" + struct.pack(f"<{len(ops)}I", *ops) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True))
-    body += bytes([255] * len(seq)) if qual is None else bytes(ord(q) - 33 for q in qual)
+    body += name + b"\0" + struct.pack(f"<{len(ops)}I", *ops) + bytes.fromhex(codes.decode())
+    body += b"\xff" * len(seq) if qual is None else _phred(row["name"], qual)
     body += b"".join(_packed_tag(k, v, typed) for k, v in sorted((row.get("tags") or {}).items()))
     return struct.pack("<i", len(body)) + body, ref, pos, end
 

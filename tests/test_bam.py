@@ -242,3 +242,18 @@ def test_pbi_splits(spark, tmp_path):
     path.write_bytes(path.read_bytes()[:-400])
     with pytest.raises(Exception):
         spark.read.format("pbi").load(str(path)).agg(F.sum("offset")).collect()
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_places_beyond_the_header_and_the_bins(tmp_path, single):
+    """Records behind a contig's stated length, and behind what the bins of an index reach, are read by every split and found by loci."""
+    r = random.Random(5)
+    rows = sorted(({"name": f"q{k}", "flag": 0, "chrom": "chr1", "pos": r.randint(0, 1_900_000_000), "mapq": 1, "cigar": "40M", "seq": "ACGTN" * 8, "qual": None, "tags": {}} for k in range(9000)), key=lambda x: x["pos"])
+    write(rows, tmp_path / "far.bam", single=single, per=2000)
+    for size in (5_000, 60_000):
+        got, splits, _ = read(tmp_path / "far.bam", splitBytes=size)
+        assert len(splits) > 3 and [x["name"] for x in got] == [x["name"] for x in rows]
+    for a, b in ((0, 10_000_000), (536_000_000, 537_500_000), (1_000_000_000, 1_100_000_000), (1_899_000_000, 2_000_000_000)):
+        got, _, _ = read(tmp_path / "far.bam", loci=f"chr1:{a}-{b}")
+        assert [x["name"] for x in got] == [x["name"] for x in rows if x["pos"] < b and x["pos"] + 40 > a]
+    assert len(read(tmp_path / "far.bam", loci="chr1")[0]) == len(rows)
