@@ -66,3 +66,14 @@ def test_silhouette_of_near_copies(spark):
     df = spark.createDataFrame([(k, x[k].tolist(), int(label[k])) for k in range(90)], "id long, x array<double>, label long")
     got = {row["id"]: row["s"] for row in evaluate.silhouette(df, 32).collect()}
     assert np.allclose([got[k] for k in range(90)], want, atol=1e-9)
+
+
+def test_basis_is_cut_back_to_fit_the_driver(spark, monkeypatch):
+    """Vectors that don't fit BLOCKS times over are found with fewer blocks, the same ones; before, they were refused."""
+    from isoweave.operators import embed
+
+    x = np.random.default_rng(2).standard_normal((60, 40)) * np.geomspace(1, 1e-2, 40)
+    rows, features = embed.dense_rows(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id long, x array<double>"))
+    monkeypatch.setattr(embed, "BOUND", 40 * 10 * 2 * 4)
+    values, vectors = embed.right_vectors(rows, features, 2)
+    assert np.allclose(values, np.linalg.svd(x)[1][:2]) and np.allclose(x @ vectors @ vectors.T @ vectors, x @ vectors)
