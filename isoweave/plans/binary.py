@@ -108,12 +108,19 @@ _add("fasta_fetch_intervals", _fetched, f"""SELECT chrom, start, e AS "end", sub
     SELECT concat('c', p_partkey) AS chrom, p_partkey % 5 AS start, p_partkey % 5 + p_size % 60 % (4 * p_size) AS b, {_seq} AS seq FROM part))""")
 
 
+#: Repeats in a stretch of a contig, and stretches that a task writes, or thereabouts.
+STRETCH, EACH = 200_000, 32
+
+
 def _transcriptome(s, d):
-    """Spliced transcripts from contigs of repeated ACGGT that are written and fetched."""
+    """Spliced transcripts from contigs of repeated ACGGT that are written, in stretches, and fetched."""
     fasta.register(s)
     path = _place(s, "contigs")
-    n = fx.view(s, d, "v_exon").agg((F.floor(F.max("b") / 5) + 1).cast("int").alias("n"))
-    s.range(5).crossJoin(n).select(F.concat(F.lit("chr"), "id").alias("chrom"), F.repeat(F.lit("ACGGT"), F.col("n")).alias("seq")).write.format("fasta").mode("append").save(path)
+    n = fx.view(s, d, "v_exon").agg((F.floor(F.max("b") / 5) + 1).alias("n")).first()["n"] or 0  # one number
+    first = s.range(5).select(F.concat(F.lit("chr"), "id").alias("chrom"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n).cast("long"), F.lit(STRETCH).cast("long"))).alias("k"))
+    # places are dealt, bases are made where they are written
+    dealt = first.repartitionByRange(max(5, 5 * n // STRETCH // EACH), "chrom", "k").sortWithinPartitions("chrom", "k")
+    dealt.select("chrom", (5 * F.col("k")).alias("start"), F.repeat(F.lit("ACGGT"), F.least(F.lit(STRETCH), n - F.col("k")).cast("int")).alias("seq")).write.format("fasta").mode("append").save(path)
     return cat.spliced_from(fx.transcripts(s, d), path)
 
 

@@ -106,3 +106,29 @@ def test_transcripts_from_fetched_exons(spark, folder):
     plus = SEQS["c4"][10:20] + SEQS["c4"][100:333]
     minus = (SEQS["c5"][0:5] + SEQS["c5"][199_990:])[::-1].translate(str.maketrans("ACGT", "TGCA"))
     assert got == {"t1": plus, "t2": minus}
+
+
+def test_contig_written_in_stretches(spark, tmp_path):
+    """No row and no task holds a whole contig; before, a contig was one row."""
+    fasta.register(spark)
+    path = str(tmp_path / "stretches")
+    rows = [(c, k, s[k : k + 64]) for c, s in SEQS.items() for k in range(0, max(len(s), 1), 64) if len(s) <= 5000]
+    put = lambda rows, path: spark.createDataFrame(rows, "chrom string, start long, seq string").repartitionByRange(5, "chrom", "start").sortWithinPartitions("chrom", "start").write.format("fasta").option("width", 7).mode("append").save(path)
+    put(rows, path)
+    assert 6 < fasta.index(spark, path).count() < 12
+    asked = [(k, c, a, b) for k, c, a, b in some() if c != "c5"] + [(-1, "c4", 0, 5000)]
+    got = {r["k"]: r["seq"] for r in fasta.fetch(spark.createDataFrame(asked, "k int, chrom string, start long, end long"), path).collect()}
+    assert got == {k: SEQS[c][a:b] for k, c, a, b in asked}
+    put([("a", 0, "ACGT"), ("a", 5, "C")], str(tmp_path / "gap"))
+    with pytest.raises(ValueError, match="overlap or leave a gap"):
+        fasta.index(spark, str(tmp_path / "gap"))
+
+
+def test_query_writes_contigs_in_stretches(spark, monkeypatch):
+    from isoweave.plans import binary
+
+    seen = []
+    monkeypatch.setattr(binary, "STRETCH", 400)
+    monkeypatch.setattr(binary.cat, "spliced_from", lambda tx, path: seen.append(fasta.index(spark, path).collect()) or fasta.fetch(spark.sql("SELECT 'chr0' AS chrom, 3L AS start, 9999L AS end"), path))
+    assert binary._transcriptome(spark, "/root/testdata/sf0.001").first()["seq"] == ("ACGGT" * 2000)[3:9999]
+    assert max(r["length"] for r in seen[0]) <= 400 * 5 * binary.EACH * 2
