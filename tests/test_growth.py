@@ -77,3 +77,49 @@ def test_basis_is_cut_back_to_fit_the_driver(spark, monkeypatch):
     monkeypatch.setattr(embed, "BOUND", 40 * 10 * 2 * 4)
     values, vectors = embed.right_vectors(rows, features, 2)
     assert np.allclose(values, np.linalg.svd(x)[1][:2]) and np.allclose(x @ vectors @ vectors.T @ vectors, x @ vectors)
+
+
+def test_calls_are_resolved_in_the_read_itself(spark):
+    """Names meet genes without a pass over all reads for their distinct texts; ids with versions, shared plain names and lists keep their rules."""
+    tx = spark.createDataFrame([(f"t{k}", gene, "c", "+", [(0, 100)]) for k, gene in enumerate(("ENSG1", "ENSG2.3", "ENSG4.1", "ENSG4.2", "ENSG5", "ENSG5.1", "odd.1"))], "id string, gene_id string, chrom string, strand string, exons array<struct<a:bigint,b:bigint>>")
+    names = ["ENSG1", "ENSG1.9", " ENSG1", "ENSG2", "ENSG2.3", "ENSG2.7", "ENSG4", "ENSG4.1", "ENSG4.9", "ENSG5", "ENSG5.1", "ENSG5.2", "odd.1", "odd", ";ENSG1.2;", "ENSG1;ENSG2", ";", " ", None]
+    reads = spark.createDataFrame([(str(k), "C", f"U{k}", gx, 0, "c", 5, "10M" if k % 2 else "2S3M4N5M1H") for k, gx in enumerate(names)], "name string, cell string, umi string, gx string, flag int, chrom string, pos long, cigar string")
+    cells = spark.createDataFrame([("C",)], "cell string")
+    short, whole = inference.assembled(reads, tx, cells), inference.molecules(inference.read_reasons(reads, tx, cells))
+    flat = [sorted(df.select("umi", "gene_id", F.to_json("blocks"), F.to_json("junctions")).collect()) for df in (short, whole)]
+    assert flat[0] == flat[1] and len(flat[0]) > 8
+    assert plan(short).count("LogicalRDD") + plan(short).count("LocalRelation") < plan(whole).count("LogicalRDD") + plan(whole).count("LocalRelation")
+
+
+def test_simple_shapes_are_those_of_the_walk(spark):
+    rows = [(p, c) for p in (0, 7) for c in ("40M", "20M1700N20M", "5S20=", "3H5S20=30N9X4S2H", "0M", "5M0N5M", "5M3N0M", "", "*", None, "10M5I10M", "10M5N", "7S", "5M3N2M4N1M")]
+    df = spark.createDataFrame(rows, "pos long, cigar string")
+    assert all(r["a"] == r["b"] for r in df.select(g.cigar_shape("pos", "cigar").alias("a"), g._walk("pos", "cigar", ("M", "=", "X"), ("D",)).alias("b")).collect())
+
+
+def test_groups_are_told_apart_without_the_fits(spark, monkeypatch):
+    from isoweave.plans import flagship
+
+    monkeypatch.setattr(inference, "fit_cells", lambda *_, **__: 1 / 0)
+    got = flagship.QUERIES["refine_groups"](spark, DATA)
+    assert got.count() > 100 and "decimal(38" not in plan(got)
+
+
+def test_fits_and_counts_travel_once(spark):
+    mols = spark.createDataFrame([("C", "G", 1, 2), ("D", "G", 1, 2)], "cell string, gene_id string, s1 long, s2 long")
+    rows = spark.createDataFrame([("G", 1, 2, [0.5, 1.0], 1.5)], "gene_id string, s1 long, s2 long, row array<double>, total double")
+    groups = spark.createDataFrame([("G", "a", 0.5, 1, 1.0), ("G", "b", 0.25, 2, 0.5), ("G", "c", 0.25, 2, 0.5)], "gene_id string, id string, prior double, grp int, weight double")
+    fits = inference.fit_cells(mols, rows, groups)
+    counts = inference.isoform_counts(fits, groups)
+    assert plan(fits).count("Join") == 2 and plan(counts).count("Join") == 3
+    assert abs(counts.agg(F.sum("count")).first()[0] - 2) < 1e-9 and counts.count() == 6
+
+
+def test_reservoir_sorts_what_meets_a_chosen_row(spark, monkeypatch):
+    seen, real = [], inference.numbered
+    monkeypatch.setattr(inference, "numbered", lambda df, *a: seen.append(df.count()) or real(df, *a))
+    values = spark.range(10_000).select((F.col("id") % 500).alias("lead"), F.xxhash64("id").alias("v"), "id")
+    got = {r["slot"]: r["id"] for r in inference.reservoir(values, ["lead", "v"], 20, 3).collect()}
+    ordered = [r["id"] for r in values.orderBy("lead", "v").collect()]
+    assert got == {k: ordered[p - 1] for k, p in enumerate(inference.reservoir_places(10_000, 20, 3))}
+    assert seen[0] <= 20 * 20
