@@ -22,6 +22,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id (of these, the smallest hash) of every group of near-duplicates, and one row of those with the same id and text.
 
+    SimHash proposes pairs, prefixes those that its radius misses, exact similarity decides.
     Rows that share an id but no similar text all stay.  Documents with a null id stay.
     """
     groups = simhash.similar(spark, docs)

@@ -451,8 +451,12 @@ def _rest_pairs(spark: SparkSession, rows: DataFrame, labels: DataFrame, parts:
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs that their sketches do not rule out."""
-    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("sketch").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("sketch").alias("y")), "b")
+    """The pairs that their sketches do not rule out; where sets have labels, those of different ones."""
+    of = ["label"] if "label" in sets.columns else []
+    x, y = (sets.select(F.col("key").alias(c), F.col("sketch").alias(m), *[F.col(k).alias(f"{m}_{k}") for k in of]) for c, m in (("a", "x"), ("b", "y")))
+    both = pairs.join(x, "a").join(y, "b")
+    if of:
+        both = both.where("x_label <> y_label").select("a", "b", "x", "y")
 
     def run(batches):
         for b in batches:
@@ -491,13 +495,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(lean(verify), "a long, b long")
 
 
+def _near_pairs(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """(a, b), larger key first: a spanning forest of the texts that SimHash links, by keys: texts of one fingerprint with its smallest key, and those of linked fingerprints."""
+    fps = written(spark, fingerprints(texts.select(F.col("key").alias("doc_id"), "text")).where("fp <> 0").select(F.col("doc_id").alias("key"), "fp").distinct(), "similar-fp")
+    reps = written(spark, fps.groupBy("fp").agg(F.min("key").alias("rep")), "similar-reps")
+    edges = links(spark, reps.select("fp"))
+    of = lambda c, name: reps.select(F.col("fp").alias(c), F.col("rep").alias(name))
+    met = edges.join(of("a", "x"), "a").join(of("b", "y"), "b").select("x", "y").unionByName(fps.join(reps, "fp").where("key <> rep").select(F.col("key").alias("x"), F.col("rep").alias("y")))
+    return written(spark, met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "similar-near")
+
+
 def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float = 0.8, small: int = SMALL) -> DataFrame:
     """(doc_id, sha, component_id, first) of the documents that are in a group: equal texts, or a Jaccard similarity of at least `least` on word shingles.
 
     A document is a doc_id with a text (sha names it); `first` tells the one of the
-    smallest doc_id and sha of its group.  Prefixes of the shingles in a common order
-    propose pairs: no two similar texts have prefixes without a common shingle, so
-    none is missed.  Exact similarity decides.  Null doc_ids are in no group.
+    smallest doc_id and sha of its group.  SimHash proposes pairs first, by its covering
+    masks.  Similar texts may lie further apart than its radius; prefixes of the shingles
+    in a common order propose what it has not joined: no two similar texts have prefixes
+    without a common shingle, so none is missed.  Exact similarity decides on both.  Null
+    doc_ids are in no group.
     """
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
     texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text", sha.alias("sha")).withColumn("key", F.xxhash64("sha"))
@@ -505,12 +521,14 @@ def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float =
     n, chars, different = names.agg(F.count("*"), F.sum("chars"), F.countDistinct("doc_id", "key")).first()
     firsts = written(spark, names.groupBy("key", "sha").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "similar-firsts")
     parts = partitions(spark, (chars or 0) / 30, 2_000_000)
+    near = _near_pairs(spark, texts)
+    freed(spark)
     buckets = _buckets(texts, width, least, *_ordering(texts, n, width)).repartition(parts, "token")
     got = written(spark, _first_pairs(buckets, least, small), "similar-buckets")
     freed(spark)
     pairs = written(spark, got.where("n < 0").select("a", "b").distinct(), "similar-pairs")
     large = got.where("n >= 0").select("token", F.col("a").alias("key"), "n", "at")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("key")).distinct()
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("key")).union(near.select("a")).union(near.select("b")).distinct()
 
     def shingled(batches):
         for b in doc_batches(batches):
@@ -525,11 +543,14 @@ def similar(spark: SparkSession, docs: DataFrame, width: int = 5, least: float =
     sets = written(spark, sets, "similar-sets")
     freed(spark)
     rows = written(spark, large.join(sets.select("key", "sketch"), "key"), "similar-rows")
-    likely = written(spark, _likely(pairs, sets, least).unionByName(_leader_pairs(rows, parts, least)).distinct(), "similar-likely")
-    links = written(spark, _verified(likely, sets, least), "similar-links")
+    links = written(spark, _verified(_likely(near, sets, least), sets, least), "similar-first")
+    labels = written(spark, min_label_components(spark, links, "similar-cc"), "similar-labels")
+    marks = sets.select("key", "sketch").join(labels, F.col("key") == F.col("id"), "left").select("key", "sketch", F.coalesce("component", "key").alias("label"))
+    likely = written(spark, _likely(pairs, marks, least).unionByName(_leader_pairs(rows, parts, least)).distinct().join(near, ["a", "b"], "left_anti"), "similar-likely")
+    links = links.unionByName(written(spark, _verified(likely, sets, least), "similar-links"))
     freed(spark)
     labels = written(spark, min_label_components(spark, links, "similar-cc"), "similar-labels")
-    tried = [likely]
+    tried = [likely, near]
     for one in (True, False):
         rest = _rest_pairs(spark, rows, labels, parts, least, one).join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
         tried.append(rest := written(spark, rest, "similar-rest"))

@@ -273,3 +273,18 @@ def test_sentences_of_licenses():
             continue
         words = licenses.words_of("Notice. " + ", ".join(plain.upper().split(" ")) + "!")
         assert label in {d[4].label for d in licenses.detect(words, licenses.by_gate().keys() & set(words))}, (label, plain)
+
+
+def test_similar_texts_are_proposed_by_simhash(spark, monkeypatch):
+    """Near copies meet by their fingerprints, without any shingle prefix; exact similarity still decides; what the radius misses comes by prefixes."""
+    from isoweave.llm import simhash
+
+    words = [f"w{k}" for k in range(400)]
+    long, other = " ".join(words), " ".join(f"v{k}" for k in range(400))
+    short = "a b c d e f g h i j k l m n o p q r s t"
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, other), (4, short), (5, short + " u"), (6, ""), (7, None), (8, "!")], "doc_id long, text string")
+    groups = lambda: {r["doc_id"]: r["component_id"] for r in simhash.similar(spark, docs).collect()}
+    whole = groups()
+    assert whole[1] == whole[2] == 1 and whole[4] == whole[5] == 4 and 3 not in whole
+    monkeypatch.setattr(simhash, "_first_pairs", lambda *_: spark.createDataFrame([], "a long, b long, token long, n int, at int"))
+    assert groups().get(2) == 1 and 3 not in groups()
