@@ -14,6 +14,10 @@ Without an index all is read and filtered.  A path is a file, or a folder of .ba
 Writing.  Every task packs the rows of its partition into a file of its own with header,
 end block and index, so that rows that are range-partitioned in the header's order make a
 folder of sorted files.  `single` joins them on commit into one file and one index.
+
+A place is 32 bits in a BAM.  A contig that is longer is written in stretches, contigs of
+the header that say (`of`, `at`) which contig they are part of and where they begin in it;
+records are in the stretch that they begin in, and come back with their contig and place.
 """
 
 from __future__ import annotations
@@ -46,6 +50,8 @@ _TYPES = {
     "name": pa.string(), "flag": pa.int32(), "chrom": pa.string(), "pos": pa.int64(), "mapq": pa.int32(), "cigar": pa.string(), "seq": pa.string(), "qual": pa.string(),
     "tags": pa.map_(pa.string(), pa.string()), "end": pa.int64(), "mate_chrom": pa.string(), "mate_pos": pa.int64(), "tlen": pa.int32(),
 }
+#: The longest contig that a header can name; bases in a stretch of a longer one.
+LONGEST, STRETCH = (1 << 31) - 1, 1 << 30
 #: Records in a batch; records that must follow each other before a place counts as the start of one.
 BATCH, CHAIN = 4096, 12
 
@@ -92,12 +98,55 @@ class Header:
     contigs: list[tuple[str, int]]
     place: int = 0  # virtual place of the first record
 
+    @functools.cached_property
+    def origins(self) -> list[tuple[str, int]]:
+        """Of every contig of the file its name and first base; of a stretch those in the contig that it is part of."""
+        told = {}
+        for line in self.text.split("\n") if "\tat:" in self.text else ():
+            tags = dict(x.split(":", 1) for x in line.split("\t")[1:] if ":" in x)
+            if line.startswith("@SQ\t") and "of" in tags and tags.get("at", "").isdigit():
+                told[tags.get("SN")] = (tags["of"], int(tags["at"]))
+        return [told.get(n, (n, 0)) for n, _ in self.contigs]
+
+    def spans(self, loci: list[Locus]) -> dict[int, list[tuple[int, int]]]:
+        """Loci by the numbers of the file's contigs, in their places; a record of one stretch may reach into the next."""
+        out: dict[int, list[tuple[int, int]]] = {}
+        for ref, (name, at) in enumerate(self.origins):
+            if mine := [(a - at, b - at) for chrom, a, b in loci if chrom == name and b > at]:
+                out[ref] = mine
+        return out
+
     def packed(self) -> bytes:
         text = self.text.encode()
         names = b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in self.contigs)
         return b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.contigs)) + names
 
 
+def stretched(text: str, contigs: list[tuple[str, int]]) -> tuple[Header, dict[str, tuple[int, int]]]:
+    """A header in which contigs too long for one are stretches, and of every contig the number of its first one and how many there are."""
+    lines, out, refs, taken = text.split("\n"), [], {}, {n for n, _ in contigs}
+    for name, size in contigs:
+        refs[name] = (len(out), 1)
+        if size <= LONGEST:
+            out.append((name, size))
+            continue
+        said = next((k for k, x in enumerate(lines) if x.startswith("@SQ\t") and f"SN:{name}" in x.split("\t")), None)
+        new = []
+        for at in range(0, size, STRETCH):
+            own = name if not at else f"{name}_at_{at}"
+            while at and own in taken:
+                own += "_"
+            taken.add(own)
+            out.append((own, min(STRETCH, size - at)))
+            new.append(f"@SQ\tSN:{own}\tLN:{out[-1][1]}\tof:{name}\tat:{at}")
+        refs[name] = (refs[name][0], len(new))
+        if said is None:
+            lines[-1:-1] = new  # the text ends its last line
+        else:
+            lines[said : said + 1] = new
+    return Header("\n".join(lines), out), refs
+
+
 def header(f) -> Header:
     s = _Stream(f, 0)
     if s.read(4) != b"BAM\1":
@@ -202,7 +251,7 @@ def _span(ops) -> int:
     return sum(x >> 4 for x in ops if x & 15 in (0, 2, 3, 7, 8))
 
 
-def _decoded(raw: bytes, contigs: list[tuple[str, int]], columns: list[str], typed: bool) -> list:
+def _decoded(raw: bytes, origins: list[tuple[str, int]], columns: list[str], typed: bool) -> list:
     ref, pos, n_name, mapq, _, n_cigar, flag, n_seq, mate, mate_pos, tlen = struct.unpack_from("<iiBBHHHiiii", raw)
     at = 32 + n_name
     ops = struct.unpack_from(f"<{n_cigar}I", raw, at)
@@ -216,9 +265,9 @@ def _decoded(raw: bytes, contigs: list[tuple[str, int]], columns: list[str], typ
             case "flag":
                 v = flag
             case "chrom":
-                v = contigs[ref][0] if ref >= 0 else None
+                v = origins[ref][0] if ref >= 0 else None
             case "pos":
-                v = pos
+                v = pos + (origins[ref][1] if ref >= 0 else 0)
             case "mapq":
                 v = mapq
             case "cigar":
@@ -231,11 +280,11 @@ def _decoded(raw: bytes, contigs: list[tuple[str, int]], columns: list[str], typ
             case "tags":
                 v = _tags(raw[quals + n_seq :], typed)
             case "end":
-                v = pos + _span(ops)
+                v = pos + _span(ops) + (origins[ref][1] if ref >= 0 else 0)
             case "mate_chrom":
-                v = contigs[mate][0] if mate >= 0 else None
+                v = origins[mate][0] if mate >= 0 else None
             case "mate_pos":
-                v = mate_pos
+                v = mate_pos + (origins[mate][1] if mate >= 0 else 0)
             case "tlen":
                 v = tlen
         out.append(v)
@@ -246,7 +295,7 @@ def _decoded(raw: bytes, contigs: list[tuple[str, int]], columns: list[str], typ
 Locus = tuple[str, int, int]
 _FAR = 1 << 29
 #: Behind the last place that a record can have.
-_END = 1 << 31
+_END = 1 << 62
 
 
 def parsed_loci(text: str, far: int = _FAR) -> list[Locus]:
@@ -302,11 +351,7 @@ class BamReader(DataSourceReader):
 
     def _indexed(self, path, index):
         with remote.opened(path) as f:
-            names = [n for n, _ in header(f).contigs]
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for chrom, a, b in self.loci:
-            if chrom in names:
-                spans.setdefault(names.index(chrom), []).append((a, b))
+            spans = header(f).spans(self.loci)
         with remote.opened(index) as f:
             contigs = bai.unpacked(f.read(), set(spans))
         out = []
@@ -352,11 +397,7 @@ class BamReader(DataSourceReader):
         rows, spans = [], None
         for raw, head in self._raw(split):
             if self.loci is not None:
-                if spans is None:
-                    names, spans = [n for n, _ in head.contigs], {}
-                    for chrom, a, b in self.loci:
-                        if chrom in names:
-                            spans.setdefault(names.index(chrom), []).append((a, b))
+                spans = head.spans(self.loci) if spans is None else spans
                 ref, pos = struct.unpack_from("<ii", raw)
                 if ref not in spans:
                     continue
@@ -366,7 +407,7 @@ class BamReader(DataSourceReader):
                 end = max(pos + _span(struct.unpack_from(f"<{n_cigar}I", raw, 32 + n_name)), pos + 1)
                 if not any(pos < b and end > a for a, b in spans[ref]):
                     continue
-            rows.append(_decoded(raw, head.contigs, self.columns, self.typed))
+            rows.append(_decoded(raw, head.origins, self.columns, self.typed))
             if len(rows) == BATCH:
                 yield self._batch(rows)
                 rows = []
@@ -443,13 +484,23 @@ def _phred(name: str, qual: str) -> bytes:
     return raw.translate(_QUAL_DOWN)
 
 
-def packed_record(row: dict, refs: dict[str, int], typed: bool) -> tuple[bytes, int, int, int]:
-    """A record's bytes with its contig's number (-1: none), first place and the place behind the last."""
-    ref = -1 if row.get("chrom") is None else refs.get(row["chrom"], -2)
-    mate = -1 if row.get("mate_chrom") is None else refs.get(row["mate_chrom"], -2)
-    if -2 in (ref, mate):
-        raise ValueError(f"{row['name']}: contig is not in the header")
-    cigar, pos = row.get("cigar") or "", -1 if row.get("pos") is None else row["pos"]
+def _placed(name: str, chrom: str | None, pos: int | None, refs: dict[str, tuple[int, int]]) -> tuple[int, int]:
+    """A contig's number in the file (-1: none) and the place in it."""
+    pos = -1 if pos is None else pos
+    first, n = (-1, 1) if chrom is None else refs.get(chrom, (-2, 1))
+    if first == -2:
+        raise ValueError(f"{name}: contig is not in the header")
+    k = min(max(pos, 0) // STRETCH, n - 1)
+    if not -1 <= pos - k * STRETCH <= LONGEST:
+        raise ValueError(f"{name}: {pos} is no place of a contig as long as the header says")
+    return first + k, pos - k * STRETCH
+
+
+def packed_record(row: dict, refs: dict[str, tuple[int, int]], typed: bool) -> tuple[bytes, int, int, int]:
+    """A record's bytes with its contig's number (-1: none), first place and the place behind the last, as they are in the file."""
+    ref, pos = _placed(row["name"], row.get("chrom"), row.get("pos"), refs)
+    mate, mate_pos = _placed(row["name"], row.get("mate_chrom"), row.get("mate_pos"), refs)
+    cigar = row.get("cigar") or ""
     ops = _operations(cigar)
     if ops is None:
         raise ValueError(f"{row['name']}: no CIGAR: {cigar}")
@@ -461,7 +512,7 @@ def packed_record(row: dict, refs: dict[str, int], typed: bool) -> tuple[bytes,
     if not 0 < len(name) < 255:
         raise ValueError(f"a name has 1 to 254 bytes: {row['name']}")
     end = max(pos + _span(ops), pos + 1)
-    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, row.get("mapq") or 0, bai.bin_of(max(pos, 0), max(end, 1)), len(ops), row.get("flag") or 0, len(seq), mate, -1 if row.get("mate_pos") is None else row["mate_pos"], row.get("tlen") or 0)
+    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, row.get("mapq") or 0, bai.bin_of(max(pos, 0), max(end, 1)), len(ops), row.get("flag") or 0, len(seq), mate, mate_pos, row.get("tlen") or 0)
     body += name + b"\0" + struct.pack(f"<{len(ops)}I", *ops) + bytes.fromhex(codes.decode())
     body += b"\xff" * len(seq) if qual is None else _phred(row["name"], qual)
     body += b"".join(_packed_tag(k, v, typed) for k, v in sorted((row.get("tags") or {}).items()))
@@ -481,10 +532,11 @@ class BamWriter(DataSourceWriter):
 
     def __init__(self, options, columns, overwrite):
         self.path, self.columns, self.overwrite = options["path"].rstrip("/"), columns, overwrite
-        self.contigs = [(str(n), int(size)) for n, size in json.loads(options["contigs"])]
+        contigs = [(str(n), int(size)) for n, size in json.loads(options["contigs"])]
         self.single, self.typed = (options.get(k, "false").lower() == "true" for k in ("single", "typedTags"))
-        text = options.get("header") or "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in self.contigs)
-        self.head, self.attempt = Header(text, self.contigs), f"{self.path}.{uuid.uuid4().hex}"
+        text = options.get("header") or "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in contigs)
+        self.head, self.refs = stretched(text, contigs)
+        self.contigs, self.attempt = self.head.contigs, f"{self.path}.{uuid.uuid4().hex}"
         if unknown := set(columns) - _TYPES.keys():
             raise ValueError(f"no such columns of a BAM: {', '.join(sorted(unknown))}")
         if not overwrite and remote.taken(self.path):
@@ -495,15 +547,14 @@ class BamWriter(DataSourceWriter):
 
         t = TaskContext.get()
         name = f"part-{t.partitionId():05d}-{t.taskAttemptId()}.bam"
-        refs = {n: k for k, (n, _) in enumerate(self.contigs)}
-        index, unplaced, n, first, last = [bai.Contig() for _ in refs], 0, 0, None, None
+        index, unplaced, n, first, last = [bai.Contig() for _ in self.contigs], 0, 0, None, None
         with remote.created(f"{self.attempt}/{name}") as f:
             w = bgzf.Writer(f)
             w.write(self.head.packed())
             w.flush()
             for row in rows:
-                raw, ref, pos, end = packed_record(row.asDict(), refs, self.typed)
-                key = (ref if ref >= 0 else len(refs), pos)
+                raw, ref, pos, end = packed_record(row.asDict(), self.refs, self.typed)
+                key = (ref if ref >= 0 else len(index), pos)
                 if last is not None and key < last:
                     raise ValueError(f"rows are not in the order of the header's contigs: {row['name']}")
                 first, last, n = first or key, key, n + 1
