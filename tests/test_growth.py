@@ -123,3 +123,21 @@ def test_reservoir_sorts_what_meets_a_chosen_row(spark, monkeypatch):
     ordered = [r["id"] for r in values.orderBy("lead", "v").collect()]
     assert got == {k: ordered[p - 1] for k, p in enumerate(inference.reservoir_places(10_000, 20, 3))}
     assert seen[0] <= 20 * 20
+
+
+def test_silhouette_ships_no_pairs(spark, monkeypatch):
+    """Tiles meet without a shuffle of their pairs; results don't depend on tiles, nor on when a task passes its sums on."""
+    x = np.random.default_rng(4).standard_normal((300, 5))
+    label = np.arange(300) ** 2 % 7  # 0, 1, 2, 4
+    label[299] = 3  # a label of one point
+    df = spark.createDataFrame([(f"p{k}", x[k].tolist(), int(label[k])) for k in range(300)], "id string, x array<double>, label int")
+    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    means = lambda k, own: np.array([gap[k, (label == c) & (np.arange(300) != k)].mean() for c in sorted(set(label)) if (c == label[k]) == own])
+    want = [0.0 if label[k] == 3 else ((o := means(k, False).min()) - (w := means(k, True)[0])) / max(o, w) for k in range(300)]
+    meet = plan(evaluate.silhouette(df, 20), "executedPlan")
+    assert "CartesianProduct" in meet and "Exchange" not in meet[meet.index("MapInArrow"):meet.index("CartesianProduct")]
+    for held, block in ((1 << 22, 20), (100, 30), (1 << 22, 1024)):
+        monkeypatch.setattr(evaluate, "HELD", held)
+        got = {r["id"]: r["s"] for r in evaluate.silhouette(df, block).collect()}
+        assert np.allclose([got[f"p{k}"] for k in range(300)], want, atol=1e-9)
+    assert evaluate.silhouette(df.limit(0)).count() == 0
