@@ -141,3 +141,21 @@ def test_silhouette_ships_no_pairs(spark, monkeypatch):
         got = {r["id"]: r["s"] for r in evaluate.silhouette(df, block).collect()}
         assert np.allclose([got[f"p{k}"] for k in range(300)], want, atol=1e-9)
     assert evaluate.silhouette(df.limit(0)).count() == 0
+
+
+def test_passes_over_wide_rows_shuffle_nothing(spark, monkeypatch):
+    """Rows that are fewer than features meet a block by row and by feature; where a block as long as they are is too much, sums are shuffled. Both give the same."""
+    from isoweave.operators import embed
+
+    r = np.random.default_rng(6)
+    x = np.where(r.random((40, 90)) < 0.2, r.random((40, 90)), 0)
+    x[7] = 0
+    rows = spark.createDataFrame([(f"c{k}", np.flatnonzero(v).tolist(), v[v != 0].tolist()) for k, v in enumerate(x)], "cell string, idx array<int>, val array<double>")
+    monkeypatch.setattr(embed, "BLOCKS", 3)  # starts anew now and then
+    real, used = embed._gram_times, []
+    monkeypatch.setattr(embed, "_gram_times", lambda *a: used.append(1) or real(*a))
+    one = embed.right_vectors(rows, 90, 3)
+    assert not used
+    monkeypatch.setattr(embed, "BLOCK", 0)
+    two = embed.right_vectors(rows, 90, 3)
+    assert used and np.allclose(one[0], np.linalg.svd(x)[1][:3]) and np.allclose(one[0], two[0]) and np.allclose(one[1], two[1], atol=1e-7)
