@@ -159,3 +159,33 @@ def test_passes_over_wide_rows_shuffle_nothing(spark, monkeypatch):
     monkeypatch.setattr(embed, "BLOCK", 0)
     two = embed.right_vectors(rows, 90, 3)
     assert used and np.allclose(one[0], np.linalg.svd(x)[1][:3]) and np.allclose(one[0], two[0]) and np.allclose(one[1], two[1], atol=1e-7)
+
+
+def test_variants_share_what_priors_do_not_touch(spark, monkeypatch):
+    """Shapes are told apart once, and likelihoods of annotated ends worked out once, for all variants."""
+    from isoweave.plans import flagship
+
+    seen, real = [], inference.packed_likelihoods
+    monkeypatch.setattr(inference, "packed_likelihoods", lambda shapes, tx, samples, tes=None, *a: seen.append((shapes, tes is None)) or real(shapes, tx, samples, tes, *a))
+    got = flagship.QUERIES["three_variants"](spark, DATA)
+    assert sorted(plain for _, plain in seen) == [False, True] and len({id(s) for s, _ in seen}) == 1
+    assert {r["variant"] for r in got.select("variant").distinct().collect()} == {"annotation_tes", "empirical_tes", "sr_only"}
+
+
+def test_ends_that_cross_the_terminal_exon(spark):
+    """Ends beyond the inner edge, or before the molecule's boundary, have no part, but keep their share of the weight."""
+    tx = spark.createDataFrame([("G", "p", "+", [(0, 100), (200, 300)]), ("G", "m", "-", [(0, 100), (200, 300)])], "gene_id string, id string, strand string, exons array<struct<a:bigint,b:bigint>>")
+    tes = spark.createDataFrame([("p", 290, 1.0), ("p", 150, 2.0), ("p", 230, 1.0), ("m", 20, 1.0), ("m", 120, 3.0)], "id string, tes long, weight double")
+    shapes = inference.marked(spark.createDataFrame([("G", [(210, 250)], []), ("G", [(30, 60)], [])], "gene_id string, blocks array<struct<a:bigint,b:bigint>>, junctions array<struct<a:bigint,b:bigint>>"))
+    samples = spark.createDataFrame([([10.0, 40.0],)], "samples array<double>")
+    density = {r["d"]: r["f"] for r in spark.range(300).select(F.col("id").alias("d")).crossJoin(samples).select("d", g.kde_logpdf("d", "samples").alias("f")).collect()}
+    got = {(r["blocks"][0]["a"], r["id"]): r["lik"] for r in inference.shape_likelihoods(shapes, tx, samples, tes).join(shapes, inference.SHAPE).collect()}
+    ends = {"p": [(290, 1), (150, 2), (230, 1)], "m": [(20, 1), (120, 3)]}
+    for a, b in ((210, 250), (30, 60)):
+        mix = {}
+        for name, e in ends.items():
+            last = b if name == "p" else a
+            base = sum(max(0, y - max(x, last)) for x, y in ((0, 100), (200, 300))) if name == "p" else sum(max(0, min(y, last) - x) for x, y in ((0, 100), (200, 300)))
+            ds = [(-1 if (t < 200 if name == "p" else t > 100) else base + (t - 300 if name == "p" else -t), w) for t, w in e]
+            mix[name] = sum(w / sum(w for _, w in e) * np.exp(density[d]) for d, w in ds if d >= 0)
+        assert all(np.isclose(got[a, n], mix[n] / max(mix.values())) for n in mix)
