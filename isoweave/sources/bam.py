@@ -31,7 +31,7 @@ import uuid
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 from . import bai, bgzf, remote
 
@@ -471,10 +471,10 @@ def _packed_tag(key: str, value: str, typed: bool) -> bytes:
 
 
 @functools.lru_cache(1 << 14)
-def _operations(cigar: str) -> tuple[int, ...] | None:
-    """A CIGAR's packed operations; None if it is none."""
+def _operations(cigar: str) -> tuple[int, bytes, int] | None:
+    """How many operations a CIGAR has, these packed, and the bases that it spans; None if it is none."""
     ops = tuple(int(n) << 4 | _OPS.index(o) for n, o in _CIGAR.findall(cigar))
-    return ops if "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) == cigar else None
+    return (len(ops), struct.pack(f"<{len(ops)}I", *ops), _span(ops)) if "".join(f"{x >> 4}{_OPS[x & 15]}" for x in ops) == cigar else None
 
 
 def _phred(name: str, qual: str) -> bytes:
@@ -496,27 +496,52 @@ def _placed(name: str, chrom: str | None, pos: int | None, refs: dict[str, tuple
     return first + k, pos - k * STRETCH
 
 
-def packed_record(row: dict, refs: dict[str, tuple[int, int]], typed: bool) -> tuple[bytes, int, int, int]:
+_FIXED = struct.Struct("<iiiBBHHHiiii")
+
+
+def packed(name: str, flag: int, chrom: str | None, pos: int, mapq: int, cigar: str | None, seq: str | None, qual: str | None, tags, mate_chrom: str | None, mate_pos: int, tlen: int, refs: dict[str, tuple[int, int]], typed: bool) -> tuple[bytes, int, int, int]:
     """A record's bytes with its contig's number (-1: none), first place and the place behind the last, as they are in the file."""
-    ref, pos = _placed(row["name"], row.get("chrom"), row.get("pos"), refs)
-    mate, mate_pos = _placed(row["name"], row.get("mate_chrom"), row.get("mate_pos"), refs)
-    cigar = row.get("cigar") or ""
-    ops = _operations(cigar)
+    ref, pos = _placed(name, chrom, pos, refs)
+    mate, mate_pos = (-1, mate_pos) if mate_chrom is None and mate_pos == -1 else _placed(name, mate_chrom, mate_pos, refs)
+    ops = _operations(cigar or "")
     if ops is None:
-        raise ValueError(f"{row['name']}: no CIGAR: {cigar}")
-    seq, qual = row.get("seq") or "", row.get("qual")
-    if qual is not None and len(qual) != len(seq):
-        raise ValueError(f"{row['name']}: {len(seq)} bases, {len(qual)} qualities")
-    codes = seq.encode("ascii", "replace").translate(_DIGITS) + b"0" * (len(seq) % 2)
-    name = row["name"].encode()
-    if not 0 < len(name) < 255:
-        raise ValueError(f"a name has 1 to 254 bytes: {row['name']}")
-    end = max(pos + _span(ops), pos + 1)
-    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, row.get("mapq") or 0, bai.bin_of(max(pos, 0), max(end, 1)), len(ops), row.get("flag") or 0, len(seq), mate, mate_pos, row.get("tlen") or 0)
-    body += name + b"\0" + struct.pack(f"<{len(ops)}I", *ops) + bytes.fromhex(codes.decode())
-    body += b"\xff" * len(seq) if qual is None else _phred(row["name"], qual)
-    body += b"".join(_packed_tag(k, v, typed) for k, v in sorted((row.get("tags") or {}).items()))
-    return struct.pack("<i", len(body)) + body, ref, pos, end
+        raise ValueError(f"{name}: no CIGAR: {cigar}")
+    seq = seq or ""
+    n = len(seq)
+    if qual is not None and len(qual) != n:
+        raise ValueError(f"{name}: {n} bases, {len(qual)} qualities")
+    codes = seq.encode("ascii", "replace").translate(_DIGITS) + b"0" * (n % 2)
+    text = name.encode()
+    if not 0 < len(text) < 255:
+        raise ValueError(f"a name has 1 to 254 bytes: {name}")
+    end = max(pos + ops[2], pos + 1)
+    rest = b"".join((
+        text, b"\0", ops[1], bytes.fromhex(codes.decode()), b"\xff" * n if qual is None else _phred(name, qual),
+        *(_packed_tag(k, v, True) if typed else b"%bZ%b\0" % (k.encode("ascii"), v.encode()) for k, v in sorted(tags or ())),
+    ))
+    head = _FIXED.pack(32 + len(rest), ref, pos, len(text) + 1, mapq, bai.bin_of(max(pos, 0), max(end, 1)), ops[0], flag, n, mate, mate_pos, tlen)
+    return head + rest, ref, pos, end
+
+
+#: What stands for numbers that are missing.
+_MISSING = {"flag": 0, "pos": -1, "mapq": 0, "mate_pos": -1, "tlen": 0}
+
+
+def packed_record(row: dict, refs: dict[str, tuple[int, int]], typed: bool) -> tuple[bytes, int, int, int]:
+    """packed of a row by the names of its columns, of which it may lack any but the name."""
+    whole = {c: row.get(c) for c in WHOLE_COLUMNS} | {"tags": (row.get("tags") or {}).items()}
+    return packed(*(_MISSING[c] if c in _MISSING and v is None else v for c, v in whole.items()), refs, typed)
+
+
+def _values(column: pa.Array | None, name: str, n: int) -> list:
+    """A batch's column for packed: numbers without gaps, texts or None, tags as pairs."""
+    if column is None:
+        return [_MISSING.get(name)] * n
+    if name == "tags":
+        keys, items = (x.to_numpy(zero_copy_only=False).tolist() for x in (column.keys, column.items))
+        at = column.offsets.to_numpy().tolist()
+        return [list(zip(keys[a:b], items[a:b], strict=True)) for a, b in zip(at, at[1:])]
+    return (column.fill_null(_MISSING[name]) if name in _MISSING else column).to_numpy(zero_copy_only=False).tolist()
 
 
 @dataclass
@@ -527,8 +552,8 @@ class Written(WriterCommitMessage):
     last: tuple | None
 
 
-class BamWriter(DataSourceWriter):
-    """Files in an attempt's folder; on commit they move into place, joined or not."""
+class BamWriter(DataSourceArrowWriter):
+    """Files in an attempt's folder; on commit they move into place, joined or not.  Rows come in Arrow batches, or one by one."""
 
     def __init__(self, options, columns, overwrite):
         self.path, self.columns, self.overwrite = options["path"].rstrip("/"), columns, overwrite
@@ -552,11 +577,10 @@ class BamWriter(DataSourceWriter):
             w = bgzf.Writer(f)
             w.write(self.head.packed())
             w.flush()
-            for row in rows:
-                raw, ref, pos, end = packed_record(row.asDict(), self.refs, self.typed)
+            for raw, ref, pos, end in self._packed(rows):
                 key = (ref if ref >= 0 else len(index), pos)
                 if last is not None and key < last:
-                    raise ValueError(f"rows are not in the order of the header's contigs: {row['name']}")
+                    raise ValueError(f"rows are not in the order of the header's contigs: {raw[36 : raw.index(0, 36)].decode()}")
                 first, last, n = first or key, key, n + 1
                 begin = w.place()
                 w.write(raw)
@@ -570,6 +594,17 @@ class BamWriter(DataSourceWriter):
             f.write(bai.packed(index, unplaced))
         return Written(name, n, first, last)
 
+    def _packed(self, rows):
+        """Records of rows or of batches of them, as packed gives them."""
+        for item in rows:
+            if not isinstance(item, pa.RecordBatch):
+                yield packed_record(item.asDict(), self.refs, self.typed)
+                continue
+            columns = dict(zip(item.schema.names, item.columns, strict=True))
+            found = [_values(columns.get(c), c, item.num_rows) for c in WHOLE_COLUMNS]
+            for values in zip(*found, strict=True):
+                yield packed(*values, self.refs, self.typed)
+
     def commit(self, messages):
         parts = [m for m in messages if m is not None]
         full = [m for m in parts if m.rows]

@@ -278,3 +278,17 @@ def test_places_beyond_32_bits(spark, tmp_path):
             assert sorted(x["name"] for x in some.collect()) == sorted(x[0] for x in rows if (x[2] == "a" and x[3] < b and ends[x[0]] > a) or (x[2] == "b" and x[3] < 20 and ends[x[0]] > 10))
     with open(tmp_path / "farTrue.bam", "rb") as f:
         assert all(0 < size <= bam.LONGEST for _, size in bam.header(f).contigs) and len({n for n, _ in bam.header(f).contigs}) == len(bam.header(f).contigs)
+
+
+def test_batches_give_the_same_records_as_rows(tmp_path):
+    """A writer takes Arrow batches, gaps and all; before, it took rows only."""
+    import pyarrow as pa
+
+    rows = made(300)
+    rows[5] |= {"mapq": None, "tags": None, "mate_pos": None, "tlen": None, "flag": None}
+    w = bam.BamWriter({"path": str(tmp_path / "x.bam"), "contigs": json.dumps(CONTIGS), "typedTags": "true"}, list(rows[0]), False)
+    flat = [x | {"tags": None if x["tags"] is None else list(x["tags"].items())} for x in rows]
+    whole = pa.RecordBatch.from_pylist(flat, pa.schema([(c, bam._TYPES[c]) for c in rows[0]]))
+    assert list(w._packed([whole.slice(0, 7), whole.slice(7)])) == [bam.packed_record(x, w.refs, True) for x in rows]
+    less = whole.select(["name", "chrom", "pos"])
+    assert list(w._packed([less])) == [bam.packed_record({k: x[k] for k in ("name", "chrom", "pos")}, w.refs, True) for x in rows]
