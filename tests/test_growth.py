@@ -189,3 +189,18 @@ def test_ends_that_cross_the_terminal_exon(spark):
             ds = [(-1 if (t < 200 if name == "p" else t > 100) else base + (t - 300 if name == "p" else -t), w) for t, w in e]
             mix[name] = sum(w / sum(w for _, w in e) * np.exp(density[d]) for d, w in ds if d >= 0)
         assert all(np.isclose(got[a, n], mix[n] / max(mix.values())) for n in mix)
+
+
+def test_rows_of_fits_are_counted_without_a_sort(spark):
+    mols = spark.createDataFrame([("C", "G", 1, 2), ("C", "G", 1, 2), ("C", "G", 3, 4), ("D", "G", 3, 4)], "cell string, gene_id string, s1 long, s2 long")
+    rows = spark.createDataFrame([("G", 1, 2, [0.5, 1.0], 1.5), ("G", 3, 4, [1.0, 2.0], 3.0), ("G", 5, 6, [1.0, 0.0], 1.0)], "gene_id string, s1 long, s2 long, row array<double>, total double")
+    groups = spark.createDataFrame([("G", "a", 0.5, 1, 1.0), ("G", "b", 0.5, 2, 1.0)], "gene_id string, id string, prior double, grp int, weight double")
+    fits = inference.fit_cells(mols, rows, groups)
+    assert "SortAggregate" not in plan(fits, "executedPlan")
+    assert {r["cell"]: round(sum(r["fit"]["counts"]), 9) for r in fits.collect()} == {"C": 3.0, "D": 1.0}
+
+
+def test_reasons_carry_no_arrays_to_their_joins(spark):
+    reads, tx, cells = fx.view(spark, DATA, "v_reads"), fx.transcripts(spark, DATA), fx.view(spark, DATA, "v_cells")
+    counted = plan(inference.qc_counts(inference.read_reasons(reads, tx, cells)))
+    assert "size(shape" not in counted[:counted.index("Join")] and "_bare" in counted
